@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscora.catalog import ENDPOINTS, OVERVIEW, Endpoint
+from fiscora.plans.gold import gold_from_bronze
 from fiscora.queries import payloads
 from fiscora.session import shared_dir
 from fiscora.sources.bronze import endpoint_path, read_bronze, write_bronze
+from fiscora.sources.gold_table import write_gold
 
 _built: dict[tuple[str, str], str] = {}
+_gold: dict[tuple[str, str], str] = {}
 
 
 def scratch(spark: SparkSession, sf_dir: str, *parts: str) -> str:
@@ -66,6 +69,16 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(spark, _built[key])
 
 
+def stored_gold(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the Gold table, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _gold:
+        path = scratch(spark, sf_dir, "gold")
+        write_gold(gold_from_bronze(lake(spark, sf_dir).all_staging()), path)
+        _gold[key] = path
+    return _gold[key]
+
+
 def landing(spark: SparkSession, sf_dir: str, endpoint: Endpoint, *, faults: bool = False) -> DataFrame:
     """Documents before ingest: ``k, ingest_date, raw_data``, honouring the contract
     unless faults are planted."""

@@ -28,4 +28,4 @@ def registered(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from fiscora.queries import scalars, silver_gold  # noqa: F401
+    from fiscora.queries import audit, ingest, quality, scalars, silver_gold, stores  # noqa: F401

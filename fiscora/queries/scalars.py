@@ -193,8 +193,8 @@ def safe_arithmetic(spark, sf_dir):
 @registered(
     "cents_to_dollars",
     """SELECT upper(s_name) AS supplier_key, count(*) AS n_lines,
-         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DECIMAL(30,0))
-           * CAST(0.01 AS DECIMAL(3,2)) AS dollars
+         CAST(CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DECIMAL(30,0))
+           * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(38,2)) AS dollars
        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY upper(s_name)""",
 )
 def cents_to_dollars_query(spark, sf_dir):

@@ -9,9 +9,9 @@ from fiscora.operators.latest import latest_ingest, prior_year_value
 from fiscora.operators.flatten import TIEBREAK
 from fiscora.plans import gold, silver
 from fiscora.queries.expected import JOINED, PRIOR, SILVER, query, with_gold, with_silver
-from fiscora.queries.lake import lake, scratch
+from fiscora.queries.lake import lake, stored_gold
 from fiscora.queries.registry import registered
-from fiscora.sources.gold_table import read_gold, write_gold
+from fiscora.sources.gold_table import read_gold
 
 
 def _silver_query(endpoint):
@@ -166,10 +166,8 @@ def gold_empty_companions(spark, sf_dir):
     ),
 )
 def gold_write_read(spark, sf_dir):
-    path = scratch(spark, sf_dir, "gold")
-    write_gold(gold.gold_from_bronze(lake(spark, sf_dir).all_staging()), path)
     date = F.col("fiscaldateending")
-    return read_gold(spark, path).where((date >= F.lit("1996-01-01")) & (date < F.lit("1999-01-01")))
+    return read_gold(spark, stored_gold(spark, sf_dir)).where((date >= F.lit("1996-01-01")) & (date < F.lit("1999-01-01")))
 
 
 @registered(
@@ -182,7 +180,7 @@ def gold_write_read(spark, sf_dir):
     ),
 )
 def recent_periods(spark, sf_dir):
-    kpis = gold.gold_from_bronze(lake(spark, sf_dir).all_staging())
+    kpis = read_gold(spark, stored_gold(spark, sf_dir))
     return gold.recent_periods(kpis, "SUP1", "annual", 4).select(
         *GRAIN, "net_margin", "roe", "current_ratio", "free_cash_flow", "revenue_yoy_growth"
     )
