@@ -212,7 +212,8 @@ def route(payloads: DataFrame, endpoint: Endpoint, probe_rule: str = "first") ->
     """Check documents of one endpoint against its contract.
 
     Adds ``endpoint, symbol, payload_class, violations, extra_fields, route,
-    reason, fiscal_date``. Order of the tests: error envelope, contract, extras.
+    reason, fiscal_date, payload_hash, n_records, n_bytes``, so that later steps need
+    not read the document again. Order of the tests: error envelope, contract, extras.
     A ``symbol`` already present is the company asked for and is kept: an error
     envelope names none.
     """
@@ -252,6 +253,9 @@ def route(payloads: DataFrame, endpoint: Endpoint, probe_rule: str = "first") ->
         verdict.alias("route"),
         reason.alias("reason"),
         fiscal_probe(doc, endpoint, probe_rule).alias("fiscal_date"),
+        F.xxhash64("raw_data").alias("payload_hash"),
+        payload_row_count(F.col("raw_data")).alias("n_records"),
+        F.octet_length("raw_data").cast("bigint").alias("n_bytes"),
     )
 
 

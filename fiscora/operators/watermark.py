@@ -31,38 +31,45 @@ def _is_dated() -> Column:
     return F.coalesce(F.col("fiscal_date") != "", F.lit(False))
 
 
-def mark_new(payloads: DataFrame, state: DataFrame) -> DataFrame:
-    """Add ``is_new``: does the document carry a period beyond its company's mark?
+DAY = (*KEY, "ingest_date")
+
 
-    Input has ``endpoint, symbol, fiscal_date, ingest_date, raw_data``. Days count
-    in order, so an earlier day of the same batch raises the mark for later ones.
-    A company stores one document per day: the one with the newest fiscal date,
-    copies settled by content.
+def daily_marks(payloads: DataFrame, state: DataFrame) -> DataFrame:
+    """Per company and ingestion day: its best document, and whether that is news.
 
-    The marks are computed on one small row per company and day, combined before
-    the shuffle; the documents themselves are joined to it once, and a company
-    with very many documents is split by the adaptive skew join.
+    The best document has the newest fiscal date, copies settled by content. It is
+    news when its date lies beyond the stored mark and beyond every earlier day of
+    the same batch. Combined before the shuffle: one small row per company and day
+    leaves each task, however many documents a company has.
     """
-    rows = _with_key(payloads).withColumn("_hash", F.xxhash64("raw_data"))
-    day = [*KEY, "ingest_date"]
     best = (
-        rows.where(_is_dated())
-        .groupBy(*day)
-        .agg(F.max(F.struct("fiscal_date", "_hash")).alias("best"))
+        _with_key(payloads)
+        .where(_is_dated())
+        .groupBy(*DAY)
+        .agg(F.max(F.struct("fiscal_date", "payload_hash")).alias("best"))
     )
     earlier_days = Window.partitionBy(*KEY).orderBy("ingest_date").rowsBetween(Window.unboundedPreceding, -1)
-    marks = (
+    bar = F.greatest("stored_date", "earlier_date")
+    return (
         best.withColumn("earlier_date", F.max("best.fiscal_date").over(earlier_days))
         .join(_keyed_state(state), list(KEY), "left")
-        .withColumn("bar", F.greatest("stored_date", "earlier_date"))
-        .select(
-            *day, "best", (F.col("bar").isNull() | (F.col("best.fiscal_date") > F.col("bar"))).alias("beyond")
-        )
+        .select(*DAY, "best", (bar.isNull() | (F.col("best.fiscal_date") > bar)).alias("beyond"))
     )
-    is_best = F.struct("fiscal_date", "_hash") == F.col("best")
+
+
+def mark_new(payloads: DataFrame, state: DataFrame) -> DataFrame:
+    """Add ``is_new``: does the document carry a period beyond its company's mark?
+
+    Input has ``endpoint, symbol, fiscal_date, ingest_date, payload_hash``. Days count
+    in order, so an earlier day raises the mark for later ones; a company stores one
+    document per day. Documents are joined once to the daily marks, and a company
+    with very many of them is split by the adaptive skew join.
+    """
+    is_best = F.struct("fiscal_date", "payload_hash") == F.col("best")
     verdict = F.when(~_is_dated(), True).otherwise(F.coalesce(F.col("beyond") & is_best, F.lit(False)))
     return (
-        rows.join(marks, day, "left")
+        _with_key(payloads)
+        .join(daily_marks(payloads, state), list(DAY), "left")
         .withColumn("is_new", verdict)
         .select(*payloads.columns, "is_new")
     )

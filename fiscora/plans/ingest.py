@@ -25,34 +25,38 @@ class LakePaths:
     bronze: str
     state: str
     audit: str
+    decisions: str
 
     @classmethod
     def under(cls, root: str) -> LakePaths:
         root = root.rstrip("/")
-        return cls(bronze=f"{root}/bronze", state=f"{root}/state", audit=f"{root}/audit")
+        return cls(bronze=f"{root}/bronze", state=f"{root}/state", audit=f"{root}/audit", decisions=f"{root}/decisions")
 
     def state_of(self, endpoint: Endpoint) -> str:
         return f"{self.state}/{endpoint.name}"
 
 
-def decide(
-    payloads: DataFrame, endpoint: Endpoint, state: DataFrame, probe_rule: str = "first"
-) -> DataFrame:
-    """Final route of every document: accepted, quarantine, rejected or no_change.
+def settle(routed: DataFrame, state: DataFrame) -> DataFrame:
+    """Final route of checked documents: one without a newer period becomes no_change.
 
-    ``payloads`` has ``raw_data`` and ``ingest_date``. Only documents that pass the
-    contract are compared with, and raise, the watermark.
+    Only documents that pass the contract are compared with, and raise, the watermark.
     """
-    routed = contract.route(payloads, endpoint, probe_rule)
     accepted = F.col("route") == ACCEPTED
-    candidate = routed.withColumn("_date", F.col("fiscal_date")).withColumn(
-        "fiscal_date", F.when(accepted, F.col("fiscal_date"))
+    candidates = routed.withColumns(
+        {"_date": F.col("fiscal_date"), "fiscal_date": F.when(accepted, F.col("fiscal_date"))}
     )
-    marked = watermark.mark_new(candidate, state)
+    marked = watermark.mark_new(candidates, state)
     final = F.when(accepted & ~F.col("is_new"), NO_CHANGE).otherwise(F.col("route"))
     return marked.withColumns({"route": final, "fiscal_date": F.col("_date")}).drop("_date", "is_new")
 
 
+def decide(
+    payloads: DataFrame, endpoint: Endpoint, state: DataFrame, probe_rule: str = "first"
+) -> DataFrame:
+    """Check and settle documents (``raw_data``, ``ingest_date``) of one endpoint."""
+    return settle(contract.route(payloads, endpoint, probe_rule), state)
+
+
 def accepted_documents(decided: DataFrame, endpoint: Endpoint) -> DataFrame:
     """Documents as Bronze stores them: whole amounts plain, extraction date added."""
     plain = contract.plain_integers(F.col("raw_data"), endpoint)
@@ -60,12 +64,12 @@ def accepted_documents(decided: DataFrame, endpoint: Endpoint) -> DataFrame:
     return decided.where(F.col("route") == ACCEPTED).withColumn("raw_data", stamped)
 
 
-def ticker_events(decided: DataFrame, run_id: str, location: str) -> DataFrame:
+def ticker_events(decisions: DataFrame, run_id: str, location: str) -> DataFrame:
     """One audit row per stored, quarantined or failed document. A skipped one has none."""
     status = F.lit("ERROR")
     for route, name in _AUDIT_STATUS.items():
         status = F.when(F.col("route") == route, name).otherwise(status)
-    return decided.where(F.col("route") != NO_CHANGE).select(
+    return decisions.where(F.col("route") != NO_CHANGE).select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
         F.lit(TICKER_EVENT).alias("event"),
         F.lit(run_id).alias("run_id"),
@@ -74,8 +78,8 @@ def ticker_events(decided: DataFrame, run_id: str, location: str) -> DataFrame:
         F.date_format("ingest_date", "yyyy-MM-dd").alias("last_updated"),
         "endpoint",
         "symbol",
-        contract.payload_row_count(F.col("raw_data")).alias("rows_processed"),
-        F.round(F.octet_length("raw_data") / (1024 * 1024), 6).alias("size_mb"),
+        F.col("n_records").alias("rows_processed"),
+        F.round(F.col("n_bytes") / (1024 * 1024), 6).alias("size_mb"),
         F.lit(0.0).alias("time_seconds"),
         F.when(F.col("reason").isNotNull(), redact_api_keys(F.col("reason"))).alias("error_message"),
     )
@@ -91,34 +95,40 @@ def ingest(
     batch: int | None = None,
     probe_rule: str = "first",
 ) -> DataFrame:
-    """Ingest one batch of documents of one endpoint and return its decisions.
+    """Ingest one batch of documents of one endpoint and return its stored decisions.
 
     Every batch has a number (the next free one unless given) and writes only to
     folders and a state version of that number, from the state before it. Running
-    a number again therefore replaces its output. Data are written before state:
-    a run that dies in between is repeated, and loses nothing.
+    a number again therefore replaces its output. State is written last: a run
+    that dies in between is repeated, and loses nothing.
 
-    The decisions are kept for the four writes; the caller unpersists them.
+    Documents are parsed once, into a columnar cache that a lost executor can
+    rebuild. Their text is read from it only to store them; decisions, state and
+    audit rows use the narrow columns.
     """
     endpoint = ENDPOINTS[endpoint] if isinstance(endpoint, str) else endpoint
     state_dir = paths.state_of(endpoint)
     number = next_version(spark, state_dir) if batch is None else batch
     state = read_state(spark, state_dir, before=number)
-    decided = decide(payloads, endpoint, state, probe_rule).persist()
-    tagged = decided.withColumn("batch", F.lit(number))
+    routed = contract.route(payloads, endpoint, probe_rule).withColumn("batch", F.lit(number)).persist()
+    decided = settle(routed, state)
     stores = (
-        (accepted_documents(tagged, endpoint), endpoint_path(paths.bronze, endpoint.name)),
-        (tagged.where(F.col("route") == QUARANTINE), quarantine_path(paths.bronze, endpoint.name)),
+        (accepted_documents(decided, endpoint), endpoint_path(paths.bronze, endpoint.name)),
+        (routed.where(F.col("route") == QUARANTINE), quarantine_path(paths.bronze, endpoint.name)),
     )
     for documents, path in stores:
         write_bronze(documents, path, mode="overwrite", extra_partitions=("batch",))
-    events = ticker_events(decided, run_id, paths.bronze)
+
+    decisions_dir = f"{paths.decisions}/{endpoint.name}/batch={number}"
+    decided.drop("raw_data", "batch").write.mode("overwrite").parquet(decisions_dir)
+    routed.unpersist()
+    decisions = spark.read.parquet(decisions_dir)
+    events = ticker_events(decisions, run_id, paths.bronze)
     write_log(events, f"{paths.audit}/{endpoint.name}/batch={number}", mode="overwrite")
-    advanced = watermark.advance(state, decided.where(F.col("route") == ACCEPTED))
-    write_state(advanced, state_dir, number)
-    return decided
+    write_state(watermark.advance(state, decisions.where(F.col("route") == ACCEPTED)), state_dir, number)
+    return decisions
 
 
-def processed_keys(decided: DataFrame, run_id: str) -> DataFrame:
+def processed_keys(decisions: DataFrame, run_id: str) -> DataFrame:
     """Decisions in the form the batch summary reads."""
-    return decided.select(F.lit(run_id).alias("run_id"), "endpoint", "symbol", "route", "payload_class")
+    return decisions.select(F.lit(run_id).alias("run_id"), "endpoint", "symbol", "route", "payload_class")

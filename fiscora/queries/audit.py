@@ -65,8 +65,8 @@ outcomes AS (
     coalesce(r.stopped, FALSE) AS stopped
   FROM planned p LEFT JOIN processed r USING (endpoint, k)),
 summaries AS (
-  SELECT endpoint, count(*) AS planned_requests, count_if(completed) AS completed,
-    count_if(no_change) AS watermark_skips, count_if(failed) AS failed, count_if(pending) AS pending,
+  SELECT endpoint, count(*) AS planned_requests, count(*) FILTER (completed) AS completed,
+    count(*) FILTER (no_change) AS watermark_skips, count(*) FILTER (failed) AS failed, count(*) FILTER (pending) AS pending,
     bool_or(stopped) AS stopped_early,
     CASE WHEN NOT bool_or(failed) AND NOT bool_or(pending) THEN 'SUCCESS'
       WHEN bool_or(stopped) THEN 'ERROR' ELSE 'PARTIAL_SUCCESS' END AS status
@@ -121,9 +121,9 @@ def _attempts_sql() -> str:
       FROM events)"""
 
 
-_COUNTERS = """count(*) AS actual_requests, count_if(status = 'success') AS successful_requests,
-  count_if(status = 'failed') AS failed_requests, count_if(status LIKE 'rate_limit%') AS rate_limit_requests,
-  count_if(attempt > 1) AS retry_requests"""
+_COUNTERS = """count(*) AS actual_requests, count(*) FILTER (status = 'success') AS successful_requests,
+  count(*) FILTER (status = 'failed') AS failed_requests, count(*) FILTER (status LIKE 'rate_limit%') AS rate_limit_requests,
+  count(*) FILTER (attempt > 1) AS retry_requests"""
 
 
 @registered(
@@ -139,8 +139,8 @@ def attempt_metrics(spark, sf_dir):
     query(
         f"""SELECT '{RUN}' AS run_id, CASE WHEN bool_or(s.status <> 'SUCCESS') THEN 'PARTIAL_SUCCESS'
               ELSE 'SUCCESS' END AS status, count(*) AS endpoints,
-              count_if(s.status = 'PARTIAL_SUCCESS') AS partial_endpoints,
-              count_if(s.status = 'ERROR') AS failed_endpoints,
+              count(*) FILTER (s.status = 'PARTIAL_SUCCESS') AS partial_endpoints,
+              count(*) FILTER (s.status = 'ERROR') AS failed_endpoints,
               CAST(sum(planned_requests) AS BIGINT) AS planned_requests,
               CAST(sum(actual_requests) AS BIGINT) AS actual_requests,
               CAST(sum(successful_requests) AS BIGINT) AS successful_requests,

@@ -145,7 +145,7 @@ def ingest_stores(spark, sf_dir):
     paths = _clean_paths(spark, sf_dir, "ingest")
     documents = landing(spark, sf_dir, INCOME, faults=True)
     for number in range(len(DAYS)):
-        ingest(spark, day_only(documents, number), INCOME, paths, f"run-{number}", batch=number).unpersist()
+        ingest(spark, day_only(documents, number), INCOME, paths, f"run-{number}", batch=number)
     return (
         _stored_documents(spark, paths, INCOME)
         .groupBy("store", "day")
@@ -177,7 +177,7 @@ def audit_events(spark, sf_dir):
     paths = _clean_paths(spark, sf_dir, "audited")
     documents = landing(spark, sf_dir, INCOME, faults=True)
     for number in range(len(DAYS)):
-        ingest(spark, day_only(documents, number), INCOME, paths, f"run-{number}", batch=number).unpersist()
+        ingest(spark, day_only(documents, number), INCOME, paths, f"run-{number}", batch=number)
     events = read_ticker_events(spark, f"{paths.audit}/{INCOME.name}")
     return events.groupBy("run_id", "status").agg(
         F.count(F.lit(1)).alias("n_events"),
@@ -200,10 +200,10 @@ def idempotent_replay(spark, sf_dir):
     paths = _clean_paths(spark, sf_dir, "replay")
     documents = day_only(landing(spark, sf_dir, INCOME), 0)
     bronze = endpoint_path(paths.bronze, INCOME.name)
-    ingest(spark, documents, INCOME, paths, "first", batch=0).unpersist()
-    # batch 0 is read by its own folders: the second batch must not be able to change this side
+    ingest(spark, documents, INCOME, paths, "first", batch=0)
+    # the files of this side are listed before the second batch runs
     first = read_bronze(spark, bronze)
-    ingest(spark, documents, INCOME, paths, "second", batch=1).unpersist()
+    ingest(spark, documents, INCOME, paths, "second", batch=1)
     second = read_bronze(spark, bronze)
     before, after = (silver.income_statement(s, ["symbol", "fiscaldateending", "report_type"]) for s in (first, second))
     grown = second.agg(F.count(F.lit(1))).scalar() - first.agg(F.count(F.lit(1))).scalar()

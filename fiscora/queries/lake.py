@@ -20,6 +20,7 @@ from fiscora.sources.gold_table import write_gold
 
 _built: dict[tuple[str, str], str] = {}
 _gold: dict[tuple[str, str], str] = {}
+_landing: dict[tuple[str, str, str, bool], str] = {}
 
 
 def scratch(spark: SparkSession, sf_dir: str, *parts: str) -> str:
@@ -80,14 +81,21 @@ def stored_gold(spark: SparkSession, sf_dir: str) -> str:
 
 
 def landing(spark: SparkSession, sf_dir: str, endpoint: Endpoint, *, faults: bool = False) -> DataFrame:
-    """Documents before ingest: ``k, ingest_date, raw_data``, honouring the contract
-    unless faults are planted."""
-    periods = lake(spark, sf_dir).periods()
-    if endpoint is OVERVIEW:
-        rows = payloads.overview_payloads(payloads.companies(spark, sf_dir))
-    else:
-        rows = payloads.statement_payloads(periods, endpoint, clean=True)
-    return payloads.plant_contract_faults(rows, endpoint) if faults else rows
+    """Documents as they arrive: ``k, ingest_date, raw_data``, honouring the contract
+    unless faults are planted. Written once per application, like any landing area."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), endpoint.name, faults)
+    if key not in _landing:
+        if endpoint is OVERVIEW:
+            rows = payloads.overview_payloads(payloads.companies(spark, sf_dir))
+        else:
+            periods = lake(spark, sf_dir).periods()
+            rows = payloads.statement_payloads(periods, endpoint, clean=True)
+        if faults:
+            rows = payloads.plant_contract_faults(rows, endpoint)
+        path = scratch(spark, sf_dir, "landing", endpoint.name, "faulty" if faults else "clean")
+        rows.write.mode("overwrite").parquet(path)
+        _landing[key] = path
+    return spark.read.parquet(_landing[key])
 
 
 def day_only(rows: DataFrame, index: int) -> DataFrame:

@@ -65,13 +65,13 @@ def unique_failures(spark, sf_dir):
 def _period_tests_sql(model: str, relation: str) -> str:
     label = ", ".join(GRAIN)
     parts = [
-        f"SELECT '{model}' AS model, 'not_null' AS test, '{c}' AS \"column\", count_if({c} IS NULL) AS failures"
+        f"SELECT '{model}' AS model, 'not_null' AS test, '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS failures"
         f" FROM {relation}"
         for c in GRAIN
     ]
     parts.append(
         f"SELECT '{model}', 'accepted_values', 'report_type', "
-        f"count_if(report_type NOT IN ('annual', 'quarterly')) FROM {relation}"
+        f"count(*) FILTER (report_type NOT IN ('annual', 'quarterly')) FROM {relation}"
     )
     parts.append(
         f"SELECT '{model}', 'unique_combination_of_columns', '{label}', count(*) FROM "
@@ -86,7 +86,7 @@ def _tests_sql(with_gold_model: bool) -> str:
         if endpoint.is_flat:
             parts.append(
                 f"SELECT '{name}' AS model, 'not_null' AS test, 'symbol' AS \"column\", "
-                f"count_if(symbol IS NULL) AS failures FROM int_{name}"
+                f"count(*) FILTER (symbol IS NULL) AS failures FROM int_{name}"
             )
             parts.append(
                 f"SELECT '{name}', 'unique', 'symbol', count(*) FROM "

@@ -49,8 +49,7 @@ def start_ingest(
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        decided = ingest(spark, batch, endpoint, paths, run_id=f"stream-{batch_id}", batch=batch_id)
-        decided.unpersist()
+        ingest(spark, batch, endpoint, paths, run_id=f"stream-{batch_id}", batch=batch_id)
 
     return (
         landing_stream(spark, landing, max_files)
