@@ -8,12 +8,14 @@ Fields unknown to a report are allowed; unknown envelope fields are extras.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fiscora.catalog import SENTINELS, Endpoint
+from fiscora.catalog import SENTINELS, Endpoint, Field
 from fiscora.functions import scalar_text
 from fiscora.operators.flatten import DATE_FIELD
 
@@ -55,8 +57,45 @@ def _is_date(value: Column) -> Column:
 
 
 def _bad_number(text: Column, dtype: T.DataType) -> Column:
-    pattern = _INTEGER if isinstance(dtype, T.LongType) else _DECIMAL
-    return text.isNotNull() & ~text.rlike(pattern)
+    if isinstance(dtype, T.LongType):
+        # nearly every amount passes the cheap cast and never meets the pattern
+        valid = text.try_cast("bigint").isNotNull() | text.rlike(_INTEGER)
+    else:
+        valid = text.rlike(_DECIMAL)
+    return text.isNotNull() & ~valid
+
+
+def _number_groups(fields: list[Field]) -> list[tuple[T.DataType, list[str]]]:
+    """Numeric fields by type, each group checked by one expression over its values."""
+    groups: dict[str, tuple[T.DataType, list[str]]] = {}
+    for field in fields:
+        if not field.is_text:
+            groups.setdefault(field.dtype.simpleString(), (field.dtype, []))[1].append(field.source)
+    return list(groups.values())
+
+
+def _any_bad_number(values: Column, dtype: T.DataType) -> Column:
+    return F.exists(values, lambda text: _bad_number(text, dtype))
+
+
+def _pick_bad_numbers(values: Column, messages: Column, dtype: T.DataType) -> Column:
+    picked = F.transform(values, lambda text, i: F.when(_bad_number(text, dtype), F.get(messages, i)))
+    return F.array_compact(picked)
+
+
+def _has_bad_number(owner: Column, fields: list[Field]) -> Column:
+    groups = [
+        _any_bad_number(F.array(*(owner[n] for n in names)), dtype) for dtype, names in _number_groups(fields)
+    ]
+    return reduce(or_, groups)
+
+
+def _bad_number_messages(owner: Column, fields: list[Field], prefix: str = "") -> Column:
+    found = []
+    for dtype, names in _number_groups(fields):
+        messages = F.array(*(F.lit(f"{prefix}{n}: not a number") for n in names))
+        found.append(_pick_bad_numbers(F.array(*(owner[n] for n in names)), messages, dtype))
+    return F.concat(*found)
 
 
 def _report_texts(endpoint: Endpoint) -> list[str]:
@@ -104,20 +143,21 @@ def extra_fields(keys: Column, endpoint: Endpoint) -> Column:
     return F.array_except(keys, F.array(*(F.lit(k) for k in endpoint.envelope)))
 
 
-def _report_checks(endpoint: Endpoint, array: str, report: Column) -> list[tuple[Column, str]]:
-    """Each rule of one report as (violated, message)."""
+def _report_numbers(endpoint: Endpoint, array: str) -> list[Field]:
+    """Numeric fields the contract gives a report of this array."""
+    annual = array == endpoint.annual
+    return [f for f in endpoint.fields if not (annual and f.source in endpoint.quarterly_only)]
+
+
+def _report_text_checks(endpoint: Endpoint, array: str, report: Column) -> list[tuple[Column, str]]:
+    """Rules on the text fields of one report, as (violated, message)."""
     checks = [(~_is_date(report[DATE_FIELD]), f"{array}.{DATE_FIELD}: not a date")]
     if endpoint.currency_required:
         checks.append((~_is_string(report[_CURRENCY]), f"{array}.{_CURRENCY}: not a string"))
-    annual = array == endpoint.annual
-    if endpoint.quarterly_only and not annual:
+    if endpoint.quarterly_only and array != endpoint.annual:
         reported, time = report[_REPORTED_DATE], report[_REPORT_TIME]
         checks.append((~(_is_missing(reported) | _is_date(reported)), f"{array}.{_REPORTED_DATE}: not a date"))
         checks.append((~(_is_missing(time) | _is_string(time)), f"{array}.{_REPORT_TIME}: not a string"))
-    for field in endpoint.fields:
-        if annual and field.source in endpoint.quarterly_only:
-            continue
-        checks.append((_bad_number(report[field.source], field.dtype), f"{array}.{field.source}: not a number"))
     return checks
 
 
@@ -125,21 +165,20 @@ def _messages(checks: list[tuple[Column, str]]) -> Column:
     return F.array_compact(F.array(*(F.when(bad, F.lit(text)) for bad, text in checks)))
 
 
-def _any(checks: list[tuple[Column, str]]) -> Column:
-    bad = checks[0][0]
-    for other, _ in checks[1:]:
-        bad = bad | other
-    return bad
-
-
 def _array_violations(endpoint: Endpoint, array: str, reports: Column) -> Column:
+    numbers = _report_numbers(endpoint, array)
+
     def is_bad(report: Column) -> Column:
-        return report.isNull() | _any(_report_checks(endpoint, array, report))
+        checks = [bad for bad, _ in _report_text_checks(endpoint, array, report)]
+        return reduce(or_, [report.isNull(), *checks, _has_bad_number(report, numbers)])
 
     def explain(report: Column) -> Column:
         not_object = F.array(F.lit(f"{array}: report is not an object"))
         return F.when(report.isNull(), not_object).otherwise(
-            _messages(_report_checks(endpoint, array, report))
+            F.concat(
+                _messages(_report_text_checks(endpoint, array, report)),
+                _bad_number_messages(report, numbers, f"{array}."),
+            )
         )
 
     # messages are built only for a document that fails
@@ -152,18 +191,15 @@ def _array_violations(endpoint: Endpoint, array: str, reports: Column) -> Column
 
 def violations(doc: Column, endpoint: Endpoint) -> Column:
     """Broken rules of a parsed document; empty when it honours the contract."""
-    key = [(~_is_string(doc[endpoint.key]), f"{endpoint.key}: missing or not a string")]
+    checks = [(~_is_string(doc[endpoint.key]), f"{endpoint.key}: missing or not a string")]
     if not endpoint.is_flat:
         parts = [_array_violations(endpoint, a, doc[a]) for a in endpoint.arrays]
-        return F.concat(_messages(key), *parts)
-    checks = list(key)
+        return F.concat(_messages(checks), *parts)
     for field in endpoint.fields:
-        value = doc[field.source]
         if field.is_text:
+            value = doc[field.source]
             checks.append((~(_is_missing(value) | _is_string(value)), f"{field.source}: not a string"))
-        else:
-            checks.append((_bad_number(value, field.dtype), f"{field.source}: not a number"))
-    return _messages(checks)
+    return F.concat(_messages(checks), _bad_number_messages(doc, list(endpoint.fields)))
 
 
 def fiscal_probe(doc: Column, endpoint: Endpoint, rule: str = "first") -> Column:
@@ -208,6 +244,13 @@ def payload_row_count(raw: Column) -> Column:
     )
 
 
+def _known_records(doc: Column, endpoint: Endpoint) -> Column:
+    """Record count of a document known to honour the contract, without a second parse."""
+    if endpoint.is_flat:
+        return F.lit(1).cast("bigint")
+    return reduce(lambda a, b: a + b, [F.size(doc[a]) for a in endpoint.arrays]).cast("bigint")
+
+
 def route(payloads: DataFrame, endpoint: Endpoint, probe_rule: str = "first") -> DataFrame:
     """Check documents of one endpoint against its contract.
 
@@ -254,7 +297,9 @@ def route(payloads: DataFrame, endpoint: Endpoint, probe_rule: str = "first") ->
         reason.alias("reason"),
         fiscal_probe(doc, endpoint, probe_rule).alias("fiscal_date"),
         F.xxhash64("raw_data").alias("payload_hash"),
-        payload_row_count(F.col("raw_data")).alias("n_records"),
+        F.when(verdict == ACCEPTED, _known_records(doc, endpoint))
+        .otherwise(payload_row_count(F.col("raw_data")))
+        .alias("n_records"),
         F.octet_length("raw_data").cast("bigint").alias("n_bytes"),
     )
 
