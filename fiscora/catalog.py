@@ -122,13 +122,14 @@ def _fields(names: list[str], dtype: T.DataType) -> tuple[Field, ...]:
 class Endpoint:
     """A payload family.
 
-    ``annual`` and ``quarterly`` name the report arrays (``None`` for a flat
+    ``model`` names its views and folders. ``annual`` and ``quarterly`` name the report arrays (``None`` for a flat
     payload). ``fields`` are the typed scalars of one report, or of the payload
     itself when it is flat; ``quarterly_only`` are the ones an annual report
     does not have by contract.
     """
 
     name: str
+    model: str
     key: str
     fields: tuple[Field, ...]
     columns: tuple[str, ...]
@@ -138,6 +139,11 @@ class Endpoint:
     quarterly_only: frozenset[str] = frozenset()
     probe_order: tuple[str, ...] = ()
 
+    @property
+    def function(self) -> str:
+        """Name of the endpoint in audit rows."""
+        return self.name.upper()
+
     @property
     def is_flat(self) -> bool:
         return self.annual is None
@@ -201,6 +207,7 @@ _STATEMENT_ARRAYS = {"annual": "annualReports", "quarterly": "quarterlyReports"}
 
 INCOME = Endpoint(
     name="income_statement",
+    model="income_statement",
     key="symbol",
     fields=_fields(INCOME_FIELDS + INCOME_LATE_FIELDS, MONEY),
     columns=(
@@ -223,6 +230,7 @@ INCOME = Endpoint(
 )
 BALANCE = Endpoint(
     name="balance_sheet",
+    model="balance_sheet",
     key="symbol",
     fields=_fields(BALANCE_FIELDS, MONEY),
     columns=(
@@ -238,6 +246,7 @@ BALANCE = Endpoint(
 )
 CASH_FLOW = Endpoint(
     name="cash_flow",
+    model="cash_flow",
     key="symbol",
     fields=_fields(CASH_FLOW_FIELDS, MONEY),
     columns=(*_STATEMENT_HEAD, "reportedcurrency", *_cols(CASH_FLOW_FIELDS), "free_cash_flow"),
@@ -247,6 +256,7 @@ CASH_FLOW = Endpoint(
 )
 EARNINGS = Endpoint(
     name="earnings",
+    model="earning",
     key="symbol",
     fields=_fields(EARNINGS_QUARTERLY_FIELDS, RATIO),
     columns=(
@@ -270,6 +280,7 @@ def _overview_type(name: str) -> T.DataType:
 
 OVERVIEW = Endpoint(
     name="overview",
+    model="overview",
     key="Symbol",
     fields=tuple(Field(n, _overview_type(n)) for n in OVERVIEW_FIELDS),
     columns=(*PARTITION_COLUMNS, "symbol", *_cols(OVERVIEW_FIELDS)),

@@ -26,8 +26,11 @@ def safe_integer(text: Column) -> Column:
 
 
 def safe_numeric(text: Column) -> Column:
-    """Decimal number with nine digits after the point, rounded half up."""
-    return text.try_cast(_RATIO)
+    """Decimal number with nine digits after the point, rounded half up.
+
+    Sentinels are common, and the cast would reject each by way of an exception.
+    """
+    return null_if_sentinel(text).try_cast(_RATIO)
 
 
 def safe_add(a: Column, b: Column) -> Column:
@@ -43,19 +46,25 @@ def promote(amount: Column) -> Column:
     return amount.cast(_EXACT_INTEGER)
 
 
+def _quotient(numerator: Column, denominator: Column) -> Column:
+    """Guarded quotient. The guard is a test and not ``try_divide``, which would raise
+    and catch an exception for every zero; nothing else can fail at these widths."""
+    return F.when(denominator != 0, numerator / denominator).cast(_RATIO)
+
+
 def exact_ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient of two integer amounts with nine digits; NULL on a zero or NULL denominator.
 
     The operands stay integers in DECIMAL form: dividing DECIMAL(38,9) by
     DECIMAL(38,9) would leave Spark only six digits.
     """
-    return F.try_divide(promote(numerator), promote(denominator)).try_cast(_RATIO)
+    return _quotient(promote(numerator), promote(denominator))
 
 
 def growth(current: Column, prior: Column) -> Column:
     """Relative change. The difference is taken in decimals: it may not fit a BIGINT."""
     change = (promote(current) - promote(prior)).cast("decimal(21,0)")
-    return F.try_divide(change, promote(prior)).try_cast(_RATIO)
+    return _quotient(change, promote(prior))
 
 
 def first_or_sum(reported: Column, a: Column, b: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,8 @@ from fiscora.operators import contract, watermark
 from fiscora.operators.contract import ACCEPTED, NO_CHANGE, QUARANTINE
 from fiscora.sources.audit_log import TICKER_EVENT, write_log
 from fiscora.sources.bronze import endpoint_path, quarantine_path, write_bronze
-from fiscora.sources.state import next_version, read_state, write_state
+from fiscora.sources.state import read_state, write_state
+from fiscora.sources.versions import next_version
 
 _AUDIT_STATUS = {ACCEPTED: "SUCCESS", QUARANTINE: "QUARANTINE"}
 
@@ -26,11 +27,12 @@ class LakePaths:
     state: str
     audit: str
     decisions: str
+    gold: str
 
     @classmethod
     def under(cls, root: str) -> LakePaths:
         root = root.rstrip("/")
-        return cls(bronze=f"{root}/bronze", state=f"{root}/state", audit=f"{root}/audit", decisions=f"{root}/decisions")
+        return cls(**{part.name: f"{root}/{part.name}" for part in fields(cls)})
 
     def state_of(self, endpoint: Endpoint) -> str:
         return f"{self.state}/{endpoint.name}"
@@ -76,7 +78,7 @@ def ticker_events(decisions: DataFrame, run_id: str, location: str) -> DataFrame
         status.alias("status"),
         F.lit(location).alias("stage_location_bucket"),
         F.date_format("ingest_date", "yyyy-MM-dd").alias("last_updated"),
-        "endpoint",
+        F.upper("endpoint").alias("endpoint"),
         "symbol",
         F.col("n_records").alias("rows_processed"),
         F.round(F.col("n_bytes") / (1024 * 1024), 6).alias("size_mb"),

@@ -164,6 +164,6 @@ MODELS = {
 
 
 def register_silver(spark: SparkSession, staging: dict[str, DataFrame]) -> None:
-    """Temp views ``int_<endpoint>``: recomputed when read, never stored."""
+    """Temp views ``int_<model>``: recomputed when read, never stored."""
     for name, frame in staging.items():
-        MODELS[ENDPOINTS[name].name](frame).createOrReplaceTempView(f"int_{name}")
+        MODELS[name](frame).createOrReplaceTempView(f"int_{ENDPOINTS[name].model}")

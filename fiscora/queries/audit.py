@@ -115,7 +115,7 @@ def _attempts_sql() -> str:
     cases = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(ENDPOINTS))
     return f"""attempts AS (
       SELECT strftime(ts, '%Y-%m-%d') AS run_id, CASE user_id % {len(ENDPOINTS)} {cases} END AS endpoint,
-        row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY event_id) AS attempt,
+        event_id % 3 + 1 AS attempt,
         CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 10 = 3 THEN 'rate_limit_daily'
           WHEN event_id % 10 = 6 THEN 'rate_limit_transient' ELSE 'success' END AS status
       FROM events)"""

@@ -6,6 +6,7 @@ Queries over Silver and Gold read this Bronze, as a consumer of the lake would.
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,9 +64,14 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
         payloads.periods(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/periods")
         built = Lake(spark, root)
         periods = built.periods()
-        for endpoint in ENDPOINTS.values():
+
+        def fill(endpoint: Endpoint) -> None:
             documents = derive_payloads(spark, sf_dir, periods, endpoint)
             write_bronze(documents, endpoint_path(built.bronze_root, endpoint.name), mode="overwrite")
+
+        # independent jobs of unequal size: run side by side they keep the executors busy
+        with ThreadPoolExecutor(len(ENDPOINTS)) as pool:
+            list(pool.map(fill, ENDPOINTS.values()))
         _built[key] = root
     return Lake(spark, _built[key])
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fiscora.catalog import ENDPOINTS
+
 PARTITIONS = ("year", "month", "day")
 STAGING_SCHEMA = T.StructType(
     [
@@ -19,25 +21,27 @@ STAGING_SCHEMA = T.StructType(
         T.StructField("day", T.LongType()),
     ]
 )
-ENDPOINT_DIR = "{root}/{endpoint}"
-QUARANTINE_DIR = "{root}/quarantine/{endpoint}"
+
+
+def _folder(endpoint: str) -> str:
+    return ENDPOINTS[endpoint].model if endpoint in ENDPOINTS else endpoint
 
 
 def endpoint_path(root: str, endpoint: str) -> str:
-    return ENDPOINT_DIR.format(root=root.rstrip("/"), endpoint=endpoint)
+    return f"{root.rstrip('/')}/{_folder(endpoint)}"
 
 
 def quarantine_path(root: str, endpoint: str) -> str:
-    return QUARANTINE_DIR.format(root=root.rstrip("/"), endpoint=endpoint)
+    return f"{root.rstrip('/')}/quarantine/{_folder(endpoint)}"
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """``raw_data, year, month, day``; a filter on the last three prunes folders."""
-    schema = T.StructType(
-        [T.StructField("value", T.StringType())]
-        + [T.StructField(p, T.IntegerType()) for p in PARTITIONS]
-    )
-    return staging(spark.read.schema(schema).option("basePath", path).text(path))
+    """``raw_data, year, month, day``; a filter on the last three prunes folders.
+
+    A folder in which no document was ever stored gives an empty frame.
+    """
+    lines = spark.read.option("basePath", path).text(path)
+    return staging(lines) if set(PARTITIONS) <= set(lines.columns) else empty_staging(spark)
 
 
 def staging(bronze: DataFrame) -> DataFrame:
@@ -54,9 +58,10 @@ def empty_staging(spark: SparkSession) -> DataFrame:
 
 
 def register_staging(spark: SparkSession, root: str, endpoints: list[str]) -> None:
-    """One temp view ``stg_<endpoint>`` per endpoint."""
+    """One temp view ``stg_<model>`` per endpoint."""
     for endpoint in endpoints:
-        read_bronze(spark, endpoint_path(root, endpoint)).createOrReplaceTempView(f"stg_{endpoint}")
+        view = f"stg_{_folder(endpoint)}"
+        read_bronze(spark, endpoint_path(root, endpoint)).createOrReplaceTempView(view)
 
 
 def partition_columns(ingest_date: Column) -> dict[str, Column]:

@@ -1,34 +1,42 @@
-"""Gold table: parquet, one folder per fiscal date, sorted by company inside."""
+"""Gold table: parquet, one folder per fiscal date, sorted by company inside.
+
+Every rebuild is a new version, so the table in use stays whole while it runs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fiscora.catalog import GOLD_SCHEMA
+from fiscora.sources.versions import latest_version, next_version, version_path
 
 PARTITION = "fiscaldateending"
 CLUSTER = ("symbol", "report_type")
 
 
-def write_gold(gold: DataFrame, path: str, *, max_records_per_file: int = 20_000_000) -> None:
-    """Replace the whole table.
+def write_gold(gold: DataFrame, path: str, *, max_records_per_file: int = 20_000_000) -> int:
+    """Write a full rebuild and return its version.
 
     Fiscal years end on few dates, so one date may hold a third of all rows. The
     rebalance hint gathers each date into few files and lets adaptive execution
     split a date that is too large for one task, where a plain repartition by
     date would not. Rows are then sorted so that file statistics prune by company.
     """
+    version = next_version(gold.sparkSession, path)
     (
         gold.hint("rebalance", PARTITION)
         .sortWithinPartitions(PARTITION, *CLUSTER)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(PARTITION)
-        .parquet(path)
+        .parquet(version_path(path, version))
     )
+    return version
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    """The table in its declared column order. A date filter reads only its folders."""
-    return spark.read.schema(GOLD_SCHEMA).parquet(path).select(*(F.col(c) for c in GOLD_SCHEMA.names))
+    """The newest complete rebuild, in declared column order. A date filter reads only its folders."""
+    version = latest_version(spark, path)
+    if version is None:
+        return spark.createDataFrame([], GOLD_SCHEMA)
+    return spark.read.schema(GOLD_SCHEMA).parquet(version_path(path, version)).select(*GOLD_SCHEMA.names)

@@ -1,16 +1,12 @@
-"""Watermark state: ``(endpoint, symbol, fiscal_date)`` in versioned folders.
-
-A version is complete once its ``_SUCCESS`` marker exists, so a writer that
-dies half-way leaves the previous version in force.
-"""
+"""Watermark state: ``(endpoint, symbol, fiscal_date)``, one version per batch."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from fiscora.sources.versions import latest_version, next_version, version_path
+
 STATE_SCHEMA = T.StructType(
     [
         T.StructField("endpoint", T.StringType()),
@@ -18,43 +14,18 @@ STATE_SCHEMA = T.StructType(
         T.StructField("fiscal_date", T.StringType()),
     ]
 )
-_VERSION_DIR = re.compile(r"version=(\d+)$")
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions under ``root``, oldest first."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return []
-    found = []
-    for status in fs.listStatus(base):
-        match = _VERSION_DIR.search(status.getPath().getName())
-        if match and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            found.append(int(match.group(1)))
-    return sorted(found)
-
-
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/version={version}"
-
-
 def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """Latest complete version (older than ``before`` if given); empty when there is none."""
-    known = [v for v in versions(spark, root) if before is None or v < before]
-    if not known:
+    version = latest_version(spark, root, before)
+    if version is None:
         return empty_state(spark)
-    return spark.read.schema(STATE_SCHEMA).parquet(version_path(root, known[-1]))
-
-
-def next_version(spark: SparkSession, root: str) -> int:
-    known = versions(spark, root)
-    return known[-1] + 1 if known else 0
+    return spark.read.schema(STATE_SCHEMA).parquet(version_path(root, version))
 
 
 def write_state(state: DataFrame, root: str, version: int | None = None) -> int:

@@ -9,7 +9,7 @@ from fiscora.catalog import INCOME, OVERVIEW
 from fiscora.operators import quality, watermark
 from fiscora.plans import silver
 from fiscora.plans.ingest import LakePaths, ingest, processed_keys
-from fiscora.sources import audit_log, bronze, state
+from fiscora.sources import audit_log, bronze, state, versions
 from fiscora.streaming.ingest import start_ingest
 from helpers import payloads, report, rows, statement
 
@@ -162,7 +162,7 @@ def test_replayed_batch_number_changes_nothing(spark, tmp_path):
         ingest(spark, documents, INCOME, paths, run, batch=5)
     path = bronze.endpoint_path(paths.bronze, INCOME.name)
     assert bronze.read_bronze(spark, path).count() == 1
-    assert state.versions(spark, paths.state_of(INCOME)) == [5]
+    assert versions.versions(spark, paths.state_of(INCOME)) == [5]
 
 
 def test_same_documents_as_a_new_batch_add_nothing(spark, tmp_path):
