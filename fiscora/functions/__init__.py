@@ -1,6 +1,6 @@
 """Column functions. Each takes and returns a ``Column``; none needs Python workers."""
 
-from fiscora.functions.json import json_scalar, json_array_length_or_zero, scalar_text
+from fiscora.functions.json import json_scalar, scalar_text
 from fiscora.functions.numbers import (
     cents_to_dollars,
     exact_ratio,
@@ -14,6 +14,7 @@ from fiscora.functions.numbers import (
     safe_subtract,
 )
 from fiscora.functions.text import (
+    alert_text,
     failure_reason,
     redact_api_keys,
     redact_secrets,
@@ -23,6 +24,7 @@ from fiscora.functions.time import BUSINESS_TIMEZONE, business_date, ingest_date
 
 __all__ = [
     "BUSINESS_TIMEZONE",
+    "alert_text",
     "business_date",
     "cents_to_dollars",
     "exact_ratio",
@@ -30,7 +32,6 @@ __all__ = [
     "first_or_sum",
     "growth",
     "ingest_date",
-    "json_array_length_or_zero",
     "json_scalar",
     "null_if_sentinel",
     "promote",

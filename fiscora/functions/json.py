@@ -20,7 +20,3 @@ def json_scalar(raw: Column, name: str) -> Column:
     once with ``from_json`` instead (see ``operators.flatten``).
     """
     return scalar_text(F.try_variant_get(F.try_parse_json(raw), f"$['{name}']", "variant"))
-
-
-def json_array_length_or_zero(array: Column) -> Column:
-    return F.coalesce(F.size(array), F.lit(0))

@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Masks, and the shapes in which a credential shows up in a message.
+# Masks, the shapes in which a credential shows up in a message, and the
+# length of an alert's error text.
 API_KEY_MASK = "***REDACTED_API_KEY***"
 SECRET_MASK = "***REDACTED***"
 API_KEY_PATTERNS = (r"(?i)(apikey=)[^&\s]+", r"(?i)(API key as )([A-Z0-9_-]+)")
@@ -42,6 +43,11 @@ def redact_secrets(message: Column, known: Iterable[str] = ()) -> Column:
     return _mask(message, known, SECRET_PATTERNS, SECRET_MASK)
 
 
+def alert_text(message: Column, known: Iterable[str] = ()) -> Column:
+    """Error text of an alert: redacted first, then cut to what an alert may carry."""
+    return F.left(redact_secrets(message, known), F.lit(MAX_ERROR_CHARS))
+
+
 def failure_reason(message: Column) -> Column:
     """Coarse cause of a failed job, from its message."""
     plain = F.replace(F.lower(message), F.lit("-"), F.lit(" "))

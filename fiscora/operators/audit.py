@@ -6,11 +6,15 @@ own (``batch_outcomes``), since a list per endpoint would grow without bound.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fiscora.functions import alert_text, failure_reason, redact_secrets
 from fiscora.operators.contract import ACCEPTED, DAILY_LIMIT, NO_CHANGE, QUARANTINE, RATE_LIMIT, REJECTED
 
+FAILURE_EVENT = "job_failure"
 SUCCESS, PARTIAL_SUCCESS, ERROR = "SUCCESS", "PARTIAL_SUCCESS", "ERROR"
 BATCH = ("run_id", "endpoint")
 COMPLETED, FAILED, PENDING = "completed", "failed", "pending"
@@ -133,3 +137,18 @@ def run_summary(summaries: DataFrame, metrics: DataFrame) -> DataFrame:
         *(total(c) for c in REQUEST_COUNTERS),
         total("watermark_skips"),
     )
+
+
+def failure_alerts(failures: DataFrame, known_secrets: Iterable[str] = ()) -> DataFrame:
+    """Alert rows of failed jobs (``run_id, job, task, logical_date, message``), safe to send on."""
+    message = F.coalesce(F.col("message"), F.lit("unknown error"))
+    safe = redact_secrets(message, known_secrets)
+    return failures.select(
+        F.lit(FAILURE_EVENT).alias("event"),
+        "job",
+        "task",
+        "run_id",
+        "logical_date",
+        failure_reason(safe).alias("reason"),
+        alert_text(message, known_secrets).alias("error"),
+    )

@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 
 from fiscora.catalog import ANNUAL, QUARTERLY, Endpoint
 from fiscora.functions import ingest_date, scalar_text
+from fiscora.sources.bronze import BATCH
 
 DATE_FIELD = "fiscalDateEnding"
 
-# Orders copies of one period that arrived on the same day: by document content,
-# then by place in its array (the source lists the newest first).
-TIEBREAK = ("payload_hash", "position")
+# Orders copies of one period that arrived on the same day: the later delivery first,
+# then by document content and by place in its array (the source lists the newest first).
+TIEBREAK = ("delivery", "payload_hash", "position")
 
 
 def report_struct(fields: Sequence[str], text_fields: Sequence[str]) -> T.StructType:
@@ -47,12 +48,15 @@ def parse_document(raw: str, schema: T.StructType) -> Column:
 
 
 def with_ingest_columns(staging: DataFrame) -> list[Column]:
-    """Ingestion columns of a staging row, under their Silver names."""
+    """Ingestion columns of a staging row, under their Silver names, and its tie-breaks."""
     return [
         F.col("year").alias("partition_year"),
         F.col("month").alias("partition_month"),
         F.col("day").alias("partition_day"),
         ingest_date(F.col("year"), F.col("month"), F.col("day")).alias("ingest_date"),
+        # negative, so that all tie-breaks sort upwards
+        (-F.col(BATCH) if BATCH in staging.columns else F.lit(0)).cast("bigint").alias("delivery"),
+        F.xxhash64("raw_data").alias("payload_hash"),
     ]
 
 
@@ -70,7 +74,6 @@ def flatten_reports(
     schema = document_schema(endpoint, report_struct(wanted, texts))
     documents = staging.select(
         *with_ingest_columns(staging),
-        F.xxhash64("raw_data").alias("payload_hash"),
         parse_document("raw_data", schema),
     )
     tagged = documents.select(
@@ -105,7 +108,6 @@ def flatten_document(staging: DataFrame, endpoint: Endpoint, fields: Sequence[st
     wanted = [endpoint.key, *fields]
     documents = staging.select(
         *with_ingest_columns(staging),
-        F.xxhash64("raw_data").alias("payload_hash"),
         F.lit(0).alias("position"),
         parse_document("raw_data", report_struct(wanted, texts)),
     )

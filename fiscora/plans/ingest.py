@@ -12,7 +12,7 @@ from fiscora.functions import redact_api_keys
 from fiscora.operators import contract, watermark
 from fiscora.operators.contract import ACCEPTED, NO_CHANGE, QUARANTINE
 from fiscora.sources.audit_log import TICKER_EVENT, write_log
-from fiscora.sources.bronze import endpoint_path, quarantine_path, write_bronze
+from fiscora.sources.bronze import BATCH, endpoint_path, quarantine_path, write_bronze
 from fiscora.sources.state import read_state, write_state
 from fiscora.sources.versions import next_version
 
@@ -82,7 +82,8 @@ def ticker_events(decisions: DataFrame, run_id: str, location: str) -> DataFrame
         "symbol",
         F.col("n_records").alias("rows_processed"),
         F.round(F.col("n_bytes") / (1024 * 1024), 6).alias("size_mb"),
-        F.lit(0.0).alias("time_seconds"),
+        # documents of a batch are not handled one after the other
+        F.lit(None).cast("double").alias("time_seconds"),
         F.when(F.col("reason").isNotNull(), redact_api_keys(F.col("reason"))).alias("error_message"),
     )
 
@@ -112,17 +113,17 @@ def ingest(
     state_dir = paths.state_of(endpoint)
     number = next_version(spark, state_dir) if batch is None else batch
     state = read_state(spark, state_dir, before=number)
-    routed = contract.route(payloads, endpoint, probe_rule).withColumn("batch", F.lit(number)).persist()
+    routed = contract.route(payloads, endpoint, probe_rule).withColumn(BATCH, F.lit(number)).persist()
     decided = settle(routed, state)
     stores = (
         (accepted_documents(decided, endpoint), endpoint_path(paths.bronze, endpoint.name)),
         (routed.where(F.col("route") == QUARANTINE), quarantine_path(paths.bronze, endpoint.name)),
     )
     for documents, path in stores:
-        write_bronze(documents, path, mode="overwrite", extra_partitions=("batch",))
+        write_bronze(documents, path, mode="overwrite", extra_partitions=(BATCH,))
 
     decisions_dir = f"{paths.decisions}/{endpoint.name}/batch={number}"
-    decided.drop("raw_data", "batch").write.mode("overwrite").parquet(decisions_dir)
+    decided.drop("raw_data", BATCH).write.mode("overwrite").parquet(decisions_dir)
     routed.unpersist()
     decisions = spark.read.parquet(decisions_dir)
     events = ticker_events(decisions, run_id, paths.bronze)

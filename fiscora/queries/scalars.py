@@ -24,9 +24,10 @@ from fiscora.functions import (
     upper_key,
     weekday,
 )
+from fiscora.operators.audit import failure_alerts
 from fiscora.operators.flatten import DATE_FIELD, flatten_reports, union_reports
 from fiscora.plans.silver import statement_periods
-from fiscora.queries.expected import LATEST, PERIODS, SYMBOL, query, ratio
+from fiscora.queries.expected import SYMBOL, query, ratio
 from fiscora.queries.lake import lake
 from fiscora.queries.payloads import table
 from fiscora.queries.registry import registered
@@ -230,36 +231,58 @@ def business_date_query(spark, sf_dir):
     )
 
 
-_MESSAGE = """concat('GET /query?symbol=S', {u}, '&ApiKey=k', {e}, ' token=t', {u}, ' your API key as Z', {e},
-    CASE WHEN event_type = 'error' THEN ' Rate-Limit reached' ELSE '' END, ' password=p ', secret)"""
+# concat(...) is the same in both dialects, up to the name of the text type
+_MESSAGE = """concat('GET /query?symbol=S', CAST(user_id AS {text}), '&ApiKey=k', CAST(event_id AS {text}),
+    ' token=t', CAST(user_id AS {text}), ' your API key as Z', CAST(event_id AS {text}),
+    CASE WHEN event_type = 'error' THEN ' Rate-Limit reached' ELSE '' END, ' password=p ',
+    CASE WHEN event_id % 2 = 0 THEN 'hunter22' ELSE '' END)"""
+_REDACTED = """regexp_replace(replace(msg, 'hunter22', '***REDACTED***'),
+    '(?i)((?:api[_-]?key|token|password)=)[^&\\s]+', '\\1***REDACTED***', 'g')"""
+_REASON = "CASE WHEN contains(replace(lower(msg), '-', ' '), 'rate limit') THEN 'rate_limit' ELSE 'task_failure' END"
+
+
+def _messages(spark, sf_dir):
+    return table(spark, sf_dir, "events").withColumn("msg", F.expr(_MESSAGE.format(text="STRING")))
 
 
 @registered(
     "redact_messages",
-    f"""WITH m AS (
-          SELECT event_id, {_MESSAGE.format(u="CAST(user_id AS VARCHAR)", e="CAST(event_id AS VARCHAR)")} AS msg
-          FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'hunter22' ELSE '' END AS secret FROM events))
+    f"""WITH m AS (SELECT event_id, {_MESSAGE.format(text="VARCHAR")} AS msg FROM events)
         SELECT event_id,
           regexp_replace(regexp_replace(replace(msg, 'hunter22', '***REDACTED_API_KEY***'),
             '(?i)(apikey=)[^&\\s]+', '\\1***REDACTED_API_KEY***', 'g'),
             '(?i)(API key as )([A-Z0-9_-]+)', '\\1***REDACTED_API_KEY***', 'g') AS source_message,
-          regexp_replace(replace(msg, 'hunter22', '***REDACTED***'),
-            '(?i)((?:api[_-]?key|token|password)=)[^&\\s]+', '\\1***REDACTED***', 'g') AS job_message,
-          CASE WHEN contains(replace(lower(msg), '-', ' '), 'rate limit') THEN 'rate_limit' ELSE 'task_failure' END
-            AS reason
+          {_REDACTED} AS job_message, {_REASON} AS reason
         FROM m""",
 )
 def redact_messages(spark, sf_dir):
-    user, event = (F.col(c).cast("string") for c in ("user_id", "event_id"))
-    secret = F.when(F.col("event_id") % 2 == 0, "hunter22").otherwise("")
-    limited = F.when(F.col("event_type") == "error", " Rate-Limit reached").otherwise("")
-    parts = (F.lit("GET /query?symbol=S"), user, F.lit("&ApiKey=k"), event, F.lit(" token=t"), user)
-    tail = (F.lit(" your API key as Z"), event, limited, F.lit(" password=p "), secret)
-    rows = table(spark, sf_dir, "events").select("event_id", F.concat(*parts, *tail).alias("msg"))
     msg = F.col("msg")
-    return rows.select(
+    return _messages(spark, sf_dir).select(
         "event_id",
         redact_api_keys(msg, ["hunter22"]).alias("source_message"),
         redact_secrets(msg, ["hunter22"]).alias("job_message"),
         failure_reason(msg).alias("reason"),
     )
+
+
+@registered(
+    "failure_alerts",
+    f"""WITH m AS (SELECT *, {_MESSAGE.format(text="VARCHAR")} AS msg FROM events WHERE event_type = 'error')
+        SELECT 'job_failure' AS event, concat('job', CAST(user_id % 3 AS VARCHAR)) AS job,
+          CAST(event_id AS VARCHAR) AS task, concat('run', CAST(user_id AS VARCHAR)) AS run_id,
+          strftime(ts, '%Y-%m-%d') AS logical_date, {_REASON} AS reason, left({_REDACTED}, 1000) AS error
+        FROM m""",
+)
+def failure_alerts_query(spark, sf_dir):
+    failed = (
+        _messages(spark, sf_dir)
+        .where(F.col("event_type") == "error")
+        .select(
+            F.concat(F.lit("job"), F.col("user_id") % 3).alias("job"),
+            F.col("event_id").cast("string").alias("task"),
+            F.concat(F.lit("run"), F.col("user_id")).alias("run_id"),
+            F.date_format("ts", "yyyy-MM-dd").alias("logical_date"),
+            F.col("msg").alias("message"),
+        )
+    )
+    return failure_alerts(failed, ["hunter22"])

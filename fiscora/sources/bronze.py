@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from fiscora.catalog import ENDPOINTS
 
 PARTITIONS = ("year", "month", "day")
+BATCH = "batch"
 STAGING_SCHEMA = T.StructType(
     [
         T.StructField("raw_data", T.StringType()),
@@ -38,18 +39,19 @@ def quarantine_path(root: str, endpoint: str) -> str:
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """``raw_data, year, month, day``; a filter on the last three prunes folders.
 
-    A folder in which no document was ever stored gives an empty frame.
+    Bronze written by ``ingest`` also has ``batch``, which orders deliveries of one
+    day. A folder in which no document was ever stored gives an empty frame.
     """
     lines = spark.read.option("basePath", path).text(path)
     return staging(lines) if set(PARTITIONS) <= set(lines.columns) else empty_staging(spark)
 
 
 def staging(bronze: DataFrame) -> DataFrame:
-    """The four staging columns, nothing parsed, duplicates kept."""
+    """The staging columns, nothing parsed, duplicates kept."""
     raw = "raw_data" if "raw_data" in bronze.columns else "value"
+    numbers = [c for c in (*PARTITIONS, BATCH) if c in bronze.columns]
     return bronze.select(
-        F.col(raw).cast("string").alias("raw_data"),
-        *(F.col(p).cast("bigint").alias(p) for p in PARTITIONS),
+        F.col(raw).cast("string").alias("raw_data"), *(F.col(c).cast("bigint").alias(c) for c in numbers)
     )
 
 

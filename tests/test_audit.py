@@ -122,3 +122,21 @@ def test_plan_above_the_limit_is_flagged(spark):
         batching.with_batches(keys, 6, "ordinal"), spark.createDataFrame([(date(2026, 9, 7),)], "run_date date"), 5, 25
     )
     assert rows(plan, "planned_requests", "within_limit") == [(30, False)]
+
+
+def test_failure_alerts_hide_secrets(spark):
+    long = "x" * 2000
+    failures = spark.createDataFrame(
+        [
+            ("r", "j", "t", "d", "request failed?apikey=secret-api-key rate-limit"),
+            ("r", "j", "t", "d", None),
+            ("r", "j", "t", "d", f"{long} token=abc"),
+        ],
+        "run_id string, job string, task string, logical_date string, message string",
+    )
+    found = rows(audit.failure_alerts(failures, ["secret-api-key"]), "reason", "error")
+    assert found == [
+        ("rate_limit", "request failed?apikey=***REDACTED*** rate-limit"),
+        ("task_failure", "unknown error"),
+        ("task_failure", "x" * 1000),
+    ]

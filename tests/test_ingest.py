@@ -209,3 +209,16 @@ def test_snapshots_compare_keys(spark):
         "keys_added": 1,
         "keys_lost": 1,
     }
+
+
+def test_later_delivery_of_a_day_wins(spark, tmp_path):
+    """Two batches on one day: Silver shows the second, whatever the contents hash to."""
+    for i in range(4):
+        paths = LakePaths.under(str(tmp_path / str(i)))
+        older = statement("A", [report("2024-12-31", totalRevenue=str(i))])
+        newer = statement("A", [report("2025-12-31"), report("2024-12-31", totalRevenue=str(100 + i))])
+        for document in (older, newer):
+            ingest(spark, payloads(spark, (7, document)), INCOME, paths, "r")
+        stored = bronze.read_bronze(spark, bronze.endpoint_path(paths.bronze, INCOME.name))
+        found = silver.income_statement(stored).where("fiscaldateending = '2024-12-31'")
+        assert rows(found, "total_revenue") == [(100 + i,)]
