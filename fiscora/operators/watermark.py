@@ -57,6 +57,13 @@ def daily_marks(payloads: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
+def _scattered_key() -> Column:
+    """Join key of a document. One without a date has no mark to meet: keyed by its own
+    content, such documents spread over all tasks instead of meeting in one as NULLs."""
+    lone = F.concat(F.lit("\u0000"), F.col("payload_hash").cast("string"))
+    return F.when(_is_dated(), F.coalesce(upper_key(F.col("symbol")), lone)).otherwise(lone)
+
+
 def mark_new(payloads: DataFrame, state: DataFrame) -> DataFrame:
     """Add ``is_new``: does the document carry a period beyond its company's mark?
 
@@ -68,7 +75,7 @@ def mark_new(payloads: DataFrame, state: DataFrame) -> DataFrame:
     is_best = F.struct("fiscal_date", "payload_hash") == F.col("best")
     verdict = F.when(~_is_dated(), True).otherwise(F.coalesce(F.col("beyond") & is_best, F.lit(False)))
     return (
-        _with_key(payloads)
+        payloads.withColumn("watermark_key", _scattered_key())
         .join(daily_marks(payloads, state), list(DAY), "left")
         .withColumn("is_new", verdict)
         .select(*payloads.columns, "is_new")

@@ -12,7 +12,7 @@ from fiscora.functions import redact_api_keys
 from fiscora.operators import contract, watermark
 from fiscora.operators.contract import ACCEPTED, NO_CHANGE, QUARANTINE
 from fiscora.sources.audit_log import TICKER_EVENT, write_log
-from fiscora.sources.bronze import BATCH, endpoint_path, quarantine_path, write_bronze
+from fiscora.sources.bronze import BATCH, endpoint_path, write_bronze, write_quarantine
 from fiscora.sources.state import read_state, write_state
 from fiscora.sources.versions import next_version
 
@@ -115,12 +115,10 @@ def ingest(
     state = read_state(spark, state_dir, before=number)
     routed = contract.route(payloads, endpoint, probe_rule).withColumn(BATCH, F.lit(number)).persist()
     decided = settle(routed, state)
-    stores = (
-        (accepted_documents(decided, endpoint), endpoint_path(paths.bronze, endpoint.name)),
-        (routed.where(F.col("route") == QUARANTINE), quarantine_path(paths.bronze, endpoint.name)),
-    )
-    for documents, path in stores:
-        write_bronze(documents, path, mode="overwrite", extra_partitions=(BATCH,))
+    layout = {"mode": "overwrite", "extra_partitions": (BATCH,)}
+    bronze_dir = endpoint_path(paths.bronze, endpoint.name)
+    write_bronze(accepted_documents(decided, endpoint), bronze_dir, **layout)
+    write_quarantine(routed.where(F.col("route") == QUARANTINE), paths.bronze, endpoint.name, **layout)
 
     decisions_dir = f"{paths.decisions}/{endpoint.name}/batch={number}"
     decided.drop("raw_data", BATCH).write.mode("overwrite").parquet(decisions_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -239,7 +240,8 @@ def decided_routes(spark, sf_dir):
 )
 def stream_ingest(spark, sf_dir):
     """Landing files through the streaming job, twice: the second start finds nothing new."""
-    root = scratch(spark, sf_dir, "stream")
+    # a stream remembers its files: every call starts a stream of its own
+    root = scratch(spark, sf_dir, "stream", uuid4().hex)
     paths = LakePaths.under(f"{root}/lake")
     write_bronze(landing(spark, sf_dir, INCOME, faults=True), f"{root}/landing", mode="overwrite")
     for _ in range(2):

@@ -107,6 +107,7 @@ def write_bronze(
     writer.text(path)
 
 
-def write_quarantine(payloads: DataFrame, root: str, endpoint: str, *, mode: str = "append") -> None:
-    """Original documents with unknown fields, in the same layout under their own prefix."""
-    write_bronze(payloads, quarantine_path(root, endpoint), mode=mode)
+def write_quarantine(payloads: DataFrame, root: str, endpoint: str, **options) -> None:
+    """Original documents with unknown fields, in the same layout under their own prefix.
+    Options are those of ``write_bronze``."""
+    write_bronze(payloads, quarantine_path(root, endpoint), **options)

@@ -1,3 +1,4 @@
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -99,6 +100,7 @@ def test_command_line(spark, tmp_path):
     command = [sys.executable, "-m", "fiscora", "--landing", str(tmp_path / "landing")]
     command += ["--lake", str(tmp_path / "lake"), "--run-id", "cli"]
     repo = Path(__file__).resolve().parents[1]
-    done = subprocess.run(command, cwd=repo, capture_output=True, text=True, timeout=300, check=False)
+    quiet = {**os.environ, "PYSPARK_SUBMIT_ARGS": "--conf spark.ui.enabled=false --master local[2] pyspark-shell"}
+    done = subprocess.run(command, cwd=repo, env=quiet, capture_output=True, text=True, timeout=300, check=False)
     assert done.returncode == 0, done.stderr[-2000:]
     assert done.stdout.count("SUCCESS") == 5
