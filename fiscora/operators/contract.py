@@ -260,11 +260,11 @@ def route(payloads: DataFrame, endpoint: Endpoint, probe_rule: str = "first") ->
     A ``symbol`` already present is the company asked for and is kept: an error
     envelope names none.
     """
-    parsed = payloads.withColumns(
-        {
-            "_keys": F.json_object_keys("raw_data"),
-            "_doc": F.from_json("raw_data", contract_schema(endpoint)),
-        }
+    # exploded, so that a later filter on the route cannot make Catalyst parse twice
+    parsed = payloads.select(
+        "*",
+        F.json_object_keys("raw_data").alias("_keys"),
+        F.explode(F.array(F.from_json("raw_data", contract_schema(endpoint)))).alias("_doc"),
     )
     doc, keys = F.col("_doc"), F.col("_keys")
     is_data = F.col("payload_class") == DATA

@@ -10,6 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from fiscora.catalog import Endpoint
 from fiscora.functions import ingest_date
 from fiscora.plans.ingest import LakePaths, ingest
+from fiscora.sources.paths import exists
+from fiscora.sources.versions import versions
 
 LANDING_SCHEMA = T.StructType(
     [
@@ -46,7 +48,12 @@ def start_ingest(
 
     Each micro-batch writes under its own number and reads the state of the batch
     before it, so a batch that Spark replays after a failure gives the same result.
+    The numbers are the stream's own: an endpoint is fed by one stream or by batches,
+    and a new stream refuses one that already has state.
     """
+    fresh = not exists(spark, f"{checkpoint}/offsets")
+    if fresh and versions(spark, paths.state_of(endpoint)):
+        raise ValueError(f"{endpoint.name} under {paths.state} is already fed by batches or another stream")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         ingest(spark, batch, endpoint, paths, run_id=f"stream-{batch_id}", batch=batch_id)

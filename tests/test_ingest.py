@@ -195,6 +195,8 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert run() == 3  # only B has a newer period
     marks = rows(state.read_state(spark, paths.state_of(INCOME)), "symbol", "fiscal_date")
     assert marks == [("A", "2024-12-31"), ("B", "2025-12-31")]
+    with pytest.raises(ValueError, match="already fed"):
+        start_ingest(spark, landing, INCOME, paths, str(tmp_path / "another checkpoint"))
 
 
 def test_snapshots_compare_keys(spark):
