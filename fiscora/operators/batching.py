@@ -10,7 +10,7 @@ from fiscora.session import ensure_checkpoint_dir
 
 
 def with_ordinal(keys: DataFrame, order: str, name: str = "ordinal") -> DataFrame:
-    """Number keys 1..n by ``order`` without gathering them in one task.
+    """Number keys 1..n by ``order``, one row per key, without gathering them in one task.
 
     Keys are range-partitioned and sorted; each partition numbers its own rows and
     adds the count of the partitions before it. The partition number is fixed by a
@@ -48,19 +48,28 @@ def batch_for_index(day_index: Column, n_batches: Column) -> Column:
     return F.pmod(day_index, n_batches)
 
 
+def batch_of_day(batches: DataFrame, days: DataFrame) -> DataFrame:
+    """``run_date, day_index, batch_id``: the weekday of a business date picks the batch."""
+    n_batches = batches.agg(F.max("batch_id") + 1).scalar()
+    return days.select("run_date", weekday(F.col("run_date")).alias("day_index")).withColumn(
+        "batch_id", batch_for_index(F.col("day_index"), n_batches)
+    )
+
+
+def keys_of_day(batches: DataFrame, days: DataFrame) -> DataFrame:
+    """The keys served on each business date. The same date always gives the same keys."""
+    return batch_of_day(batches, days).join(batches, "batch_id")
+
+
 def daily_plan(batches: DataFrame, days: DataFrame, endpoints: int, daily_limit: int) -> DataFrame:
-    """Planned work per business day: ``run_date, day_index, batch_id, keys, planned_requests, within_limit``.
+    """Planned work per business date: ``run_date, day_index, batch_id, keys, planned_requests, within_limit``.
 
-    ``days`` holds ``run_date``; its weekday picks the batch. Batches are counted
-    first, so the join has one row per batch on one side and one per day on the other.
+    Batches are counted first, so the join has one row per batch on one side and one
+    per day on the other.
     """
     per_batch = batches.groupBy("batch_id").agg(F.count(F.lit(1)).alias("keys"))
-    n_batches = batches.agg(F.max("batch_id") + 1).scalar()
-    planned = days.select("run_date", weekday(F.col("run_date")).alias("day_index")).withColumn(
-        "batch_id", batch_for_index(F.col("day_index"), n_batches)
-    )
     requests = F.col("keys") * endpoints
-    return planned.join(per_batch, "batch_id").select(
+    return batch_of_day(batches, days).join(per_batch, "batch_id").select(
         "run_date",
         "day_index",
         "batch_id",
@@ -70,6 +79,13 @@ def daily_plan(batches: DataFrame, days: DataFrame, endpoints: int, daily_limit:
     )
 
 
+def require_within_limit(plan: DataFrame) -> None:
+    """Raise if any planned day needs more source calls than it may make."""
+    worst = plan.where(~F.col("within_limit")).orderBy(F.col("planned_requests").desc(), "run_date").first()
+    if worst is not None:
+        raise ValueError(f"{worst['run_date']} needs {worst['planned_requests']} requests, above the daily limit")
+
+
 def coverage(batches: DataFrame, key: str) -> DataFrame:
     """How often the keys of one full cycle are served: every key should be served once."""
     per_key = batches.groupBy(key).agg(F.count(F.lit(1)).alias("times"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscora.catalog import GOLD_SCHEMA, GRAIN
+from fiscora.catalog import BALANCE, CASH_FLOW, EARNINGS, GOLD_SCHEMA, GRAIN, INCOME, OVERVIEW
 from fiscora.functions import exact_ratio, growth
 from fiscora.operators.latest import prior_year_value
 from fiscora.plans import silver
@@ -55,6 +55,18 @@ class SilverFrames:
     earnings: DataFrame
     overview: DataFrame
 
+    def by_endpoint(self) -> dict[str, DataFrame]:
+        frames = (self.income, self.balance, self.cash_flow, self.earnings, self.overview)
+        return dict(zip((e.name for e in (INCOME, BALANCE, CASH_FLOW, EARNINGS, OVERVIEW)), frames, strict=True))
+
+    def persist(self) -> SilverFrames:
+        """Keep the narrow, deduplicated rows for more than one reader."""
+        return replace(self, **{f.name: getattr(self, f.name).persist() for f in fields(self)})
+
+    def unpersist(self) -> None:
+        for f in fields(self):
+            getattr(self, f.name).unpersist()
+
 
 def silver_for_gold(staging: dict[str, DataFrame]) -> SilverFrames:
     """Silver narrowed to the mart's columns, which also narrows what is parsed."""

@@ -56,7 +56,8 @@ _OUTCOMES = f"""processed AS (
     endpoint IN ('income_statement', 'balance_sheet') AND k % 20 IN (5, 6) AS stopped
   FROM documents WHERE ingest_date = DATE '2026-09-07' AND NOT (endpoint = 'cash_flow' AND k % 20 = 12)),
 planned AS (
-  SELECT s_suppkey AS k, unnest(['overview', 'income_statement', 'balance_sheet', 'cash_flow', 'earnings']) AS endpoint
+  SELECT s_suppkey AS k,
+    unnest(['overview', 'income_statement', 'balance_sheet', 'cash_flow', 'earnings']) AS endpoint
   FROM supplier),
 outcomes AS (
   SELECT p.endpoint, p.k, coalesce(r.route IN ('accepted', 'no_change'), FALSE) AS completed,
@@ -178,21 +179,38 @@ def _supplier_batches(spark, sf_dir) -> DataFrame:
     return batching.with_batches(keys, BATCH_SIZE, "ordinal")
 
 
+_DAYS = """days AS (
+  SELECT DISTINCT CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Sao_Paulo' AS DATE) AS run_date FROM events)"""
+_BATCH_OF_DAY = "(isodow(run_date) - 1) % (SELECT max(batch_id) + 1 FROM batches)"
+
+
+def _business_days(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").select(business_date(F.col("ts")).alias("run_date")).distinct()
+
+
 @registered(
     "business_batches",
-    f"""WITH {_SUPPLIER_BATCHES},
-        days AS (SELECT DISTINCT CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Sao_Paulo' AS DATE) AS run_date
-                 FROM events)
+    f"""WITH {_SUPPLIER_BATCHES}, {_DAYS}
         SELECT run_date, CAST(isodow(run_date) - 1 AS INTEGER) AS day_index, batch_id, keys,
           keys * {CALLS_PER_KEY} AS planned_requests, keys * {CALLS_PER_KEY} <= {DAILY_LIMIT} AS within_limit
         FROM days JOIN (SELECT batch_id, count(*) AS keys FROM batches GROUP BY batch_id) b
-          ON b.batch_id = (isodow(run_date) - 1) % (SELECT max(batch_id) + 1 FROM batches)""",
+          ON b.batch_id = {_BATCH_OF_DAY}""",
 )
 def business_batches(spark, sf_dir):
-    days = table(spark, sf_dir, "events").select(business_date(F.col("ts")).alias("run_date")).distinct()
+    days = _business_days(spark, sf_dir)
     return batching.daily_plan(_supplier_batches(spark, sf_dir), days, CALLS_PER_KEY, DAILY_LIMIT)
 
 
+@registered(
+    "business_batch_keys",
+    f"""WITH {_SUPPLIER_BATCHES}, {_DAYS}
+        SELECT run_date, batch_id, s_suppkey FROM days JOIN batches ON batch_id = {_BATCH_OF_DAY}""",
+)
+def business_batch_keys(spark, sf_dir):
+    keys = batching.keys_of_day(_supplier_batches(spark, sf_dir), _business_days(spark, sf_dir))
+    return keys.select("run_date", "batch_id", "s_suppkey")
+
+
 @registered(
     "cycle_coverage",
     "SELECT count(*) AS n_keys, CAST(0 AS BIGINT) AS n_not_once, count(*) AS n_served FROM supplier",

@@ -8,6 +8,7 @@ from fiscora.sources import audit_log
 from helpers import rows
 
 PLANNED = "run_id string, endpoint string, symbol string"
+ATTEMPTS = "run_id string, endpoint string, attempt int, status string"
 PROCESSED = PLANNED + ", route string, payload_class string"
 
 
@@ -44,7 +45,7 @@ def test_pending_keys(spark):
 
 def test_attempt_metrics(spark):
     data = [(1, "success"), (1, "rate_limit_daily"), (2, "rate_limit_transient"), (3, "failed"), (1, "other")]
-    attempts = spark.createDataFrame([("r", "e", a, s) for a, s in data], "run_id string, endpoint string, attempt int, status string")
+    attempts = spark.createDataFrame([("r", "e", a, s) for a, s in data], ATTEMPTS)
     assert rows(audit.attempt_metrics(attempts), *audit.REQUEST_COUNTERS) == [(5, 1, 2, 2, 2)]
 
 
@@ -61,7 +62,7 @@ def test_run_summary(spark, statuses, expected):
         [("r", f"e{i}", s, 5, 1) for i, s in enumerate(statuses)],
         "run_id string, endpoint string, status string, planned_requests bigint, watermark_skips bigint",
     )
-    attempts = spark.createDataFrame([("r", "e0", 1, "success")], "run_id string, endpoint string, attempt int, status string")
+    attempts = spark.createDataFrame([("r", "e0", 1, "success")], ATTEMPTS)
     found = audit.run_summary(summaries, audit.attempt_metrics(attempts)).first()
     assert (found["status"], found["planned_requests"], found["watermark_skips"]) == (expected, 10, 2)
     assert found["actual_requests"] == 1
@@ -122,6 +123,17 @@ def test_plan_above_the_limit_is_flagged(spark):
         batching.with_batches(keys, 6, "ordinal"), spark.createDataFrame([(date(2026, 9, 7),)], "run_date date"), 5, 25
     )
     assert rows(plan, "planned_requests", "within_limit") == [(30, False)]
+    with pytest.raises(ValueError, match="above the daily limit"):
+        batching.require_within_limit(plan)
+
+
+def test_keys_of_a_date_do_not_change(spark):
+    keys = spark.range(35).select(F.col("id").alias("k"), (F.col("id") + 1).alias("ordinal"))
+    batches = batching.with_batches(keys, 5, "ordinal")
+    sunday = spark.createDataFrame([(date(2026, 9, 6),)], "run_date date")
+    batching.require_within_limit(batching.daily_plan(batches, sunday, 5, 25))
+    for again in (batches, batches.repartition(7)):
+        assert rows(batching.keys_of_day(again, sunday), "k") == [(30,), (31,), (32,), (33,), (34,)]
 
 
 def test_failure_alerts_hide_secrets(spark):

@@ -8,7 +8,13 @@ from fiscora.sources.bronze import empty_staging
 
 @pytest.mark.parametrize(
     ("endpoint", "columns", "fields"),
-    [("overview", 59, 54), ("income_statement", 34, 24), ("balance_sheet", 47, 36), ("cash_flow", 38, 28), ("earnings", 14, 4)],
+    [
+        ("overview", 59, 54),
+        ("income_statement", 34, 24),
+        ("balance_sheet", 47, 36),
+        ("cash_flow", 38, 28),
+        ("earnings", 14, 4),
+    ],
 )
 def test_catalogue_sizes(endpoint, columns, fields):
     spec = ENDPOINTS[endpoint]

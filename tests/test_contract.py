@@ -7,6 +7,7 @@ from fiscora.catalog import BALANCE, CASH_FLOW, EARNINGS, ENDPOINTS, INCOME, OVE
 from fiscora.operators import contract
 from helpers import EARNINGS_ARRAYS, payloads, report, statement
 
+NO_ANNUAL = "annualReports: missing or not a list of reports"
 MINIMAL = {
     "overview": {"Symbol": "AAPL", "AssetType": "Common Stock", "MarketCapitalization": 3000, "PERatio": 30.5},
     "income_statement": statement("AAPL", [report("2023-09-30", totalRevenue=200)]),
@@ -73,8 +74,8 @@ def test_payload_classes(spark, raw, kind):
         ({"annualReports": [], "quarterlyReports": []}, "symbol: missing or not a string"),
         (statement(5), "symbol: missing or not a string"),
         ({"symbol": "A", "annualReports": []}, "quarterlyReports: missing or not a list of reports"),
-        ({"symbol": "A", "annualReports": None, "quarterlyReports": []}, "annualReports: missing or not a list of reports"),
-        ({"symbol": "A", "annualReports": {}, "quarterlyReports": []}, "annualReports: missing or not a list of reports"),
+        ({"symbol": "A", "annualReports": None, "quarterlyReports": []}, NO_ANNUAL),
+        ({"symbol": "A", "annualReports": {}, "quarterlyReports": []}, NO_ANNUAL),
         (statement("A", [{"reportedCurrency": "USD"}]), "annualReports.fiscalDateEnding: not a date"),
         (statement("A", [report("2023-02-30")]), "annualReports.fiscalDateEnding: not a date"),
         (statement("A", [report("2023-9-30")]), "annualReports.fiscalDateEnding: not a date"),
@@ -150,7 +151,7 @@ def test_earnings_contract_by_frequency(spark, annual, quarterly, ok):
             "2024-03-31",
         ),
         (EARNINGS, statement("A", [report("2023-12-31")], arrays=EARNINGS_ARRAYS), "2023-12-31", "2023-12-31"),
-        (OVERVIEW, {"Symbol": "A", "LatestQuarter": "2026-06-30", "FiscalYearEnd": "December"}, "2026-06-30", "2026-06-30"),
+        (OVERVIEW, {"Symbol": "A", "LatestQuarter": "2026-06-30", "FiscalYearEnd": "May"}, "2026-06-30", "2026-06-30"),
         (OVERVIEW, {"Symbol": "A", "LatestQuarter": "", "FiscalYearEnd": "December"}, "December", "December"),
         (OVERVIEW, {"Symbol": "A"}, None, None),
     ],

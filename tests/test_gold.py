@@ -129,7 +129,9 @@ def test_empty_income_gives_no_rows(spark):
 def test_write_and_read_back(spark, tmp_path):
     frame = build(
         spark,
-        income=[income(s, d, k, 1000, 100, 200) for s in ("B", "A") for d in (D24, D25, None) for k in ("annual", "quarterly")],
+        income=[
+            income(s, d, k, 1000, 100, 200) for s in "BA" for d in (D24, D25, None) for k in ("annual", "quarterly")
+        ],
         overview=FULL["overview"],
     )
     path = str(tmp_path / "gold")
