@@ -234,14 +234,10 @@ def payload_row_count(raw: Column) -> Column:
     lengths = F.array_compact(
         F.transform(fields, lambda v: F.size(F.try_variant_get(v, "$", "array<variant>")))
     )
-    total = F.aggregate(lengths, F.lit(0), lambda acc, n: acc + n)
-    return (
-        F.when(F.json_array_length(raw).isNotNull(), F.json_array_length(raw))
-        .when(F.size(lengths) > 0, total)
-        .when(F.json_object_keys(raw).isNotNull(), 1)
-        .otherwise(0)
-        .cast("bigint")
-    )
+    # stays NULL when there is no list, so that the document is parsed for one use only
+    total = F.aggregate(lengths, F.lit(None).cast("int"), lambda sum_, n: F.coalesce(sum_, F.lit(0)) + n)
+    flat = F.when(F.json_object_keys(raw).isNotNull(), 1)
+    return F.coalesce(F.json_array_length(raw), total, flat, F.lit(0)).cast("bigint")
 
 
 def _known_records(doc: Column, endpoint: Endpoint) -> Column:

@@ -1,4 +1,7 @@
 import json
+import random
+import re
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,3 +210,99 @@ def test_extraction_date_is_added(spark):
     frame = payloads(spark, (8, '{"symbol":"A","x":{"y":1}} \n'))
     raw = frame.select(contract.stamp_extraction_date(F.col("raw_data"), F.col("ingest_date"))).first()[0]
     assert json.loads(raw) == {"symbol": "A", "x": {"y": 1}, "extraction_date": "2026-09-08"}
+
+
+def expected_route(endpoint, document):
+    """The contract, document by document, in plain Python."""
+
+    def is_number(value, whole):
+        if value is None or value in ("None", "-", "", "N/A"):
+            return True
+        if isinstance(value, bool) or not isinstance(value, (int, float, str)):
+            return False
+        shape = r"\s*[+-]?\d+(\.0*)?\s*" if whole else r"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*"
+        return re.fullmatch(shape, str(value)) is not None
+
+    def is_day(value):
+        try:
+            return isinstance(value, str) and date.fromisoformat(value).isoformat() == value
+        except ValueError:
+            return False
+
+    def numbers_hold(owner, names):
+        return all(is_number(owner.get(f.source), "long" in f.dtype.typeName()) for f in names if not f.is_text)
+
+    valid = isinstance(document.get(endpoint.key), str)
+    if endpoint.is_flat:
+        texts = [f.source for f in endpoint.fields if f.is_text]
+        valid &= all(document.get(t) is None or isinstance(document[t], str) for t in texts)
+        valid &= numbers_hold(document, endpoint.fields)
+    for array in endpoint.arrays:
+        reports = document.get(array)
+        if not isinstance(reports, list):
+            valid = False
+            continue
+        for item in reports:
+            valid &= is_day(item.get("fiscalDateEnding"))
+            if endpoint.currency_required:
+                valid &= isinstance(item.get("reportedCurrency"), str)
+            names = endpoint.fields
+            if array == endpoint.annual:
+                names = [f for f in names if f.source not in endpoint.quarterly_only]
+            elif endpoint.quarterly_only:
+                valid &= item.get("reportedDate") is None or is_day(item["reportedDate"])
+                valid &= item.get("reportTime") is None or isinstance(item["reportTime"], str)
+            valid &= numbers_hold(item, names)
+    if not valid:
+        return "rejected"
+    return "quarantine" if set(document) - set(endpoint.envelope) else "accepted"
+
+
+ODD_VALUES = ["12", 12, -3, "1.5", 1.5, "12.0", 3.0, "None", "-", "", "N/A", None, "abc", True, [], {}, "1e3", " 4 ", "--1"]
+ODD_DAYS = ["2025-12-31", "2025-02-30", "2025-1-5", None, 20251231, "", "2024-02-29"]
+
+
+@pytest.mark.parametrize("name", list(ENDPOINTS))
+def test_random_documents_against_plain_python(spark, name):
+    endpoint, rng = ENDPOINTS[name], random.Random(name)
+
+    def scalar(field, odd):
+        if rng.random() > odd:
+            return "text" if field.is_text else rng.choice(["7", 7, "None"])
+        return rng.choice(ODD_VALUES)
+
+    def one(odd):
+        fields = {f.source: scalar(f, odd) for f in endpoint.fields if rng.random() < 0.4}
+        if endpoint.is_flat:
+            document = {endpoint.key: "A", **fields}
+        else:
+            document = {endpoint.key: "A"}
+            for array in endpoint.arrays:
+                document[array] = [
+                    {
+                        "fiscalDateEnding": rng.choice(ODD_DAYS) if rng.random() < odd else "2025-12-31",
+                        "reportedCurrency": rng.choice(["USD", None, 5]) if rng.random() < odd else "USD",
+                        **({"reportedDate": rng.choice(ODD_DAYS)} if rng.random() < odd else {}),
+                        **{f.source: scalar(f, odd) for f in endpoint.fields if rng.random() < 0.3},
+                    }
+                    for _ in range(rng.randrange(3))
+                ]
+                if rng.random() < odd:
+                    document[array] = rng.choice([None, {}, "x"])
+        if rng.random() < odd:
+            document[endpoint.key] = rng.choice([None, 5, {}])
+        if rng.random() < 0.2:
+            document["somethingNew"] = rng.choice([1, "x", []])
+        return document
+
+    documents = [one(rng.choice([0, 0, 0.02, 0.1])) for _ in range(300)]
+    expected = [expected_route(endpoint, d) for d in documents]
+    assert len(set(expected)) == 3
+    numbered = spark.createDataFrame(
+        [(i, json.dumps(d), date(2026, 9, 8)) for i, d in enumerate(documents)],
+        "i int, raw_data string, ingest_date date",
+    )
+    routed = {r["i"]: r for r in contract.route(numbered, endpoint).select("i", "route", "violations").collect()}
+    for i, route in enumerate(expected):
+        assert routed[i]["route"] == route, (documents[i], routed[i])
+        assert bool(routed[i]["violations"]) == (route == "rejected")
