@@ -11,7 +11,6 @@ from fiscora.catalog import ANNUAL, QUARTERLY
 
 # How many rows back the same period of the prior year lies.
 ROWS_PER_YEAR = {QUARTERLY: 4, ANNUAL: 1}
-INGEST_ORDER = ("ingest_date", "partition_day", "partition_month")
 
 
 def keep_latest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -28,11 +27,11 @@ def keep_latest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 def latest_ingest(rows: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
     """The most recently ingested row per key.
 
-    Day and month follow from the date, so copies within one day stay tied;
-    ``tiebreak`` columns then decide, the same way on every run.
+    The date alone orders ingestions: its day and month add nothing, and would have to
+    be shuffled. Copies of one day stay tied; ``tiebreak`` columns then decide, the
+    same way on every run.
     """
-    order = [F.col(c).desc() for c in INGEST_ORDER if c in rows.columns]
-    return keep_latest(rows, keys, [*order, *(F.col(c).asc() for c in tiebreak)])
+    return keep_latest(rows, keys, [F.col("ingest_date").desc(), *(F.col(c).asc() for c in tiebreak)])
 
 
 def prior_year_value(value: str | Column, report_type: str = "report_type") -> Column:

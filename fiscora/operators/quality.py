@@ -44,7 +44,7 @@ SILVER_TESTS = {
     name: ModelTests(not_null=("symbol",), unique=("symbol",)) if e.is_flat else _PERIOD_TESTS
     for name, e in ENDPOINTS.items()
 }
-GOLD_TESTS = {"fct_fundamental_kpis": _PERIOD_TESTS}
+GOLD_TESTS = {"fundamental_kpis": _PERIOD_TESTS}
 
 
 def not_null_failures(rows: DataFrame, column: str) -> DataFrame:

@@ -114,15 +114,16 @@ def ingest(
     number = next_version(spark, state_dir) if batch is None else batch
     state = read_state(spark, state_dir, before=number)
     routed = contract.route(payloads, endpoint, probe_rule).withColumn(BATCH, F.lit(number)).persist()
-    decided = settle(routed, state)
     layout = {"mode": "overwrite", "extra_partitions": (BATCH,)}
     bronze_dir = endpoint_path(paths.bronze, endpoint.name)
-    write_bronze(accepted_documents(decided, endpoint), bronze_dir, **layout)
-    write_quarantine(routed.where(F.col("route") == QUARANTINE), paths.bronze, endpoint.name, **layout)
-
     decisions_dir = f"{paths.decisions}/{endpoint.name}/batch={number}"
-    decided.drop("raw_data", BATCH).write.mode("overwrite").parquet(decisions_dir)
-    routed.unpersist()
+    try:
+        decided = settle(routed, state)
+        write_bronze(accepted_documents(decided, endpoint), bronze_dir, **layout)
+        write_quarantine(routed.where(F.col("route") == QUARANTINE), paths.bronze, endpoint.name, **layout)
+        decided.drop("raw_data", BATCH).write.mode("overwrite").parquet(decisions_dir)
+    finally:
+        routed.unpersist()
     decisions = spark.read.parquet(decisions_dir)
     events = ticker_events(decisions, run_id, paths.bronze)
     write_log(events, f"{paths.audit}/{endpoint.name}/batch={number}", mode="overwrite")

@@ -20,7 +20,7 @@ from fiscora.sources.paths import exists
 
 # Jobs run side by side, and the name of the mart in test reports.
 CONCURRENT_ENDPOINTS = 4
-GOLD_MODEL = "fct_fundamental_kpis"
+GOLD_MODEL = "fundamental_kpis"
 
 
 class BatchError(RuntimeError):
@@ -99,10 +99,12 @@ def run(
 
     # kept between the gate and the mart, so that Bronze is parsed once for both
     frames = silver_for_gold(bronze_staging(spark, paths)).persist()
-    silver_tests = silver_report(frames.by_endpoint())
-    quality.require(silver_tests, "silver")
-    write_gold(build_gold(frames), paths.gold)
-    frames.unpersist()
+    try:
+        silver_tests = silver_report(frames.by_endpoint())
+        quality.require(silver_tests, "silver")
+        write_gold(build_gold(frames), paths.gold)
+    finally:
+        frames.unpersist()
     gold = read_gold(spark, paths.gold)
     gold_tests = gold_report(gold)
     quality.require(gold_tests, "gold")

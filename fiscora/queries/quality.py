@@ -95,7 +95,7 @@ def _tests_sql(with_gold_model: bool) -> str:
         else:
             parts.append(_period_tests_sql(name, f"int_{name}"))
     if with_gold_model:
-        parts.append(_period_tests_sql("fct_fundamental_kpis", "gold"))
+        parts.append(_period_tests_sql("fundamental_kpis", "gold"))
     return " UNION ALL ".join(parts)
 
 
@@ -112,7 +112,7 @@ def _silver_models(spark, sf_dir) -> dict[str, DataFrame]:
 def quality_report(spark, sf_dir):
     models = _silver_models(spark, sf_dir)
     silver_report = quality.layer_report(models, quality.SILVER_TESTS)
-    kpis = {"fct_fundamental_kpis": read_gold(spark, stored_gold(spark, sf_dir))}
+    kpis = {"fundamental_kpis": read_gold(spark, stored_gold(spark, sf_dir))}
     return silver_report.unionByName(quality.layer_report(kpis, quality.GOLD_TESTS))
 
 
@@ -133,12 +133,12 @@ def quality_report_raw(spark, sf_dir):
               sum(failures) = 0 AS passed FROM ({_tests_sql(False)})
             UNION ALL
             SELECT 'gold', count(*), CAST(sum(failures) AS BIGINT), sum(failures) = 0
-            FROM ({_period_tests_sql("fct_fundamental_kpis", "gold")})"""
+            FROM ({_period_tests_sql("fundamental_kpis", "gold")})"""
     ),
 )
 def quality_gate(spark, sf_dir):
     silver_report = quality.layer_report(_silver_models(spark, sf_dir), quality.SILVER_TESTS)
-    kpis = {"fct_fundamental_kpis": read_gold(spark, stored_gold(spark, sf_dir))}
+    kpis = {"fundamental_kpis": read_gold(spark, stored_gold(spark, sf_dir))}
     gold_report = quality.layer_report(kpis, quality.GOLD_TESTS)
     return quality.gate(silver_report, "silver").unionByName(quality.gate(gold_report, "gold"))
 
