@@ -7,7 +7,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Read at plan time, so they also apply to a session made elsewhere if set there.
+# What the jobs count on; worth setting on any session (the first two are Spark's defaults).
 SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -146,6 +146,24 @@ def test_write_and_read_back(spark, tmp_path):
     assert one_day.count() == 4
 
 
+def test_a_hot_date_is_split_over_files(spark, tmp_path):
+    """Nearly all rows close on one day; no single task may have to write them all."""
+    day = F.when(F.col("id") % 100 == 0, F.lit(D24)).otherwise(F.lit(D25))
+    columns = {"symbol": F.concat(F.lit("S"), F.col("id").cast("string")), "fiscaldateending": day}
+    frame = spark.range(60000).select(
+        *(columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in GOLD_SCHEMA)
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "128KB")
+    try:
+        write_gold(frame, str(tmp_path))
+    finally:
+        spark.conf.set(key, before)
+    assert len(list((tmp_path / "version=0" / "fiscaldateending=2025-12-31").glob("*.parquet"))) > 3
+    assert read_gold(spark, str(tmp_path)).count() == 60000
+
+
 def test_recent_periods(spark):
     days = [date(2020 + i, 12, 31) for i in range(6)]
     frame = build(spark, income=[income("A", d, "annual", 1) for d in days] + [income("B", D25, "annual", 1)])
@@ -177,6 +195,8 @@ def test_mart_needs_one_shuffle_per_input_and_one_by_symbol(spark):
         ),
     )
     assert plan.count("Exchange hashpartitioning") == len(names) + 1
+    # every document is parsed once, though joins test its key for NULL
+    assert plan.count("from_json(") == len(names)
     # the group limit runs on both sides of every deduplication shuffle
     assert plan.count("row_number(), 1, Partial") == plan.count("row_number(), 1, Final") == len(names)
 
