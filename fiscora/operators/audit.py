@@ -67,9 +67,14 @@ def batch_outcomes(planned: DataFrame, processed: DataFrame) -> DataFrame:
 
 
 def pending_keys(planned: DataFrame, processed: DataFrame) -> DataFrame:
-    """Planned keys that were neither completed nor failed."""
+    """Planned keys that were neither completed nor failed.
+
+    Processed keys are made distinct before the join, which needs the same shuffle:
+    a company processed very often then weighs as much as any other.
+    """
+    keys = [*BATCH, "symbol"]
     done = processed.where(F.col("route").isin(ACCEPTED, NO_CHANGE, REJECTED, QUARANTINE))
-    return planned.join(done, [*BATCH, "symbol"], "left_anti")
+    return planned.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
 def batch_summary(outcomes: DataFrame, *, allow_partial: bool = True) -> DataFrame:

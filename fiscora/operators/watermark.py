@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fiscora.functions import upper_key
 
 KEY = ("endpoint", "watermark_key")
+DAY = (*KEY, "ingest_date")
 
 
 def _with_key(rows: DataFrame) -> DataFrame:
@@ -31,9 +32,6 @@ def _is_dated() -> Column:
     return F.coalesce(F.col("fiscal_date") != "", F.lit(False))
 
 
-DAY = (*KEY, "ingest_date")
-
-
 def daily_marks(payloads: DataFrame, state: DataFrame) -> DataFrame:
     """Per company and ingestion day: its best document, and whether that is news.
 
@@ -57,29 +55,25 @@ def daily_marks(payloads: DataFrame, state: DataFrame) -> DataFrame:
     )
 
 
-def _scattered_key() -> Column:
-    """Join key of a document. One without a date has no mark to meet: keyed by its own
-    content, such documents spread over all tasks instead of meeting in one as NULLs."""
-    lone = F.concat(F.lit("\u0000"), F.col("payload_hash").cast("string"))
-    return F.when(_is_dated(), F.coalesce(upper_key(F.col("symbol")), lone)).otherwise(lone)
-
-
 def mark_new(payloads: DataFrame, state: DataFrame) -> DataFrame:
     """Add ``is_new``: does the document carry a period beyond its company's mark?
 
     Input has ``endpoint, symbol, fiscal_date, ingest_date, payload_hash``. Days count
     in order, so an earlier day raises the mark for later ones; a company stores one
     document per day. Documents are joined once to the daily marks, and a company
-    with very many of them is split by the adaptive skew join.
+    with very many of them is split by the adaptive skew join. Documents without a
+    date, error answers among them, have no mark to meet and are not moved at all.
+
+    The input is read three times: persist it if it is costly.
     """
     is_best = F.struct("fiscal_date", "payload_hash") == F.col("best")
-    verdict = F.when(~_is_dated(), True).otherwise(F.coalesce(F.col("beyond") & is_best, F.lit(False)))
-    return (
-        payloads.withColumn("watermark_key", _scattered_key())
+    dated = (
+        _with_key(payloads.where(_is_dated()))
         .join(daily_marks(payloads, state), list(DAY), "left")
-        .withColumn("is_new", verdict)
-        .select(*payloads.columns, "is_new")
+        .select(*payloads.columns, F.coalesce(F.col("beyond") & is_best, F.lit(False)).alias("is_new"))
     )
+    undated = payloads.where(~_is_dated()).withColumn("is_new", F.lit(True))
+    return dated.unionByName(undated)
 
 
 def filter_new(payloads: DataFrame, state: DataFrame) -> DataFrame:
