@@ -82,9 +82,11 @@ DERIVED = {
 def statement_periods(
     staging: DataFrame, endpoint: Endpoint, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Typed reports before deduplication, with the tie-break columns.
+    """Typed reports before deduplication: keys, requested columns, tie-breaks.
 
-    An unreadable fiscal date stays as a NULL-date row beside its raw text.
+    An unreadable fiscal date stays as a NULL-date row beside its raw text. Derived
+    amounts need only their own row, so they are computed here: deduplication then
+    shuffles them and not what they were computed from.
     """
     columns = list(columns or endpoint.columns)
     needed = dict.fromkeys(columns)
@@ -97,6 +99,7 @@ def statement_periods(
     flat = flatten_reports(staging, endpoint, [f.source for f in fields], texts)
 
     quarterly = F.col("report_type") == QUARTERLY
+    keys = (*PARTITION_COLUMNS, *GRAIN, "fiscaldateending_raw")
     out = [F.col(c) for c in (*PARTITION_COLUMNS, "symbol", "report_type")]
     out.append(F.col(DATE_FIELD).alias("fiscaldateending_raw"))
     out.append(safe_date(F.col(DATE_FIELD)).alias("fiscaldateending"))
@@ -108,7 +111,9 @@ def statement_periods(
     if "reportTime" in texts:
         out.append(F.when(quarterly, F.col("reportTime")).alias("report_time"))
     out += [typed(F.col(f.source), f.dtype).alias(f.column) for f in fields]
-    return flat.select(*out, *TIEBREAK)
+    rows = flat.select(*out, *TIEBREAK)
+    values = (DERIVED[c]().alias(c) if c in DERIVED else F.col(c) for c in columns if c not in keys)
+    return rows.select(*keys, *values, *TIEBREAK)
 
 
 def statement(
@@ -116,8 +121,7 @@ def statement(
 ) -> DataFrame:
     """One row per ``(symbol, fiscaldateending, report_type)``, the latest ingested."""
     columns = list(columns or endpoint.columns)
-    latest = latest_ingest(statement_periods(staging, endpoint, columns), GRAIN, TIEBREAK)
-    return latest.select(*(DERIVED[c]().alias(c) if c in DERIVED else F.col(c) for c in columns))
+    return latest_ingest(statement_periods(staging, endpoint, columns), GRAIN, TIEBREAK).select(*columns)
 
 
 def income_statement(staging: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
