@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fiscora.llm import packing, sharding
+from fiscora.llm import decontaminate, packing, sharding, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("k1", "k2")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -26,8 +36,25 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_topk": op3_topk,
+    "op4_decontaminate": op4_decontaminate,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
 }
 
-EXPECTED: dict[str, str] = {}
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND q.vec_id % 50 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s
+)
+SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 5
+"""
+
+EXPECTED: dict[str, str] = {"op3_topk": TOPK_SQL}
