@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscora.llm import decontaminate, packing, sharding, topk
+from fiscora.llm import decontaminate, packing, quality, sharding, topk, toxicity
+from fiscora.llm.labels import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,12 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("k1", "k2")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = fold("doc_id", 5)
+    found = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 0)
+    return found.withColumn("held_out", F.coalesce(remainder == 0, F.lit(False)))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -35,11 +42,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = fold("doc_id", 3)
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 1)
+    return found.withColumn("held_out", F.coalesce(remainder == 1, F.lit(False)))
+
+
 QUERIES: dict[str, Query] = {
     "op3_topk": op3_topk,
     "op4_decontaminate": op4_decontaminate,
+    "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
+    "op9_toxicity": op9_toxicity,
 }
 
 TOPK_SQL = """
