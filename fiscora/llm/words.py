@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-STEP_BYTES = 4 << 20  # texts worked on together
+STEP_BYTES, STEP_TEXTS = 4 << 20, 4096  # texts worked on together
 
 _MUL1, _MUL2, _MUL3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _SPACE = np.zeros(256, dtype=bool)
@@ -35,7 +35,7 @@ def steps(items: list[bytes], size: int = STEP_BYTES) -> Iterator[tuple[int, lis
     first, held = 0, 0
     for i, item in enumerate(items):
         held += len(item) + 1
-        if held >= size:
+        if held >= size or i + 1 - first >= STEP_TEXTS:
             yield first, items[first : i + 1]
             first, held = i + 1, 0
     if first < len(items):
