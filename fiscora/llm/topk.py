@@ -130,7 +130,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE,
     v_blocks, q_blocks = partitions(counts[0], VECTOR_BLOCK), partitions(counts[1], QUERY_BLOCK)
 
     def dealt(frame: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        return frame.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(own_blocks))).withColumn(
+        # both sides need the same key types to meet
+        return frame.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(own_blocks)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
         )
 
