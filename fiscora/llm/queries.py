@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscora.llm import decontaminate, near_dedup, packing, quality, sharding, topk, toxicity
+from fiscora.llm import decontaminate, hmm, near_dedup, packing, quality, sharding, topk, toxicity
 from fiscora.llm.labels import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(remainder == 1, F.lit(False)))
 
 
+def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_topk": op3_topk,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op9_toxicity": op9_toxicity,
+    "op10_hmm": op10_hmm,
 }
 
 TOPK_SQL = """
