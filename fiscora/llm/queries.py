@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscora.llm import decontaminate, hmm, near_dedup, packing, quality, sharding, topk, toxicity
+from fiscora.llm import decontaminate, hmm, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
 from fiscora.llm.labels import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents"), length=200)
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
     return found.drop("k1", "k2")
@@ -58,6 +62,7 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op3_topk": op3_topk,
     "op4_decontaminate": op4_decontaminate,
