@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscora.llm import decontaminate, hmm, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
+from fiscora.llm import decontaminate, hmm, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
 from fiscora.llm.labels import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2(F.coalesce("kept", F.lit("")), 256)).drop("kept")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = fold("doc_id", 3)
     found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 1)
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_hmm": op10_hmm,
 }
