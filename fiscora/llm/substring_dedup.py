@@ -218,7 +218,7 @@ def repeated_windows(text: np.ndarray, length: int) -> np.ndarray:
         # one first and one last place for every byte that precedes the interval, in the same order
         ends, end_of = step[at[last]] + 1, which[last]
         begins, begin_of = step[at[first]], which[first]
-        if len(ends) != len(low):  # else every interval has one preceding byte, already in order
+        if (end_of[1:] == end_of[:-1]).any():  # else no interval has two, and they are in order
             ends = ends[np.argsort(end_of * (n + 1) + ends)]
             begins = begins[np.argsort(begin_of * (n + 1) + begins)]
         fresh = open_boundary[ends]
