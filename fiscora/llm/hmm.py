@@ -105,7 +105,16 @@ def vocabulary(texts: DataFrame, n_texts: int, work: Workspace) -> tuple[DataFra
     """The table of all words ``(h, cls, c)``, and what every task needs of it."""
     counted = texts.select("text").mapInArrow(_count_words, "h long, cls long, c long")
     table = work.put(counted.groupBy("h").agg(F.max("cls").alias("cls"), F.sum("c").alias("c")), "vocabulary")
-    top = [(r["h"], r["c"], r["cls"]) for r in table.orderBy(F.desc("c"), "h").limit(KNOWN).collect()]
+    # Words down to the count at which KNOWN would be exceeded; counts are told apart to a 64th of a doubling.
+    rank = F.floor(F.log2("c") * 64)
+    room, least = KNOWN, None
+    for r in sorted(table.groupBy(rank.alias("rank")).count().collect(), key=lambda r: -r["rank"]):  # at most 64 * 64 rows
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["rank"]
+    frequent = table.filter(rank >= least) if least is not None else table.limit(0)
+    top = sorted(((r["h"], r["c"], r["cls"]) for r in frequent.collect()), key=lambda t: (-t[1], t[0]))
     sums = {r["cls"]: (r["c"], r["n"]) for r in table.groupBy("cls").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()}
     own = top[:SYMBOLS]
     class_count, class_types = np.zeros(CLASSES), np.zeros(CLASSES)
