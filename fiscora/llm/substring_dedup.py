@@ -15,7 +15,8 @@ open then have common prefixes of at least ``length``, and the suffixes beside t
 with a repeated string. Intervals never extend over the end of a block.
 
 Hot keys. A key with more than ``HOT_BLOCKS`` distinct blocks (a short passage in countless
-surroundings) is not indexed in one task: its windows become keys themselves.
+surroundings) is not indexed in one task. Its blocks are cut again with a longer gram, halfway to
+``length``, and then with one of ``length`` bytes, where a block is one window and a key has one.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ GRAM = 32
 SEED = 8
 HOT_BLOCKS = 2048
 TASK_BYTES = 2 << 20  # of blocks indexed together
-STEP_BYTES = 4 << 20  # of text cut into blocks together
+INDEX_BYTES = 256 << 10  # of blocks in one suffix array; more leaves the caches
+STEP_BYTES = 256 << 10  # of text cut into blocks together, for the same reason
 PIECE_BYTES = 16 << 20  # of one text
 PLACE_BITS = 25
 SEPARATOR = 0xFF  # never a byte of UTF-8 text
@@ -77,9 +79,8 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
-def cut_blocks(data: bytes, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def cut_blocks(data: bytes, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Blocks of joined texts: text number, first byte in ``data``, bytes, key."""
-    gram = min(GRAM, length)
     none = np.zeros(0, dtype=np.int64)
     if len(data) < length:
         return none, none, none, none.view(np.uint64)
@@ -120,15 +121,18 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray
         yield joined()
 
 
+def _digests(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    found = (xxhash.xxh3_64_intdigest(data[a : a + n]) for a, n in zip(start.tolist(), size.tolist(), strict=True))
+    return np.fromiter(found, dtype=np.uint64, count=len(start))
+
+
 def _block_rows(length: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for data, bounds, numbers, offsets in _pieces(texts, length):
-                owner, start, size, key = cut_blocks(data, bounds, length)
-                content = np.fromiter(
-                    (xxhash.xxh3_64_intdigest(data[a : a + n]) for a, n in zip(start.tolist(), size.tolist(), strict=True)), dtype=np.uint64, count=len(start)
-                )
+                owner, start, size, key = cut_blocks(data, bounds, length, min(GRAM, length))
+                content = _digests(data, start, size)
                 row = np.array(numbers)[owner]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -192,11 +196,12 @@ def repeated_windows(text: np.ndarray, length: int) -> np.ndarray:
     order, seeds = suffix_array(text, length)
     bwt = text[order - 1]  # the first suffix wraps to the last byte, a separator
     by_symbol = np.argsort(bwt, kind="stable")
-    step = np.empty(n, dtype=np.int64)  # backward step: where the suffix one byte longer stands
-    step[by_symbol] = np.arange(n)
+    by_symbol = by_symbol.astype(np.int32)  # narrow numbers: most of the work is looking things up
+    step = np.empty(n, dtype=np.int32)  # backward step: where the suffix one byte longer stands
+    step[by_symbol] = np.arange(n, dtype=np.int32)
     same = bwt[by_symbol[1:]] == bwt[by_symbol[:-1]]
-    after = np.full(n, n, dtype=np.int64)  # next and last place with the same byte
-    before = np.full(n, -1, dtype=np.int64)
+    after = np.full(n, n, dtype=np.int32)  # next and last place with the same byte
+    before = np.full(n, -1, dtype=np.int32)
     after[by_symbol[:-1][same]] = by_symbol[1:][same]
     before[by_symbol[1:][same]] = by_symbol[:-1][same]
     within = bwt != SEPARATOR
@@ -204,13 +209,13 @@ def repeated_windows(text: np.ndarray, length: int) -> np.ndarray:
     open_boundary = np.ones(n + 1, dtype=bool)  # boundary i: between suffixes i - 1 and i
     open_boundary[[0, n]] = False
     open_boundary[np.flatnonzero(seeds)] = False
-    low = np.flatnonzero(seeds)
-    high = np.append(low[1:], n)
+    low = np.flatnonzero(seeds).astype(np.int32)
+    high = np.append(low[1:], np.int32(n))
     depth = SEED
     while depth < length and len(low):
         size = high - low
-        which = np.repeat(np.arange(len(low)), size)
-        at = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + low[which]
+        which = np.repeat(np.arange(len(low), dtype=np.int32), size)
+        at = np.arange(len(which), dtype=np.int32) + np.repeat(low - (np.cumsum(size, dtype=np.int32) - size), size)
         usable = within[at]
         at, which = at[usable], which[usable]
         last = after[at] >= high[which]
@@ -219,14 +224,14 @@ def repeated_windows(text: np.ndarray, length: int) -> np.ndarray:
         ends, end_of = step[at[last]] + 1, which[last]
         begins, begin_of = step[at[first]], which[first]
         if (end_of[1:] == end_of[:-1]).any():  # else no interval has two, and they are in order
-            ends = ends[np.argsort(end_of * (n + 1) + ends)]
-            begins = begins[np.argsort(begin_of * (n + 1) + begins)]
+            ends = ends[np.argsort(end_of.astype(np.int64) * (n + 1) + ends)]
+            begins = begins[np.argsort(begin_of.astype(np.int64) * (n + 1) + begins)]
         fresh = open_boundary[ends]
         low, high = begins[fresh], ends[fresh]
         open_boundary[high] = False
         # several intervals may end at one boundary; one of them, the widest, goes on
         if len(high) > 1:
-            pick = np.lexsort((low, high))
+            pick = np.argsort(high.astype(np.int64) * (n + 1) + low)
             low, high = low[pick], high[pick]
             once = np.concatenate(([True], high[1:] != high[:-1]))
             low, high = low[once], high[once]
@@ -239,17 +244,26 @@ def repeated_windows(text: np.ndarray, length: int) -> np.ndarray:
 
 def _index(length: int):
     def verdicts(rows: pd.DataFrame) -> pd.DataFrame:
-        blocks = rows["data"].tolist()
-        copies = rows["copies"].to_numpy()
-        end = bytes([SEPARATOR])
-        text = np.frombuffer(end.join(blocks) + end, dtype=np.uint8)
-        sizes = np.array([len(b) for b in blocks])
-        starts = np.cumsum(sizes + 1) - (sizes + 1)
-        repeated = repeated_windows(text, length)
-        cover = []
-        for start, size, n in zip(starts, sizes, copies, strict=True):
-            cover.append(spans(repeated[start : start + size - length + 1], length) if n < 2 else [0, int(size)])
-        found = pd.DataFrame({"key": rows["key"], "content": rows["content"], "cover": cover})
+        rows = rows.sort_values("key", kind="stable")
+        key, copies, blocks = rows["key"].to_numpy(), rows["copies"].to_numpy(), rows["data"].tolist()
+        sizes = np.array([len(b) + 1 for b in blocks])
+        ends = np.cumsum(sizes)
+        # keys are independent: a suffix array for as many as fit
+        last_of_key = np.flatnonzero(np.append(key[1:] != key[:-1], True))
+        cover: list[list[int]] = []
+        first = 0
+        for i in last_of_key:
+            if i + 1 < len(blocks) and ends[i] - (ends[first] - sizes[first]) < INDEX_BYTES:
+                continue
+            some = blocks[first : i + 1]
+            end = bytes([SEPARATOR])
+            repeated = repeated_windows(np.frombuffer(end.join(some) + end, dtype=np.uint8), length)
+            at = 0
+            for block, n in zip(some, copies[first : i + 1], strict=True):
+                cover.append([0, len(block)] if n > 1 else spans(repeated[at : at + len(block) - length + 1], length))
+                at += len(block) + 1
+            first = i + 1
+        found = pd.DataFrame({"key": key, "content": rows["content"].to_numpy(), "cover": cover})
         return found[found["cover"].map(len) > 0]
 
     return verdicts
@@ -266,40 +280,58 @@ def spans(starts: np.ndarray, length: int) -> list[int]:
     return np.column_stack([begin, end]).ravel().tolist()
 
 
-def _windows_of(length: int):
-    """Every window of hot blocks, by hash."""
+def _cut_again(length: int, gram: int):
+    """Blocks of hot keys cut with a longer gram."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, block in enumerate(batch.column("data").to_pylist()):
-                count = len(block) - length + 1
-                one = batch.slice(i, 1)
-                digest = [xxhash.xxh3_128_intdigest(block[a : a + length]) for a in range(count)]
-                same = pa.array(np.zeros(count, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(one.column(c).take(same) for c in ("key", "content", "copies")),
-                        pa.array(np.arange(count, dtype=np.int32)),
-                        pa.array(np.array([d & (2**64 - 1) for d in digest], dtype=np.uint64).view(np.int64)),
-                        pa.array(np.array([d >> 64 for d in digest], dtype=np.uint64).view(np.int64)),
-                    ],
-                    names=["key", "content", "copies", "at", "w1", "w2"],
-                )
+            blocks = batch.column("data").to_pylist()
+            bounds = np.cumsum([0] + [len(b) for b in blocks])
+            data = b"".join(blocks)
+            owner, start, size, key = cut_blocks(data, bounds, length, gram)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(key.view(np.int64)),
+                    pa.array(_digests(data, start, size).view(np.int64)),
+                    batch.column("copies").take(pa.array(owner)),
+                    pa.array([data[a : a + n] for a, n in zip(start.tolist(), size.tolist(), strict=True)], pa.binary()),
+                    batch.column("key").take(pa.array(owner)),
+                    batch.column("content").take(pa.array(owner)),
+                    pa.array((start - bounds[owner]).astype(np.int32)),
+                ],
+                names=["key", "content", "copies", "data", "of_key", "of_content", "at"],
+            )
 
     return rows
 
 
-def _cover_of(length: int):
-    @F.pandas_udf("array<int>")
-    def cover(places: pd.Series) -> pd.Series:
-        out = []
-        for some in places:
-            marks = np.zeros(int(max(some)) + 1, dtype=bool)
-            marks[np.asarray(some)] = True
-            out.append(spans(marks, length))
-        return pd.Series(out)
+def _pairs(cover: str) -> str:
+    return f"transform(sequence(0, cast(size({cover}) / 2 as int) - 1), i -> struct({cover}[2 * i] as a, {cover}[2 * i + 1] as b))"
+
 
-    return cover
+def _covers(blocks: DataFrame, length: int, grams: list[int], work: Workspace) -> DataFrame:
+    """``key``, ``content`` and ``cover`` (repeated bytes as begin, end, ...) of distinct blocks ``(key, content, copies, data)``."""
+    level = f"level{len(grams)}"
+    rivals = work.put(blocks.groupBy("key").agg(F.count("*").alias("rivals")), f"{level}-keys")
+    marked = blocks.join(rivals, "key")
+    alone = marked.filter("rivals = 1 and copies > 1").select("key", "content", F.array(F.lit(0), F.length("data")).alias("cover"))
+    calm = marked.filter(F.col("rivals").between(2, HOT_BLOCKS))
+    tasks = partitions(calm.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0], TASK_BYTES)
+    indexed = calm.groupBy(F.pmod(F.xxhash64("key"), F.lit(tasks)).alias("task")).applyInPandas(
+        _index(length), "key long, content long, cover array<int>"
+    )
+    found = work.put(alone.unionByName(indexed), f"{level}-covers")
+    if not grams or rivals.filter(F.col("rivals") > HOT_BLOCKS).isEmpty():
+        return found
+    schema = "key long, content long, copies long, data binary, of_key long, of_content long, at int"
+    hot = marked.filter(F.col("rivals") > HOT_BLOCKS).select("key", "content", "copies", "data")
+    pieces = work.put(hot.mapInArrow(_cut_again(length, grams[0]), schema), f"{level}-pieces")
+    distinct = pieces.groupBy("key", "content").agg(F.sum("copies").alias("copies"), F.max("data").alias("data"))
+    inner = _covers(work.put(distinct, f"{level}-distinct"), length, grams[1:], work)
+    placed = pieces.select("key", "content", "of_key", "of_content", "at").join(inner, ["key", "content"])
+    moved = F.flatten(F.collect_list(F.transform("cover", lambda x: x + F.col("at"))))  # at most a block's windows
+    outer = placed.groupBy(F.col("of_key").alias("key"), F.col("of_content").alias("content")).agg(moved.alias("cover"))
+    return found.unionByName(work.put(outer, f"{level}-outer"))
 
 
 def repeated_ranges(documents: DataFrame, length: int, work: Workspace) -> DataFrame:
@@ -314,35 +346,22 @@ def repeated_ranges(documents: DataFrame, length: int, work: Workspace) -> DataF
     place = F.struct("t", "size", "start", "n")
     distinct = blocks.filter("mixed").groupBy("key", "content").agg(F.count("*").alias("copies"), F.min(place).alias("at"))
     distinct = work.put(distinct.select("key", "content", "copies", "at.*"), "distinct")
-    crowds = distinct.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > HOT_BLOCKS).select("key", F.lit(True).alias("hot"))
-    wanted = distinct.join(crowds, "key", "left").groupBy("t", "size").agg(
-        F.collect_list(F.struct("key", "content", "copies", "start", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("cuts")  # at most a text's blocks
+    wanted = distinct.groupBy("t", "size").agg(
+        F.collect_list(F.struct("key", "content", "copies", "start", "n")).alias("cuts")  # at most a text's blocks
     )
     once = Window.partitionBy("t", "size").orderBy("t")  # any row with the text will do
     texts = rows.withColumn("size", F.octet_length("text")).join(wanted, ["t", "size"]).withColumn("place", F.row_number().over(once))
     cut = texts.filter("place = 1").select(F.col("text").cast("binary").alias("text"), F.explode("cuts").alias("c"))
-    cut = work.put(cut.select("c.key", "c.content", "c.copies", "c.hot", F.expr("substring(text, c.start + 1, c.n)").alias("data")), "cut")
-
-    calm = cut.filter("not hot")
-    tasks = partitions(calm.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0], TASK_BYTES)
-    indexed = calm.groupBy(F.pmod(F.xxhash64("key"), F.lit(tasks)).alias("task")).applyInPandas(
-        _index(length), "key long, content long, cover array<int>"
-    )
-    verdicts = work.put(indexed, "indexed")
-    if not crowds.isEmpty():
-        windows = work.put(cut.filter("hot").mapInArrow(_windows_of(length), "key long, content long, copies long, at int, w1 long, w2 long"), "windows")
-        again = windows.groupBy("w1", "w2").agg(F.sum("copies").alias("seen")).filter("seen > 1")
-        marked = windows.join(again, ["w1", "w2"]).groupBy("key", "content").agg(F.collect_list("at").alias("places"))  # at most a block's windows
-        verdicts = verdicts.unionByName(work.put(marked.select("key", "content", _cover_of(length)("places").alias("cover")), "hot"))
+    cut = work.put(cut.select("c.key", "c.content", "c.copies", F.expr("substring(text, c.start + 1, c.n)").alias("data")), "cut")
+    gram = min(GRAM, length)
+    verdicts = _covers(cut, length, [(gram + length) // 2, length], work)
 
     whole = blocks.filter("not mixed").select("t", "size", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
-    part = blocks.filter("mixed").join(verdicts, ["key", "content"]).select(
-        "t", "size", "start", F.explode(F.expr("transform(sequence(0, cast(size(cover) / 2 as int) - 1), i -> struct(cover[2 * i] as a, cover[2 * i + 1] as b))")).alias("r")
-    )
+    part = blocks.filter("mixed").join(verdicts, ["key", "content"]).select("t", "size", "start", F.explode(F.expr(_pairs("cover"))).alias("r"))
     part = part.select("t", "size", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b"))
     ranges = whole.unionByName(part).distinct().groupBy("t", "size").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))  # at most a text's blocks
     ranges = work.put(ranges, "ranges")
-    work.drop("shared", "distinct", "cut", "indexed", "windows", "hot")
+    work.drop("shared", "distinct", "cut")
     return ranges
 
 

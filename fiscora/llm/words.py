@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-STEP_BYTES, STEP_TEXTS = 4 << 20, 4096  # texts worked on together
+STEP_BYTES, STEP_TEXTS = 512 << 10, 4096  # texts worked on together, few enough for the caches
 
 _MUL1, _MUL2, _MUL3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _SPACE = np.zeros(256, dtype=bool)
