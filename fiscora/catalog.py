@@ -139,11 +139,6 @@ class Endpoint:
     quarterly_only: frozenset[str] = frozenset()
     probe_order: tuple[str, ...] = ()
 
-    @property
-    def function(self) -> str:
-        """Name of the endpoint in audit rows."""
-        return self.name.upper()
-
     @property
     def is_flat(self) -> bool:
         return self.annual is None
@@ -172,9 +167,6 @@ class Endpoint:
                 return field.dtype
         return MONEY  # derived amounts
 
-    def field_for(self, column: str) -> Field:
-        return next(f for f in self.fields if f.column == column)
-
 
 _COMMON_TYPES = {
     "symbol": T.StringType(),

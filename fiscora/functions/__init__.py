@@ -20,13 +20,14 @@ from fiscora.functions.text import (
     redact_secrets,
     upper_key,
 )
-from fiscora.functions.time import BUSINESS_TIMEZONE, business_date, ingest_date, safe_date, weekday
+from fiscora.functions.time import BUSINESS_TIMEZONE, business_date, days_since_monday, ingest_date, safe_date, weekday
 
 __all__ = [
     "BUSINESS_TIMEZONE",
     "alert_text",
     "business_date",
     "cents_to_dollars",
+    "days_since_monday",
     "exact_ratio",
     "failure_reason",
     "first_or_sum",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from fiscora.catalog import SENTINELS
 # A BIGINT fits in 19 digits, so this is exact for every stored amount.
 _EXACT_INTEGER = "decimal(20,0)"
 _RATIO = "decimal(38,9)"
+_LEAST, _GREATEST = Decimal(-(2**63)), Decimal(2**63 - 1)
 
 
 def null_if_sentinel(text: Column) -> Column:
@@ -33,12 +36,18 @@ def safe_numeric(text: Column) -> Column:
     return null_if_sentinel(text).try_cast(_RATIO)
 
 
+def _if_bigint(exact: Column) -> Column:
+    """A whole decimal as BIGINT, NULL where it does not fit. A range test, since ``try_add`` raises
+    and catches an exception for every overflowing row."""
+    return F.when(exact.between(F.lit(_LEAST), F.lit(_GREATEST)), exact.cast("bigint"))
+
+
 def safe_add(a: Column, b: Column) -> Column:
-    return F.try_add(a, b)
+    return _if_bigint(promote(a) + promote(b))
 
 
 def safe_subtract(a: Column, b: Column) -> Column:
-    return F.try_subtract(a, b)
+    return _if_bigint(promote(a) - promote(b))
 
 
 def promote(amount: Column) -> Column:
@@ -69,7 +78,7 @@ def growth(current: Column, prior: Column) -> Column:
 
 def first_or_sum(reported: Column, a: Column, b: Column) -> Column:
     """The reported amount, else the sum of its two parts when both exist and fit."""
-    return F.coalesce(reported, F.try_add(a, b))
+    return F.coalesce(reported, safe_add(a, b))
 
 
 def cents_to_dollars(cents: Column) -> Column:

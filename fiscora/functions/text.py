@@ -7,14 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Masks, the shapes in which a credential shows up in a message, and the
-# length of an alert's error text.
+# Masks, and the shapes in which a credential shows up in a message.
 API_KEY_MASK = "***REDACTED_API_KEY***"
 SECRET_MASK = "***REDACTED***"
 API_KEY_PATTERNS = (r"(?i)(apikey=)[^&\s]+", r"(?i)(API key as )([A-Z0-9_-]+)")
 SECRET_PATTERNS = (r"(?i)((?:api[_-]?key|token|password)=)[^&\s]+",)
 RATE_LIMIT_TEXT = "rate limit"
-MAX_ERROR_CHARS = 1000
 
 
 def upper_key(symbol: Column) -> Column:
@@ -44,8 +42,8 @@ def redact_secrets(message: Column, known: Iterable[str] = ()) -> Column:
 
 
 def alert_text(message: Column, known: Iterable[str] = ()) -> Column:
-    """Error text of an alert: redacted first, then cut to what an alert may carry."""
-    return F.left(redact_secrets(message, known), F.lit(MAX_ERROR_CHARS))
+    """Error text of an alert: the whole message, redacted. A sender may shorten what it delivers."""
+    return redact_secrets(message, known)
 
 
 def failure_reason(message: Column) -> Column:

@@ -29,6 +29,11 @@ def business_date(instant_utc: Column) -> Column:
     return F.to_date(local)
 
 
+def days_since_monday(day: Column) -> Column:
+    """Days since a fixed Monday, so that the weekday is the remainder by seven."""
+    return F.date_diff(day, F.to_date(F.lit("1970-01-05")))
+
+
 def weekday(day: Column) -> Column:
     """Day of the week, Monday = 0."""
     return F.weekday(day)

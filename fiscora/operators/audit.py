@@ -35,8 +35,9 @@ def batch_outcomes(planned: DataFrame, processed: DataFrame) -> DataFrame:
     """One row per planned or processed ``(run_id, endpoint, symbol)``.
 
     ``processed`` carries the ``route`` of each document and, optionally, its
-    ``payload_class``. Output adds ``planned, completed, no_change, failed,
-    pending, stopped``. One aggregation over both inputs, combined map-side.
+    ``payload_class`` and ``reason``. Output adds ``planned, completed, no_change, failed,
+    pending, stopped`` and ``reason``, why a key failed (the greatest text, should its documents
+    differ), NULL otherwise. One aggregation over both inputs, combined map-side.
     """
     keys = [*BATCH, "symbol"]
     ok = F.col("route").isin(ACCEPTED, NO_CHANGE)
@@ -44,11 +45,13 @@ def batch_outcomes(planned: DataFrame, processed: DataFrame) -> DataFrame:
     stop = (
         F.col("payload_class").isin(RATE_LIMIT, DAILY_LIMIT) if "payload_class" in processed.columns else F.lit(False)
     )
+    why = F.col("reason") if "reason" in processed.columns else F.lit(None).cast("string")
     zero = F.lit(0)
     rows = planned.select(
         *keys,
         F.lit(1).alias("planned"),
         *(zero.alias(n) for n in (COMPLETED, NO_CHANGE, FAILED, "stopped")),
+        F.lit(None).cast("string").alias("reason"),
     ).unionByName(
         processed.select(
             *keys,
@@ -57,10 +60,11 @@ def batch_outcomes(planned: DataFrame, processed: DataFrame) -> DataFrame:
             _flag(F.col("route") == NO_CHANGE).alias(NO_CHANGE),
             _flag(bad).alias(FAILED),
             _flag(stop).alias("stopped"),
+            F.when(bad, why).alias("reason"),
         )
     )
     per_key = rows.groupBy(*keys).agg(
-        *(F.max(n).alias(n) for n in ("planned", COMPLETED, NO_CHANGE, FAILED, "stopped"))
+        *(F.max(n).alias(n) for n in ("planned", COMPLETED, NO_CHANGE, FAILED, "stopped", "reason"))
     )
     pending = (F.col("planned") == 1) & (F.col(COMPLETED) == 0) & (F.col(FAILED) == 0)
     return per_key.withColumn(PENDING, pending.cast("int"))

@@ -35,6 +35,10 @@ ACCEPTED, QUARANTINE, REJECTED, NO_CHANGE = "accepted", "quarantine", "rejected"
 
 _SENTINEL = "|".join(re.escape(s) for s in SENTINELS)
 _INTEGER = rf"^({_SENTINEL}|\s*[+-]?\d+(\.0*)?\s*)$"
+# how a JSON number with an exponent reads after parsing, and how it is written
+_LARGE = r"^-?\d\.\d+E\d+$"
+_EXPONENT = r"[+-]?\d+(?:\.\d+)?[eE][+-]?\d+"
+_EXACT = "decimal(38,9)"
 _DECIMAL = (
     rf"^({_SENTINEL}|\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*)$"
 )
@@ -56,10 +60,15 @@ def _is_date(value: Column) -> Column:
     return _is_string(value) & F.coalesce(valid, F.lit(False))
 
 
+def _is_large_whole(text: Column) -> Column:
+    """Is this a whole number that JSON gave with an exponent? ``plain_integers`` writes it out."""
+    return F.when(text.rlike(_LARGE), F.coalesce(text.try_cast(_EXACT) % 1 == 0, F.lit(False))).otherwise(False)
+
+
 def _bad_number(text: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.LongType):
         # nearly every amount passes the cheap cast and never meets the pattern
-        valid = text.try_cast("bigint").isNotNull() | text.rlike(_INTEGER)
+        valid = text.try_cast("bigint").isNotNull() | text.rlike(_INTEGER) | _is_large_whole(text)
     else:
         valid = text.rlike(_DECIMAL)
     return text.isNotNull() & ~valid
@@ -301,7 +310,7 @@ def route(payloads: DataFrame, endpoint: Endpoint, probe_rule: str = "first") ->
 
 
 def plain_integers(raw: Column, endpoint: Endpoint) -> Column:
-    """Rewrite whole amounts sent as ``12.0`` to ``12``, as validation reads them.
+    """Rewrite whole amounts sent as ``12.0`` or ``1e3`` to ``12`` and ``1000``, as validation reads them.
 
     The search for such a text is one cheap scan; only documents that hold one
     pay for the rewrite. A key inside a string value has escaped quotes and
@@ -311,9 +320,24 @@ def plain_integers(raw: Column, endpoint: Endpoint) -> Column:
     if not names:
         return raw
     pattern = rf'"({names})"(\s*:\s*)("?)\s*([+-]?\d+)\.0*\s*\3(?=\s*[,}}])'
-    return F.when(
+    plain = F.when(
         raw.rlike(r'\d\.0*\s*"?\s*[,}]'), F.regexp_replace(raw, pattern, r'"$1"$2$3$4$3')
     ).otherwise(raw)
+    return _without_exponents(plain, names)
+
+
+def _without_exponents(raw: Column, names: str) -> Column:
+    """Write out whole amounts given with an exponent."""
+    # the mark that ends a value belongs to the match, so no match is the beginning of another
+    found = F.array_distinct(F.regexp_extract_all(raw, F.lit(rf'("({names})"\s*:\s*{_EXPONENT}\s*[,}}])'), F.lit(1)))
+
+    def written_out(document: Column, member: Column) -> Column:
+        number = F.regexp_extract(member, rf":\s*({_EXPONENT})", 1)
+        value = number.try_cast(_EXACT)
+        digits = value.try_cast("decimal(38,0)").cast("string")
+        return F.when(F.coalesce(value % 1 == 0, F.lit(False)), F.replace(document, member, F.replace(member, number, digits))).otherwise(document)
+
+    return F.when(raw.rlike(rf":\s*{_EXPONENT}\s*[,}}]"), F.aggregate(found, raw, written_out)).otherwise(raw)
 
 
 def stamp_extraction_date(raw: Column, day: Column) -> Column:

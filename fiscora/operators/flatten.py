@@ -60,6 +60,26 @@ def with_ingest_columns(staging: DataFrame) -> list[Column]:
     ]
 
 
+def _elements(raw: Column, array: Column, name: str, report: T.StructType) -> Column:
+    """A report array whose elements are read one by one.
+
+    The typed parse gives no array at all if one element is not an object. Only then is the document
+    read again, as VARIANT: each object keeps its fields and anything else becomes an empty report.
+    """
+    loose = T.StructType([T.StructField(name, T.ArrayType(T.VariantType()))])
+
+    def fields(element: Column) -> Column:
+        return F.struct(
+            *(
+                F.try_variant_get(element, f"$['{f.name}']", "variant" if isinstance(f.dataType, T.VariantType) else "string").alias(f.name)
+                for f in report.fields
+            )
+        )
+
+    again = F.transform(F.from_json(raw, loose)[name], fields)
+    return F.when(array.isNotNull(), array).otherwise(again)
+
+
 def flatten_reports(
     staging: DataFrame, endpoint: Endpoint, fields: Sequence[str], text_fields: Sequence[str] = ()
 ) -> DataFrame:
@@ -67,24 +87,21 @@ def flatten_reports(
 
     Output: ingestion columns, ``symbol``, ``report_type``, the requested fields as
     text under their source names, and the tie-break columns. An empty or missing
-    array gives no rows. The document is read once for both arrays.
+    array gives no rows; an element that is not an object gives a row of NULLs. The document
+    is read once for both arrays.
     """
     texts = [DATE_FIELD, *text_fields]
     wanted = [DATE_FIELD, *(f for f in fields if f != DATE_FIELD), *text_fields]
-    schema = document_schema(endpoint, report_struct(wanted, texts))
+    report = report_struct(wanted, texts)
     documents = staging.select(
         *with_ingest_columns(staging),
-        parse_document("raw_data", schema),
+        "raw_data",
+        parse_document("raw_data", document_schema(endpoint, report)),
     )
+    annual, quarterly = (_elements(F.col("raw_data"), F.col(a), a, report) for a in endpoint.arrays)
     tagged = documents.select(
-        *(c for c in documents.columns if c not in endpoint.arrays),
-        F.stack(
-            F.lit(2),
-            F.lit(ANNUAL),
-            F.col(endpoint.annual),
-            F.lit(QUARTERLY),
-            F.col(endpoint.quarterly),
-        ).alias("report_type", "reports"),
+        *(c for c in documents.columns if c not in (*endpoint.arrays, "raw_data")),
+        F.stack(F.lit(2), F.lit(ANNUAL), annual, F.lit(QUARTERLY), quarterly).alias("report_type", "reports"),
     )
     reports = tagged.select(
         *(c for c in tagged.columns if c != "reports"),

@@ -207,23 +207,37 @@ def compare_snapshots(before: DataFrame, after: DataFrame, keys: Sequence[str])
 
 
 def reconcile_kpis(
-    gold: DataFrame, inputs: DataFrame, ratios: dict[str, tuple[str, str]], tolerance: float = 1e-8
+    gold: DataFrame,
+    inputs: DataFrame,
+    ratios: dict[str, tuple[str, str]],
+    growths: dict[str, tuple[str, str]] | None = None,
+    passed: dict[str, str] | None = None,
+    tolerance: float = 1e-8,
 ) -> DataFrame:
-    """Recompute ratios from their Silver amounts and count rows where Gold differs.
+    """Recompute KPIs from their Silver inputs and count rows where Gold differs.
 
-    Works in floating point on purpose: a second, independent route to the value.
-    ``inputs`` holds the grain and the amounts. Output: ``kpi, compared, differing``.
+    ``ratios`` are quotients of two inputs, ``growths`` relative changes from the second to the first,
+    ``passed`` inputs that Gold shows under another name. Works in floating point on
+    purpose: a second, independent route to the value. ``inputs`` holds the grain and the
+    inputs. Output: ``kpi, compared, differing``.
     """
+    growths, passed = growths or {}, passed or {}
     keys = list(GRAIN)
-    g = gold.select(*keys, *ratios)
-    amounts = dict.fromkeys(c for pair in ratios.values() for c in pair)
+    g = gold.select(*keys, *(F.col(n).alias(f"g_{n}") for n in (*ratios, *growths, *passed)))
+    amounts = dict.fromkeys([c for pair in (*ratios.values(), *growths.values()) for c in pair] + list(passed.values()))
     s = inputs.select(*(F.col(k).alias(f"_{k}") for k in keys), *amounts)
     matched = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     joined = g.join(s, matched, "full_outer")
+
+    def number(column: str) -> Column:
+        return F.col(column).cast("double")
+
+    expected = {n: F.try_divide(number(a), number(b)) for n, (a, b) in ratios.items()}
+    expected |= {n: F.try_divide(number(a) - number(b), number(b)) for n, (a, b) in growths.items()}
+    expected |= {n: number(c) for n, c in passed.items()}
     measures = []
-    for name, (top, bottom) in ratios.items():
-        again = F.try_divide(F.col(top).cast("double"), F.col(bottom).cast("double"))
-        found = F.col(name).cast("double")
+    for name, again in expected.items():
+        found = number(f"g_{name}")
         off = F.abs(found - again) > tolerance * F.greatest(F.lit(1.0), F.abs(again))
         differs = F.coalesce(off, found.isNull() != again.isNull())
         measures.append(F.struct(F.lit(name).alias("kpi"), F.count_if(differs).alias("differing")))

@@ -12,9 +12,9 @@ from fiscora.functions import redact_api_keys
 from fiscora.operators import contract, watermark
 from fiscora.operators.contract import ACCEPTED, NO_CHANGE, QUARANTINE
 from fiscora.sources.audit_log import TICKER_EVENT, write_log
-from fiscora.sources.bronze import BATCH, endpoint_path, write_bronze, write_quarantine
-from fiscora.sources.state import read_state, write_state
-from fiscora.sources.versions import next_version
+from fiscora.sources.bronze import endpoint_path, write_bronze, write_quarantine
+from fiscora.sources.paths import delete
+from fiscora.sources.state import next_number, read_state, write_increment
 
 _AUDIT_STATUS = {ACCEPTED: "SUCCESS", QUARANTINE: "QUARANTINE"}
 
@@ -24,6 +24,7 @@ class LakePaths:
     """Where one lake keeps its parts."""
 
     bronze: str
+    staged: str
     state: str
     audit: str
     decisions: str
@@ -42,6 +43,7 @@ def settle(routed: DataFrame, state: DataFrame) -> DataFrame:
     """Final route of checked documents: one without a newer period becomes no_change.
 
     Only documents that pass the contract are compared with, and raise, the watermark.
+    Rows are shuffled, so they should be stored ones without the text.
     """
     accepted = F.col("route") == ACCEPTED
     candidates = routed.withColumns(
@@ -52,18 +54,32 @@ def settle(routed: DataFrame, state: DataFrame) -> DataFrame:
     return marked.withColumns({"route": final, "fiscal_date": F.col("_date")}).drop("_date", "is_new")
 
 
-def decide(
-    payloads: DataFrame, endpoint: Endpoint, state: DataFrame, probe_rule: str = "first"
-) -> DataFrame:
-    """Check and settle documents (``raw_data``, ``ingest_date``) of one endpoint."""
-    return settle(contract.route(payloads, endpoint, probe_rule), state)
+def stage(payloads: DataFrame, endpoint: Endpoint, path: str, probe_rule: str = "first") -> DataFrame:
+    """Check documents (``raw_data``, ``ingest_date``) against the contract, number them and store them.
+
+    The one parse of a batch: whatever follows reads columns of the stored rows.
+    """
+    routed = contract.route(payloads, endpoint, probe_rule)
+    watermark.with_document_id(routed).write.mode("overwrite").parquet(path)
+    return payloads.sparkSession.read.parquet(path)
+
 
+def decide(staged: DataFrame, state: DataFrame) -> DataFrame:
+    """Settle stored documents, without their text."""
+    return settle(staged.drop("raw_data"), state)
 
-def accepted_documents(decided: DataFrame, endpoint: Endpoint) -> DataFrame:
-    """Documents as Bronze stores them: whole amounts plain, extraction date added."""
+
+def accepted_documents(staged: DataFrame, decisions: DataFrame, endpoint: Endpoint) -> DataFrame:
+    """Documents as Bronze stores them: whole amounts plain, extraction date added.
+
+    Texts meet the stored decisions by document number. Few decisions are broadcast and no text
+    moves; with many, Spark's runtime filter on the numbers keeps skipped texts out of the shuffle.
+    """
+    new = decisions.where(F.col("route") == ACCEPTED).select(watermark.DOCUMENT)
     plain = contract.plain_integers(F.col("raw_data"), endpoint)
     stamped = contract.stamp_extraction_date(plain, F.col("ingest_date"))
-    return decided.where(F.col("route") == ACCEPTED).withColumn("raw_data", stamped)
+    passed = staged.where(F.col("route") == ACCEPTED)
+    return passed.join(new, watermark.DOCUMENT, "left_semi").withColumn("raw_data", stamped)
 
 
 def ticker_events(decisions: DataFrame, run_id: str, location: str) -> DataFrame:
@@ -100,37 +116,36 @@ def ingest(
 ) -> DataFrame:
     """Ingest one batch of documents of one endpoint and return its stored decisions.
 
-    Every batch has a number (the next free one unless given) and writes only to
-    folders and a state version of that number, from the state before it. Running
-    a number again therefore replaces its output. State is written last: a run
-    that dies in between is repeated, and loses nothing.
+    Every batch has a number (the one after the last finished batch unless given) and
+    writes only to folders of that number, each replaced whole, from the state before
+    it. Running a number again therefore replaces its output, whatever documents it had the
+    first time. The state's increment is written last: a run that dies before it is
+    repeated under the same number, and neither loses nor leaves anything.
 
-    Documents are parsed once, into a columnar cache that a lost executor can
-    rebuild. Their text is read from it only to store them; decisions, state and
-    audit rows use the narrow columns.
+    Documents are parsed once and stored with their verdicts in the lake. The text is
+    read from there only to store accepted and quarantined documents; decisions, state
+    and audit rows use the narrow columns.
     """
     endpoint = ENDPOINTS[endpoint] if isinstance(endpoint, str) else endpoint
     state_dir = paths.state_of(endpoint)
-    number = next_version(spark, state_dir) if batch is None else batch
+    number = next_number(spark, state_dir) if batch is None else batch
     state = read_state(spark, state_dir, before=number)
-    routed = contract.route(payloads, endpoint, probe_rule).withColumn(BATCH, F.lit(number)).persist()
-    layout = {"mode": "overwrite", "extra_partitions": (BATCH,)}
-    bronze_dir = endpoint_path(paths.bronze, endpoint.name)
+    staged_dir = f"{paths.staged}/{endpoint.name}/batch={number}"
     decisions_dir = f"{paths.decisions}/{endpoint.name}/batch={number}"
-    try:
-        decided = settle(routed, state)
-        write_bronze(accepted_documents(decided, endpoint), bronze_dir, **layout)
-        write_quarantine(routed.where(F.col("route") == QUARANTINE), paths.bronze, endpoint.name, **layout)
-        decided.drop("raw_data", BATCH).write.mode("overwrite").parquet(decisions_dir)
-    finally:
-        routed.unpersist()
+    staged = stage(payloads, endpoint, staged_dir, probe_rule)
+    decide(staged, state).write.mode("overwrite").parquet(decisions_dir)
     decisions = spark.read.parquet(decisions_dir)
+    write_bronze(
+        accepted_documents(staged, decisions, endpoint), endpoint_path(paths.bronze, endpoint.name), batch=number
+    )
+    write_quarantine(staged.where(F.col("route") == QUARANTINE), paths.bronze, endpoint.name, batch=number)
     events = ticker_events(decisions, run_id, paths.bronze)
     write_log(events, f"{paths.audit}/{endpoint.name}/batch={number}", mode="overwrite")
-    write_state(watermark.advance(state, decisions.where(F.col("route") == ACCEPTED)), state_dir, number)
+    write_increment(watermark.raised(state, decisions.where(F.col("route") == ACCEPTED)), state_dir, number)
+    delete(spark, staged_dir)
     return decisions
 
 
 def processed_keys(decisions: DataFrame, run_id: str) -> DataFrame:
     """Decisions in the form the batch summary reads."""
-    return decisions.select(F.lit(run_id).alias("run_id"), "endpoint", "symbol", "route", "payload_class")
+    return decisions.select(F.lit(run_id).alias("run_id"), "endpoint", "symbol", "route", "payload_class", "reason")

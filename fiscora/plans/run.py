@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscora.catalog import ENDPOINTS
-from fiscora.operators import audit, quality
+from fiscora.operators import audit, batching, quality
 from fiscora.plans.gold import build_gold, silver_for_gold
 from fiscora.plans.ingest import LakePaths, ingest, processed_keys
 from fiscora.sources.audit_log import BATCH_EVENT, SUMMARY_SCHEMA, read_batch_summaries, write_log
@@ -75,15 +75,19 @@ def run(
     run_id: str,
     *,
     planned: DataFrame | None = None,
+    daily_limit: int | None = None,
     allow_partial: bool = True,
 ) -> RunResult:
     """Ingest documents per endpoint, then rebuild Gold from all of Bronze.
 
     ``planned`` lists the ``(run_id, endpoint, symbol)`` asked for; without it, what
-    arrived counts as the plan. In best-effort mode failed documents are recorded
+    arrived counts as the plan. A plan of more than ``daily_limit`` source calls is refused before
+    anything is ingested. In best-effort mode failed documents are recorded
     and the rebuild uses the Bronze at hand. Gold waits for the Silver gate; its own
     gate is checked on the stored table.
     """
+    if planned is not None and daily_limit is not None:
+        batching.require_within_limit(batching.planned_load(planned, daily_limit))
     # endpoints are independent: a few side by side keep the executors busy
     with ThreadPoolExecutor(CONCURRENT_ENDPOINTS) as pool:
         decisions = pool.map(lambda item: ingest(spark, item[1], item[0], paths, run_id), landing.items())

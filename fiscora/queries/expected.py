@@ -16,7 +16,7 @@ from fiscora.catalog import (
     Endpoint,
 )
 from fiscora.plans.gold import RATIOS
-from fiscora.queries.payloads import BROKEN_DATE, MISSING_PERIOD, NO_OVERVIEW, field_values
+from fiscora.queries.payloads import BROKEN_DATE, MISSING_PERIOD, NO_OVERVIEW, field_values, first_number
 
 DAY7, DAY8 = "DATE '2026-09-07'", "DATE '2026-09-08'"
 
@@ -218,3 +218,17 @@ def route_of(endpoint: str, fault: str = "k % 20") -> str:
     )
 
 
+def reason_of(endpoint: Endpoint) -> str:
+    """Reason of a document with planted faults."""
+    key, number = endpoint.key, first_number(endpoint)
+    where = {True: "", False: f"{endpoint.annual}."}[endpoint.is_flat]
+    if endpoint.is_flat:
+        number = next(f.source for f in endpoint.fields if not f.is_text)
+        date = "NULL"
+    else:
+        date = f"'{where}fiscalDateEnding: not a date'"
+    return f"""CASE k % 20 WHEN 1 THEN 'extra fields: newEnvelopeField'
+      WHEN 2 THEN '{key}: missing or not a string' WHEN 11 THEN '{key}: missing or not a string'
+      WHEN 3 THEN {date} WHEN 4 THEN '{where}{number}: not a number'
+      WHEN 5 THEN 'rate_limit' WHEN 6 THEN 'daily_limit' WHEN 7 THEN 'invalid_request' WHEN 8 THEN 'no_data'
+      WHEN 9 THEN 'malformed' WHEN 10 THEN 'access_denied' END"""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fiscora.catalog import ENDPOINTS, OVERVIEW, Endpoint
 from fiscora.plans.gold import gold_from_bronze
+from fiscora.plans.ingest import stage
 from fiscora.queries import payloads
 from fiscora.session import shared_dir
 from fiscora.sources.bronze import endpoint_path, read_bronze, write_bronze
@@ -22,6 +23,7 @@ from fiscora.sources.gold_table import write_gold
 _built: dict[tuple[str, str], str] = {}
 _gold: dict[tuple[str, str], str] = {}
 _landing: dict[tuple[str, str, str, bool], str] = {}
+_staged: dict[tuple[str, str, str, bool], str] = {}
 
 
 def scratch(spark: SparkSession, sf_dir: str, *parts: str) -> str:
@@ -104,5 +106,15 @@ def landing(spark: SparkSession, sf_dir: str, endpoint: Endpoint, *, faults: boo
     return spark.read.parquet(_landing[key])
 
 
+def staged(spark: SparkSession, sf_dir: str, endpoint: Endpoint, *, faults: bool = False) -> DataFrame:
+    """Landing documents with their contract verdicts, as an ingest stores them. Once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), endpoint.name, faults)
+    if key not in _staged:
+        path = scratch(spark, sf_dir, "staged", endpoint.name, "faulty" if faults else "clean")
+        stage(landing(spark, sf_dir, endpoint, faults=faults), endpoint, path)
+        _staged[key] = path
+    return spark.read.parquet(_staged[key])
+
+
 def day_only(rows: DataFrame, index: int) -> DataFrame:
     return rows.where(F.col("ingest_date") == F.lit(payloads.DAYS[index]).cast("date"))

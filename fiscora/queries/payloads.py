@@ -292,12 +292,12 @@ def plant_contract_faults(payloads: DataFrame, endpoint: Endpoint) -> DataFrame:
         .when(fault == 2, F.regexp_replace(raw, no_key, "{"))
         .when(fault == 3, F.regexp_replace(raw, first_date, '$1"2025-13-45"'))
         .when(fault == 4, F.regexp_replace(raw, number, '$1"bad-number"'))
-        .when(fault == 5, F.lit('{"Note":"Thank you for your patience"}'))
-        .when(fault == 6, F.lit('{"Information":"Our standard API Rate Limit is 25 requests per day"}'))
-        .when(fault == 7, F.lit('{"Error Message":"Invalid call"}'))
+        .when(fault == 5, F.lit('{"Note":"too many calls at once"}'))
+        .when(fault == 6, F.lit('{"Information":"the daily RATE LIMIT is used up"}'))
+        .when(fault == 7, F.lit('{"Error Message":"no such function"}'))
         .when(fault == 8, F.lit("{}"))
         .when(fault == 9, F.substring(raw, 1, 20))
-        .when(fault == 10, F.lit('{"Information":"premium endpoint"}'))
+        .when(fault == 10, F.lit('{"Information":"not part of this plan"}'))
         # both invalid and with an extra field: invalid wins
         .when(fault == 11, F.regexp_replace(raw, no_key, '{"newEnvelopeField":1,'))
         .otherwise(raw)

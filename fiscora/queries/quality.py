@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from fiscora.catalog import CASH_FLOW, ENDPOINTS, GRAIN, INCOME
 from fiscora.operators import quality
@@ -171,22 +172,69 @@ def catalog_check(spark, sf_dir):
     return reduce(DataFrame.unionByName, profiles)
 
 
+# KPI that is no ratio of the row's own amounts, and the four that Gold passes on
+_GROWTHS = {"revenue_yoy_growth": ("total_revenue", "prior_revenue")}
+_PASSED = {
+    "free_cash_flow": "free_cash_flow",
+    "earnings_surprise_pct": "surprise_percentage",
+    "pe_ratio": "pe_ratio",
+    "ev_to_ebitda": "ev_to_ebitda",
+}
+_KPIS = ", ".join(f"'{name}'" for name in (*gold.RATIOS, *_GROWTHS, *_PASSED))
+
+
+def _inputs(spark, sf_dir) -> DataFrame:
+    """The inputs of all KPIs, joined from full Silver again; the prior year by a self-join on its rank."""
+    store = lake(spark, sf_dir)
+    income = silver.income_statement(store.staging(INCOME), gold.INCOME_COLUMNS)
+    companions = (
+        silver.balance_sheet(store.staging("balance_sheet"), gold.BALANCE_COLUMNS),
+        silver.cash_flow(store.staging(CASH_FLOW), gold.CASH_FLOW_COLUMNS),
+        silver.earnings(store.staging("earnings"), gold.EARNINGS_COLUMNS),
+    )
+    joined = reduce(lambda a, b: a.join(b, list(GRAIN), "left"), companions, income)
+    overview = silver.overview(store.staging("overview"), ["symbol", "pe_ratio", "ev_to_ebitda"])
+    ranked = joined.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("symbol", "report_type").orderBy("fiscaldateending"))
+    )
+    years_on = F.col("rank") + F.when(F.col("report_type") == "annual", 1).otherwise(4)
+    prior = ranked.select("symbol", "report_type", years_on.alias("rank"), F.col("total_revenue").alias("prior_revenue"))
+    return ranked.join(prior, ["symbol", "report_type", "rank"], "left").join(
+        overview.select("symbol", "pe_ratio", "ev_to_ebitda"), "symbol", "left"
+    )
+
+
 @registered(
     "kpi_reconciliation",
     with_gold(
         "SELECT kpi, CAST(0 AS BIGINT) AS differing, n AS compared FROM "
-        "(SELECT count(*) AS n FROM gold), (SELECT unnest(["
-        + ", ".join(f"'{name}'" for name in gold.RATIOS)
-        + "]) AS kpi)"
+        f"(SELECT count(*) AS n FROM gold), (SELECT unnest([{_KPIS}]) AS kpi)"
     ),
 )
 def kpi_reconciliation(spark, sf_dir):
-    """KPIs of the stored Gold table against amounts joined from full Silver again."""
-    store = lake(spark, sf_dir)
-    income = silver.income_statement(store.staging(INCOME), gold.INCOME_COLUMNS)
-    companions = (
-        silver.balance_sheet(store.staging("balance_sheet"), gold.BALANCE_COLUMNS),
-        silver.cash_flow(store.staging(CASH_FLOW), gold.CASH_FLOW_COLUMNS),
+    """KPIs of the stored Gold table against their inputs from full Silver."""
+    kpis = read_gold(spark, stored_gold(spark, sf_dir))
+    return quality.reconcile_kpis(kpis, _inputs(spark, sf_dir), gold.RATIOS, _GROWTHS, _PASSED)
+
+
+@registered(
+    "kpi_reconciliation_planted",
+    with_gold(
+        f"""SELECT kpi, n AS compared, CASE kpi WHEN 'roe' THEN n_roe WHEN 'revenue_yoy_growth' THEN n_growth
+              WHEN 'free_cash_flow' THEN n_cash ELSE 0 END AS differing
+            FROM (SELECT count(*) AS n, count(*) FILTER (roe IS NOT NULL AND symbol LIKE '%3') AS n_roe,
+                count(*) FILTER (revenue_yoy_growth IS NOT NULL AND report_type = 'annual') AS n_growth,
+                count(*) FILTER (free_cash_flow IS NULL) AS n_cash FROM gold),
+              (SELECT unnest([{_KPIS}]) AS kpi)"""
+    ),
+)
+def kpi_reconciliation_planted(spark, sf_dir):
+    """The same over a table with wrong values: a shifted ratio, a lost growth, an invented amount."""
+    kpis = read_gold(spark, stored_gold(spark, sf_dir)).withColumns(
+        {
+            "roe": F.when(F.col("symbol").like("%3"), F.col("roe") + 1).otherwise(F.col("roe")),
+            "revenue_yoy_growth": F.when(F.col("report_type") != "annual", F.col("revenue_yoy_growth")),
+            "free_cash_flow": F.coalesce("free_cash_flow", F.lit(1)),
+        }
     )
-    amounts = reduce(lambda a, b: a.join(b, list(GRAIN), "left"), companions, income)
-    return quality.reconcile_kpis(read_gold(spark, stored_gold(spark, sf_dir)), amounts, gold.RATIOS)
+    return quality.reconcile_kpis(kpis, _inputs(spark, sf_dir), gold.RATIOS, _GROWTHS, _PASSED)

@@ -235,7 +235,8 @@ def business_date_query(spark, sf_dir):
 _MESSAGE = """concat('GET /query?symbol=S', CAST(user_id AS {text}), '&ApiKey=k', CAST(event_id AS {text}),
     ' token=t', CAST(user_id AS {text}), ' your API key as Z', CAST(event_id AS {text}),
     CASE WHEN event_type = 'error' THEN ' Rate-Limit reached' ELSE '' END, ' password=p ',
-    CASE WHEN event_id % 2 = 0 THEN 'hunter22' ELSE '' END)"""
+    CASE WHEN event_id % 2 = 0 THEN 'hunter22' ELSE '' END,
+    CASE WHEN event_id % 7 = 0 THEN repeat(' a long tail', 300) ELSE '' END)"""
 _REDACTED = """regexp_replace(replace(msg, 'hunter22', '***REDACTED***'),
     '(?i)((?:api[_-]?key|token|password)=)[^&\\s]+', '\\1***REDACTED***', 'g')"""
 _REASON = "CASE WHEN contains(replace(lower(msg), '-', ' '), 'rate limit') THEN 'rate_limit' ELSE 'task_failure' END"
@@ -270,7 +271,7 @@ def redact_messages(spark, sf_dir):
     f"""WITH m AS (SELECT *, {_MESSAGE.format(text="VARCHAR")} AS msg FROM events WHERE event_type = 'error')
         SELECT 'job_failure' AS event, concat('job', CAST(user_id % 3 AS VARCHAR)) AS job,
           CAST(event_id AS VARCHAR) AS task, concat('run', CAST(user_id AS VARCHAR)) AS run_id,
-          strftime(ts, '%Y-%m-%d') AS logical_date, {_REASON} AS reason, left({_REDACTED}, 1000) AS error
+          strftime(ts, '%Y-%m-%d') AS logical_date, {_REASON} AS reason, {_REDACTED} AS error
         FROM m""",
 )
 def failure_alerts_query(spark, sf_dir):

@@ -170,6 +170,12 @@ def gold_write_read(spark, sf_dir):
     return read_gold(spark, stored_gold(spark, sf_dir)).where((date >= F.lit("1996-01-01")) & (date < F.lit("1999-01-01")))
 
 
+@registered("gold_stored_whole", with_gold(f"SELECT {_GOLD_COLUMNS} FROM gold"))
+def gold_stored_whole(spark, sf_dir):
+    """All of the stored table, the folder of unreadable dates included."""
+    return read_gold(spark, stored_gold(spark, sf_dir))
+
+
 @registered(
     "recent_periods",
     with_gold(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TICKER_EVENT = "ticker_extraction"
@@ -63,6 +64,19 @@ def read_ticker_events(spark: SparkSession, path: str) -> DataFrame:
     return log.where(log["event"] == TICKER_EVENT)
 
 
+def write_attempts(attempts: DataFrame, path: str, *, mode: str = "append") -> None:
+    """Log source calls, one per line. Columns that the caller does not know stay NULL."""
+    columns = [
+        (F.col(f.name) if f.name in attempts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in ATTEMPT_SCHEMA.fields
+    ]
+    write_log(attempts.select(*columns), path, mode=mode)
+
+
+def read_attempts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(ATTEMPT_SCHEMA).json(path)
+
+
 def read_batch_summaries(spark: SparkSession, path: str) -> DataFrame:
     log = spark.read.schema(SUMMARY_SCHEMA).json(path)
     return log.where(log["event"] == BATCH_EVENT)

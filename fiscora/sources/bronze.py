@@ -85,26 +85,23 @@ def write_bronze(
     path: str,
     *,
     mode: str = "append",
-    extra_partitions: tuple[str, ...] = (),
-    compression: str | None = None,
+    batch: int | None = None,
 ) -> None:
     """Write ``raw_data`` under the folders of ``ingest_date``.
 
     Appending the same documents again is harmless: Silver keeps one row per
-    period. With ``mode="overwrite"`` only the folders present in the data are
-    replaced, which makes a replayed write idempotent.
+    period. A numbered batch has a folder of its own above the dates and replaces
+    all that this number held before, whatever days that were.
     """
-    layout = [*PARTITIONS, *extra_partitions]
     rows = payloads.select(
         one_line(F.col("raw_data")).alias("value"),
         *(c.alias(n) for n, c in partition_columns(F.col("ingest_date")).items()),
-        *extra_partitions,
     )
-    writer = rows.write.partitionBy(*layout).mode(mode)
-    writer = writer.option("partitionOverwriteMode", "dynamic")
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.text(path)
+    writer = rows.write.partitionBy(*PARTITIONS).option("partitionOverwriteMode", "static")
+    if batch is None:
+        writer.mode(mode).text(path)
+    else:
+        writer.mode("overwrite").text(f"{path.rstrip('/')}/{BATCH}={batch}")
 
 
 def write_quarantine(payloads: DataFrame, root: str, endpoint: str, **options) -> None:

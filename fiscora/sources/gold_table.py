@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fiscora.catalog import GOLD_SCHEMA
-from fiscora.sources.versions import latest_version, next_version, version_path
+from fiscora.sources.versions import latest_version, next_version, remove_old, version_path
 
 PARTITION = "fiscaldateending"
 CLUSTER = ("symbol", "report_type")
+KEPT_VERSIONS = 3  # readers may still be busy with the ones before the newest
 
 
 def write_gold(gold: DataFrame, path: str, *, max_records_per_file: int = 20_000_000) -> int:
@@ -31,6 +32,7 @@ def write_gold(gold: DataFrame, path: str, *, max_records_per_file: int = 20_000
         .partitionBy(PARTITION)
         .parquet(version_path(path, version))
     )
+    remove_old(gold.sparkSession, path, KEPT_VERSIONS)
     return version
 
 

@@ -21,3 +21,9 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder; none if it does not exist."""
     target, fs = hadoop_path(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; nothing happens if there is none."""
+    target, fs = hadoop_path(spark, path)
+    fs.delete(target, True)

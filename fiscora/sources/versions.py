@@ -7,10 +7,12 @@ half-way, or a reader that is still busy with the previous version, is harmless.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import SparkSession
 
-from fiscora.sources.paths import child_names, exists
+from fiscora.sources.paths import child_names, delete, exists
 
 _VERSION_DIR = re.compile(r"version=(\d+)$")
 
@@ -19,16 +21,26 @@ def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version={version}"
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions under ``root``, oldest first."""
+def versions(spark: SparkSession, root: str) -> Iterator[int]:
+    """Complete versions under ``root``, newest first. One listing; markers are looked up as versions are asked for."""
     numbered = [_VERSION_DIR.search(name) for name in child_names(spark, root)]
-    found = [int(match.group(1)) for match in numbered if match]
-    return sorted(v for v in found if exists(spark, f"{version_path(root, v)}/_SUCCESS"))
+    for version in sorted((int(match.group(1)) for match in numbered if match), reverse=True):
+        if exists(spark, f"{version_path(root, version)}/_SUCCESS"):
+            yield version
 
 
-def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    known = [v for v in versions(spark, root) if before is None or v < before]
-    return known[-1] if known else None
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    return next(versions(spark, root), None)
+
+
+def remove_old(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` complete versions, and whatever is older than those."""
+    kept = list(islice(versions(spark, root), keep))
+    if len(kept) == keep:
+        for name in child_names(spark, root):
+            match = _VERSION_DIR.search(name)
+            if match and int(match.group(1)) < kept[-1]:
+                delete(spark, f"{root.rstrip('/')}/{name}")
 
 
 def next_version(spark: SparkSession, root: str) -> int:

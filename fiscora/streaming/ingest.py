@@ -11,7 +11,7 @@ from fiscora.catalog import Endpoint
 from fiscora.functions import ingest_date
 from fiscora.plans.ingest import LakePaths, ingest
 from fiscora.sources.paths import exists
-from fiscora.sources.versions import versions
+from fiscora.sources.state import is_fed
 
 LANDING_SCHEMA = T.StructType(
     [
@@ -52,7 +52,7 @@ def start_ingest(
     and a new stream refuses one that already has state.
     """
     fresh = not exists(spark, f"{checkpoint}/offsets")
-    if fresh and versions(spark, paths.state_of(endpoint)):
+    if fresh and is_fed(spark, paths.state_of(endpoint)):
         raise ValueError(f"{endpoint.name} under {paths.state} is already fed by batches or another stream")
 
     def process(batch: DataFrame, batch_id: int) -> None:

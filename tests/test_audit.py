@@ -71,7 +71,7 @@ def test_run_summary(spark, statuses, expected):
 def test_audit_log_round_trip(spark, tmp_path):
     path = str(tmp_path / "log")
     event = spark.createDataFrame(
-        [("t", "ticker_extraction", "r", "SUCCESS", "b", "2026-09-03", "overview", "AAPL", 1, 0.01, 0.1, None)],
+        [("t", "ticker_extraction", "r", "SUCCESS", "b", "2026-02-17", "overview", "ORB", 1, 0.25, 0.5, None)],
         audit_log.TICKER_SCHEMA,
     )
     total = spark.createDataFrame(
@@ -79,14 +79,15 @@ def test_audit_log_round_trip(spark, tmp_path):
     )
     audit_log.write_log(event, path)
     audit_log.write_log(total, path)
-    assert rows(audit_log.read_ticker_events(spark, path), "symbol", "rows_processed") == [("AAPL", 1)]
+    assert rows(audit_log.read_ticker_events(spark, path), "symbol", "rows_processed") == [("ORB", 1)]
     assert rows(audit_log.read_batch_summaries(spark, path), "status", "planned_requests") == [("SUCCESS", 1)]
 
 
 def test_batches_of_keys(spark):
-    keys = spark.createDataFrame([(k,) for k in "GFEDCBA"], "k string")
-    numbered = batching.with_batches(batching.with_ordinal(keys, "k"), 5, "ordinal")
-    assert rows(numbered, "k", "ordinal", "batch_id") == [(k, i + 1, i // 5) for i, k in enumerate("ABCDEFG")]
+    names = sorted(["oak", "elm", "fir", "ash", "yew", "box", "bay", "fig", "may"])
+    keys = spark.createDataFrame([(k,) for k in reversed(names)], "k string")
+    numbered = batching.with_batches(batching.with_ordinal(keys, "k"), 4, "ordinal")
+    assert rows(numbered, "k", "ordinal", "batch_id") == [(k, i + 1, i // 4) for i, k in enumerate(names)]
 
 
 def test_ordinals_over_many_partitions(spark):
@@ -106,7 +107,46 @@ def test_plan_wraps_and_repeats(spark):
     plan = sorted(rows(batching.daily_plan(batches, days, 5, 25), *columns))
     assert [p[1] for p in plan] == [0, 1, 2, 3, 4, 5, 6, 0]
     assert all(p[2:] == (5, 25, True) for p in plan)
-    assert batching.coverage(batches, "k").first().asDict() == {"n_keys": 35, "n_not_once": 0, "n_served": 35}
+    found = batching.coverage(batches, "k", F.lit(monday)).first().asDict()
+    assert found == {"n_keys": 35, "n_never": 0, "n_more_than_once": 0, "n_served": 35}
+
+
+@pytest.mark.parametrize(("n_keys", "size", "cycle"), [(100, 5, 20), (40, 5, 8), (9, 3, 7), (1, 1, 7)])
+def test_every_key_has_its_turn(spark, n_keys, size, cycle):
+    """Served keys counted day by day, against the days themselves."""
+    keys = spark.range(n_keys).select(F.col("id").alias("k"), (F.col("id") + 1).alias("ordinal"))
+    batches = batching.with_batches(keys, size, "ordinal")
+    first = date(2026, 9, 9)
+    found_days = sorted(r["run_date"] for r in batching.cycle_days(batches, F.lit(first)).collect())
+    assert found_days == [first + timedelta(days=i) for i in range(cycle)]
+    days = spark.createDataFrame([(first + timedelta(days=i),) for i in range(cycle)], "run_date date")
+    served = [r["k"] for r in batching.keys_of_day(batches, days).collect()]
+    assert set(served) == set(range(n_keys))
+    found = batching.coverage(batches, "k", F.lit(first)).first().asDict()
+    assert found["n_never"] == 0 and found["n_served"] == len(served)
+    if -(-n_keys // size) >= 7:
+        assert len(served) == n_keys and found["n_more_than_once"] == 0
+
+
+def test_coverage_finds_keys_served_twice_or_never(spark):
+    batches = spark.createDataFrame([(k, k // 4) for k in range(40)] + [(3, 7), (99, -1)], "k bigint, batch_id bigint")
+    found = batching.coverage(batches, "k", F.lit(date(2026, 9, 7))).first().asDict()
+    assert found == {"n_keys": 41, "n_never": 1, "n_more_than_once": 1, "n_served": 41}
+
+
+def test_reasons_of_failed_keys(spark):
+    plan = spark.createDataFrame([("r", "overview", s) for s in "ABC"], PLANNED)
+    done = [("r", "overview", "A", "accepted", "data", None), ("r", "overview", "B", "rejected", "no_data", "nothing in it")]
+    outcomes = audit.batch_outcomes(plan, spark.createDataFrame(done, PROCESSED + ", reason string"))
+    assert rows(outcomes, "symbol", "failed", "reason") == [("A", 0, None), ("B", 1, "nothing in it"), ("C", 0, None)]
+
+
+def test_attempt_log_round_trip(spark, tmp_path):
+    calls = spark.createDataFrame([("r9", "earnings", 2, "rate_limit_daily"), ("r9", "earnings", 1, "success")], ATTEMPTS)
+    audit_log.write_attempts(calls, str(tmp_path / "calls"))
+    read = audit_log.read_attempts(spark, str(tmp_path / "calls"))
+    assert read.schema == audit_log.ATTEMPT_SCHEMA
+    assert rows(audit.attempt_metrics(read), *audit.REQUEST_COUNTERS) == [(2, 1, 0, 1, 1)]
 
 
 def test_batch_for_index_wraps_over_fewer_batches(spark):
@@ -140,15 +180,15 @@ def test_failure_alerts_hide_secrets(spark):
     long = "x" * 2000
     failures = spark.createDataFrame(
         [
-            ("r", "j", "t", "d", "request failed?apikey=secret-api-key rate-limit"),
+            ("r", "j", "t", "d", "call refused: apikey=pa55phrase, Rate-Limit"),
             ("r", "j", "t", "d", None),
-            ("r", "j", "t", "d", f"{long} token=abc"),
+            ("r", "j", "t", "d", f"{long} token=zz9"),
         ],
         "run_id string, job string, task string, logical_date string, message string",
     )
-    found = rows(audit.failure_alerts(failures, ["secret-api-key"]), "reason", "error")
+    found = rows(audit.failure_alerts(failures, ["pa55phrase"]), "reason", "error")
     assert found == [
-        ("rate_limit", "request failed?apikey=***REDACTED*** rate-limit"),
+        ("rate_limit", "call refused: apikey=***REDACTED*** Rate-Limit"),
         ("task_failure", "unknown error"),
-        ("task_failure", "x" * 1000),
+        ("task_failure", long + " token=***REDACTED***"),
     ]

@@ -1,9 +1,10 @@
 from datetime import date
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from fiscora.catalog import BALANCE, CASH_FLOW, EARNINGS, GOLD_SCHEMA, INCOME, OVERVIEW
+from fiscora.catalog import BALANCE, CASH_FLOW, EARNINGS, GOLD_SCHEMA, GRAIN, INCOME, OVERVIEW
 from fiscora.operators.quality import schema_mismatches
 from fiscora.plans import gold
 from fiscora.sources.gold_table import read_gold, write_gold
@@ -32,94 +33,104 @@ def income(symbol, day, kind, revenue=None, net=None, ebitda=None):
     return (symbol, day, kind, "USD", date(2026, 9, 8), revenue, net, ebitda)
 
 
+def quotient(a, b):
+    """Nine digits, half up; NULL where there is nothing to divide by."""
+    if a is None or not b:
+        return None
+    return (Decimal(a) / Decimal(b)).quantize(Decimal("0.000000001"), rounding=ROUND_HALF_UP)
+
+
+REVENUE, NET, EBITDA, EQUITY, ASSETS, LIABILITIES, DEBT, OPERATING, FREE = 8431, -377, 1290, 5005, 702, 649, -88, 1111, 1024
+AMOUNTS = (EQUITY, ASSETS, LIABILITIES, DEBT)
 FULL = {
-    "income": [income("TEST", D25, "annual", 1000, 100, 200)],
-    "balance": [("TEST", D25, "annual", 500, 300, 150, 400)],
-    "cash_flow": [("TEST", D25, "annual", 120, 90)],
-    "earnings": [("TEST", D25, "annual", dec("6.25"))],
-    "overview": [("TEST", "Technology", "Software", "USA", "NYSE", date(2026, 9, 7), dec("20"), dec("8"))],
+    "income": [income("GNU", D25, "annual", REVENUE, NET, EBITDA)],
+    "balance": [("GNU", D25, "annual", *AMOUNTS)],
+    "cash_flow": [("GNU", D25, "annual", OPERATING, FREE)],
+    "earnings": [("GNU", D25, "annual", dec("-3.75"))],
+    "overview": [("GNU", "Energy", "Wind", "Denmark", "XCSE", date(2026, 9, 2), dec("17.5"), dec("0.125"))],
 }
 
 
 def test_all_kpis_and_columns(spark):
     frame = build(spark, **FULL)
     assert schema_mismatches(frame, GOLD_SCHEMA) == []
-    assert [tuple(r) for r in frame.collect()] == [
-        (
-            "TEST", D25, "annual", "USD", date(2026, 9, 8), "Technology", "Software", "USA", "NYSE",
-            date(2026, 9, 7), 1000, 100, 200, 500, 300, 150, 400, 120, dec("0.2"), dec("0.1"), dec("0.2"),
-            dec("2"), dec("2"), 90, dec("1.2"), None, dec("6.25"), dec("20"), dec("8"),
+    expected = {
+        "symbol": "GNU", "fiscaldateending": D25, "report_type": "annual", "reportedcurrency": "USD",
+        "ingest_date": date(2026, 9, 8), "overview_snapshot_date": date(2026, 9, 2),
+        "sector": "Energy", "industry": "Wind", "country": "Denmark", "exchange": "XCSE",
+        "total_revenue": REVENUE, "net_income": NET, "ebitda_calc": EBITDA, "operating_cashflow": OPERATING,
+        "total_shareholder_equity": EQUITY, "total_current_assets": ASSETS, "total_current_liabilities": LIABILITIES,
+        "net_debt": DEBT, "roe": quotient(NET, EQUITY), "net_margin": quotient(NET, REVENUE),
+        "ebitda_margin": quotient(EBITDA, REVENUE), "net_debt_to_ebitda": quotient(DEBT, EBITDA),
+        "current_ratio": quotient(ASSETS, LIABILITIES), "free_cash_flow": FREE,
+        "quality_of_earnings": quotient(OPERATING, NET), "revenue_yoy_growth": None,
+        "earnings_surprise_pct": dec("-3.75"), "pe_ratio": dec("17.5"), "ev_to_ebitda": dec("0.125"),
+    }
+    assert [r.asDict() for r in frame.collect()] == [expected]
+
+
+def test_companions_match_on_the_whole_key(spark):
+    """Companions of another company, frequency or date give nothing, and no rows of their own."""
+    keys = [("GNU", D25, "annual"), ("GNU", D24, "annual"), ("GNU", D25, "quarterly"), ("EMU", D25, "annual")]
+    for own in keys:
+        others = [k for k in keys if k != own] + [("YAK", D25, "annual")]
+        frame = build(
+            spark,
+            income=[income(*own, REVENUE, NET, EBITDA)],
+            balance=[(*k, *AMOUNTS) for k in others],
+            cash_flow=[(*k, OPERATING, FREE) for k in others],
+            earnings=[(*k, dec("1")) for k in others],
+            overview=[("YAK", *FULL["overview"][0][1:])],
         )
-    ]
+        assert rows(frame, *GRAIN, "roe", "free_cash_flow", "earnings_surprise_pct", "pe_ratio") == [(*own, None, None, None, None)]
 
 
-def test_income_anchor_and_full_join_key(spark):
+@pytest.mark.parametrize("nothing", [0, None])
+def test_nothing_to_divide_by(spark, nothing):
     frame = build(
         spark,
-        income=[
-            income("TEST", D25, "annual", 1000, 100, 200),
-            income("TEST", D25, "quarterly", 1000, 100, 200),
-            income("MISSING", D25, "annual", 200, 20),
-        ],
-        balance=[("TEST", D25, "annual", 500, 300, 150, 400), ("ORPHAN", D25, "annual", 500, 300, 150, 400)],
-        cash_flow=[("TEST", D25, "quarterly", 120, 90)],
-        earnings=[("TEST", D25, "quarterly", dec("5"))],
-        overview=FULL["overview"],
+        income=[income("GNU", D24, "annual", nothing), income("GNU", D25, "annual", nothing, nothing, nothing)],
+        balance=[("GNU", D25, "annual", nothing, ASSETS, nothing, DEBT)],
+        cash_flow=[("GNU", D25, "annual", OPERATING, FREE)],
     )
-    columns = ["symbol", "report_type", "roe", "free_cash_flow", "earnings_surprise_pct", "pe_ratio"]
-    assert rows(frame, *columns) == [
-        ("MISSING", "annual", None, None, None, None),
-        ("TEST", "annual", dec("0.2"), None, None, dec("20")),
-        ("TEST", "quarterly", None, 90, dec("5"), dec("20")),
-    ]
+    last = frame.where(F.col("fiscaldateending") == F.lit(D25))
+    assert rows(last, *gold.RATIOS, "revenue_yoy_growth") == [(None,) * 7]
 
 
-def test_zero_and_null_denominators(spark):
+def test_growth_counts_four_quarters_or_one_year(spark):
+    ends = [date(2023 + i // 4, 3 * (i % 4) + 1, 15) for i in range(9)]
+    quarters, years = [31, 0, 47, None, 53, 59, 61, 67, 71], [601, 599, None, 11, 0, 13]
     frame = build(
         spark,
-        income=[income("TEST", D25, "annual", 0, 0, 0), income("NULLS", D25, "annual")],
-        balance=[("TEST", D25, "annual", 0, 300, 0, 400), ("NULLS", D25, "annual", None, 300, None, 400)],
-        cash_flow=[("TEST", D25, "annual", 120, 90), ("NULLS", D25, "annual", 120, 90)],
+        income=[income("GNU", d, "quarterly", r) for d, r in zip(ends, quarters, strict=True)]
+        + [income("GNU", date(2015 + i, 1, 31), "annual", r) for i, r in enumerate(years)]
+        + [income("EMU", d, "quarterly", 5) for d in ends[:4]],
     )
-    assert rows(frame, *gold.RATIOS, "revenue_yoy_growth") == [(None,) * 7] * 2
 
+    def expected(revenues, step):
+        pairs = [(r, revenues[i - step] if i >= step else None) for i, r in enumerate(revenues)]
+        return [None if r is None or p is None else quotient(r - p, p) for r, p in pairs]
 
-def test_lag_offsets(spark):
-    quarters = [D24, date(2025, 3, 31), date(2025, 6, 30), date(2025, 9, 30), D25]
-    frame = build(
-        spark,
-        income=[
-            income("NULLPRIOR", D25, "annual", 50),
-            income("NULLPRIOR", D24, "annual"),
-            income("OTHER", D25, "annual", 100),
-            income("OTHER", D24, "annual", 0),
-            income("TEST", D25, "annual", 1200),
-            income("TEST", D24, "annual", 1000),
-            *(income("TEST", d, "quarterly", r) for d, r in zip(quarters, [100, 120, 130, 140, 150], strict=True)),
-        ],
-    )
-    growth = rows(
-        frame.where(F.col("revenue_yoy_growth").isNotNull()),
-        "symbol", "report_type", "fiscaldateending", "revenue_yoy_growth",
-    )
-    assert growth == [("TEST", "annual", D25, dec("0.2")), ("TEST", "quarterly", D25, dec("0.5"))]
-    assert frame.count() == 11
+    found = {(r["symbol"], r["report_type"], r["fiscaldateending"]): r["revenue_yoy_growth"] for r in frame.collect()}
+    assert [found["GNU", "quarterly", d] for d in ends] == expected(quarters, 4)
+    assert [found["GNU", "annual", date(2015 + i, 1, 31)] for i in range(6)] == expected(years, 1)
+    assert [found["EMU", "quarterly", d] for d in ends[:4]] == [None] * 4
 
 
-def test_growth_of_integer_extremes(spark):
-    top = 2**63 - 1
-    frame = build(spark, income=[income("T", D24, "annual", -top), income("T", D25, "annual", top)])
-    assert rows(frame, "fiscaldateending", "revenue_yoy_growth") == [(D24, None), (D25, dec("-2"))]
+def test_growth_between_extremes(spark):
+    low, high = -(2**63), 2**63 - 1
+    frame = build(spark, income=[income("T", D24, "annual", low), income("T", D25, "annual", high)])
+    assert rows(frame, "fiscaldateending", "revenue_yoy_growth") == [(D24, None), (D25, quotient(high - low, low))]
 
 
 def test_null_dates_are_kept_and_match_nothing(spark):
     frame = build(
         spark,
-        income=[income("TEST", None, "annual", 1000, 100, 200)],
-        balance=[("TEST", None, "annual", 500, 300, 150, 400)],
+        income=[income("GNU", None, "annual", REVENUE, NET, EBITDA)],
+        balance=[("GNU", None, "annual", *AMOUNTS)],
     )
     columns = ["fiscaldateending", "net_margin", "roe", "revenue_yoy_growth"]
-    assert rows(frame, *columns) == [(None, dec("0.1"), None, None)]
+    assert rows(frame, *columns) == [(None, quotient(NET, REVENUE), None, None)]
 
 
 def test_empty_income_gives_no_rows(spark):
@@ -130,7 +141,7 @@ def test_write_and_read_back(spark, tmp_path):
     frame = build(
         spark,
         income=[
-            income(s, d, k, 1000, 100, 200) for s in "BA" for d in (D24, D25, None) for k in ("annual", "quarterly")
+            income(s, d, k, REVENUE, NET, EBITDA) for s in "BA" for d in (D24, D25, None) for k in ("annual", "quarterly")
         ],
         overview=FULL["overview"],
     )
@@ -196,7 +207,7 @@ def test_mart_needs_one_shuffle_per_input_and_one_by_symbol(spark):
     )
     assert plan.count("Exchange hashpartitioning") == len(names) + 1
     # every document is parsed once, though joins test its key for NULL
-    assert plan.count("from_json(") == len(names)
+    assert plan.count("inline(array(from_json(") == len(names)
     # the group limit runs on both sides of every deduplication shuffle
     assert plan.count("row_number(), 1, Partial") == plan.count("row_number(), 1, Final") == len(names)
 

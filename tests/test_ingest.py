@@ -5,11 +5,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from fiscora.catalog import INCOME, OVERVIEW
+from fiscora.catalog import GOLD_SCHEMA, INCOME, OVERVIEW
 from fiscora.operators import quality, watermark
 from fiscora.plans import silver
-from fiscora.plans.ingest import LakePaths, ingest, processed_keys
+from fiscora.plans.ingest import LakePaths, accepted_documents, decide, ingest, processed_keys, stage
 from fiscora.sources import audit_log, bronze, state, versions
+from fiscora.sources.gold_table import write_gold
 from fiscora.streaming.ingest import start_ingest
 from helpers import payloads, report, rows, statement
 
@@ -18,28 +19,28 @@ STATE = "endpoint string, symbol string, fiscal_date string"
 
 def candidates(spark, *documents):
     """Rows of ``(symbol, fiscal_date, day[, hash])``."""
-    data = [("overview", d[0], d[1], date(2026, 9, d[2]), d[3] if len(d) > 3 else i) for i, d in enumerate(documents)]
+    data = [("overview", d[0], d[1], date(2026, 9, d[2]), d[3] if len(d) > 3 else i, i) for i, d in enumerate(documents)]
     return spark.createDataFrame(
-        data, "endpoint string, symbol string, fiscal_date string, ingest_date date, payload_hash bigint"
+        data, "endpoint string, symbol string, fiscal_date string, ingest_date date, payload_hash bigint, document bigint"
     )
 
 
 @pytest.mark.parametrize(
     ("symbol", "fiscal_date", "expected"),
     [
-        ("MSFT", "2023-06-30", True),
-        ("AAPL", "2024-09-30", True),
-        ("aapl", "2024-09-30", True),
-        ("AAPL", "2023-09-30", False),
-        ("aapl", "2023-09-30", False),
-        ("AAPL", "2022-09-30", False),
-        ("AAPL", None, True),
-        ("AAPL", "", True),
-        ("AAPL", "December", True),  # text comparison
+        ("YAK", "2019-02-28", True),
+        ("ORB", "2020-05-31", True),
+        ("orb", "2020-05-31", True),
+        ("ORB", "2019-05-31", False),
+        ("orb", "2019-05-31", False),
+        ("ORB", "2018-05-31", False),
+        ("ORB", None, True),
+        ("ORB", "", True),
+        ("ORB", "later", True),  # text comparison
     ],
 )
 def test_watermark_decision(spark, symbol, fiscal_date, expected):
-    stored = spark.createDataFrame([("overview", "AAPL", "2023-09-30"), ("other", "MSFT", "2030-01-01")], STATE)
+    stored = spark.createDataFrame([("overview", "ORB", "2019-05-31"), ("other", "YAK", "2030-01-01")], STATE)
     marked = watermark.mark_new(candidates(spark, (symbol, fiscal_date, 8)), stored)
     assert [r["is_new"] for r in marked.collect()] == [expected]
 
@@ -89,18 +90,65 @@ def test_watermark_matches_sequential_processing(spark):
     assert {r["symbol"]: r["fiscal_date"] for r in advanced.collect()} == mark
 
 
-def test_state_versions(spark, tmp_path):
+def test_one_of_identical_copies_is_new(spark):
+    """Equal documents of a company and day, among others of that day: one is stored."""
+    documents = [("A", "2024-03-31", 7, 5)] * 3 + [("A", "2023-03-31", 7, 6), ("B", "2024-03-31", 7, 5), ("A", "2024-03-31", 8, 5)]
+    marked = watermark.mark_new(candidates(spark, *documents), state.empty_state(spark))
+    assert sorted(rows(marked.where("is_new"), "symbol", "ingest_date", "payload_hash")) == [
+        ("A", date(2026, 9, 7), 5),
+        ("B", date(2026, 9, 7), 5),
+    ]
+
+
+def marks(spark, *pairs):
+    return spark.createDataFrame([("overview", s, d) for s, d in pairs], STATE)
+
+
+def test_state_increments(spark, tmp_path):
+    root = str(tmp_path / "state")
+    assert state.read_state(spark, root).count() == 0 and state.next_number(spark, root) == 0
+    state.write_increment(marks(spark, ("ORB", "2021-03-31")), root, 0)
+    raised = watermark.raised(state.read_state(spark, root), candidates(spark, ("orb", "2022-03-31", 8), ("zed", None, 8)))
+    assert rows(raised, "*") == [("overview", "ORB", "2022-03-31")]
+    state.write_increment(raised, root, 1)
+    assert rows(state.read_state(spark, root), "*") == [("overview", "ORB", "2022-03-31")]
+    assert rows(state.read_state(spark, root, before=1), "*") == [("overview", "ORB", "2021-03-31")]
+    # an increment without its marker was cut short and does not count
+    (tmp_path / "state" / "increment=1" / "_SUCCESS").unlink()
+    assert rows(state.read_state(spark, root), "*") == [("overview", "ORB", "2021-03-31")]
+    assert state.next_number(spark, root) == 1
+
+
+def test_unchanged_batches_rewrite_nothing_and_old_state_goes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "COMPACT_AFTER", 3)
     root = str(tmp_path / "state")
-    assert state.read_state(spark, root).count() == 0
-    one = spark.createDataFrame([("overview", "AAPL", "2023-09-30")], STATE)
-    assert state.write_state(one, root) == 0
-    two = watermark.advance(state.read_state(spark, root), candidates(spark, ("aapl", "2024-09-30", 8)))
-    assert state.write_state(two, root) == 1
-    assert rows(state.read_state(spark, root), "*") == [("overview", "AAPL", "2024-09-30")]
-    assert rows(state.read_state(spark, root, before=1), "*") == [("overview", "AAPL", "2023-09-30")]
-    # a version without its marker was cut short and does not count
-    (tmp_path / "state" / "version=1" / "_SUCCESS").unlink()
-    assert rows(state.read_state(spark, root), "*") == [("overview", "AAPL", "2023-09-30")]
+    for number in range(14):
+        known = state.read_state(spark, root, before=number)
+        news = candidates(spark, ("a", f"20{10 + number // 2}-12-31", 8), ("b", "2001-12-31", 8))
+        state.write_increment(watermark.raised(known, news), root, number)
+        assert rows(state.read_state(spark, root), "symbol", "fiscal_date") == [("A", f"20{10 + number // 2}-12-31"), ("B", "2001-12-31")]
+        if number % 2:  # the same dates again
+            assert spark.read.schema(state.STATE_SCHEMA).parquet(f"{root}/increment={number}").count() == 0
+    kept = sorted(p.name for p in (tmp_path / "state").iterdir())
+    assert len([k for k in kept if k.startswith("snapshot")]) == 2 and len(kept) <= 2 + 2 * (3 + 1)
+
+
+def test_unreadable_state_counts_as_empty(spark, tmp_path, caplog):
+    root = str(tmp_path / "state")
+    state.write_increment(marks(spark, ("ORB", "2021-03-31")), root, 0)
+    state.write_increment(marks(spark, ("ZED", "2021-03-31")), root, 1)
+    for part in (tmp_path / "state" / "increment=0").glob("*part*"):
+        part.unlink()
+    (tmp_path / "state" / "increment=0" / "part-0.parquet").write_text("not a table")
+    assert rows(state.read_state(spark, root), "symbol") == [("ZED",)]
+    assert "unreadable" in caplog.text
+
+
+def test_gold_versions_are_pruned(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    for _ in range(5):
+        write_gold(spark.createDataFrame([], GOLD_SCHEMA), root)
+    assert list(versions.versions(spark, root)) == [4, 3, 2]
 
 
 def test_bronze_layout_and_pruning(spark, tmp_path):
@@ -120,10 +168,10 @@ def test_bronze_layout_and_pruning(spark, tmp_path):
 
 def test_full_ingest_run(spark, tmp_path):
     paths = LakePaths.under(str(tmp_path))
-    good = {"Symbol": "AAPL", "LatestQuarter": "2026-06-30", "MarketCapitalization": 12.0}
+    good = {"Symbol": "ORB", "LatestQuarter": "2026-06-30", "MarketCapitalization": 12.0}
     first = ingest(
         spark,
-        payloads(spark, (7, good), (7, {**good, "Symbol": "MSFT", "New": 1}), (7, "{}")),
+        payloads(spark, (7, good), (7, {**good, "Symbol": "YAK", "New": 1}), (7, "{}")),
         OVERVIEW,
         paths,
         "run-0",
@@ -139,7 +187,7 @@ def test_full_ingest_run(spark, tmp_path):
     newer = {**good, "LatestQuarter": "2026-09-30"}
     second = ingest(spark, payloads(spark, (8, good), (9, newer)), OVERVIEW, paths, "run-1")
     assert rows(second, "ingest_date", "route") == [(date(2026, 9, 8), "no_change"), (date(2026, 9, 9), "accepted")]
-    assert rows(state.read_state(spark, paths.state_of(OVERVIEW)), "symbol", "fiscal_date") == [("AAPL", "2026-09-30")]
+    assert rows(state.read_state(spark, paths.state_of(OVERVIEW)), "symbol", "fiscal_date") == [("ORB", "2026-09-30")]
     assert bronze.read_bronze(spark, bronze.endpoint_path(paths.bronze, "overview")).count() == 2
     events = audit_log.read_ticker_events(spark, f"{paths.audit}/overview")
     # a skipped document writes no event
@@ -150,11 +198,59 @@ def test_full_ingest_run(spark, tmp_path):
         ("run-1", "SUCCESS", 1),
     ]
     assert rows(processed_keys(second, "run-1"), "run_id", "endpoint", "symbol", "route") == [
-        ("run-1", "overview", "AAPL", "accepted"),
-        ("run-1", "overview", "AAPL", "no_change"),
+        ("run-1", "overview", "ORB", "accepted"),
+        ("run-1", "overview", "ORB", "no_change"),
     ]
 
 
+def test_a_batch_that_died_is_replaced_whole(spark, tmp_path, monkeypatch):
+    """It dies before its state; the same number then brings other days."""
+    paths = LakePaths.under(str(tmp_path))
+    kinds = ({"New": 1}, {}, None)
+
+    def delivery(day, quarter):
+        good = {"Symbol": "ORB", "LatestQuarter": quarter}
+        return payloads(spark, *((day, "{}" if extra is None else {**good, **extra}) for extra in kinds))
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("fiscora.plans.ingest.write_increment", die)
+        with pytest.raises(RuntimeError):
+            ingest(spark, delivery(7, "2026-03-31"), OVERVIEW, paths, "died")
+    assert state.next_number(spark, paths.state_of(OVERVIEW)) == 0
+    ingest(spark, delivery(8, "2026-06-30"), OVERVIEW, paths, "again")
+    for path in (bronze.endpoint_path(paths.bronze, "overview"), bronze.quarantine_path(paths.bronze, "overview")):
+        assert rows(bronze.read_bronze(spark, path), "day") == [(8,)]
+    decisions = spark.read.parquet(f"{paths.decisions}/overview")
+    assert {r["ingest_date"] for r in decisions.collect()} == {date(2026, 9, 8)}
+    assert {r["run_id"] for r in audit_log.read_ticker_events(spark, f"{paths.audit}/overview").collect()} == {"again"}
+
+
+def test_texts_stay_out_of_the_watermark_shuffle(spark, tmp_path):
+    """Broadcast off: no exchange holds a text but the one of accepted documents, which is filtered first."""
+    staged = stage(payloads(spark, *((7, statement(s, [report("2024-12-31")])) for s in "ABC")), INCOME, str(tmp_path / "staged"))
+    off = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    try:
+        plan = decide(staged, state.empty_state(spark))._jdf.queryExecution().executedPlan().toString()
+        assert "raw_data" not in plan and "Exchange" in plan
+        decide(staged, state.empty_state(spark)).write.parquet(str(tmp_path / "decisions"))
+        decisions = spark.read.parquet(str(tmp_path / "decisions"))
+        stored = accepted_documents(staged, decisions, INCOME)
+        assert "might_contain" in stored._jdf.queryExecution().optimizedPlan().toString()
+        assert stored.count() == 3
+    finally:
+        for key in off:
+            spark.conf.unset(key)
+
+
 def test_replayed_batch_number_changes_nothing(spark, tmp_path):
     paths = LakePaths.under(str(tmp_path))
     documents = payloads(spark, (7, statement("A", [report("2025-12-31", totalRevenue="1")])))
@@ -162,7 +258,7 @@ def test_replayed_batch_number_changes_nothing(spark, tmp_path):
         ingest(spark, documents, INCOME, paths, run, batch=5)
     path = bronze.endpoint_path(paths.bronze, INCOME.name)
     assert bronze.read_bronze(spark, path).count() == 1
-    assert versions.versions(spark, paths.state_of(INCOME)) == [5]
+    assert state.next_number(spark, paths.state_of(INCOME)) == 6
 
 
 def test_same_documents_as_a_new_batch_add_nothing(spark, tmp_path):

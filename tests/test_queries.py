@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_point
+from fiscora.queries import registry
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.is_dir(), reason="test tables are not here")
@@ -32,7 +33,10 @@ def ordered(names, records):
     return sorted((tuple(plain(r[i]) for i in picks) for r in records), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+registry.load_all()
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_sql(spark, oracle, name):
     frame = entry_point.queries()[name](spark, str(DATA))
     found = ordered(frame.columns, frame.collect())
