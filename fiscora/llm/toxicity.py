@@ -26,7 +26,7 @@ from fiscora.llm.labels import SAMPLE_ROWS, training_texts
 
 MAX_TERMS = 10_000  # terms kept, those with the strongest evidence
 STEMS = (4, 5, 6)  # letters of a stem
-PURITY = 8.0  # a learnt term is so many times likelier in toxic documents
+PURITY = 20.0  # a learnt term is so many times likelier in toxic documents
 
 # Seed words of the transducers (lower case, whole words).
 INSULTS = "idiot moron scum loser imbecile dumbass bastard arschloch trottel vollidiot connard abruti salaud imbécil estúpido gilipollas".split()
@@ -150,7 +150,7 @@ def learn_terms(texts: DataFrame, max_terms: int = MAX_TERMS) -> Grammar:
 
     A term is kept if its likelihood ratio beats what the best of so many candidates reaches
     by chance, and if it is ``PURITY`` times likelier in toxic rows. A stem counts as often as
-    the words that begin with it.
+    the words that begin with it, all but one.
     """
     totals = texts.groupBy("y").count().collect()
     rows = {0: 0, 1: 0} | {r["y"]: r["count"] for r in totals}
@@ -163,7 +163,11 @@ def learn_terms(texts: DataFrame, max_terms: int = MAX_TERMS) -> Grammar:
         words.withColumn("n", F.explode(F.array(*[F.lit(n) for n in STEMS])))
         .filter(F.length("word") > F.col("n"))
         .groupBy(F.expr("left(word, n)").alias("word"))
-        .agg(F.sum("toxic").alias("toxic"), F.sum("all").alias("all"))
+        # without its most toxic word, which stands for itself
+        .agg(
+            (F.sum("toxic") - F.max("toxic")).alias("toxic"),
+            (F.sum("all") - F.max_by("all", F.struct("toxic", "word"))).alias("all"),
+        )
     )
     both = words.withColumn("stem", F.lit(False)).unionByName(stems.withColumn("stem", F.lit(True))).cache()
     share = rows[1] / (rows[0] + rows[1])
@@ -216,9 +220,20 @@ def fit_weights(x: np.ndarray, y: np.ndarray, pull: float = 0.05) -> np.ndarray:
     return weights
 
 
+def one_of_each(texts: DataFrame) -> DataFrame:
+    """Training rows without copies: of texts that share their least three-word shingle hash, one.
+
+    The words of a text that was copied a hundred times would else look like toxic terms.
+    """
+    words = F.split(F.lower("text"), r"[^\p{L}]+")
+    least = F.expr("array_min(transform(sequence(0, greatest(size(w) - 3, 0)), i -> xxhash64(get(w, i), get(w, i + 1), get(w, i + 2))))")
+    keyed = texts.filter(F.col("text").isNotNull()).withColumn("w", words).withColumn("key", least)
+    return keyed.groupBy("key").agg(F.max_by("text", F.xxhash64("text")).alias("text"), F.max("y").alias("y")).select("text", "y")
+
+
 def learn(documents: DataFrame, labels: DataFrame, learn_from: Column, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Terms and weights from at most ``sample_rows`` labelled rows whose ``doc_id`` meets ``learn_from``."""
-    texts = training_texts(documents, labels, "toxic", learn_from, sample_rows)
+    texts = one_of_each(training_texts(documents, labels, "toxic", learn_from, sample_rows)).cache()
     grammar = learn_terms(texts)
 
     def clauses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,6 +241,7 @@ def learn(documents: DataFrame, labels: DataFrame, learn_from: Column, sample_ro
             yield pd.DataFrame({"x": [grammar.features(t) for t in batch["text"]], "y": batch["y"].to_numpy()})
 
     counted = texts.mapInPandas(clauses, "x array<double>, y int").groupBy("x", "y").count().collect()  # most rows match nothing
+    texts.unpersist()
     counted.sort(key=lambda r: (r["x"], r["y"]))
     x = np.array([r["x"] for r in counted for _ in range(r["count"])], dtype=float).reshape(-1, len(FEATURES))
     y = np.array([r["y"] for r in counted for _ in range(r["count"])], dtype=float)
