@@ -94,4 +94,58 @@ WITH v AS (
 SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 5
 """
 
-EXPECTED: dict[str, str] = {"op3_topk": TOPK_SQL}
+# Links from shared shingles, classes as what a recursion over links reaches.
+NEAR_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g
+  FROM w
+), e AS (
+  SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e AS a JOIN e AS b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM s
+  UNION
+  SELECT r.doc_id, l.b FROM reached AS r JOIN links AS l ON r.other = l.a
+)
+SELECT s.doc_id, CAST(any_value(len(g)) AS BIGINT) AS n_shingles, min(other) AS component_id, min(other) = s.doc_id AS kept
+FROM s JOIN reached USING (doc_id) GROUP BY s.doc_id
+"""
+
+# Every later line beside every earlier equal one; neighbours on one diagonal form the maximal runs.
+LINES_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
+  FROM documents WHERE text IS NOT NULL
+), c AS (
+  SELECT *, len(list_filter(string_split_regex(line, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '')) AS words FROM l
+), pairs AS (
+  SELECT a.doc_id, a.i, a.words, b.doc_id AS other, a.i - b.i AS diagonal
+  FROM c AS a JOIN c AS b ON a.line = b.line AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.i < a.i))
+), runs AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, other, diagonal ORDER BY i) AS run FROM pairs
+), gone AS (
+  SELECT DISTINCT doc_id, i FROM (
+    SELECT doc_id, i, sum(words) OVER (PARTITION BY doc_id, other, diagonal, run) AS total FROM runs) WHERE total >= 10
+), marked AS (
+  SELECT l.doc_id, l.i, l.line, g.i IS NOT NULL AS gone,
+    g.i IS NOT NULL AND coalesce(lag(g.i) OVER (PARTITION BY l.doc_id ORDER BY l.i), -5) <> l.i - 1 AS begins
+  FROM l LEFT JOIN gone AS g ON g.doc_id = l.doc_id AND g.i = l.i
+), kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_runs,
+    string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents AS d LEFT JOIN kept USING (doc_id)
+"""
+
+EXPECTED: dict[str, str] = {"op8_line_dedup": LINES_SQL, "op2_near_dedup": NEAR_SQL, "op3_topk": TOPK_SQL}

@@ -44,6 +44,18 @@ def documents(spark):
     return spark.read.parquet(f"{DATA}/documents.parquet")
 
 
+@needs_tables
+@pytest.mark.parametrize("name", sorted(queries.EXPECTED))
+def test_queries_match_their_sql(spark, name):
+    connection = duckdb.connect()
+    for file in Path(DATA).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    found, cursor = queries.QUERIES[name](spark, DATA), connection.execute(queries.EXPECTED[name])
+    columns = [c[0] for c in cursor.description]
+    assert sorted(columns) == sorted(found.columns)
+    same(tuples(found, *columns), cursor.fetchall())
+
+
 # 1: substring deduplication
 
 SUBSTRING = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
