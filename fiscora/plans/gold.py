@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscora.catalog import BALANCE, CASH_FLOW, EARNINGS, GOLD_SCHEMA, GRAIN, INCOME, OVERVIEW
+from fiscora.catalog import BALANCE, CASH_FLOW, EARNINGS, ENDPOINTS, GOLD_SCHEMA, GRAIN, INCOME, OVERVIEW
 from fiscora.functions import exact_ratio, growth
 from fiscora.operators.latest import prior_year_value
 from fiscora.plans import silver
@@ -68,17 +68,32 @@ class SilverFrames:
             getattr(self, f.name).unpersist()
 
 
-def silver_for_gold(staging: dict[str, DataFrame]) -> SilverFrames:
-    """Silver narrowed to the mart's columns, which also narrows what is parsed."""
+MART_COLUMNS = {
+    INCOME.name: INCOME_COLUMNS,
+    BALANCE.name: BALANCE_COLUMNS,
+    CASH_FLOW.name: CASH_FLOW_COLUMNS,
+    EARNINGS.name: EARNINGS_COLUMNS,
+    OVERVIEW.name: OVERVIEW_COLUMNS,
+}
+
+
+def latest_for_gold(deliveries: dict[str, DataFrame]) -> SilverFrames:
+    """Silver, narrowed to the mart's columns, from typed rows before deduplication."""
+    models = {n: silver.latest(deliveries[n], ENDPOINTS[n], c) for n, c in MART_COLUMNS.items()}
     return SilverFrames(
-        income=silver.income_statement(staging["income_statement"], INCOME_COLUMNS),
-        balance=silver.balance_sheet(staging["balance_sheet"], BALANCE_COLUMNS),
-        cash_flow=silver.cash_flow(staging["cash_flow"], CASH_FLOW_COLUMNS),
-        earnings=silver.earnings(staging["earnings"], EARNINGS_COLUMNS),
-        overview=silver.overview(staging["overview"], OVERVIEW_COLUMNS),
+        income=models[INCOME.name],
+        balance=models[BALANCE.name],
+        cash_flow=models[CASH_FLOW.name],
+        earnings=models[EARNINGS.name],
+        overview=models[OVERVIEW.name],
     )
 
 
+def silver_for_gold(staging: dict[str, DataFrame]) -> SilverFrames:
+    """Silver narrowed to the mart's columns, which also narrows what is parsed."""
+    return latest_for_gold({n: silver.deliveries(staging[n], ENDPOINTS[n], c) for n, c in MART_COLUMNS.items()})
+
+
 def kpi(name: str) -> Column:
     numerator, denominator = RATIOS[name]
     return exact_ratio(F.col(numerator), F.col(denominator))

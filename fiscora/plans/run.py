@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 
 from fiscora.catalog import ENDPOINTS
 from fiscora.operators import audit, batching, quality
-from fiscora.plans.gold import build_gold, silver_for_gold
+from fiscora.plans.gold import MART_COLUMNS, build_gold, latest_for_gold
 from fiscora.plans.ingest import LakePaths, ingest, processed_keys
+from fiscora.sources import periods
 from fiscora.sources.audit_log import BATCH_EVENT, SUMMARY_SCHEMA, read_batch_summaries, write_log
-from fiscora.sources.bronze import empty_staging, endpoint_path, read_bronze
 from fiscora.sources.gold_table import read_gold, write_gold
-from fiscora.sources.paths import exists
 
 # Jobs run side by side, and the name of the mart in test reports.
 CONCURRENT_ENDPOINTS = 4
@@ -35,13 +34,14 @@ class RunResult:
     gold: DataFrame
 
 
-def bronze_staging(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    """Staging rows of every endpoint; empty where nothing was stored yet."""
-    frames = {}
-    for name in ENDPOINTS:
-        path = endpoint_path(paths.bronze, name)
-        frames[name] = read_bronze(spark, path) if exists(spark, path) else empty_staging(spark)
-    return frames
+def mart_deliveries(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
+    """Typed rows of every endpoint; only batches that are new since the last run are parsed."""
+
+    def typed(name: str) -> DataFrame:
+        return periods.deliveries(spark, paths.bronze, paths.periods, ENDPOINTS[name], MART_COLUMNS[name])
+
+    with ThreadPoolExecutor(CONCURRENT_ENDPOINTS) as pool:
+        return dict(zip(ENDPOINTS, pool.map(typed, ENDPOINTS), strict=True))
 
 
 def summarise(
@@ -78,7 +78,7 @@ def run(
     daily_limit: int | None = None,
     allow_partial: bool = True,
 ) -> RunResult:
-    """Ingest documents per endpoint, then rebuild Gold from all of Bronze.
+    """Ingest documents per endpoint, then rebuild Gold from the typed rows of all of Bronze.
 
     ``planned`` lists the ``(run_id, endpoint, symbol)`` asked for; without it, what
     arrived counts as the plan. A plan of more than ``daily_limit`` source calls is refused before
@@ -101,8 +101,8 @@ def run(
         if broken:
             raise BatchError(f"incomplete batches: {', '.join(sorted(broken))}")
 
-    # kept between the gate and the mart, so that Bronze is parsed once for both
-    frames = silver_for_gold(bronze_staging(spark, paths)).persist()
+    # kept between the gate and the mart, so that rows are deduplicated once for both
+    frames = latest_for_gold(mart_deliveries(spark, paths)).persist()
     try:
         silver_tests = silver_report(frames.by_endpoint())
         quality.require(silver_tests, "silver")

@@ -116,12 +116,31 @@ def statement_periods(
     return rows.select(*keys, *values, *TIEBREAK)
 
 
+def overview_snapshots(staging: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Typed overviews before deduplication. Text fields keep sentinels as they are."""
+    columns = list(columns or OVERVIEW.columns)
+    fields = [f for f in OVERVIEW.fields if f.column in columns]
+    flat = flatten_document(staging, OVERVIEW, [f.source for f in fields])
+    values = (typed(F.col(f"`{f.source}`"), f.dtype).alias(f.column) for f in fields)
+    return flat.select(*PARTITION_COLUMNS, "symbol", *values, *TIEBREAK)
+
+
+def deliveries(staging: DataFrame, endpoint: Endpoint, columns: Sequence[str]) -> DataFrame:
+    """Every typed row of an endpoint that Bronze holds, before deduplication."""
+    return overview_snapshots(staging, columns) if endpoint.is_flat else statement_periods(staging, endpoint, columns)
+
+
+def latest(rows: DataFrame, endpoint: Endpoint, columns: Sequence[str]) -> DataFrame:
+    """The model of an endpoint from its ``deliveries``."""
+    return latest_ingest(rows, ["symbol"] if endpoint.is_flat else GRAIN, TIEBREAK).select(*columns)
+
+
 def statement(
     staging: DataFrame, endpoint: Endpoint, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per ``(symbol, fiscaldateending, report_type)``, the latest ingested."""
     columns = list(columns or endpoint.columns)
-    return latest_ingest(statement_periods(staging, endpoint, columns), GRAIN, TIEBREAK).select(*columns)
+    return latest(deliveries(staging, endpoint, columns), endpoint, columns)
 
 
 def income_statement(staging: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -142,20 +161,7 @@ def earnings(staging: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 def overview(staging: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The latest company snapshot per symbol. Text fields keep sentinels as they are."""
-    columns = list(columns or OVERVIEW.columns)
-    fields = [f for f in OVERVIEW.fields if f.column in columns]
-    flat = flatten_document(staging, OVERVIEW, [f.source for f in fields])
-    latest = latest_ingest(
-        flat.select(
-            *PARTITION_COLUMNS,
-            "symbol",
-            *(typed(F.col(f"`{f.source}`"), f.dtype).alias(f.column) for f in fields),
-            *TIEBREAK,
-        ),
-        ["symbol"],
-        TIEBREAK,
-    )
-    return latest.select(*columns)
+    return statement(staging, OVERVIEW, columns)
 
 
 MODELS = {

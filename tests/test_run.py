@@ -10,6 +10,7 @@ from fiscora.catalog import ENDPOINTS, INCOME
 from fiscora.operators import audit
 from fiscora.operators.quality import QualityGateError
 from fiscora.plans import silver
+from fiscora.plans.gold import gold_from_bronze
 from fiscora.plans.ingest import LakePaths
 from fiscora.plans.run import BatchError, run
 from fiscora.sources import audit_log, bronze
@@ -49,6 +50,31 @@ def test_two_runs(spark, tmp_path):
     assert rows(logged.groupBy("run_id").count(), "run_id", "count") == [("run-1", 5), ("run-2", 5)]
 
 
+def test_a_run_parses_new_batches_only(spark, tmp_path):
+    """Gold of three runs equals Gold from Bronze; typed rows of old batches stay as they are."""
+    paths = LakePaths.under(str(tmp_path / "lake"))
+    for number, symbols in enumerate(("AB", "C", "D")):
+        result = run(spark, landing(spark, 7 + number, *(documents(s) for s in symbols)), paths, f"run-{number}")
+        folder = Path(paths.periods) / "income_statement"
+        assert sorted(p.name for p in folder.iterdir()) == [f"batch={n}" for n in range(number + 1)]
+        written = {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet") if f"batch={number}" not in str(p)}
+        if number:
+            assert written.items() >= before.items()
+        before = {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+    stores = {n: bronze.read_bronze(spark, bronze.endpoint_path(paths.bronze, n)) for n in ENDPOINTS}
+    columns = result.gold.columns
+    assert rows(result.gold, *columns) == rows(gold_from_bronze(stores), *columns) and result.gold.count() == 4
+
+
+def test_a_plan_above_the_daily_limit_is_refused(spark, tmp_path):
+    planned = spark.createDataFrame([("r", name, s) for name in ENDPOINTS for s in "AB"], "run_id string, endpoint string, symbol string")
+    paths = LakePaths.under(str(tmp_path / "lake"))
+    with pytest.raises(ValueError, match="above the daily limit"):
+        run(spark, landing(spark, 7, documents("A")), paths, "r", planned=planned, daily_limit=9)
+    assert not Path(paths.bronze).exists()
+    assert run(spark, landing(spark, 7, documents("A")), paths, "r", planned=planned, daily_limit=10).gold.count() == 1
+
+
 def test_partial_and_strict_runs(spark, tmp_path):
     broken = {**documents("B"), "cash_flow": {}}
     planned = spark.createDataFrame(
