@@ -35,7 +35,8 @@ class Workspace:
     """Tables of one run, written as Parquet in the folder that all executors share.
 
     A written table cuts the lineage: a lost executor costs the tasks of one step,
-    not the steps before it. ``drop`` frees a table that no later step reads.
+    not the steps before it. ``drop`` frees a table that no later step reads; what the
+    result still reads stays in the folder, for its owner to clear.
     """
 
     def __init__(self, spark: SparkSession, purpose: str) -> None:

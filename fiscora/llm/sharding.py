@@ -111,8 +111,14 @@ def assign(documents: DataFrame, limit: int) -> DataFrame:
 
 def write_shards(documents: DataFrame, path: str, limit: int) -> None:
     """Write every row with all its columns, one folder ``shard=b<bits>`` per shard."""
+    if "shard" in documents.columns:
+        raise ValueError("a column is already named shard")
     work = Workspace(documents.sparkSession, "sharding")
-    rows = narrow(documents, "doc_id", "text").select(F.xxhash64("doc_id", "text").alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    shards = place(work.put(rows, "sized"), limit, work).select("h", F.concat(F.lit("b"), bits("prefix", "depth")).alias("shard")).distinct()
-    keyed = documents.withColumn("h", F.xxhash64(documents["doc_id"], documents["text"]))
-    keyed.join(shards, "h").drop("h").repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    placed = place(work.put(sized_rows(documents).drop("doc_id"), "sized"), limit, work)
+    shards = placed.select("h", F.concat(F.lit("b"), bits("prefix", "depth")).alias("shard")).distinct()
+    names = documents.columns
+    plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
+    keyed = plain.withColumn("h", F.xxhash64(*(f"c{names.index(n)}" for n in ("doc_id", "text"))))
+    # a shard is bounded by the limit, so one task can write it
+    rows = keyed.join(shards, "h").drop("h").toDF(*names, "shard").repartition("shard")
+    rows.write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -354,8 +354,9 @@ def test_op6_odd_rows(odd, nothing, tmp_path):
     same([(r["doc_id"], r["n_bytes"]) for r in rows], [(i, len((t or "").encode())) for i, t, *_ in plain.odd_rows()])
     leaf_check(rows, 500)
     assert sharding.assign(nothing, 500).count() == 0
-    sharding.write_shards(odd.drop("h"), str(tmp_path / "shards"), 500)
+    sharding.write_shards(odd, str(tmp_path / "shards"), 500)
     back = odd.sparkSession.read.parquet(str(tmp_path / "shards"))
+    assert back.columns == [*odd.columns, "shard"]
     same([(r["doc_id"], r["text"]) for r in back.collect()], [(i, t) for i, t, *_ in plain.odd_rows()])
 
 
