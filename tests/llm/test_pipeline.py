@@ -86,3 +86,23 @@ def test_empty_documents_pass_through(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
     assert docs.count() == 0
+
+
+def test_odd_rows_pass_through(spark):
+    """Nulls, blank and very long texts, repeated rows, and columns named like internal ones."""
+    docs = spark.createDataFrame(plain.odd_rows(), plain.DOCUMENTS)
+    ids = Counter(r["doc_id"] for r in docs.collect())
+    expected = {
+        "toxicity": ids,
+        # later copies of whole texts are gone, blank texts are not
+        "line_dedup": ids - Counter([2, 2, None, 11, 11]),
+        "near_dedup": Counter([1, 3, 4, 5, 6, 7, 9, 10, 12, 14, 16, 17, None]),
+        "decontamination": Counter([1, 3, 4, 5, 6, 7, 9, 10, 12, 14, 16, 17, None]),
+    }
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, DATA)
+        assert after.columns == docs.columns
+        assert Counter(r["doc_id"] for r in after.collect()) == expected[name], name
+        docs = after
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
+    assert {r["doc_id"] for r in packed.collect()} == set(expected["decontamination"])
