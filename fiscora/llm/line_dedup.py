@@ -60,6 +60,8 @@ def _rows(documents: DataFrame) -> DataFrame:
 def _repeated(level: DataFrame, work: Workspace, name: str) -> DataFrame:
     """The places whose name occurs more than once."""
     often = level.groupBy("name").agg(F.count("*").alias("seen")).filter("seen > 1").select("name")
+    # written first: a join of two plain shuffles can be split where one name holds very many places
+    often = work.put(often, f"{name}-names")
     return work.put(level.join(often, "name"), name)
 
 
@@ -89,7 +91,8 @@ def later_copies(documents: DataFrame, min_words: int, work: Workspace) -> DataF
         pairs = level.select(
             *DOC, "line", "name", F.lead("name", step).over(order).alias("next"), F.lead("line", step).over(order).alias("next_line")
         ).filter(F.col("next_line") == F.col("line") + step)
-        level = _repeated(pairs.select(*DOC, "line", F.xxhash64("name", "next").alias("name")), work, f"level{k}")
+        pairs = work.put(pairs.select(*DOC, "line", F.xxhash64("name", "next").alias("name")), f"pairs{k}")
+        level = _repeated(pairs, work, f"level{k}")
         names = names.unionByName(level.select(*DOC, "line", F.lit(k).alias("k"), "name"))
 
     half = F.expr("a + n - shiftleft(1, k)")
@@ -99,6 +102,7 @@ def later_copies(documents: DataFrame, min_words: int, work: Workspace) -> DataF
     named = work.put(named.select("doc_id", *DOC, "a", "n", F.xxhash64("front", "back", "n").alias("run")), "named")
     place = F.struct(position.alias("d"), "a")
     first = named.groupBy("run").agg(F.min(place).alias("first"), F.count("*").alias("seen")).filter("seen > 1").select("run", "first")
+    first = work.put(first, "first")
     copies = named.join(first, "run").filter(place > F.col("first"))
     removed = (
         copies.select(*DOC, F.explode(F.expr("sequence(a, a + n - 1)")).alias("line"))

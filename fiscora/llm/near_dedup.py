@@ -216,7 +216,8 @@ def _classes(documents: DataFrame, size: int, percent: int, work: Workspace) ->
     ties = banded.join(shared, "band").filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
     clusters = components(work.put(ties.distinct(), "ties"), work, "cluster")
 
-    sized = clusters.groupBy("root").agg(F.count("*").alias("members"))
+    # aggregates are written before they are joined: a join of two plain shuffles can be split at a hot key
+    sized = work.put(clusters.groupBy("root").agg(F.count("*").alias("members")), "sized")
     total = clusters.count()
     tasks = partitions(total, TASK_NODES)
     parts = F.ceil(F.col("members") / TASK_NODES).cast("int")
@@ -265,7 +266,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     work = Workspace(documents.sparkSession, "near")
     found = _classes(documents, size, percent, work)
     with_class = work.put(found.select("doc_id", "k1", "k2", "n_shingles", "root"), "classes")
-    least = with_class.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    least = work.put(with_class.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     named = with_class.join(least, "root", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     )

@@ -339,7 +339,8 @@ def repeated_ranges(documents: DataFrame, length: int, work: Workspace) -> DataF
     rows = narrow(documents, "text").filter(F.octet_length("text") >= length).select(F.xxhash64("text").alias("t"), "text")
     blocks = work.put(rows.mapInArrow(_block_rows(length), BLOCK), "blocks")
     keys = blocks.groupBy("key").agg(F.count("*").alias("seen"), F.min("content").alias("lo"), F.max("content").alias("hi"))
-    keys = keys.filter("seen > 1").select("key", (F.col("lo") != F.col("hi")).alias("mixed"))
+    # written first: a join of two plain shuffles can be split where one key holds very many blocks
+    keys = work.put(keys.filter("seen > 1").select("key", (F.col("lo") != F.col("hi")).alias("mixed")), "keys")
     blocks = work.put(blocks.join(keys, "key"), "shared")
     work.drop("blocks")
 
