@@ -129,7 +129,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     ).dropDuplicates(["k1", "k2"])
     items = narrow(benchmark, "item_id", "text").filter(F.col("text").isNotNull())
     items = items.select(
-        F.col("item_id").alias("i"), text_key("text", 2).alias("ik"), raw_tokens(F.col("text")).alias("item_raw"), template(F.col("text")).alias("t")
+        F.col("item_id").alias("i"),
+        text_key("text", 2).alias("ik"),
+        raw_tokens(F.col("text")).alias("item_raw"),
+        template(F.col("text")).alias("t"),
     ).distinct()
     sides = enough.join(texts, ["k1", "k2"]).join(items, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("ik")))
     slots = F.expr(

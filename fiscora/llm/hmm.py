@@ -140,7 +140,8 @@ def vocabulary(texts: DataFrame, n_texts: int, work: Workspace) -> tuple[DataFra
     )
 
 
-ENCODED = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, within double, symbols binary, rare array<long>, rare_class array<int>"
+COUNTED = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, within double"
+ENCODED = f"{COUNTED}, symbols binary, rare array<long>, rare_class array<int>"
 
 
 def _encode(vocabulary: Vocabulary):
@@ -367,7 +368,8 @@ def score(documents: DataFrame, held_out: Column, rounds: int = ROUNDS) -> DataF
     encoded = work.put(numbered.mapInArrow(_encode(known), ENCODED), "encoded")
     parameters = train(encoded.filter(~F.col("held_out")), rounds)
 
-    words = encoded.select("row", F.explode(F.arrays_zip("rare", "rare_class")).alias("w")).select("row", F.col("w.rare").alias("h"), F.col("w.rare_class").alias("cls"))
+    words = encoded.select("row", F.explode(F.arrays_zip("rare", "rare_class")).alias("w"))
+    words = words.select("row", F.col("w.rare").alias("h"), F.col("w.rare_class").alias("cls"))
     totals = [float(x) for x in known.class_total]
     counted = words.join(table.select("h", "c"), "h", "left")
     count = F.coalesce("c", F.lit(0)) + SMOOTH
@@ -380,12 +382,10 @@ def score(documents: DataFrame, held_out: Column, rounds: int = ROUNDS) -> DataF
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = forward_log10(_sequences(batch), parameters)
-            kept = [batch.column(c) for c in ("doc_id", "held_out", "row", "n_tokens", "n_known", "base", "within")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(found)], names=["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "within", "chain"])
+            names = [c.split()[0] for c in COUNTED.split(", ")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found)], names=[*names, "chain"])
 
-    scored = encoded.drop("rare", "rare_class").mapInArrow(
-        forward, "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, within double, chain double"
-    )
+    scored = encoded.drop("rare", "rare_class").mapInArrow(forward, f"{COUNTED}, chain double")
     return scored.join(per_text, "row", "left").select(
         "doc_id",
         "held_out",

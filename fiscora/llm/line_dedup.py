@@ -121,12 +121,13 @@ def _cut(keyed: DataFrame, removed: DataFrame, min_words: int) -> DataFrame:
         again & (F.regexp_count("text", F.lit(WORD)) >= min_words), F.sequence(F.lit(0), F.size("lines") - 1)
     ).otherwise(F.coalesce("removed", F.array().cast("array<int>")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")
+    left = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
     return (
         keyed.join(removed, list(DOC), "left")
         .withColumn("lines", F.split("text", "\n"))
         .withColumn("removed", gone)
         .withColumn("n_lines", F.coalesce(F.greatest(F.size("lines"), F.lit(0)), F.lit(0)))
-        .withColumn("kept", F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")))
+        .withColumn("kept", F.when(F.size("removed") == 0, F.col("text")).otherwise(left))
         .drop("lines")
     )
 

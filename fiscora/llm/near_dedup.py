@@ -202,9 +202,8 @@ def _solve_cluster(members, sketch, sets, side, node, least: int, percent: int)
 
 def _classes(documents: DataFrame, size: int, percent: int, work: Workspace) -> DataFrame:
     """Every document row: ``doc_id``, ``k1``, ``k2``, ``n_shingles``, ``node``, ``root``."""
-    rows = narrow(documents, "doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.col("doc_id").cast("long"), "text").alias("k1"), text_key("text", 1).alias("k2")
-    )
+    rows = narrow(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = rows.withColumn("k1", F.xxhash64("doc_id", "text")).withColumn("k2", text_key("text", 1))
     found = work.put(rows.mapInArrow(_sketch_rows(size), SKETCH), "sketches")
     # One row stands for each shingle set.
     sets = found.filter("n_shingles > 0").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("rep"))
@@ -223,17 +222,17 @@ def _classes(documents: DataFrame, size: int, percent: int, work: Workspace) ->
     parts = F.ceil(F.col("members") / TASK_NODES).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(3)), parts).cast("int")
     # A small cluster goes whole to one task, with others; the parts of a large one meet two by two.
+    shared_task = F.struct(
+        F.lit(0).cast("long").alias("c"), F.pmod(F.xxhash64("cluster"), F.lit(tasks)).cast("int").alias("i"), F.lit(-1).alias("j")
+    )
+    own_task = F.struct(F.col("cluster").alias("c"), F.col("low").alias("i"), F.col("high").alias("j"))
     dealt = (
         clusters.join(sized, "root")
         .select("node", F.col("root").alias("cluster"), parts.alias("parts"), own.alias("own"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("low", F.least("own", "other"))
         .withColumn("high", F.greatest("own", "other"))
-        .withColumn(
-            "task",
-            F.when(F.col("parts") == 1, F.struct(F.lit(0).cast("long").alias("c"), F.pmod(F.xxhash64("cluster"), F.lit(tasks)).cast("int").alias("i"), F.lit(-1).alias("j")))
-            .otherwise(F.struct(F.col("cluster").alias("c"), F.col("low").alias("i"), F.col("high").alias("j"))),
-        )
+        .withColumn("task", F.when(F.col("parts") == 1, shared_task).otherwise(own_task))
         .select("node", "cluster", F.col("own").alias("side"), "task")
     )
     # A clustered set is read again from the row that stands for it. Only such rows' texts go to the tasks.

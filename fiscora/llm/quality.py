@@ -49,8 +49,9 @@ def indicators(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             chain = mix(chain[:-1] * np.uint64(31) + one[j:]) if len(chain) > 1 else chain[:0]
             inside = owner[: len(chain)] == owner[j:] if len(chain) else owner[:0]
             grams.append((chain[inside], owner[: len(chain)][inside]))
-        keys = np.concatenate([(o.astype(np.uint64) << np.uint64(BITS)) | (mix(h + np.uint64(i)) >> np.uint64(64 - BITS)) for i, (h, o) in enumerate(grams)])
-        keys = np.unique(keys)
+        columns = [mix(h + np.uint64(i)) >> np.uint64(64 - BITS) for i, (h, _) in enumerate(grams)]
+        keys = [(o.astype(np.uint64) << np.uint64(BITS)) | c for (_, o), c in zip(grams, columns, strict=True)]
+        keys = np.unique(np.concatenate(keys))
         bounds = np.searchsorted(keys, np.arange(len(some) + 1, dtype=np.uint64) << np.uint64(BITS))
         yield (keys & np.uint64((1 << BITS) - 1)).astype(np.int32), bounds
 

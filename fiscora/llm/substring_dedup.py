@@ -360,8 +360,8 @@ def repeated_ranges(documents: DataFrame, length: int, work: Workspace) -> DataF
     whole = blocks.filter("not mixed").select("t", "size", F.col("start").alias("a"), (F.col("start") + F.col("n")).alias("b"))
     part = blocks.filter("mixed").join(verdicts, ["key", "content"]).select("t", "size", "start", F.explode(F.expr(_pairs("cover"))).alias("r"))
     part = part.select("t", "size", (F.col("start") + F.col("r.a")).alias("a"), (F.col("start") + F.col("r.b")).alias("b"))
-    ranges = whole.unionByName(part).distinct().groupBy("t", "size").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))  # at most a text's blocks
-    ranges = work.put(ranges, "ranges")
+    found = whole.unionByName(part).distinct().groupBy("t", "size")
+    ranges = work.put(found.agg(F.collect_list(F.struct("a", "b")).alias("ranges")), "ranges")  # at most a text's blocks
     work.drop("shared", "distinct", "cut")
     return ranges
 
@@ -402,6 +402,8 @@ def deduplicate(documents: DataFrame, length: int = LENGTH, keep_bytes: bool = F
     ).withColumn("t", F.xxhash64(F.col("text").cast("string"))).withColumn("size", F.length("text"))
     joined = rows.join(ranges, ["t", "size"], "left").select("doc_id", "text", "ranges")
 
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_bytes else [])]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[int, int, int, str]] = []
@@ -413,9 +415,7 @@ def deduplicate(documents: DataFrame, length: int = LENGTH, keep_bytes: bool = F
                 out.append((len(text), len(text) - len(kept), len(removed), hashlib.sha256(kept).hexdigest()))
             columns = [pa.array([r[i] for r in out], pa.string() if i == 3 else pa.int64()) for i in range(4)]
             extra = [pa.array(kept_texts, pa.binary())] if keep_bytes else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *columns, *extra], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_bytes else [])]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, *extra], names=names)
 
     id_type = joined.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(

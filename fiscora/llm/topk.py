@@ -74,7 +74,8 @@ def _first_phase(k: int, segments: int):
             depth = min(k + 1, len(ids))  # one more, since the query itself may head a list
             for rows, local in _segments(_matrix(queries["v"]), _matrix(vectors["v"]), segments):
                 total = local.sum(axis=0)
-                heads = np.argpartition(-local, depth - 1, axis=2)[:, :, :depth] if local.dtype != object else np.argsort(-local, axis=2)[:, :, :depth]
+                best_first = np.argsort(-local, axis=2) if local.dtype == object else np.argpartition(-local, depth - 1, axis=2)
+                heads = best_first[:, :, :depth]
                 for i, query in enumerate(q_ids[rows]):
                     seen = np.unique(heads[:, i, :])
                     seen = seen[ids[seen] != query]
