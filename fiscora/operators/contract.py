@@ -335,7 +335,8 @@ def _without_exponents(raw: Column, names: str) -> Column:
         number = F.regexp_extract(member, rf":\s*({_EXPONENT})", 1)
         value = number.try_cast(_EXACT)
         digits = value.try_cast("decimal(38,0)").cast("string")
-        return F.when(F.coalesce(value % 1 == 0, F.lit(False)), F.replace(document, member, F.replace(member, number, digits))).otherwise(document)
+        whole = F.coalesce(value % 1 == 0, F.lit(False))
+        return F.when(whole, F.replace(document, member, F.replace(member, number, digits))).otherwise(document)
 
     return F.when(raw.rlike(rf":\s*{_EXPONENT}\s*[,}}]"), F.aggregate(found, raw, written_out)).otherwise(raw)
 
