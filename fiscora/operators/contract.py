@@ -54,10 +54,14 @@ def _is_missing(value: Column) -> Column:
     return value.isNull() | F.is_variant_null(value)
 
 
-def _is_date(value: Column) -> Column:
-    text = F.try_variant_get(value, "$", "string")
-    valid = text.rlike(_ISO_DATE) & text.try_cast("date").isNotNull()
-    return _is_string(value) & F.coalesce(valid, F.lit(False))
+def _is_date(text: Column) -> Column:
+    """Dates are read as text: no JSON value but a string looks like one."""
+    return F.coalesce(text.rlike(_ISO_DATE) & text.try_cast("date").isNotNull(), F.lit(False))
+
+
+def _date_text(text: Column) -> Column:
+    """The text of a date field; NULL for an object or array."""
+    return F.when(~text.rlike(r"^\s*[\[{]"), text)
 
 
 def _is_large_whole(text: Column) -> Column:
@@ -117,7 +121,7 @@ def _report_texts(endpoint: Endpoint) -> list[str]:
 
 
 def contract_schema(endpoint: Endpoint) -> T.StructType:
-    """Read schema for validation: text fields as VARIANT, so that their JSON type shows."""
+    """Read schema for validation: text fields as VARIANT, so that their JSON type shows; dates as text."""
     notes = [T.StructField(n, T.StringType()) for n in (NOTE, INFORMATION, ERROR_MESSAGE)]
     texts = _report_texts(endpoint)
     scalars = [
@@ -127,7 +131,9 @@ def contract_schema(endpoint: Endpoint) -> T.StructType:
     key = T.StructField(endpoint.key, T.VariantType())
     if endpoint.is_flat:
         return T.StructType([key, *notes, *scalars])
-    report = T.StructType([T.StructField(t, T.VariantType()) for t in texts] + scalars)
+    dates = (DATE_FIELD, _REPORTED_DATE)
+    kinds = [T.StructField(t, T.StringType() if t in dates else T.VariantType()) for t in texts]
+    report = T.StructType(kinds + scalars)
     arrays = [T.StructField(a, T.ArrayType(report)) for a in endpoint.arrays]
     return T.StructType([key, *notes, *arrays])
 
@@ -165,7 +171,7 @@ def _report_text_checks(endpoint: Endpoint, array: str, report: Column) -> list[
         checks.append((~_is_string(report[_CURRENCY]), f"{array}.{_CURRENCY}: not a string"))
     if endpoint.quarterly_only and array != endpoint.annual:
         reported, time = report[_REPORTED_DATE], report[_REPORT_TIME]
-        checks.append((~(_is_missing(reported) | _is_date(reported)), f"{array}.{_REPORTED_DATE}: not a date"))
+        checks.append((reported.isNotNull() & ~_is_date(reported), f"{array}.{_REPORTED_DATE}: not a date"))
         checks.append((~(_is_missing(time) | _is_string(time)), f"{array}.{_REPORT_TIME}: not a string"))
     return checks
 
@@ -226,7 +232,7 @@ def fiscal_probe(doc: Column, endpoint: Endpoint, rule: str = "first") -> Column
             F.array(
                 *(
                     F.coalesce(
-                        F.transform(doc[a], lambda r: scalar_text(r[DATE_FIELD])),
+                        F.transform(doc[a], lambda r: _date_text(r[DATE_FIELD])),
                         F.array().cast("array<string>"),
                     )
                     for a in endpoint.probe_order
@@ -234,7 +240,7 @@ def fiscal_probe(doc: Column, endpoint: Endpoint, rule: str = "first") -> Column
             )
         )
         return F.array_max(dates)
-    return F.coalesce(*(scalar_text(F.get(doc[a], F.lit(0))[DATE_FIELD]) for a in endpoint.probe_order))
+    return F.coalesce(*(_date_text(F.get(doc[a], F.lit(0))[DATE_FIELD]) for a in endpoint.probe_order))
 
 
 def payload_row_count(raw: Column) -> Column:
