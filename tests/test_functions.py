@@ -156,8 +156,8 @@ def test_weekday_starts_on_monday(spark):
 @pytest.mark.parametrize(
     ("message", "expected"),
     [
-        ("url?function=X&apikey=abc123&z=1", "url?function=X&apikey=***REDACTED_API_KEY***&z=1"),
-        ("detected your API key as TEST-1 and", "detected your API key as ***REDACTED_API_KEY*** and"),
+        ("https://feed.test/q?apikey=k-99&n=5", "https://feed.test/q?apikey=***REDACTED_API_KEY***&n=5"),
+        ("we know the API key as QQ_77, twice", "we know the API key as ***REDACTED_API_KEY***, twice"),
         ("body s3cret$1 end", "body ***REDACTED_API_KEY*** end"),
         (None, ""),
     ],
