@@ -90,7 +90,7 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(words.hashes)
     counts = np.diff(words.bounds)
     chain = words.hashes.copy()
-    for j in range(1, size):
+    for j in range(1, min(size, n)):
         chain[: n - j] = mix(chain[: n - j] * _MUL1 + words.hashes[j:] * _MUL3 + np.uint64(j))
     # the shingle at a word is whole if the text has enough words from there on
     owners = words.owners()

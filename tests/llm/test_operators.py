@@ -140,6 +140,21 @@ def test_op2_chain_of_near_copies_is_one_class(spark, monkeypatch):
     same(tuples(near_dedup.near_duplicates(frame, 3, 85), *NEAR), plain.near_classes(rows, 3, 85))
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5])
+def test_shingles_of_few_words_in_all(size):
+    for n in range(6):
+        text = " ".join(f"w{i}" for i in range(n))
+        hashes, bounds = near_dedup.shingles(near_dedup.Words([text.encode()]), size)
+        assert len(hashes) == len(set(hashes.tolist())) == len(plain.shingle_set(text, size)) and bounds.tolist() == [0, len(hashes)]
+
+
+def test_op2_one_short_row(spark):
+    for n in (2, 3):  # fewer than size - 1
+        rows = [(1, " ".join("abcde"[:n]))]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        same(tuples(near_dedup.near_duplicates(frame, 5, 80), *NEAR), plain.near_classes(rows, 5, 80))
+
+
 def test_sketch_fills_every_coordinate_and_estimates():
     random = np.random.default_rng(5)
     a = random.integers(0, 2**63, size=300).astype(np.uint64)
