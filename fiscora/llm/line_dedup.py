@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from fiscora.llm.common import Workspace, narrow, text_key
 from fiscora.llm.packing import WORD
 
-MIN_WORDS = 10
+MIN_WORDS = 1
 
 DOC = ("k1", "k2")  # hashes of id and text
 
@@ -141,7 +141,7 @@ def deduplicate(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``n_lines``, ``n_removed``, ``n_runs`` (stretches of removed lines) and ``kept`` (what is left).
 
     Lines are separated by line feeds and compared byte for byte. Texts below ``min_words``
-    and lines repeated alone with fewer words stay. A NULL text has no lines and stays NULL. Of
+    and lines repeated alone with fewer words stay; at 1, only blank runs do. A NULL text has no lines and stays NULL. Of
     rows equal in id and text, all but one are later copies as a whole. An empty table gives
     no rows. Other columns are ignored.
     """

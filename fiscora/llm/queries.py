@@ -52,7 +52,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    found = line_dedup.deduplicate(table(spark, sf_dir, "documents"), min_words=10)
     return found.withColumn("kept_sha256", F.sha2(F.coalesce("kept", F.lit("")), 256)).drop("kept")
 
 

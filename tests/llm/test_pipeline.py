@@ -54,6 +54,13 @@ def test_repeated_lines_go(stages):
     assert all(r["n_chars"] == len(r["text"]) for r in after.collect())
 
 
+def test_no_later_copy_of_a_line_stays(spark):
+    rows = [(1, "MIT License\n\nfirst text of its own"), (2, "}\n\nMIT License"), (3, "second text\nMIT License\n}\n\nend"), (4, "}")]
+    docs = spark.createDataFrame([(i, t, *plain.FILL) for i, t in rows], plain.DOCUMENTS)
+    after = corpus_pipeline.dedup_lines(spark, docs, DATA)
+    assert {r["doc_id"]: r["text"] for r in after.collect()} == {1: rows[0][1], 2: "}\n", 3: "second text\nend"}
+
+
 def test_one_of_each_class_stays(stages):
     before, after = stages["near_dedup"]
     texts = rows(before)
