@@ -6,6 +6,9 @@ joined with the windows of the benchmark, so a question with other numbers or na
 meets its original. For the pairs that meet, the slots are compared: along one alignment
 each benchmark value must stand for one document value and the reverse. A passage that
 swaps roles or mixes values is not the same question.
+
+Beside the templates run the words and numbers as they stand, without case: a literal copy is
+found in any case, however short the item and however few its words.
 """
 
 from __future__ import annotations
@@ -16,8 +19,8 @@ from pyspark.sql import functions as F
 from fiscora.llm.common import Workspace, narrow, text_key
 
 WINDOW = 8
-LEAST_WINDOW = 5  # shorter benchmark items identify nothing
-LEAST_LITERALS = 4  # words that a window must keep beside its placeholders
+LEAST_WINDOW = 5  # shorter templates identify nothing
+LEAST_LITERALS = 4  # words that a template window must keep beside its placeholders
 BROADCAST_HASHES = 1_000_000  # 8 bytes each
 LEAST_WINDOWS = 3  # windows that must meet, or all of an item that has fewer
 
@@ -49,11 +52,26 @@ def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({TOKEN_PATTERN})"), F.lit(1))
 
 
-def windows(tokens: str, size: int) -> Column:
-    """Hashes of all windows of ``size`` tokens; NULL for shorter texts."""
+def folded_case(text: Column) -> Column:
+    """A text without case; ``ß`` equals ``SS``, a final sigma any other."""
+    return F.replace(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+
+
+def literals(text: Column) -> Column:
+    """Words and numbers as they stand, without case; in step with the template."""
+    return raw_tokens(folded_case(text))
+
+
+LITERAL, TEMPLATE = 0, 1
+STREAMS = {LITERAL: literals, TEMPLATE: template}
+
+
+def windows(tokens: str, size: int, stream: int) -> Column:
+    """Hashes of all windows of ``size`` tokens; none for shorter texts."""
     parts = ", ".join(f"get({tokens}, i + {j})" for j in range(size))
     return F.expr(
-        f"case when size({tokens}) >= {size} then transform(sequence(0, size({tokens}) - {size}), i -> xxhash64({parts})) end"
+        f"case when size({tokens}) >= {size} then transform(sequence(0, size({tokens}) - {size}), i -> xxhash64({stream}, {size}, {parts})) "
+        "else cast(array() as array<bigint>) end"
     )
 
 
@@ -62,14 +80,29 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), text_key("text", 1).alias("k2"))
 
 
-def benchmark_windows(benchmark: DataFrame, size: int) -> DataFrame:
-    """``item_id``, ``item_key``, ``at``, ``h``, ``needed`` for items that are matched with this window size."""
+def _items(benchmark: DataFrame) -> DataFrame:
     items = narrow(benchmark, "item_id", "text").filter(F.col("text").isNotNull())
-    items = items.select("item_id", text_key("text", 2).alias("item_key"), template(F.col("text")).alias("t")).distinct()
+    return items.withColumn("item_key", text_key("text", 2))
+
+
+def window_sizes(benchmark: DataFrame) -> list[tuple[int, int]]:
+    """``(stream, size)`` of all windows that the benchmark asks for."""
+    found = []
+    for stream, tokens in STREAMS.items():
+        least = 1 if stream == LITERAL else LEAST_WINDOW
+        lengths = _items(benchmark).select(F.size(tokens(F.col("text"))).alias("n")).filter(F.col("n").between(least, WINDOW - 1))
+        found += [(stream, n) for n in [WINDOW, *sorted(r["n"] for r in lengths.distinct().collect())]]  # fewer than WINDOW values
+    return found
+
+
+def benchmark_windows(benchmark: DataFrame, stream: int, size: int) -> DataFrame:
+    """``item_id``, ``item_key``, ``at``, ``h``, ``needed`` for items that are matched with this window size."""
+    items = _items(benchmark).select("item_id", "item_key", STREAMS[stream](F.col("text")).alias("t")).distinct()
     fits = F.size("t") >= size if size == WINDOW else F.size("t") == size
-    exploded = items.filter(fits).select("item_id", "item_key", "t", F.posexplode(windows("t", size)).alias("at", "h"))
-    literal = F.expr(f"size(filter(slice(t, at + 1, {size}), x -> x not in ('{NUMBER}', '{NAME}', '{UNIT}')))")
-    usable = exploded.filter(literal >= LEAST_LITERALS)
+    usable = items.filter(fits).select("item_id", "item_key", "t", F.posexplode(windows("t", size, stream)).alias("at", "h"))
+    if stream != LITERAL:
+        literal = F.expr(f"size(filter(slice(t, at + 1, {size}), x -> x not in ('{NUMBER}', '{NAME}', '{UNIT}')))")
+        usable = usable.filter(literal >= LEAST_LITERALS)
     needed = usable.groupBy("item_id", "item_key").agg(F.least(F.count("*"), F.lit(LEAST_WINDOWS)).alias("needed"))
     # an item without an id is told apart by its text alone
     match = needed.select(F.col("item_id").alias("i"), F.col("item_key").alias("ik"), "needed")
@@ -78,6 +111,28 @@ def benchmark_windows(benchmark: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _met(rows: DataFrame, benchmark: DataFrame, work: Workspace) -> DataFrame:
+    """Windows of documents that meet windows of items."""
+    kinds = window_sizes(benchmark)
+    wanted: DataFrame | None = None
+    for i, (stream, size) in enumerate(kinds):
+        some = benchmark_windows(benchmark, stream, size).select("*", F.lit(i).alias("kind"), F.lit(stream).alias("stream"), F.lit(size).alias("size"))
+        wanted = some if wanted is None else wanted.unionByName(some)
+    wanted = work.put(wanted, "windows")
+    hashes = work.put(wanted.select("h").distinct(), "hashes")
+    tokens = rows.select("k1", "k2", *[tokens(F.col("text")).alias(f"t{stream}") for stream, tokens in STREAMS.items()])
+    hashed = tokens.select("k1", "k2", *[windows(f"t{stream}", size, stream).alias(f"w{i}") for i, (stream, size) in enumerate(kinds)])
+    # all kinds in one array; the counts tell a window's place among its own kind
+    counts, every = [F.size(f"w{i}").alias(f"n{i}") for i in range(len(kinds))], F.concat(*[f"w{i}" for i in range(len(kinds))])
+    exploded = hashed.select("k1", "k2", *counts, F.posexplode(every).alias("place", "h"))
+    # The corpus is probed where it lies while the benchmark's hashes are few; else both sides shuffle.
+    few = hashes.count() <= BROADCAST_HASHES
+    exploded = exploded.join(F.broadcast(hashes) if few else hashes, "h", "left_semi")
+    before = sum((F.when(F.col("kind") > i, F.col(f"n{i}")).otherwise(0) for i in range(len(kinds))), F.lit(0))
+    pairs = exploded.join(wanted, "h").withColumn("pos", F.col("place") - before)
+    return pairs.select("k1", "k2", "item_id", "item_key", "needed", (F.col("pos") - F.col("at")).alias("diagonal"), "pos", "at", "stream", "size")
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold a benchmark passage, perhaps with other numbers, names or units.
 
@@ -86,52 +141,44 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     of them begins), ``n_slots`` and ``n_changed`` (slots, and those whose value differs;
     0 for a literal copy), and the row keys ``k1``, ``k2`` (hashes of id and text).
 
+    A literal copy counts in any case, with ``LEAST_WINDOWS`` windows or all of an item that has
+    fewer; an item shorter than ``WINDOW`` is matched whole, even a single word. Templates need
+    ``LEAST_WINDOW`` tokens, ``LEAST_LITERALS`` literal words in a window and slots that agree.
+
     NULL texts and texts without words leak nothing. Rows equal in id and text are
-    reported once. Benchmark items with fewer than ``LEAST_WINDOW`` tokens, or no
-    window with enough literal words, are ignored; items shorter than ``WINDOW`` are matched
-    whole. An empty benchmark or corpus gives no rows. Other columns are ignored.
+    reported once. Benchmark items without words or numbers are ignored. An empty benchmark
+    or corpus gives no rows. Other columns are ignored.
     """
-    spark = documents.sparkSession
-    work = Workspace(spark, "decontaminate")
-    lengths = (
-        narrow(benchmark, "text").filter(F.col("text").isNotNull()).select(F.size(template(F.col("text"))).alias("n"))
-        .filter(F.col("n").between(LEAST_WINDOW, WINDOW - 1)).distinct().collect()
-    )  # at most WINDOW - LEAST_WINDOW values
-    sizes = [WINDOW, *sorted(r["n"] for r in lengths)]
+    work = Workspace(documents.sparkSession, "decontaminate")
     rows = _keyed(documents)
-    tokens = rows.select("k1", "k2", template(F.col("text")).alias("t"))
-    met: DataFrame | None = None
-    for size in sizes:
-        exploded = tokens.select("k1", "k2", F.posexplode(windows("t", size)).alias("pos", "h"))
-        wanted = work.put(benchmark_windows(benchmark, size), f"windows{size}")
-        hashes = work.put(wanted.select("h").distinct(), f"hashes{size}")
-        # The corpus is probed where it lies while the benchmark's hashes are few; else both sides shuffle.
-        few = hashes.count() <= BROADCAST_HASHES
-        exploded = exploded.join(F.broadcast(hashes) if few else hashes, "h", "left_semi")
-        pairs = exploded.join(wanted, "h").select(
-            "k1", "k2", "item_id", "item_key", "needed", (F.col("pos") - F.col("at")).alias("diagonal"), "pos", "at", F.lit(size).alias("size")
-        )
-        met = pairs if met is None else met.unionByName(pairs)
-    met = work.put(met.distinct(), "met")
+    met = work.put(_met(rows, benchmark, work).distinct(), "met")
 
     group = ["k1", "k2", "item_id", "item_key", "diagonal"]
-    enough = met.groupBy(*group).agg(
-        F.count("*").alias("n_windows"),
-        F.min("pos").alias("start"),
-        F.max("needed").alias("needed"),
-        F.sort_array(F.collect_set(F.struct("at", "size"))).alias("spans"),  # at most the item's windows
-    ).filter(F.col("n_windows") >= F.col("needed"))
+    literal = F.col("stream") == LITERAL
+    enough = (
+        met.groupBy(*group)
+        .agg(
+            F.min("pos").alias("start"),
+            F.count(F.when(literal, 1)).alias("n_literal"),
+            F.max(F.when(literal, F.col("needed"))).alias("needed_literal"),
+            F.count(F.when(~literal, 1)).alias("n_template"),
+            F.max(F.when(~literal, F.col("needed"))).alias("needed_template"),
+            F.sort_array(F.collect_set(F.struct("at", "size"))).alias("spans"),  # at most the item's windows
+        )
+        .withColumn("n_windows", F.size("spans"))
+        .withColumn("verbatim", F.coalesce(F.col("n_literal") >= F.col("needed_literal"), F.lit(False)))
+        .filter("verbatim or n_windows >= needed_literal or n_template >= needed_template")
+    )
     enough = work.put(enough, "enough")
 
     # Only documents that met enough windows are read again, for the values in their slots.
     texts = rows.join(enough.select("k1", "k2").distinct(), ["k1", "k2"]).select(
-        "k1", "k2", "doc_id", raw_tokens(F.col("text")).alias("raw")
+        "k1", "k2", "doc_id", literals(F.col("text")).alias("raw")
     ).dropDuplicates(["k1", "k2"])
-    items = narrow(benchmark, "item_id", "text").filter(F.col("text").isNotNull())
-    items = items.select(
+    items = _items(benchmark).select(
         F.col("item_id").alias("i"),
-        text_key("text", 2).alias("ik"),
-        raw_tokens(F.col("text")).alias("item_raw"),
+        F.col("item_key").alias("ik"),
+        literals(F.col("text")).alias("item_raw"),
         template(F.col("text")).alias("t"),
     ).distinct()
     sides = enough.join(texts, ["k1", "k2"]).join(items, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("ik")))
@@ -140,14 +187,14 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         f"filter(sequence(s.at, s.at + s.size - 1), p -> get(t, p) in ('{NUMBER}', '{NAME}', '{UNIT}')))))"
     )
     values = F.expr(
-        "transform(places, p -> struct(lower(get(item_raw, p)) as b, lower(get(raw, cast(p + diagonal as int))) as d, get(t, p) as kind))"
+        "transform(places, p -> struct(get(item_raw, p) as b, get(raw, cast(p + diagonal as int)) as d, get(t, p) as kind))"
     )
     compared = sides.withColumn("places", slots).withColumn("values", values)
     distinct = "size(array_distinct(transform(values, v -> struct(v.kind as kind, {}))))"
     one_to_one = (F.expr(distinct.format("v.b as x, v.d as y")) == F.expr(distinct.format("v.b as x"))) & (
         F.expr(distinct.format("v.b as x, v.d as y")) == F.expr(distinct.format("v.d as y"))
     )
-    return compared.filter(one_to_one).select(
+    return compared.filter(F.col("verbatim") | one_to_one).select(
         "doc_id",
         "item_id",
         F.col("n_windows").cast("long").alias("n_windows"),

@@ -236,6 +236,16 @@ def test_op4_finds_changed_numbers_and_names(spark):
     same([r["doc_id"] for r in clean.collect()], [3, 4, 5, 6])
 
 
+def test_op4_finds_literal_copies_in_any_case_and_of_short_items(spark):
+    german = "Die Straße hinter dem Fluß führt zu Anna und Otto in das alte Haus am Markt"
+    items = [(1, QUESTION), (2, german), (3, "What is 12 + 7 * 3 - 5?"), (4, "Who wrote Hamlet?"), (5, "12 + 7 * 3 - 5 + 9 * 8 - 4 / 2 is how much"), (6, "Fluß und Straße")]
+    copies = [(10 * i + k, f"and so: {f(t)} ... ok") for i, t in items for k, f in enumerate([str, str.lower, str.upper, str.title])]
+    others = [(60, "What is 13 + 7 * 3 - 5?"), (61, "who ever wrote hamlet"), (62, "12 + 7 * 3 - 5 + 9")]
+    docs, bench = leaks(spark, copies + others, items)
+    found = decontaminate.contaminated(docs, bench)
+    same(tuples(found, "doc_id", "item_id", "n_changed"), [(i, i // 10, 0) for i, _ in copies])
+
+
 def test_op4_template_and_raw_tokens_run_in_step(spark):
     texts = [QUESTION, "a1b 2.5kg B2Boy İstanbul ISTANBUL İSTANBUL ½ x", "...", "", "5 km 3  hours10 min Zoë's", "ﬁne STRAẞE ǅ ñandú"]
     frame = spark.createDataFrame([(t,) for t in texts], "text string")
