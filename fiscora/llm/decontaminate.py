@@ -3,9 +3,11 @@
 Numbers, names (capitalised words) and units after a number become typed placeholders,
 everything else is lower-cased. Windows of ``WINDOW`` template tokens are hashed and
 joined with the windows of the benchmark, so a question with other numbers or names still
-meets its original. For the pairs that meet, the slots are compared: along one alignment
-each benchmark value must stand for one document value and the reverse. A passage that
-swaps roles or mixes values is not the same question.
+meets its original. A third stream folds names of several words, and a number and its unit,
+into one placeholder, so that a value of another length shifts nothing. For the pairs that
+meet, the names are compared: along one alignment each benchmark name must stand for one
+document name and the reverse. A passage that swaps roles or mixes names is not the same
+question. Numbers and units may change freely, since two may get the same new value.
 
 Beside the templates run the words and numbers as they stand, without case: a literal copy is
 found in any case, however short the item and however few its words.
@@ -13,7 +15,7 @@ found in any case, however short the item and however few its words.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fiscora.llm.common import Workspace, narrow, text_key
@@ -24,7 +26,7 @@ LEAST_LITERALS = 4  # words that a template window must keep beside its placehol
 BROADCAST_HASHES = 1_000_000  # 8 bytes each
 LEAST_WINDOWS = 3  # windows that must meet, or all of an item that has fewer
 
-NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"  # private-use characters
+NUMBER, NAME, UNIT, MORE = "\ue000", "\ue001", "\ue002", "\ue003"  # private-use characters; MORE: a name after a name
 NUMBER_PATTERN = r"\p{Nd}+(?:[.,]\p{Nd}+)*"
 NAME_PATTERN = r"(?<![\p{L}\p{M}])\p{Lu}\p{Ll}[\p{L}\p{M}]*"
 TOKEN_PATTERN = rf"{NUMBER_PATTERN}|[\p{{L}}\p{{M}}]+"
@@ -37,16 +39,33 @@ UNITS = (
 ).split()
 
 
-def template(text: Column) -> Column:
-    """Template tokens of a text."""
+def _marked(text: Column) -> Column:
+    """A text with placeholders for its numbers and units."""
     marked = F.regexp_replace(text, NUMBER_PATTERN, f" {NUMBER} ")
     # without a digit there is neither a number nor a unit
     marked = F.regexp_replace(marked, rf"(?i)({NUMBER})[\s-]+(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{M}}])", f"$1 {UNIT} ")
-    marked = F.when(text.rlike(r"\p{Nd}"), marked).otherwise(text)
-    marked = F.lower(F.regexp_replace(marked, NAME_PATTERN, NAME))
+    return F.when(text.rlike(r"\p{Nd}"), marked).otherwise(text)
+
+
+def template(text: Column) -> Column:
+    """Template tokens of a text."""
+    marked = F.lower(F.regexp_replace(_marked(text), NAME_PATTERN, NAME))
     return F.array_remove(F.split(marked, rf"[^\p{{L}}\p{{M}}{NUMBER}-{UNIT}]+"), "")
 
 
+def marked_template(text: Column) -> Column:
+    """Template tokens, where a name after a name is marked as its continuation; in step with the template."""
+    marked = F.regexp_replace(_marked(text), NAME_PATTERN, NAME)
+    # the gap is bounded, since a look-behind has to be
+    marked = F.regexp_replace(marked, rf"{NAME}(?<={NAME}[\s'’-]{{1,8}}{NAME})", MORE)
+    return F.array_remove(F.split(F.lower(marked), rf"[^\p{{L}}\p{{M}}{NUMBER}-{MORE}]+"), "")
+
+
+def folded(text: Column) -> Column:
+    """Template tokens with one placeholder for names in a row, and for a number and its unit."""
+    return F.filter(marked_template(text), lambda x: ~x.isin(MORE, UNIT))
+
+
 def raw_tokens(text: Column) -> Column:
     """The words and numbers that the template tokens stand for, one for one."""
     return F.regexp_extract_all(text, F.lit(f"({TOKEN_PATTERN})"), F.lit(1))
@@ -62,8 +81,8 @@ def literals(text: Column) -> Column:
     return raw_tokens(folded_case(text))
 
 
-LITERAL, TEMPLATE = 0, 1
-STREAMS = {LITERAL: literals, TEMPLATE: template}
+LITERAL, TEMPLATE, FOLDED = 0, 1, 2
+STREAMS = {LITERAL: literals, TEMPLATE: template, FOLDED: folded}
 
 
 def windows(tokens: str, size: int, stream: int) -> Column:
@@ -133,6 +152,11 @@ def _met(rows: DataFrame, benchmark: DataFrame, work: Workspace) -> DataFrame:
     return pairs.select("k1", "k2", "item_id", "item_key", "needed", (F.col("pos") - F.col("at")).alias("diagonal"), "pos", "at", "stream", "size")
 
 
+def _begins(marked: str, raw: str) -> Column:
+    """The raw tokens that begin the folded ones, and the end."""
+    return F.expr(f"filter(sequence(0, size({raw})), p -> coalesce(get({marked}, p) not in ('{MORE}', '{UNIT}'), true))")
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold a benchmark passage, perhaps with other numbers, names or units.
 
@@ -143,7 +167,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A literal copy counts in any case, with ``LEAST_WINDOWS`` windows or all of an item that has
     fewer; an item shorter than ``WINDOW`` is matched whole, even a single word. Templates need
-    ``LEAST_WINDOW`` tokens, ``LEAST_LITERALS`` literal words in a window and slots that agree.
+    ``LEAST_WINDOW`` tokens, ``LEAST_LITERALS`` literal words in a window and names that agree.
+    Alignments of folded templates are reported where no other alignment with the item overlaps.
 
     NULL texts and texts without words leak nothing. Rows equal in id and text are
     reported once. Benchmark items without words or numbers are ignored. An empty benchmark
@@ -153,12 +178,15 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = _keyed(documents)
     met = work.put(_met(rows, benchmark, work).distinct(), "met")
 
-    group = ["k1", "k2", "item_id", "item_key", "diagonal"]
+    # literal and template windows share their places, folded ones have their own
+    fold = F.col("stream") == FOLDED
+    group = ["k1", "k2", "item_id", "item_key", "fold", "diagonal"]
     literal = F.col("stream") == LITERAL
     enough = (
-        met.groupBy(*group)
+        met.withColumn("fold", fold)
+        .groupBy(*group)
         .agg(
-            F.min("pos").alias("start"),
+            F.min("pos").alias("first"),
             F.count(F.when(literal, 1)).alias("n_literal"),
             F.max(F.when(literal, F.col("needed"))).alias("needed_literal"),
             F.count(F.when(~literal, 1)).alias("n_template"),
@@ -172,38 +200,61 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     enough = work.put(enough, "enough")
 
     # Only documents that met enough windows are read again, for the values in their slots.
-    texts = rows.join(enough.select("k1", "k2").distinct(), ["k1", "k2"]).select(
-        "k1", "k2", "doc_id", literals(F.col("text")).alias("raw")
-    ).dropDuplicates(["k1", "k2"])
+    texts = rows.join(enough.select("k1", "k2").distinct(), ["k1", "k2"])
+    texts = texts.select("k1", "k2", "doc_id", literals(F.col("text")).alias("raw"), marked_template(F.col("text")).alias("m"))
+    texts = texts.dropDuplicates(["k1", "k2"]).select("*", _begins("m", "raw").alias("begins")).drop("m")
     items = _items(benchmark).select(
         F.col("item_id").alias("i"),
         F.col("item_key").alias("ik"),
         literals(F.col("text")).alias("item_raw"),
         template(F.col("text")).alias("t"),
-    ).distinct()
+        marked_template(F.col("text")).alias("m"),
+    ).distinct().select("*", _begins("m", "item_raw").alias("item_begins")).drop("m")
     sides = enough.join(texts, ["k1", "k2"]).join(items, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("ik")))
-    slots = F.expr(
-        "array_distinct(flatten(transform(spans, s -> "
-        f"filter(sequence(s.at, s.at + s.size - 1), p -> get(t, p) in ('{NUMBER}', '{NAME}', '{UNIT}')))))"
+    # where the words of each place begin, and the kind of each place
+    sides = (
+        sides.withColumn("b_at", F.when(F.col("fold"), F.col("item_begins")).otherwise(F.expr("sequence(0, size(item_raw))")))
+        .withColumn("d_at", F.when(F.col("fold"), F.col("begins")).otherwise(F.expr("sequence(0, size(raw))")))
+        .withColumn("places", F.expr("array_sort(array_distinct(flatten(transform(spans, s -> sequence(s.at, s.at + s.size - 1)))))"))
+        .withColumn("start", F.expr("get(d_at, cast(first as int))"))
+        .withColumn("end", F.expr("get(d_at, cast(array_max(places) + diagonal + 1 as int))"))
     )
+    slots = F.expr(f"filter(places, p -> get(t, get(b_at, p)) in ('{NUMBER}', '{NAME}', '{UNIT}'))")
     values = F.expr(
-        "transform(places, p -> struct(get(item_raw, p) as b, get(raw, cast(p + diagonal as int)) as d, get(t, p) as kind))"
+        "transform(slots, p -> struct("
+        "slice(item_raw, get(b_at, p) + 1, get(b_at, p + 1) - get(b_at, p)) as b, "
+        "slice(raw, get(d_at, cast(p + diagonal as int)) + 1, "
+        "get(d_at, cast(p + diagonal as int) + 1) - get(d_at, cast(p + diagonal as int))) as d, "
+        "get(t, get(b_at, p)) as kind))"
     )
-    compared = sides.withColumn("places", slots).withColumn("values", values)
-    distinct = "size(array_distinct(transform(values, v -> struct(v.kind as kind, {}))))"
-    one_to_one = (F.expr(distinct.format("v.b as x, v.d as y")) == F.expr(distinct.format("v.b as x"))) & (
-        F.expr(distinct.format("v.b as x, v.d as y")) == F.expr(distinct.format("v.d as y"))
+    # names of as many words are compared word by word, others as a whole
+    names = F.expr(
+        f"array_distinct(flatten(transform(filter(values, v -> v.kind = '{NAME}'), v -> case when size(v.b) = size(v.d) "
+        "then transform(v.b, (x, j) -> struct(x as x, get(v.d, j) as y)) "
+        "else array(struct(array_join(v.b, ' ') as x, array_join(v.d, ' ') as y)) end)))"
     )
-    return compared.filter(F.col("verbatim") | one_to_one).select(
+    compared = sides.withColumn("slots", slots).withColumn("values", values).withColumn("names", names)
+    one_to_one = F.expr("size(array_distinct(names.x)) = size(names) and size(array_distinct(names.y)) = size(names)")
+    found = compared.filter(F.col("verbatim") | one_to_one).select(
         "doc_id",
         "item_id",
         F.col("n_windows").cast("long").alias("n_windows"),
         F.col("start").cast("int").alias("start"),
-        F.size("values").alias("n_slots"),
-        F.expr("size(filter(values, v -> not (v.b <=> v.d)))").alias("n_changed"),
+        F.size("slots").alias("n_slots"),
+        F.expr("size(filter(values, v -> v.b <> v.d))").alias("n_changed"),
         "k1",
         "k2",
+        "item_key",
+        "fold",
+        "end",
     )
+    # A folded alignment counts where no other of its item and document overlaps it.
+    rank = Window.partitionBy("k1", "k2", "item_id", "item_key")
+    earlier = F.max(F.when(~F.col("fold"), F.col("end"))).over(rank.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
+    later = F.min(F.when(~F.col("fold"), F.col("start"))).over(rank.orderBy("start").rangeBetween(0, Window.unboundedFollowing))
+    found = found.withColumn("earlier", earlier).withColumn("later", later)
+    alone = F.coalesce(F.col("earlier") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("later") >= F.col("end"), F.lit(True))
+    return found.filter(~F.col("fold") | alone).drop("item_key", "fold", "end", "earlier", "later")
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

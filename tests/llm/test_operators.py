@@ -246,6 +246,28 @@ def test_op4_finds_literal_copies_in_any_case_and_of_short_items(spark):
     same(tuples(found, "doc_id", "item_id", "n_changed"), [(i, i // 10, 0) for i, _ in copies])
 
 
+SHIFTED = "yesterday Tom from Paris took 3 apples home and then Tom sold 3 pears for 2 km to Paris"
+PRICED = "a boy buys 2 apples for 2 dollars and sells 7 of the pears he got for 9 dollars to a friend of his"
+
+
+def test_op4_finds_values_of_other_lengths_and_numbers_that_coincide(spark):
+    longer = SHIFTED.replace("Tom", "Mary Ann").replace("Paris", "New York")
+    items = [(1, SHIFTED), (2, PRICED)]
+    texts = [
+        (10, f"once more: {longer}, or so"),
+        (11, longer.replace("2 km", "5")),
+        (12, "yesterday Sue Lee from New York took 3 apples home and then Mary Ann sold 3 pears"),  # two people where the item has one
+        (13, SHIFTED.replace("3 apples", "4 kg apples")),
+        (20, PRICED.replace("2 apples for 2", "3 apples for 5").replace("7", "8").replace("9", "4")),
+        (21, PRICED.replace("2", "6").replace("7", "4").replace("9", "4")),
+        (22, "a boy buys nothing and a friend of his sells all the pears he got"),
+    ]
+    docs, bench = leaks(spark, texts, items)
+    found = decontaminate.contaminated(docs, bench)
+    same(tuples(found, "doc_id", "item_id"), [(10, 1), (11, 1), (13, 1), (20, 2), (21, 2)])
+    assert {r["doc_id"]: r["start"] for r in found.collect()}[10] == 2
+
+
 def test_op4_template_and_raw_tokens_run_in_step(spark):
     texts = [QUESTION, "a1b 2.5kg B2Boy İstanbul ISTANBUL İSTANBUL ½ x", "...", "", "5 km 3  hours10 min Zoë's", "ﬁne STRAẞE ǅ ñandú"]
     frame = spark.createDataFrame([(t,) for t in texts], "text string")
