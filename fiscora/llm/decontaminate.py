@@ -200,7 +200,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     enough = work.put(enough, "enough")
 
     # Only documents that met enough windows are read again, for the values in their slots.
-    texts = rows.join(enough.select("k1", "k2").distinct(), ["k1", "k2"])
+    # Their keys are written alone: narrow enough that texts rarely have to shuffle to meet them.
+    texts = rows.join(work.put(enough.select("k1", "k2").distinct(), "keys"), ["k1", "k2"])
     texts = texts.select("k1", "k2", "doc_id", literals(F.col("text")).alias("raw"), marked_template(F.col("text")).alias("m"))
     texts = texts.dropDuplicates(["k1", "k2"]).select("*", _begins("m", "raw").alias("begins")).drop("m")
     items = _items(benchmark).select(
