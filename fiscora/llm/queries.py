@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscora.llm import decontaminate, hmm, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
+from fiscora.llm import decontaminate, hmm, line_dedup, near_dedup, packing, pieces, quality, sharding, substring_dedup, topk, toxicity
 from fiscora.llm.labels import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The tokenizer's model; the driver alone reads it.
+PIECE_MODEL = "piece_bpe_32k.model"
+
 SHARD_BYTES = 64 * 1024 * 1024
 
 
@@ -66,6 +69,14 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
 
 
+def op13_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    if model is None:
+        import public_tokenizers
+
+        model = public_tokenizers.path(PIECE_MODEL)
+    return pieces.encode(table(spark, sf_dir, "documents"), pieces.Vocabulary.load(model))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -77,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_hmm": op10_hmm,
+    "op13_pieces": op13_pieces,
 }
 
 TOPK_SQL = """
