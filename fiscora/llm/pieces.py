@@ -19,7 +19,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import ahocorasick
 import pyarrow as pa
@@ -31,7 +31,8 @@ from fiscora.llm.common import narrow
 
 SPACE = "▁"  # stands for a space inside pieces
 UNKNOWN_TEXT = " ⁇ "  # what the unknown id decodes to
-KEPT_WORDS, KEPT_PAIRS = 1 << 18, 1 << 19  # words, and pairs of pieces, that a Python worker remembers
+KEPT_WORDS, KEPT_PAIRS = 1 << 19, 1 << 19  # words, and pairs of pieces, that a Python worker remembers
+NEVER = float("-inf")
 KEPT_CHARS = 48  # longer words are rarely met again
 MARKS = ".,;:!?)\"'"  # what often follows a word
 
@@ -91,6 +92,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.ids = {p: i for i, p in enumerate(vocabulary.pieces) if vocabulary.mergeable[i]}
+        self.scores = {p: vocabulary.scores[i] for p, i in self.ids.items()}
         self.known = set("".join(self.ids))
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
@@ -114,24 +116,33 @@ class Encoder:
         """The longest other piece that this one begins with, or -1."""
         return next((self.ids[piece[:n]] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.ids), -1)
 
-    def merged(self, text: str) -> list[str]:
-        """Merging as defined, for short texts."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                found = self.ids.get(parts[i] + parts[i + 1])
-                if found is not None and (best is None or self.vocabulary.scores[found] > best):
-                    best, at = self.vocabulary.scores[found], i
-            if best is None:
-                return parts
+    def merged(self, text: str, seam: int = 0) -> list[str] | None:
+        """Merging as defined, for short texts; None as soon as a union crosses the ``seam``."""
+        parts, score = list(text), self.scores.get
+        unions = [score(a + b, NEVER) for a, b in pairwise(parts)]
+        while unions:
+            best = max(unions)
+            if best == NEVER:
+                break
+            at = unions.index(best)
+            if at + 1 == seam:
+                return None
+            if at + 1 < seam:
+                seam -= 1
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del unions[at]
+            if at < len(unions):
+                unions[at] = score(parts[at] + parts[at + 1], NEVER)
+            if at:
+                unions[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+        return parts
 
     def _compatible(self, left: int, right: int) -> bool:
         """Do two pieces stay as they are beside each other? ``left`` -1: does the piece come about at all?"""
         pieces = self.vocabulary.pieces
-        apart = [pieces[right]] if left < 0 else [pieces[left], pieces[right]]
-        return self.merged("".join(apart)) == apart
+        if left < 0:
+            return self.merged(pieces[right]) == [pieces[right]]
+        return self.merged(pieces[left] + pieces[right], len(pieces[left])) == [pieces[left], pieces[right]]
 
     def _longest(self, text: str, at: int) -> int:
         """The longest piece that begins at a place."""
