@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscora.llm import decontaminate, hmm, line_dedup, near_dedup, packing, pieces, quality, sharding, substring_dedup, topk, toxicity
+from fiscora.llm import decontaminate, hmm, line_dedup, near_dedup, packing, periodic_runs, pieces, quality, sharding, substring_dedup, topk, toxicity
 from fiscora.llm.labels import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,20 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
 
 
+def wrapped(doc_id: object, n: int) -> tuple[int, int] | None:
+    """The words that the query rewrites: a tenth of the documents, from some place on, with some period."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or n == 0:
+        return None
+    g = h // 10
+    a = g % n
+    return a, 1 + (n - a) // (3 + g % 8)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find_runs(table(spark, sf_dir, "documents"), wrapped)
+
+
 def op13_pieces(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     if model is None:
         import public_tokenizers
@@ -88,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_hmm": op10_hmm,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_pieces": op13_pieces,
 }
 
