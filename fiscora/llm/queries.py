@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscora.llm import decontaminate, hmm, line_dedup, near_dedup, packing, periodic_runs, pieces, quality, sharding, substring_dedup, topk, toxicity
+from fiscora.llm import decontaminate, hmm, line_dedup, near_dedup, packing, periodic_runs, pieces, quality, sharding, spelling, substring_dedup, topk, toxicity
 from fiscora.llm.labels import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: The tokenizer's model; the driver alone reads it.
 PIECE_MODEL = "piece_bpe_32k.model"
 
+NOISE = 199  # one run of letters in so many loses a character
+
 SHARD_BYTES = 64 * 1024 * 1024
 
 
@@ -70,6 +72,10 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"), noise=NOISE)
+
+
 def wrapped(doc_id: object, n: int) -> tuple[int, int] | None:
     """The words that the query rewrites: a tenth of the documents, from some place on, with some period."""
     h = zlib.crc32(str(doc_id).encode())
@@ -103,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_hmm": op10_hmm,
+    "op11_spelling": op11_spelling,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_pieces": op13_pieces,
 }
