@@ -73,19 +73,6 @@ def _each_bad_byte(error: UnicodeError) -> tuple[str, int]:
 codecs.register_error("each_bad_byte", _each_bad_byte)
 
 
-class Remembered(dict):
-    """What a function gave for its latest arguments; forgets all when it is full."""
-
-    def __init__(self, function: Callable, most: int) -> None:
-        self.function, self.most = function, most
-
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        found = self[key] = self.function(key)
-        return found
-
-
 class Encoder:
     """Pieces of words, and back."""
 
@@ -108,9 +95,9 @@ class Encoder:
         self.shown = [p if usable else "" for p, usable in zip(vocabulary.pieces, vocabulary.mergeable, strict=True)]
         self.shown[vocabulary.unknown] = UNKNOWN_TEXT
         self.byte_of = {i: b for b, i in enumerate(vocabulary.byte_ids)}
-        self.compatible = lru_cache(maxsize=KEPT_PAIRS)(self._compatible)
+        self.pairs: dict[int, bool] = {}
         self.core = lru_cache(maxsize=KEPT_WORDS)(self._core)
-        self.word = Remembered(self._word, KEPT_WORDS).__getitem__
+        self.word = lru_cache(maxsize=KEPT_WORDS)(self._word)
 
     def _shorter(self, piece: str) -> int:
         """The longest other piece that this one begins with, or -1."""
@@ -137,12 +124,18 @@ class Encoder:
                 unions[at - 1] = score(parts[at - 1] + parts[at], NEVER)
         return parts
 
-    def _compatible(self, left: int, right: int) -> bool:
+    def compatible(self, left: int, right: int) -> bool:
         """Do two pieces stay as they are beside each other? ``left`` -1: does the piece come about at all?"""
-        pieces = self.vocabulary.pieces
-        if left < 0:
-            return self.merged(pieces[right]) == [pieces[right]]
-        return self.merged(pieces[left] + pieces[right], len(pieces[left])) == [pieces[left], pieces[right]]
+        key = (left << 32) | right
+        if key not in self.pairs:
+            if len(self.pairs) >= KEPT_PAIRS:
+                self.pairs.clear()
+            pieces = self.vocabulary.pieces
+            if left < 0:
+                self.pairs[key] = self.merged(pieces[right]) == [pieces[right]]
+            else:
+                self.pairs[key] = self.merged(pieces[left] + pieces[right], len(pieces[left])) == [pieces[left], pieces[right]]
+        return self.pairs[key]
 
     def _longest(self, text: str, at: int) -> int:
         """The longest piece that begins at a place."""
@@ -150,38 +143,44 @@ class Encoder:
 
     def backtrack(self, text: str) -> list[int]:
         """Ids of a text whose characters are all pieces."""
-        size, lengths, shorter, compatible = len(text), self.lengths, self.shorter, self.compatible
-        failed = bytearray(size // 8 + 1)
+        size, lengths, shorter, pairs = len(text), self.lengths, self.shorter, self.pairs
+        # the longest pieces in a row are where most words go along
+        ahead = {end + 1 - lengths[piece]: piece for end, piece in self.automaton.iter_long(text)}
+        failed, any_failed = bytearray(size // 8 + 1), False
         chosen: list[int] = []
-        at, last, piece = 0, -1, self._longest(text, 0)
+        at, last, piece = 0, -1, ahead[0]
         while True:
             while piece >= 0:
                 end = at + lengths[piece]
-                if not failed[end >> 3] & (1 << (end & 7)) and compatible(last, piece):
-                    break
+                if not (any_failed and failed[end >> 3] & (1 << (end & 7))):
+                    fits = pairs.get((last << 32) | piece)
+                    if fits or (fits is None and self.compatible(last, piece)):
+                        break
                 piece = shorter[piece]
             if piece >= 0:
                 chosen.append(piece)
                 if end == size:
                     return chosen
-                at, last, piece = end, piece, self._longest(text, end)
+                at, last = end, piece
+                piece = ahead[at] if at in ahead else self._longest(text, at)
             else:
+                any_failed = True
                 failed[at >> 3] |= 1 << (at & 7)
                 longer = chosen.pop()
                 at, last, piece = at - lengths[longer], chosen[-1] if chosen else -1, shorter[longer]
 
     def _core(self, word: str) -> Encoded:
-        if word in self.ids and self.compatible(-1, self.ids[word]):
-            ids = [self.ids[word]]
-        elif self.known.issuperset(word):
+        if self.known.issuperset(word):
             ids = self.backtrack(word)
+            decoded = "".join([self.shown[i] for i in ids])
         else:
             # a character that is no piece is part of none: it ends what can be merged
             ids = []
             for known, run in groupby(word, self.known.__contains__):
                 part = "".join(run)
                 ids += self.backtrack(part) if known else [self.vocabulary.byte_ids[b] for b in part.encode("utf-8", "replace")]
-        return len(ids), ",".join([self.decimal[i] for i in ids]), self.joined(ids), ids[0], ids[-1]
+            decoded = self.joined(ids)
+        return len(ids), ",".join([self.decimal[i] for i in ids]), decoded, ids[0], ids[-1]
 
     def _word(self, word: str) -> Encoded:
         """A word, encoded and decoded, with ``SPACE`` as it is."""
@@ -211,9 +210,6 @@ class Encoder:
 
     def joined(self, ids: Iterable[int]) -> str:
         """The pieces of some ids in a row; runs of bytes read as UTF-8, each bad byte replaced."""
-        ids = list(ids)
-        if self.byte_of.keys().isdisjoint(ids):
-            return "".join(map(self.shown.__getitem__, ids))
         out = []
         for is_byte, run in groupby(ids, self.byte_of.__contains__):
             if is_byte:
