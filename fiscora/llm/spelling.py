@@ -196,16 +196,15 @@ def _search(rows: pd.DataFrame) -> pd.DataFrame:
     out = [pd.DataFrame({"word": pd.Series(dtype=object), "near": pd.Series(dtype=object), "near_n": pd.Series(dtype="int64")})]
     for half, some in rows.groupby("half"):
         some = some.sort_values(["key", "block"], kind="stable")
-        # halves do not meet: an index for as many as fit
-        group = (some["key"].diff().ne(0) | some["block"].diff().ne(0)).cumsum().to_numpy()
+        key, block, alone = some["key"].to_numpy(), some["block"].to_numpy(), some["alone"].to_numpy()
         weight = np.cumsum(np.where(some["indexed"], some["word"].str.len() + 1, 0))
-        last_of_group = np.append(group[1:] != group[:-1], True)
+        # an index for as many halves as fit; the blocks of a crowded one stand alone
         first = 0
-        for i in np.flatnonzero(last_of_group):
-            if i + 1 < len(some) and weight[i] - (weight[first - 1] if first else 0) < BLOCK_SYMBOLS:
-                continue
-            out += _searched(some.iloc[first : i + 1], int(half))
-            first = i + 1
+        for i in np.flatnonzero(np.append((key[1:] != key[:-1]) | (block[1:] != block[:-1]), True)):
+            full = weight[i] - (weight[first - 1] if first else 0) >= BLOCK_SYMBOLS
+            if i + 1 == len(some) or full or alone[i] or alone[i + 1]:
+                out += _searched(some.iloc[first : i + 1], int(half))
+                first = i + 1
     return pd.concat(out)
 
 
@@ -289,8 +288,9 @@ def near_words(words: DataFrame, work: Workspace, least_chars: int = LEAST_CHARS
         "x -> struct(x * lookup_blocks + pmod(xxhash64(word, 1), lookup_blocks) as block, false as indexed, true as lookup))"
     )
     tasks = partitions(routes.count(), TASK_ROWS)
-    dealt = dealt.select("word", "n", "half", "key", F.explode(F.concat(as_indexed, as_lookup)).alias("b")).select(
-        "word", "n", "half", "key", "b.*", F.pmod(F.xxhash64("key", "b.block"), F.lit(tasks)).alias("task")
+    alone = (F.col("index_blocks") * F.col("lookup_blocks") > 1).alias("alone")
+    dealt = dealt.select("word", "n", "half", "key", alone, F.explode(F.concat(as_indexed, as_lookup)).alias("b")).select(
+        "word", "n", "half", "key", "alone", "b.*", F.pmod(F.xxhash64("key", "b.block"), F.lit(tasks)).alias("task")
     )
     found = dealt.groupBy("task").applyInPandas(_search, "word string, near string, near_n long")
     return work.put(found, "near")
