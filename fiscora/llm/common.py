@@ -25,6 +25,13 @@ def narrow(frame: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{i}").alias(name) for i, name in zip(places, names, strict=True)])
 
 
+def by_place(frame: DataFrame) -> tuple[DataFrame, list[str], dict[str, Column]]:
+    """All columns under neutral names, the true names, and the column that each true name first stands for."""
+    names = frame.columns
+    plain = frame.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain, names, {name: F.col(f"c{i}") for i, name in reversed(list(enumerate(names)))}
+
+
 def text_key(text: Column | str, seed: int = 0) -> Column:
     """64 bits of a text; with two seeds 128 bits. NULL counts as the empty text."""
     text = F.col(text) if isinstance(text, str) else text

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fiscora.llm.common import Workspace, narrow, text_key
+from fiscora.llm.common import Workspace, by_place, narrow, text_key
 
 WINDOW = 8
 LEAST_WINDOW = 5  # shorter templates identify nothing
@@ -260,7 +260,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, without those that hold a benchmark passage."""
-    leaks = contaminated(documents, benchmark).select("k1", "k2").distinct()
-    key1 = F.xxhash64(documents["doc_id"], documents["text"])
-    key2 = text_key(documents["text"], 1)
-    return documents.join(leaks, (key1 == leaks["k1"]) & (key2 == leaks["k2"]), "left_anti")
+    leaks = contaminated(documents, benchmark).select(F.col("k1").alias("l1"), F.col("k2").alias("l2")).distinct()
+    plain, names, at = by_place(documents)
+    same = (F.xxhash64(at["doc_id"], at["text"]) == F.col("l1")) & (text_key(at["text"], 1) == F.col("l2"))
+    return plain.join(leaks, same, "left_anti").toDF(*names)

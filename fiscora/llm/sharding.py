@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscora.llm.common import Workspace, narrow
+from fiscora.llm.common import Workspace, by_place, narrow
 
 HASH_BITS = 64
 STEP_BITS = 12  # bits by which one round refines
@@ -110,15 +110,18 @@ def assign(documents: DataFrame, limit: int) -> DataFrame:
 
 
 def write_shards(documents: DataFrame, path: str, limit: int) -> None:
-    """Write every row with all its columns, one folder ``shard=b<bits>`` per shard."""
-    if "shard" in documents.columns:
-        raise ValueError("a column is already named shard")
+    """Write every row with all its columns, one folder ``shard=b<bits>`` per shard.
+
+    Where a column has that name already, in any case, the folders' name gets a ``_`` at its end.
+    """
     work = Workspace(documents.sparkSession, "sharding")
     placed = place(work.put(sized_rows(documents).drop("doc_id"), "sized"), limit, work)
-    shards = placed.select("h", F.concat(F.lit("b"), bits("prefix", "depth")).alias("shard")).distinct()
-    names = documents.columns
-    plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
-    keyed = plain.withColumn("h", F.xxhash64(*(f"c{names.index(n)}" for n in ("doc_id", "text"))))
+    shards = placed.select("h", F.concat(F.lit("b"), bits("prefix", "depth")).alias("folder")).distinct()
+    plain, names, at = by_place(documents)
+    folder = "shard"
+    while folder in {n.lower() for n in names}:
+        folder += "_"
+    keyed = plain.withColumn("h", F.xxhash64(at["doc_id"], at["text"]))
     # a shard is bounded by the limit, so one task can write it
-    rows = keyed.join(shards, "h").drop("h").toDF(*names, "shard").repartition("shard")
-    rows.write.mode("overwrite").partitionBy("shard").parquet(path)
+    rows = keyed.join(shards, "h").drop("h").repartition("folder").toDF(*names, folder)
+    rows.write.mode("overwrite").partitionBy(folder).parquet(path)

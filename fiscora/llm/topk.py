@@ -86,7 +86,7 @@ def _first_phase(k: int, segments: int):
     return lists
 
 
-def _last_phases(segments: int):
+def _last_phases(k: int, segments: int):
     def resolve(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         parts: list[pd.DataFrame] = []
         if len(vectors) and len(queries):
@@ -103,8 +103,13 @@ def _last_phases(segments: int):
                 i, j = np.nonzero(collected & (ids[None, :] != q_ids[rows][:, None]))
                 score = local[:, i, j].sum(axis=0)
                 keep = score >= cutoff[i, 0]
-                i, j = i[keep], j[keep]
-                parts.append(pd.DataFrame({"query_id": q_ids[rows][i], "vec_id": ids[j], "score": _as_long(score[keep])}))
+                i, j, score = i[keep], j[keep], score[keep]
+                # no more than k of a block can be among the best, however many tie
+                order = np.lexsort((ids[j], -score, i))
+                i, j, score = i[order], j[order], score[order]
+                best = np.arange(len(i)) - np.searchsorted(i, i) < k
+                i, j, score = i[best], j[best], score[best]
+                parts.append(pd.DataFrame({"query_id": q_ids[rows][i], "vec_id": ids[j], "score": _as_long(score)}))
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         return (pd.concat(parts) if parts else empty).astype("int64")
 
@@ -152,7 +157,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE,
     )
     with_cutoff = work.put(queries.join(cutoffs, "vec_id"), "cutoffs")
     found = blocks.cogroup(dealt(with_cutoff, "q_block", q_blocks, "v_block", v_blocks).groupBy(*by)).applyInPandas(
-        _last_phases(segments), "query_id long, vec_id long, score long"
+        _last_phases(k, segments), "query_id long, vec_id long, score long"
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscora.llm.common import narrow
+from fiscora.llm.common import by_place, narrow
 from fiscora.llm.labels import SAMPLE_ROWS, training_texts
 
 MAX_TERMS = 10_000  # terms kept, those with the strongest evidence
@@ -277,4 +277,5 @@ def score(
 def acceptable(documents: DataFrame, labels: DataFrame, learn_from: Column, threshold: float = 0.7) -> DataFrame:
     """The documents, all columns, without those that score ``threshold`` or more."""
     scores = score_column(learn(documents, labels, learn_from))
-    return documents.filter(scores(documents["text"]) < threshold)
+    plain, names, at = by_place(documents)
+    return plain.filter(scores(at["text"]) < threshold).toDF(*names)

@@ -550,3 +550,49 @@ def test_op10_training_raises_the_likelihood(odd):
     """More rounds of Baum-Welch never make the training texts less likely."""
     totals = [sum(r["score"] for r in hmm.score(odd, F.lit(False), rounds=n).collect()) for n in (0, 2, 5)]
     assert totals[0] < totals[1] <= totals[2] + 1e-6 * abs(totals[2])
+
+
+# names that clash
+
+CLASH = "doc_id long, text string, TEXT string, Doc_Id string, `a.b` int, shard string, k1 string, l1 string"
+
+
+def clashing(spark):
+    rows = [(i, t, "other", "id", 3, "s", "k", "l") for i, t in ((1, plain.BODY), (2, "you stupid idiot, shut up"), (3, None), (4, ""))]
+    return spark.createDataFrame(rows, CLASH)
+
+
+def test_stages_bear_names_that_differ_in_case(spark):
+    frame = clashing(spark)
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    benchmark = spark.createDataFrame([(1, plain.BODY, "x")], "item_id long, text string, TEXT string")
+    for found in (
+        decontaminate.clean_documents(frame, benchmark),
+        toxicity.acceptable(frame, labels, F.lit(True)),
+        near_dedup.deduplicated(frame),
+        line_dedup.cleaned(frame),
+    ):
+        assert found.columns == frame.columns
+        assert {tuple(r) for r in found.collect()} <= {tuple(r) for r in frame.collect()}
+    assert {r[0] for r in decontaminate.clean_documents(frame, benchmark).collect()} == {2, 3, 4}
+
+
+def test_op6_write_shards_beside_a_column_of_that_name(spark, tmp_path):
+    frame = clashing(spark).toDF("doc_id", "text", "text_2", "id_2", "a.b", "Shard", "k1", "l1")
+    sharding.write_shards(frame, str(tmp_path / "out"), 60)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.columns == [*frame.columns, "shard_"]
+    same([tuple(r)[:-1] for r in back.collect()], [tuple(r) for r in frame.collect()])
+
+
+def test_op3_equal_vectors_emit_no_more_than_k_a_block(spark, monkeypatch):
+    rows = [(i, [0.5, 0.25]) for i in range(400)]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=5)
+    for r in found.collect():
+        expected = [i for i in range(7) if i != r["query_id"]][r["rank"] - 1]
+        assert r["vec_id"] == expected
+    import pandas as pd
+
+    vectors = pd.DataFrame({"vec_id": range(400), "v": [[1, 2]] * 400})
+    queries_ = pd.DataFrame({"query_id": range(0, 400, 50), "vec_id": range(0, 400, 50), "v": [[1, 2]] * 8, "cutoff": [5] * 8})
+    assert len(topk._last_phases(5, 8)(vectors, queries_)) == 8 * 5
