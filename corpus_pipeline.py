@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscora.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
-from fiscora.llm.common import Workspace
+from fiscora.llm.common import Workspace, by_place
 from fiscora.llm.labels import fold
 
 
@@ -19,8 +19,12 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs; ``n_chars`` follows the text."""
-    kept = line_dedup.cleaned(docs)
-    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
+    plain, names, at = by_place(line_dedup.cleaned(docs))
+    if "n_chars" not in names:
+        return plain.toDF(*names)
+    kind = docs.schema.fields[names.index("n_chars")].dataType
+    counted = F.length(at["text"]).cast(kind)
+    return plain.select(*(counted if i == names.index("n_chars") else F.col(f"c{i}") for i in range(len(names)))).toDF(*names)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
