@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +37,7 @@ _INTEGER = rf"^({_SENTINEL}|\s*[+-]?\d+(\.0*)?\s*)$"
 # how a JSON number with an exponent reads after parsing, and how it is written
 _LARGE = r"^-?\d\.\d+E\d+$"
 _EXPONENT = r"[+-]?\d+(?:\.\d+)?[eE][+-]?\d+"
-_EXACT = "decimal(38,9)"
+_EXACT = "decimal(38, 9)"
 _DECIMAL = (
     rf"^({_SENTINEL}|\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*)$"
 )
@@ -46,17 +45,26 @@ _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _CURRENCY, _REPORTED_DATE, _REPORT_TIME = "reportedCurrency", "reportedDate", "reportTime"
 
 
-def _is_string(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+def _text(value: str) -> str:
+    """A SQL literal, backslashes as they are."""
+    return "r'" + value + "'" if "'" not in value else 'r"' + value + '"'
 
 
-def _is_missing(value: Column) -> Column:
-    return value.isNull() | F.is_variant_null(value)
+# The checks are written as SQL text: an expression per field, built call by call, takes the driver longer
+# than thousands of documents take to be checked.
 
 
-def _is_date(text: Column) -> Column:
+def _is_string(value: str) -> str:
+    return f"coalesce(schema_of_variant({value}) = 'STRING', false)"
+
+
+def _is_missing(value: str) -> str:
+    return f"({value} is null or is_variant_null({value}))"
+
+
+def _is_date(text: str) -> str:
     """Dates are read as text: no JSON value but a string looks like one."""
-    return F.coalesce(text.rlike(_ISO_DATE) & text.try_cast("date").isNotNull(), F.lit(False))
+    return f"coalesce({text} rlike {_text(_ISO_DATE)} and try_cast({text} as date) is not null, false)"
 
 
 def _date_text(text: Column) -> Column:
@@ -64,18 +72,18 @@ def _date_text(text: Column) -> Column:
     return F.when(~text.rlike(r"^\s*[\[{]"), text)
 
 
-def _is_large_whole(text: Column) -> Column:
+def _is_large_whole(text: str) -> str:
     """Is this a whole number that JSON gave with an exponent? ``plain_integers`` writes it out."""
-    return F.when(text.rlike(_LARGE), F.coalesce(text.try_cast(_EXACT) % 1 == 0, F.lit(False))).otherwise(False)
+    return f"(case when {text} rlike {_text(_LARGE)} then coalesce(try_cast({text} as {_EXACT}) % 1 = 0, false) else false end)"
 
 
-def _bad_number(text: Column, dtype: T.DataType) -> Column:
+def _bad_number(text: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.LongType):
         # nearly every amount passes the cheap cast and never meets the pattern
-        valid = text.try_cast("bigint").isNotNull() | text.rlike(_INTEGER) | _is_large_whole(text)
+        valid = f"(try_cast({text} as bigint) is not null or {text} rlike {_text(_INTEGER)} or {_is_large_whole(text)})"
     else:
-        valid = text.rlike(_DECIMAL)
-    return text.isNotNull() & ~valid
+        valid = f"{text} rlike {_text(_DECIMAL)}"
+    return f"({text} is not null and not {valid})"
 
 
 def _number_groups(fields: list[Field]) -> list[tuple[T.DataType, list[str]]]:
@@ -87,28 +95,22 @@ def _number_groups(fields: list[Field]) -> list[tuple[T.DataType, list[str]]]:
     return list(groups.values())
 
 
-def _any_bad_number(values: Column, dtype: T.DataType) -> Column:
-    return F.exists(values, lambda text: _bad_number(text, dtype))
-
-
-def _pick_bad_numbers(values: Column, messages: Column, dtype: T.DataType) -> Column:
-    picked = F.transform(values, lambda text, i: F.when(_bad_number(text, dtype), F.get(messages, i)))
-    return F.array_compact(picked)
+def _values(owner: str, names: list[str]) -> str:
+    return "array(" + ", ".join(f"{owner}.`{n}`" for n in names) + ")"
 
 
-def _has_bad_number(owner: Column, fields: list[Field]) -> Column:
-    groups = [
-        _any_bad_number(F.array(*(owner[n] for n in names)), dtype) for dtype, names in _number_groups(fields)
-    ]
-    return reduce(or_, groups)
+def _has_bad_number(owner: str, fields: list[Field]) -> str:
+    groups = (f"exists({_values(owner, names)}, x -> {_bad_number('x', dtype)})" for dtype, names in _number_groups(fields))
+    return " or ".join(groups)
 
 
-def _bad_number_messages(owner: Column, fields: list[Field], prefix: str = "") -> Column:
+def _bad_number_messages(owner: str, fields: list[Field], prefix: str = "") -> str:
     found = []
     for dtype, names in _number_groups(fields):
-        messages = F.array(*(F.lit(f"{prefix}{n}: not a number") for n in names))
-        found.append(_pick_bad_numbers(F.array(*(owner[n] for n in names)), messages, dtype))
-    return F.concat(*found)
+        messages = "array(" + ", ".join(_text(f"{prefix}{n}: not a number") for n in names) + ")"
+        picked = f"case when {_bad_number('x', dtype)} then get({messages}, i) end"
+        found.append(f"array_compact(transform({_values(owner, names)}, (x, i) -> {picked}))")
+    return f"concat({', '.join(found)})"
 
 
 def _report_texts(endpoint: Endpoint) -> list[str]:
@@ -155,7 +157,8 @@ def payload_class(keys: Column, information: Column) -> Column:
 
 def extra_fields(keys: Column, endpoint: Endpoint) -> Column:
     """Envelope keys the contract does not know."""
-    return F.array_except(keys, F.array(*(F.lit(k) for k in endpoint.envelope)))
+    known = ", ".join(_text(k) for k in endpoint.envelope)
+    return F.array_except(keys, F.expr(f"array({known})"))
 
 
 def _report_numbers(endpoint: Endpoint, array: str) -> list[Field]:
@@ -164,57 +167,48 @@ def _report_numbers(endpoint: Endpoint, array: str) -> list[Field]:
     return [f for f in endpoint.fields if not (annual and f.source in endpoint.quarterly_only)]
 
 
-def _report_text_checks(endpoint: Endpoint, array: str, report: Column) -> list[tuple[Column, str]]:
+def _report_text_checks(endpoint: Endpoint, array: str, report: str) -> list[tuple[str, str]]:
     """Rules on the text fields of one report, as (violated, message)."""
-    checks = [(~_is_date(report[DATE_FIELD]), f"{array}.{DATE_FIELD}: not a date")]
+    checks = [(f"not {_is_date(f'{report}.{DATE_FIELD}')}", f"{array}.{DATE_FIELD}: not a date")]
     if endpoint.currency_required:
-        checks.append((~_is_string(report[_CURRENCY]), f"{array}.{_CURRENCY}: not a string"))
+        checks.append((f"not {_is_string(f'{report}.{_CURRENCY}')}", f"{array}.{_CURRENCY}: not a string"))
     if endpoint.quarterly_only and array != endpoint.annual:
-        reported, time = report[_REPORTED_DATE], report[_REPORT_TIME]
-        checks.append((reported.isNotNull() & ~_is_date(reported), f"{array}.{_REPORTED_DATE}: not a date"))
-        checks.append((~(_is_missing(time) | _is_string(time)), f"{array}.{_REPORT_TIME}: not a string"))
+        reported, time = f"{report}.{_REPORTED_DATE}", f"{report}.{_REPORT_TIME}"
+        checks.append((f"({reported} is not null and not {_is_date(reported)})", f"{array}.{_REPORTED_DATE}: not a date"))
+        checks.append((f"not ({_is_missing(time)} or {_is_string(time)})", f"{array}.{_REPORT_TIME}: not a string"))
     return checks
 
 
-def _messages(checks: list[tuple[Column, str]]) -> Column:
-    return F.array_compact(F.array(*(F.when(bad, F.lit(text)) for bad, text in checks)))
+def _messages(checks: list[tuple[str, str]]) -> str:
+    return "array_compact(array(" + ", ".join(f"case when {bad} then {_text(text)} end" for bad, text in checks) + "))"
 
 
-def _array_violations(endpoint: Endpoint, array: str, reports: Column) -> Column:
+def _array_violations(endpoint: Endpoint, array: str, reports: str) -> str:
     numbers = _report_numbers(endpoint, array)
-
-    def is_bad(report: Column) -> Column:
-        checks = [bad for bad, _ in _report_text_checks(endpoint, array, report)]
-        return reduce(or_, [report.isNull(), *checks, _has_bad_number(report, numbers)])
-
-    def explain(report: Column) -> Column:
-        not_object = F.array(F.lit(f"{array}: report is not an object"))
-        return F.when(report.isNull(), not_object).otherwise(
-            F.concat(
-                _messages(_report_text_checks(endpoint, array, report)),
-                _bad_number_messages(report, numbers, f"{array}."),
-            )
-        )
-
+    checks = _report_text_checks(endpoint, array, "r")
+    is_bad = " or ".join(["r is null", *(bad for bad, _ in checks), _has_bad_number("r", numbers)])
+    not_object = f"array({_text(f'{array}: report is not an object')})"
+    explained = f"concat({_messages(checks)}, {_bad_number_messages('r', numbers, f'{array}.')})"
     # messages are built only for a document that fails
     return (
-        F.when(reports.isNull(), F.array(F.lit(f"{array}: missing or not a list of reports")))
-        .when(F.exists(reports, is_bad), F.array_distinct(F.flatten(F.transform(reports, explain))))
-        .otherwise(F.array().cast("array<string>"))
+        f"case when {reports} is null then array({_text(f'{array}: missing or not a list of reports')}) "
+        f"when exists({reports}, r -> {is_bad}) then "
+        f"array_distinct(flatten(transform({reports}, r -> case when r is null then {not_object} else {explained} end))) "
+        "else cast(array() as array<string>) end"
     )
 
 
-def violations(doc: Column, endpoint: Endpoint) -> Column:
-    """Broken rules of a parsed document; empty when it honours the contract."""
-    checks = [(~_is_string(doc[endpoint.key]), f"{endpoint.key}: missing or not a string")]
+def violations(doc: str, endpoint: Endpoint) -> Column:
+    """Broken rules of a parsed document, a column of this name; empty when it honours the contract."""
+    checks = [(f"not {_is_string(f'{doc}.`{endpoint.key}`')}", f"{endpoint.key}: missing or not a string")]
     if not endpoint.is_flat:
-        parts = [_array_violations(endpoint, a, doc[a]) for a in endpoint.arrays]
-        return F.concat(_messages(checks), *parts)
+        parts = [_array_violations(endpoint, a, f"{doc}.`{a}`") for a in endpoint.arrays]
+        return F.expr(f"concat({', '.join([_messages(checks), *parts])})")
     for field in endpoint.fields:
         if field.is_text:
-            value = doc[field.source]
-            checks.append((~(_is_missing(value) | _is_string(value)), f"{field.source}: not a string"))
-    return F.concat(_messages(checks), _bad_number_messages(doc, list(endpoint.fields)))
+            value = f"{doc}.`{field.source}`"
+            checks.append((f"not ({_is_missing(value)} or {_is_string(value)})", f"{field.source}: not a string"))
+    return F.expr(f"concat({_messages(checks)}, {_bad_number_messages(doc, list(endpoint.fields))})")
 
 
 def fiscal_probe(doc: Column, endpoint: Endpoint, rule: str = "first") -> Column:
@@ -282,7 +276,7 @@ def route(payloads: DataFrame, endpoint: Endpoint, probe_rule: str = "first") ->
     none = F.array().cast("array<string>")
     checked = parsed.withColumn("payload_class", payload_class(keys, doc[INFORMATION])).withColumns(
         {
-            "violations": F.when(is_data, violations(doc, endpoint)).otherwise(none),
+            "violations": F.when(is_data, violations("_doc", endpoint)).otherwise(none),
             "extra_fields": F.when(is_data, extra_fields(keys, endpoint)).otherwise(none),
         }
     )
