@@ -60,24 +60,18 @@ def with_ingest_columns(staging: DataFrame) -> list[Column]:
     ]
 
 
-def _elements(raw: Column, array: Column, name: str, report: T.StructType) -> Column:
+def _elements(array: str, report: T.StructType) -> str:
     """A report array whose elements are read one by one.
 
     The typed parse gives no array at all if one element is not an object. Only then is the document
     read again, as VARIANT: each object keeps its fields and anything else becomes an empty report.
     """
-    loose = T.StructType([T.StructField(name, T.ArrayType(T.VariantType()))])
-
-    def fields(element: Column) -> Column:
-        return F.struct(
-            *(
-                F.try_variant_get(element, f"$['{f.name}']", "variant" if isinstance(f.dataType, T.VariantType) else "string").alias(f.name)
-                for f in report.fields
-            )
-        )
-
-    again = F.transform(F.from_json(raw, loose)[name], fields)
-    return F.when(array.isNotNull(), array).otherwise(again)
+    # SQL text, since this has an expression per field that building call by call would take long
+    fields = ", ".join(
+        f"try_variant_get(e, \"$['{f.name}']\", '{f.dataType.simpleString()}') as `{f.name}`" for f in report.fields
+    )
+    again = f"transform(from_json(raw_data, '`{array}` array<variant>').`{array}`, e -> struct({fields}))"
+    return f"case when `{array}` is not null then `{array}` else {again} end"
 
 
 def flatten_reports(
@@ -98,10 +92,10 @@ def flatten_reports(
         "raw_data",
         parse_document("raw_data", document_schema(endpoint, report)),
     )
-    annual, quarterly = (_elements(F.col("raw_data"), F.col(a), a, report) for a in endpoint.arrays)
+    annual, quarterly = (_elements(a, report) for a in endpoint.arrays)
     tagged = documents.select(
         *(c for c in documents.columns if c not in (*endpoint.arrays, "raw_data")),
-        F.stack(F.lit(2), F.lit(ANNUAL), annual, F.lit(QUARTERLY), quarterly).alias("report_type", "reports"),
+        F.expr(f"stack(2, '{ANNUAL}', {annual}, '{QUARTERLY}', {quarterly})").alias("report_type", "reports"),
     )
     reports = tagged.select(
         *(c for c in tagged.columns if c != "reports"),

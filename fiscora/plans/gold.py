@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,26 +47,27 @@ RATIOS = {
 
 @dataclass(frozen=True)
 class SilverFrames:
-    """Inputs of the mart. Companions must be unique on the grain, the overview on symbol."""
+    """Inputs of the mart. Companions must be unique on the grain, the overview on symbol.
+
+    ``by_company``: all of them lie in the same buckets by symbol, so the mart needs no shuffle.
+    """
 
     income: DataFrame
     balance: DataFrame
     cash_flow: DataFrame
     earnings: DataFrame
     overview: DataFrame
+    by_company: bool = False
+
+    @classmethod
+    def of(cls, models: dict[str, DataFrame], by_company: bool = False) -> SilverFrames:
+        """From models by endpoint name."""
+        return cls(*(models[e.name] for e in (INCOME, BALANCE, CASH_FLOW, EARNINGS, OVERVIEW)), by_company)
 
     def by_endpoint(self) -> dict[str, DataFrame]:
         frames = (self.income, self.balance, self.cash_flow, self.earnings, self.overview)
         return dict(zip((e.name for e in (INCOME, BALANCE, CASH_FLOW, EARNINGS, OVERVIEW)), frames, strict=True))
 
-    def persist(self) -> SilverFrames:
-        """Keep the narrow, deduplicated rows for more than one reader."""
-        return replace(self, **{f.name: getattr(self, f.name).persist() for f in fields(self)})
-
-    def unpersist(self) -> None:
-        for f in fields(self):
-            getattr(self, f.name).unpersist()
-
 
 MART_COLUMNS = {
     INCOME.name: INCOME_COLUMNS,
@@ -80,13 +81,7 @@ MART_COLUMNS = {
 def latest_for_gold(deliveries: dict[str, DataFrame]) -> SilverFrames:
     """Silver, narrowed to the mart's columns, from typed rows before deduplication."""
     models = {n: silver.latest(deliveries[n], ENDPOINTS[n], c) for n, c in MART_COLUMNS.items()}
-    return SilverFrames(
-        income=models[INCOME.name],
-        balance=models[BALANCE.name],
-        cash_flow=models[CASH_FLOW.name],
-        earnings=models[EARNINGS.name],
-        overview=models[OVERVIEW.name],
-    )
+    return SilverFrames.of(models)
 
 
 def silver_for_gold(staging: dict[str, DataFrame]) -> SilverFrames:
@@ -132,7 +127,8 @@ def build_gold(frames: SilverFrames) -> DataFrame:
     value after them equals taking it before, and saves a shuffle: the rows are
     hashed by symbol once, which serves both the window and the overview join.
     """
-    by_symbol = join_companions(frames).repartition("symbol")
+    joined = join_companions(frames)
+    by_symbol = joined if frames.by_company else joined.repartition("symbol")
     grown = by_symbol.withColumn("prior_revenue", prior_year_value("total_revenue"))
     joined = join_overview(grown, frames.overview)
     computed = {name: kpi(name) for name in RATIOS}

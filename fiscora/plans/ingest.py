@@ -11,7 +11,7 @@ from fiscora.catalog import ENDPOINTS, Endpoint
 from fiscora.functions import redact_api_keys
 from fiscora.operators import contract, watermark
 from fiscora.operators.contract import ACCEPTED, NO_CHANGE, QUARANTINE
-from fiscora.sources import periods
+from fiscora.sources import latest_rows, periods
 from fiscora.sources.audit_log import TICKER_EVENT, write_log
 from fiscora.sources.bronze import endpoint_path, write_bronze, write_quarantine
 from fiscora.sources.paths import delete
@@ -26,6 +26,7 @@ class LakePaths:
 
     bronze: str
     periods: str
+    latest: str
     staged: str
     state: str
     audit: str
@@ -134,6 +135,7 @@ def ingest(
     state = read_state(spark, state_dir, before=number)
     staged_dir = f"{paths.staged}/{endpoint.name}/batch={number}"
     decisions_dir = f"{paths.decisions}/{endpoint.name}/batch={number}"
+    latest_rows.forget(spark, paths.latest, endpoint, number)
     periods.forget(spark, paths.periods, endpoint, number)
     staged = stage(payloads, endpoint, staged_dir, probe_rule)
     decide(staged, state).write.mode("overwrite").parquet(decisions_dir)

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from fiscora.catalog import ENDPOINTS
 from fiscora.operators import audit, batching, quality
-from fiscora.plans.gold import MART_COLUMNS, build_gold, latest_for_gold
+from fiscora.plans.gold import MART_COLUMNS, SilverFrames, build_gold
 from fiscora.plans.ingest import LakePaths, ingest, processed_keys
-from fiscora.sources import periods
+from fiscora.sources import latest_rows
 from fiscora.sources.audit_log import BATCH_EVENT, SUMMARY_SCHEMA, read_batch_summaries, write_log
 from fiscora.sources.gold_table import read_gold, write_gold
 
@@ -34,14 +34,18 @@ class RunResult:
     gold: DataFrame
 
 
-def mart_deliveries(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    """Typed rows of every endpoint; only batches that are new since the last run are parsed."""
+def latest_frames(spark: SparkSession, paths: LakePaths, buckets: int = latest_rows.BUCKETS) -> SilverFrames:
+    """Stored latest rows of every endpoint; only batches that are new since the last run are parsed and shuffled."""
 
-    def typed(name: str) -> DataFrame:
-        return periods.deliveries(spark, paths.bronze, paths.periods, ENDPOINTS[name], MART_COLUMNS[name])
+    def refreshed(name: str) -> tuple[DataFrame, bool]:
+        return latest_rows.refresh(
+            spark, paths.bronze, paths.periods, paths.latest, ENDPOINTS[name], MART_COLUMNS[name], buckets
+        )
 
     with ThreadPoolExecutor(CONCURRENT_ENDPOINTS) as pool:
-        return dict(zip(ENDPOINTS, pool.map(typed, ENDPOINTS), strict=True))
+        found = dict(zip(ENDPOINTS, pool.map(refreshed, ENDPOINTS), strict=True))
+    in_buckets = all(lies_in_buckets for _, lies_in_buckets in found.values())
+    return SilverFrames.of({name: rows for name, (rows, _) in found.items()}, by_company=in_buckets)
 
 
 def summarise(
@@ -78,7 +82,7 @@ def run(
     daily_limit: int | None = None,
     allow_partial: bool = True,
 ) -> RunResult:
-    """Ingest documents per endpoint, then rebuild Gold from the typed rows of all of Bronze.
+    """Ingest documents per endpoint, then rebuild Gold from the latest typed rows of all of Bronze.
 
     ``planned`` lists the ``(run_id, endpoint, symbol)`` asked for; without it, what
     arrived counts as the plan. A plan of more than ``daily_limit`` source calls is refused before
@@ -101,14 +105,11 @@ def run(
         if broken:
             raise BatchError(f"incomplete batches: {', '.join(sorted(broken))}")
 
-    # kept between the gate and the mart, so that rows are deduplicated once for both
-    frames = latest_for_gold(mart_deliveries(spark, paths)).persist()
-    try:
-        silver_tests = silver_report(frames.by_endpoint())
-        quality.require(silver_tests, "silver")
-        write_gold(build_gold(frames), paths.gold)
-    finally:
-        frames.unpersist()
+    # the gate and the mart both read the stored rows, deduplicated once
+    frames = latest_frames(spark, paths)
+    silver_tests = silver_report(frames.by_endpoint())
+    quality.require(silver_tests, "silver")
+    write_gold(build_gold(frames), paths.gold)
     gold = read_gold(spark, paths.gold)
     gold_tests = gold_report(gold)
     quality.require(gold_tests, "gold")

@@ -6,10 +6,11 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fiscora.catalog import Endpoint
 from fiscora.plans import silver
-from fiscora.sources.bronze import BATCH, empty_staging, endpoint_path, read_bronze
+from fiscora.sources.bronze import BATCH, PARTITIONS, empty_staging, endpoint_path, read_bronze, staging
 from fiscora.sources.paths import child_names, delete, exists
 
 _BATCH_DIR = re.compile(rf"{BATCH}=(\d+)$")
@@ -19,24 +20,55 @@ def _batches(spark: SparkSession, path: str) -> list[int]:
     return [int(m.group(1)) for name in child_names(spark, path) if (m := _BATCH_DIR.search(name))]
 
 
+def known_batches(spark: SparkSession, bronze: str, endpoint: Endpoint) -> frozenset[int]:
+    """Numbers of the batches that Bronze holds, from one listing."""
+    return frozenset(_batches(spark, endpoint_path(bronze, endpoint.name)))
+
+
 def forget(spark: SparkSession, root: str, endpoint: Endpoint, batch: int) -> None:
     """Drop what was typed of a batch that is about to be replaced."""
     delete(spark, f"{root}/{endpoint.name}/{BATCH}={batch}")
 
 
-def deliveries(spark: SparkSession, bronze: str, root: str, endpoint: Endpoint, columns: tuple[str, ...]) -> DataFrame:
-    """Every typed row of an endpoint. Batches of Bronze not typed yet are parsed and stored first;
-    Bronze outside of numbered batches has no stored form and is parsed each time."""
+def _empty(spark: SparkSession) -> DataFrame:
+    return empty_staging(spark).withColumn(BATCH, F.lit(0).cast("bigint"))
+
+
+def schema(spark: SparkSession, endpoint: Endpoint, columns: tuple[str, ...]) -> T.StructType:
+    """Columns of the typed rows: those asked for, their keys and what orders their versions."""
+    return silver.deliveries(_empty(spark), endpoint, columns).schema
+
+
+def of_batches(
+    spark: SparkSession, bronze: str, root: str, endpoint: Endpoint, columns: tuple[str, ...], batches: set[int] | frozenset[int]
+) -> DataFrame:
+    """Typed rows of numbered batches. Those not typed yet are parsed and stored first."""
     path, stored = endpoint_path(bronze, endpoint.name), f"{root}/{endpoint.name}"
-    staging = read_bronze(spark, path) if exists(spark, path) else empty_staging(spark)
-    numbered = BATCH in staging.columns
-    known = set(_batches(spark, path))
-    typed = {n for n in _batches(spark, stored) if exists(spark, f"{stored}/{BATCH}={n}/_SUCCESS")}
-    for batch in sorted(known - typed) if numbered else ():
-        rows = silver.deliveries(staging.where(F.col(BATCH) == batch), endpoint, columns)
-        rows.write.mode("overwrite").parquet(f"{stored}/{BATCH}={batch}")
-    loose = silver.deliveries(staging.where(F.col(BATCH).isNull()) if numbered else staging, endpoint, columns)
-    if not (numbered and known):
-        return loose
-    paths = [f"{stored}/{BATCH}={n}" for n in sorted(known)]
-    return spark.read.schema(loose.schema).parquet(*paths).unionByName(loose)
+    wanted = schema(spark, endpoint, columns)
+    typed = set(_batches(spark, stored))
+    for batch in sorted(batches):
+        if batch not in typed or not exists(spark, f"{stored}/{BATCH}={batch}/_SUCCESS"):
+            # the batch's own folder is listed, and no other
+            lines = spark.read.option("basePath", path).text(f"{path}/{BATCH}={batch}")
+            rows = silver.deliveries(_staged(spark, lines), endpoint, columns)
+            rows.write.mode("overwrite").parquet(f"{stored}/{BATCH}={batch}")
+    return spark.read.schema(wanted).parquet(*(f"{stored}/{BATCH}={n}" for n in sorted(batches)))
+
+
+def _staged(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    if set(PARTITIONS) <= set(lines.columns):
+        return staging(lines)
+    return _empty(spark)  # no document was stored
+
+
+def loose(spark: SparkSession, bronze: str, endpoint: Endpoint, columns: tuple[str, ...]) -> DataFrame | None:
+    """Typed rows of Bronze outside of numbered batches, parsed each time; None if all of it is numbered."""
+    path = endpoint_path(bronze, endpoint.name)
+    names = [n for n in child_names(spark, path) if not n.startswith(("_", "."))]
+    numbered = [n for n in names if _BATCH_DIR.search(n)]
+    if numbered and len(numbered) == len(names):
+        return None
+    rows = read_bronze(spark, path) if exists(spark, path) else empty_staging(spark)
+    if numbered:
+        rows = rows.where(F.col(BATCH).isNull())
+    return silver.deliveries(rows, endpoint, columns)
