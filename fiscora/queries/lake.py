@@ -13,15 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscora.catalog import ENDPOINTS, OVERVIEW, Endpoint
-from fiscora.plans.gold import gold_from_bronze
+from fiscora.plans import silver
+from fiscora.plans.gold import MART_COLUMNS, SilverFrames, gold_from_bronze
 from fiscora.plans.ingest import stage
 from fiscora.queries import payloads
 from fiscora.session import shared_dir
+from fiscora.sources import latest_rows
 from fiscora.sources.bronze import endpoint_path, read_bronze, write_bronze
 from fiscora.sources.gold_table import write_gold
 
+STORED_BUCKETS = 8  # the derived lake is small
+
 _built: dict[tuple[str, str], str] = {}
 _gold: dict[tuple[str, str], str] = {}
+_latest: dict[tuple[str, str], str] = {}
 _landing: dict[tuple[str, str, str, bool], str] = {}
 _staged: dict[tuple[str, str, str, bool], str] = {}
 
@@ -88,6 +93,26 @@ def stored_gold(spark: SparkSession, sf_dir: str) -> str:
     return _gold[key]
 
 
+def stored_latest(spark: SparkSession, sf_dir: str) -> SilverFrames:
+    """The mart's rows as a lake stores them: the second day's documents merged into the first day's. Once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    root = scratch(spark, sf_dir, "latest")
+    if key not in _latest:
+        store = lake(spark, sf_dir)
+
+        def fill(name: str) -> None:
+            endpoint = ENDPOINTS[name]
+            for batch, day in enumerate(payloads.DAYS):
+                rows = store.staging(name).where(F.col("day") == int(day[-2:]))
+                latest_rows.merge(silver.deliveries(rows, endpoint, MART_COLUMNS[name]), root, endpoint, {batch}, STORED_BUCKETS)
+
+        with ThreadPoolExecutor(len(ENDPOINTS)) as pool:
+            list(pool.map(fill, ENDPOINTS))
+        _latest[key] = root
+    stored = {name: latest_rows.read(spark, root, e).rows.select(*MART_COLUMNS[name]) for name, e in ENDPOINTS.items()}
+    return SilverFrames.of(stored, by_company=True)
+
+
 def landing(spark: SparkSession, sf_dir: str, endpoint: Endpoint, *, faults: bool = False) -> DataFrame:
     """Documents as they arrive: ``k, ingest_date, raw_data``, honouring the contract
     unless faults are planted. Written once per application, like any landing area."""

@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fiscora.catalog import CASH_FLOW, ENDPOINTS, GRAIN, INCOME
+from fiscora.catalog import ENDPOINTS, GRAIN, INCOME
 from fiscora.operators import quality
 from fiscora.plans import gold, silver
 from fiscora.queries.expected import sql_type, statement_rows, with_gold, with_silver
-from fiscora.queries.lake import lake, stored_gold
+from fiscora.queries.lake import lake, stored_gold, stored_latest
 from fiscora.queries.registry import registered
 from fiscora.sources.gold_table import read_gold
 
@@ -184,23 +184,20 @@ _KPIS = ", ".join(f"'{name}'" for name in (*gold.RATIOS, *_GROWTHS, *_PASSED))
 
 
 def _inputs(spark, sf_dir) -> DataFrame:
-    """The inputs of all KPIs, joined from full Silver again; the prior year by a self-join on its rank."""
-    store = lake(spark, sf_dir)
-    income = silver.income_statement(store.staging(INCOME), gold.INCOME_COLUMNS)
-    companions = (
-        silver.balance_sheet(store.staging("balance_sheet"), gold.BALANCE_COLUMNS),
-        silver.cash_flow(store.staging(CASH_FLOW), gold.CASH_FLOW_COLUMNS),
-        silver.earnings(store.staging("earnings"), gold.EARNINGS_COLUMNS),
-    )
-    joined = reduce(lambda a, b: a.join(b, list(GRAIN), "left"), companions, income)
-    overview = silver.overview(store.staging("overview"), ["symbol", "pe_ratio", "ev_to_ebitda"])
+    """The inputs of all KPIs, joined from the stored latest rows again; the prior year by a self-join on its rank.
+
+    Rows of one company lie in one bucket, so neither the joins nor the ranks shuffle them.
+    """
+    frames = stored_latest(spark, sf_dir)
+    joined = gold.join_companions(frames)
+    overview = frames.overview.select("symbol", "pe_ratio", "ev_to_ebitda")
     ranked = joined.withColumn(
         "rank", F.row_number().over(Window.partitionBy("symbol", "report_type").orderBy("fiscaldateending"))
     )
     years_on = F.col("rank") + F.when(F.col("report_type") == "annual", 1).otherwise(4)
     prior = ranked.select("symbol", "report_type", years_on.alias("rank"), F.col("total_revenue").alias("prior_revenue"))
     return ranked.join(prior, ["symbol", "report_type", "rank"], "left").join(
-        overview.select("symbol", "pe_ratio", "ev_to_ebitda"), "symbol", "left"
+        overview, "symbol", "left"
     )
 
 
@@ -212,7 +209,7 @@ def _inputs(spark, sf_dir) -> DataFrame:
     ),
 )
 def kpi_reconciliation(spark, sf_dir):
-    """KPIs of the stored Gold table against their inputs from full Silver."""
+    """KPIs of the stored Gold table against their inputs from the stored latest rows of all periods."""
     kpis = read_gold(spark, stored_gold(spark, sf_dir))
     return quality.reconcile_kpis(kpis, _inputs(spark, sf_dir), gold.RATIOS, _GROWTHS, _PASSED)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscora.catalog import BALANCE, CASH_FLOW, EARNINGS, ENDPOINTS, GOLD_SCHEMA, GRAIN, INCOME, OVERVIEW
@@ -9,7 +12,7 @@ from fiscora.operators.latest import latest_ingest, prior_year_value
 from fiscora.operators.flatten import TIEBREAK
 from fiscora.plans import gold, silver
 from fiscora.queries.expected import JOINED, PRIOR, SILVER, query, with_gold, with_silver
-from fiscora.queries.lake import lake, stored_gold
+from fiscora.queries.lake import lake, stored_gold, stored_latest
 from fiscora.queries.registry import registered
 from fiscora.sources.gold_table import read_gold
 
@@ -125,6 +128,29 @@ def gold_kpis(spark, sf_dir):
     return gold.gold_from_bronze(lake(spark, sf_dir).all_staging())
 
 
+@registered("gold_from_stored_rows", with_gold(f"SELECT {_GOLD_COLUMNS} FROM gold"))
+def gold_from_stored_rows(spark, sf_dir):
+    """The mart from rows merged batch by batch, restatements included: the same as from all of Bronze."""
+    return gold.build_gold(stored_latest(spark, sf_dir))
+
+
+@registered(
+    "stored_rows",
+    with_silver(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS endpoint, count(*) AS n_rows, count(DISTINCT symbol) AS n_companies FROM int_{name}" for name in ENDPOINTS
+        )
+    ),
+)
+def stored_rows(spark, sf_dir):
+    """What the merged store holds: one row per key, whatever number of batches it came in."""
+    counts = [
+        rows.agg(F.lit(name).alias("endpoint"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct("symbol").alias("n_companies"))
+        for name, rows in stored_latest(spark, sf_dir).by_endpoint().items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @registered(
     "gold_empty_companions",
     with_gold(

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fiscora.catalog import Endpoint
 from fiscora.plans import silver
-from fiscora.sources.bronze import BATCH, PARTITIONS, empty_staging, endpoint_path, read_bronze, staging
+from fiscora.sources.bronze import BATCH, PARTITIONS, empty_staging, endpoint_path, staging
 from fiscora.sources.paths import child_names, delete, exists
 
 _BATCH_DIR = re.compile(rf"{BATCH}=(\d+)$")
@@ -62,13 +62,17 @@ def _staged(spark: SparkSession, lines: DataFrame) -> DataFrame:
 
 
 def loose(spark: SparkSession, bronze: str, endpoint: Endpoint, columns: tuple[str, ...]) -> DataFrame | None:
-    """Typed rows of Bronze outside of numbered batches, parsed each time; None if all of it is numbered."""
+    """Typed rows of Bronze outside of numbered batches, parsed each time; None if all of it is numbered.
+
+    Of copies of one day, one from a batch above 0 is the later delivery.
+    """
     path = endpoint_path(bronze, endpoint.name)
     names = [n for n in child_names(spark, path) if not n.startswith(("_", "."))]
-    numbered = [n for n in names if _BATCH_DIR.search(n)]
-    if numbered and len(numbered) == len(names):
+    others = [n for n in names if not _BATCH_DIR.search(n)]
+    if names and not others:
         return None
-    rows = read_bronze(spark, path) if exists(spark, path) else empty_staging(spark)
-    if numbered:
-        rows = rows.where(F.col(BATCH).isNull())
+    if not others:
+        return silver.deliveries(empty_staging(spark), endpoint, columns)
+    lines = spark.read.option("basePath", path).text([f"{path}/{n}" for n in others])
+    rows = staging(lines) if set(PARTITIONS) <= set(lines.columns) else empty_staging(spark)
     return silver.deliveries(rows, endpoint, columns)
