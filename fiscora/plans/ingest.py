@@ -13,7 +13,14 @@ from fiscora.operators import contract, watermark
 from fiscora.operators.contract import ACCEPTED, NO_CHANGE, QUARANTINE
 from fiscora.sources import latest_rows, periods
 from fiscora.sources.audit_log import TICKER_EVENT, write_log
-from fiscora.sources.bronze import endpoint_path, write_bronze, write_quarantine
+from fiscora.sources.bronze import (
+    begin_batch,
+    endpoint_path,
+    finish_batch,
+    quarantine_path,
+    write_bronze,
+    write_quarantine,
+)
 from fiscora.sources.paths import delete
 from fiscora.sources.state import next_number, read_state, write_increment
 
@@ -122,7 +129,8 @@ def ingest(
     Every batch has a number (the one after the last finished batch unless given) and
     writes only to folders of that number, each replaced whole, from the state before
     it. Running a number again therefore replaces its output, whatever documents it had the
-    first time. The state's increment is written last: a run that dies before it is
+    first time. Readers of Bronze see a batch once it is wholly written, see
+    ``bronze.finish_batch``. The state's increment is written last: a run that dies before it is
     repeated under the same number, and neither loses nor leaves anything.
 
     Documents are parsed once and stored with their verdicts in the lake. The text is
@@ -135,6 +143,9 @@ def ingest(
     state = read_state(spark, state_dir, before=number)
     staged_dir = f"{paths.staged}/{endpoint.name}/batch={number}"
     decisions_dir = f"{paths.decisions}/{endpoint.name}/batch={number}"
+    stores = [endpoint_path(paths.bronze, endpoint.name), quarantine_path(paths.bronze, endpoint.name)]
+    for store in stores:
+        begin_batch(spark, store, number)
     latest_rows.forget(spark, paths.latest, endpoint, number)
     periods.forget(spark, paths.periods, endpoint, number)
     staged = stage(payloads, endpoint, staged_dir, probe_rule)
@@ -146,6 +157,9 @@ def ingest(
     write_quarantine(staged.where(F.col("route") == QUARANTINE), paths.bronze, endpoint.name, batch=number)
     events = ticker_events(decisions, run_id, paths.bronze)
     write_log(events, f"{paths.audit}/{endpoint.name}/batch={number}", mode="overwrite")
+    # shown before the increment: a batch that dies in between is run again, and hidden first
+    for store in stores:
+        finish_batch(spark, store, number)
     write_increment(watermark.raised(state, decisions.where(F.col("route") == ACCEPTED)), state_dir, number)
     delete(spark, staged_dir)
     return decisions

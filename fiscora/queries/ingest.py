@@ -19,7 +19,7 @@ from fiscora.queries.lake import day_only, landing, scratch, staged, stored_gold
 from fiscora.queries.payloads import DAYS, MISSING_PERIOD
 from fiscora.queries.registry import registered
 from fiscora.sources.audit_log import read_ticker_events
-from fiscora.sources.bronze import endpoint_path, quarantine_path, read_bronze, write_bronze
+from fiscora.sources.bronze import begin_batch, endpoint_path, quarantine_path, read_bronze, write_bronze
 from fiscora.sources.gold_table import read_gold
 from fiscora.sources.state import empty_state, read_state, write_increment
 from fiscora.streaming.ingest import start_ingest
@@ -213,6 +213,22 @@ def replaced_batch(spark, sf_dir):
     return _store_counts(_all_stored(spark, paths))
 
 
+_FIRST_DAY = """SELECT endpoint, CASE route WHEN 'accepted' THEN 'bronze' ELSE 'quarantine' END AS store,
+      CAST(day(ingest_date) AS BIGINT) AS day, count(*) AS n_documents, count(*) FILTER (route = 'accepted') AS n_stamped
+    FROM decided WHERE route IN ('accepted', 'quarantine') AND day(ingest_date) = 7 GROUP BY ALL"""
+
+
+@registered("unfinished_batch", query(_FIRST_DAY, DOCUMENTS, _PROBES, _ROUTES, _DECIDED))
+def unfinished_batch(spark, sf_dir):
+    """While the second batch is being written anew, readers see the first one alone."""
+    paths = _clean_paths(spark, sf_dir, "unfinished")
+    _ingest_days(spark, sf_dir, paths)
+    for name in ENDPOINTS:
+        for store in (endpoint_path(paths.bronze, name), quarantine_path(paths.bronze, name)):
+            begin_batch(spark, store, 1)
+    return _store_counts(_all_stored(spark, paths))
+
+
 _EVENT_RECORDS = f"""records AS (
   SELECT unnest(['income_statement', 'balance_sheet', 'earnings']) AS endpoint, k, ingest_date, n
   FROM (SELECT k, ingest_date, count(*) AS n FROM copies GROUP BY ALL)

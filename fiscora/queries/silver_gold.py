@@ -14,6 +14,7 @@ from fiscora.plans import gold, silver
 from fiscora.queries.expected import JOINED, PRIOR, SILVER, query, with_gold, with_silver
 from fiscora.queries.lake import lake, stored_gold, stored_latest
 from fiscora.queries.registry import registered
+from fiscora.sources import gold_table
 from fiscora.sources.gold_table import read_gold
 
 
@@ -212,7 +213,22 @@ def gold_stored_whole(spark, sf_dir):
     ),
 )
 def recent_periods(spark, sf_dir):
-    kpis = read_gold(spark, stored_gold(spark, sf_dir))
-    return gold.recent_periods(kpis, "SUP1", "annual", 4).select(
-        *GRAIN, "net_margin", "roe", "current_ratio", "free_cash_flow", "revenue_yoy_growth"
+    """A look-up through the index of the stored table."""
+    found = gold_table.recent_periods(spark, stored_gold(spark, sf_dir), "SUP1", "annual", 4)
+    return found.select(*GRAIN, "net_margin", "roe", "current_ratio", "free_cash_flow", "revenue_yoy_growth")
+
+
+_INDEXED = """SELECT count(*) AS n_rows, count(DISTINCT fiscaldateending) AS n_dates, min(symbol) AS first_symbol, max(symbol) AS last_symbol
+  FROM gold"""
+
+
+@registered("gold_index", with_gold(_INDEXED))
+def gold_index(spark, sf_dir):
+    """What the index says of the stored table as a whole."""
+    index = gold_table.read_index(spark, stored_gold(spark, sf_dir))
+    return index.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.countDistinct("fiscaldateending").alias("n_dates"),
+        F.min("first_symbol").alias("first_symbol"),
+        F.max("last_symbol").alias("last_symbol"),
     )

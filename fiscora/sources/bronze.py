@@ -2,18 +2,26 @@
 
 A partition holds many documents per file, so the number of files follows the
 number of write tasks and not the number of companies.
+
+Numbered batches lie in folders above the dates. The folder ``_finished`` lists those that are wholly
+written; readers skip all others, so nobody sees half a batch, or two halves while one is replaced.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fiscora.catalog import ENDPOINTS
+from fiscora.sources.paths import child_names, delete, touch
 
 PARTITIONS = ("year", "month", "day")
 BATCH = "batch"
+BATCH_FOLDER = re.compile(rf"{BATCH}=(\d+)")
+FINISHED = "_finished"
 STAGING_SCHEMA = T.StructType(
     [
         T.StructField("raw_data", T.StringType()),
@@ -36,14 +44,65 @@ def quarantine_path(root: str, endpoint: str) -> str:
     return f"{root.rstrip('/')}/quarantine/{_folder(endpoint)}"
 
 
+def begin_batch(spark: SparkSession, path: str, batch: int) -> None:
+    """Hide a batch from readers, until it is finished (again)."""
+    touch(spark, f"{path}/{FINISHED}/_started")  # from now on the list counts
+    delete(spark, f"{path}/{FINISHED}/{BATCH}={batch}")
+
+
+def finish_batch(spark: SparkSession, path: str, batch: int) -> None:
+    """Show a batch to readers. Call it once the batch is wholly written."""
+    touch(spark, f"{path}/{FINISHED}/{BATCH}={batch}")
+
+
+def _folders(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Folders of the batches to read, and of documents outside of batches."""
+    names = child_names(spark, path)
+    shown = [n for n in names if not n.startswith(("_", "."))]
+    numbered = [n for n in shown if BATCH_FOLDER.fullmatch(n)]
+    others = [n for n in shown if n not in set(numbered)]
+    if FINISHED in names:
+        finished = set(child_names(spark, f"{path}/{FINISHED}"))
+        numbered = [n for n in numbered if n in finished]
+    return numbered, others
+
+
+def finished_batches(spark: SparkSession, path: str) -> frozenset[int]:
+    """Numbers of the batches that readers see. Where no batch was ever begun by name, all of them."""
+    return frozenset(int(BATCH_FOLDER.fullmatch(n).group(1)) for n in _folders(spark, path)[0])
+
+
+def _read_folders(spark: SparkSession, path: str, names: list[str]) -> DataFrame | None:
+    if not names:
+        return None
+    lines = spark.read.option("basePath", path).text([f"{path}/{n}" for n in names])
+    return staging(lines) if set(PARTITIONS) <= set(lines.columns) else None
+
+
+def read_batch(spark: SparkSession, path: str, batch: int) -> DataFrame | None:
+    """One batch's staging rows; None if no document was stored. No other folder is listed."""
+    return _read_folders(spark, path.rstrip("/"), [f"{BATCH}={batch}"])
+
+
+def read_loose(spark: SparkSession, path: str) -> DataFrame | None:
+    """Staging rows outside of numbered batches; None if there are none."""
+    path = path.rstrip("/")
+    return _read_folders(spark, path, _folders(spark, path)[1])
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """``raw_data, year, month, day``; a filter on the last three prunes folders.
 
     Bronze written by ``ingest`` also has ``batch``, which orders deliveries of one
-    day. A folder in which no document was ever stored gives an empty frame.
+    day. Batches that are not finished are left out. A folder in which no document was ever stored, or
+    none yet, gives an empty frame.
     """
-    lines = spark.read.option("basePath", path).text(path)
-    return staging(lines) if set(PARTITIONS) <= set(lines.columns) else empty_staging(spark)
+    path = path.rstrip("/")
+    numbered, others = _folders(spark, path)
+    parts = [p for p in (_read_folders(spark, path, numbered), _read_folders(spark, path, others)) if p is not None]
+    if not parts:
+        return empty_staging(spark)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 def staging(bronze: DataFrame) -> DataFrame:

@@ -27,3 +27,9 @@ def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder with all it holds; nothing happens if there is none."""
     target, fs = hadoop_path(spark, path)
     fs.delete(target, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Leave an empty file, with the folders above it."""
+    target, fs = hadoop_path(spark, path)
+    fs.create(target, True).close()

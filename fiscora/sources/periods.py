@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fiscora.catalog import Endpoint
 from fiscora.plans import silver
-from fiscora.sources.bronze import BATCH, PARTITIONS, empty_staging, endpoint_path, staging
+from fiscora.sources.bronze import BATCH, BATCH_FOLDER, empty_staging, endpoint_path, finished_batches, read_batch, read_loose
 from fiscora.sources.paths import child_names, delete, exists
 
-_BATCH_DIR = re.compile(rf"{BATCH}=(\d+)$")
-
-
 def _batches(spark: SparkSession, path: str) -> list[int]:
-    return [int(m.group(1)) for name in child_names(spark, path) if (m := _BATCH_DIR.search(name))]
+    return [int(m.group(1)) for name in child_names(spark, path) if (m := BATCH_FOLDER.fullmatch(name))]
 
 
 def known_batches(spark: SparkSession, bronze: str, endpoint: Endpoint) -> frozenset[int]:
-    """Numbers of the batches that Bronze holds, from one listing."""
-    return frozenset(_batches(spark, endpoint_path(bronze, endpoint.name)))
+    """Numbers of the finished batches that Bronze holds."""
+    return finished_batches(spark, endpoint_path(bronze, endpoint.name))
 
 
 def forget(spark: SparkSession, root: str, endpoint: Endpoint, batch: int) -> None:
@@ -48,31 +43,19 @@ def of_batches(
     typed = set(_batches(spark, stored))
     for batch in sorted(batches):
         if batch not in typed or not exists(spark, f"{stored}/{BATCH}={batch}/_SUCCESS"):
-            # the batch's own folder is listed, and no other
-            lines = spark.read.option("basePath", path).text(f"{path}/{BATCH}={batch}")
-            rows = silver.deliveries(_staged(spark, lines), endpoint, columns)
+            staging = read_batch(spark, path, batch)
+            rows = silver.deliveries(_empty(spark) if staging is None else staging, endpoint, columns)
             rows.write.mode("overwrite").parquet(f"{stored}/{BATCH}={batch}")
     return spark.read.schema(wanted).parquet(*(f"{stored}/{BATCH}={n}" for n in sorted(batches)))
 
 
-def _staged(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    if set(PARTITIONS) <= set(lines.columns):
-        return staging(lines)
-    return _empty(spark)  # no document was stored
-
-
 def loose(spark: SparkSession, bronze: str, endpoint: Endpoint, columns: tuple[str, ...]) -> DataFrame | None:
     """Typed rows of Bronze outside of numbered batches, parsed each time; None if all of it is numbered.
 
     Of copies of one day, one from a batch above 0 is the later delivery.
     """
     path = endpoint_path(bronze, endpoint.name)
-    names = [n for n in child_names(spark, path) if not n.startswith(("_", "."))]
-    others = [n for n in names if not _BATCH_DIR.search(n)]
-    if names and not others:
+    rows = read_loose(spark, path)
+    if rows is None and finished_batches(spark, path):
         return None
-    if not others:
-        return silver.deliveries(empty_staging(spark), endpoint, columns)
-    lines = spark.read.option("basePath", path).text([f"{path}/{n}" for n in others])
-    rows = staging(lines) if set(PARTITIONS) <= set(lines.columns) else empty_staging(spark)
-    return silver.deliveries(rows, endpoint, columns)
+    return silver.deliveries(empty_staging(spark) if rows is None else rows, endpoint, columns)

@@ -1,15 +1,18 @@
 """Stored latest rows: merged batch by batch, equal to a full rebuild, in place for joins."""
 
+import shutil
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from fiscora.catalog import ENDPOINTS, INCOME
+from fiscora.catalog import ENDPOINTS, GOLD_SCHEMA, INCOME
 from fiscora.plans import gold, silver
 from fiscora.plans.gold import MART_COLUMNS, SilverFrames
 from fiscora.plans.ingest import LakePaths, ingest
 from fiscora.plans.run import latest_frames
 from fiscora.sources import bronze, latest_rows
+from fiscora.sources.gold_table import read_gold, recent_periods, write_gold
 from helpers import EARNINGS_ARRAYS, payloads, report, rows, statement
 
 COLUMNS = MART_COLUMNS[INCOME.name]
@@ -107,3 +110,66 @@ def test_replaced_batches_and_loose_documents(spark, tmp_path):
     loose = payloads(spark, (9, all_documents("A", "2024-12-31", 111)["income_statement"]))
     bronze.write_bronze(loose, bronze.endpoint_path(paths.bronze, INCOME.name))
     assert revenues() == (False, [("A", 111), ("C", 300)])
+
+
+def kpi_rows(spark, companies, dates):
+    made = spark.range(companies * dates).selectExpr(
+        f"concat('C', lpad(cast(id % {companies} as string), 4, '0')) as symbol",
+        f"date_add(date'2000-01-01', cast(id div {companies} as int)) as fiscaldateending",
+        f"if(id % {companies} = 7 and id div {companies} % 2 = 0, 'quarterly', 'annual') as report_type",
+        "id as total_revenue",
+    )
+    names = {f.name: made[f.name] if f.name in made.columns else F.lit(None) for f in GOLD_SCHEMA}
+    return made.select(*(names[f.name].cast(f.dataType).alias(f.name) for f in GOLD_SCHEMA))
+
+
+def test_a_look_up_opens_few_files(spark, tmp_path):
+    """Thirty dates, each split over several files: only the newest dates' files that may hold the company are read."""
+    path = str(tmp_path / "gold")
+    table = kpi_rows(spark, 40, 30)
+    undated = table.where("symbol = 'C0003'").limit(1).withColumn("fiscaldateending", F.lit(None).cast("date"))
+    write_gold(table.unionByName(undated), path, max_records_per_file=10)
+    files = len(read_gold(spark, path).inputFiles())
+    assert files > 100
+    for symbol, kind, n in (("C0003", "annual", 4), ("C0007", "quarterly", 3), ("C0007", "annual", 3), ("C0003", "annual", 100)):
+        found = recent_periods(spark, path, symbol, kind, n)
+        expected = gold.recent_periods(read_gold(spark, path), symbol, kind, n)
+        assert [tuple(r) for r in found.collect()] == [tuple(r) for r in expected.collect()]
+        assert len(found.inputFiles()) <= min(3 * n, 31)
+    assert recent_periods(spark, path, "C9999", "annual", 4).count() == 0
+    assert recent_periods(spark, path, "C0003", "no such type", 4).count() == 0
+    # a table whose writer died before the index was written
+    shutil.rmtree(f"{path}/index")
+    assert recent_periods(spark, path, "C0003", "annual", 4).count() == 4 and recent_periods(spark, str(tmp_path / "none"), "A", "annual").count() == 0
+
+
+def test_readers_never_see_half_a_batch(spark, tmp_path, monkeypatch):
+    """A batch that dies before it is finished, the first time or as a repetition, is not read; run again, it is."""
+    paths = LakePaths.under(str(tmp_path / "lake"))
+    folder = bronze.endpoint_path(paths.bronze, INCOME.name)
+
+    def store(batch, symbol):
+        ingest(spark, payloads(spark, (7 + batch, income(symbol, 100 + batch))), INCOME, paths, "r", batch=batch)
+
+    def seen():
+        found = latest_rows.refresh(spark, paths.bronze, paths.periods, paths.latest, INCOME, COLUMNS, buckets=2)[0]
+        return bronze.read_bronze(spark, folder).count(), rows(found, "symbol", "total_revenue")
+
+    def dies(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("fiscora.plans.ingest.write_log", dies)
+        with pytest.raises(RuntimeError):
+            store(0, "A")
+    assert (Path(folder) / "batch=0").exists() and seen() == (0, [])
+    store(0, "A")
+    store(1, "B")
+    assert seen() == (2, [("A", 100), ("B", 101)])
+    with monkeypatch.context() as patch:
+        patch.setattr("fiscora.plans.ingest.write_log", dies)
+        with pytest.raises(RuntimeError):
+            store(1, "C")
+    assert seen() == (1, [("A", 100)])
+    store(1, "C")
+    assert seen() == (2, [("A", 100), ("C", 101)])
