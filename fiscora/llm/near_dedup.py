@@ -117,28 +117,44 @@ SKETCH = "doc_id long, k1 long, k2 long, n_shingles long, node long, bands array
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
     """``node``, ``root`` for every node of ``edges(a, b)``: the least node reachable.
 
-    Least labels spread along edges, and every round jumps to the label's label, so the
-    number of rounds grows with the logarithm of the longest chain. State is written each
-    round; only a count comes back.
+    Every node points to its least neighbour, pointers are followed to their ends, and the graph
+    is contracted to these ends: edges inside a tree are gone, and at least half of the nodes with them. Both
+    the pointers' ends and the contractions take a number of rounds that grows with a logarithm. State
+    is written each round; only counts come back.
     """
-    both = work.put(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
-    labels = work.put(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")), f"{name}-0")
+    left = work.put(edges.select("a", "b").filter("a <> b").distinct(), f"{name}-edges0")
+    alone = edges.filter("a = b").select(F.col("a").alias("node"))
+    labels, turn = None, 0
+    while True:
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        trees = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root"))
+        trees = _followed(work.put(trees, f"{name}-trees{turn}"), work, f"{name}-trees{turn}")
+        if labels is None:
+            labels = trees.unionByName(alone.distinct().join(trees, "node", "left_anti").select("node", F.col("node").alias("root")))
+        else:
+            onward = trees.select(F.col("node").alias("root"), F.col("root").alias("further"))
+            labels = labels.join(onward, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
+        labels = work.put(labels, f"{name}-{turn}")
+        first = trees.select(F.col("node").alias("a"), F.col("root").alias("x"))
+        second = trees.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        between = left.join(first, "a").join(second, "b").filter("x <> y")
+        turn += 1
+        left = work.put(between.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), f"{name}-edges{turn}")
+        if left.isEmpty():
+            return labels
+
+
+def _followed(pointers: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """``node``, ``root``: where the pointers from node to root end."""
     turn = 0
     while True:
+        onward = pointers.select(F.col("node").alias("root"), F.col("root").alias("further"))
         turn += 1
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        spread = labels.join(near, labels["node"] == near["a"]).select("node", "root", F.least("root", "near").alias("new"))
-        spread = work.put(spread, f"{name}-spread{turn}")
-        jump = spread.select(F.col("node").alias("new"), F.col("new").alias("further"))
-        jumped = spread.join(jump, "new", "left").select("node", "root", F.least("new", F.coalesce("further", "new")).alias("new"))
+        jumped = pointers.join(onward, "root").select("node", F.col("further").alias("root"), (F.col("further") != F.col("root")).alias("moved"))
         jumped = work.put(jumped, f"{name}-{turn}")
-        changed = jumped.filter(F.col("new") != F.col("root")).count()
-        work.drop(f"{name}-spread{turn}")
-        if turn > 1:
-            work.drop(f"{name}-{turn - 1}")
-        labels = jumped.select("node", F.col("new").alias("root"))
-        if not changed:
-            return labels
+        pointers = jumped.select("node", "root")
+        if jumped.filter("moved").isEmpty():
+            return pointers
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
