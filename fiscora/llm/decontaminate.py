@@ -85,13 +85,42 @@ LITERAL, TEMPLATE, FOLDED = 0, 1, 2
 STREAMS = {LITERAL: literals, TEMPLATE: template, FOLDED: folded}
 
 
-def windows(tokens: str, size: int, stream: int) -> Column:
-    """Hashes of all windows of ``size`` tokens; none for shorter texts."""
-    parts = ", ".join(f"get({tokens}, i + {j})" for j in range(size))
-    return F.expr(
-        f"case when size({tokens}) >= {size} then transform(sequence(0, size({tokens}) - {size}), i -> xxhash64({stream}, {size}, {parts})) "
-        "else cast(array() as array<bigint>) end"
-    )
+def token_hashes(tokens: Column) -> Column:
+    """64 bits of each token; what follows works on these alone."""
+    return F.transform(tokens, lambda x: F.xxhash64(x))
+
+
+def stream_hashes(text: Column) -> dict[int, Column]:
+    """Token hashes of all streams from two passes over a text: the folded and the plain template come from the marked one."""
+    more, unit, name = (F.xxhash64(F.lit(x)) for x in (MORE, UNIT, NAME))
+    marked = F.col("marked_h")
+    return {
+        LITERAL: token_hashes(literals(text)),
+        TEMPLATE: F.transform(marked, lambda x: F.when(x == more, name).otherwise(x)),
+        FOLDED: F.filter(marked, lambda x: (x != more) & (x != unit)),
+    }
+
+
+def with_windows(frame: DataFrame, hashes: dict[int, str], kinds: list[tuple[int, int]]) -> DataFrame:
+    """The frame with a column ``w{i}`` per ``(stream, size)``: hashes of all windows of that many tokens.
+
+    Runs of 1, 2, 4, ... tokens are named from their halves, so a window is named by the two runs, the
+    largest that fit, at its ends. Texts with fewer tokens have no window.
+    """
+    for stream in dict.fromkeys(stream for stream, _ in kinds):
+        sizes = [size for s, size in kinds if s == stream]
+        runs = {1: hashes[stream]}
+        while 2 * max(runs) <= max(sizes) - 1:
+            step, last = max(runs), runs[max(runs)]
+            runs[2 * step] = f"r{stream}_{2 * step}"
+            pairs = f"zip_with({last}, slice({last}, {step + 1}, greatest(size({last}) - {step}, 0)), (a, b) -> xxhash64(a, b))"
+            frame = frame.withColumn(runs[2 * step], F.expr(pairs))
+        for size in sizes:
+            length = max(n for n in runs if n == 1 or n < size)
+            run, count = runs[length], f"greatest(size({runs[1]}) - {size - 1}, 0)"
+            ends = f"zip_with(slice({run}, 1, {count}), slice({run}, {size - length + 1}, {count}), (a, b) -> xxhash64({stream}, {size}, a, b))"
+            frame = frame.withColumn(f"w{kinds.index((stream, size))}", F.expr(ends))
+    return frame
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -118,7 +147,8 @@ def benchmark_windows(benchmark: DataFrame, stream: int, size: int) -> DataFrame
     """``item_id``, ``item_key``, ``at``, ``h``, ``needed`` for items that are matched with this window size."""
     items = _items(benchmark).select("item_id", "item_key", STREAMS[stream](F.col("text")).alias("t")).distinct()
     fits = F.size("t") >= size if size == WINDOW else F.size("t") == size
-    usable = items.filter(fits).select("item_id", "item_key", "t", F.posexplode(windows("t", size, stream)).alias("at", "h"))
+    named = with_windows(items.filter(fits).withColumn("hashes", token_hashes(F.col("t"))), {stream: "hashes"}, [(stream, size)])
+    usable = named.select("item_id", "item_key", "t", F.posexplode("w0").alias("at", "h"))
     if stream != LITERAL:
         literal = F.expr(f"size(filter(slice(t, at + 1, {size}), x -> x not in ('{NUMBER}', '{NAME}', '{UNIT}')))")
         usable = usable.filter(literal >= LEAST_LITERALS)
@@ -139,8 +169,9 @@ def _met(rows: DataFrame, benchmark: DataFrame, work: Workspace) -> DataFrame:
         wanted = some if wanted is None else wanted.unionByName(some)
     wanted = work.put(wanted, "windows")
     hashes = work.put(wanted.select("h").distinct(), "hashes")
-    tokens = rows.select("k1", "k2", *[tokens(F.col("text")).alias(f"t{stream}") for stream, tokens in STREAMS.items()])
-    hashed = tokens.select("k1", "k2", *[windows(f"t{stream}", size, stream).alias(f"w{i}") for i, (stream, size) in enumerate(kinds)])
+    marked = rows.select("k1", "k2", "text", token_hashes(marked_template(F.col("text"))).alias("marked_h"))
+    streams = marked.select("k1", "k2", *[h.alias(f"h{stream}") for stream, h in stream_hashes(F.col("text")).items()])
+    hashed = with_windows(streams, {stream: f"h{stream}" for stream in STREAMS}, kinds)
     # all kinds in one array; the counts tell a window's place among its own kind
     counts, every = [F.size(f"w{i}").alias(f"n{i}") for i in range(len(kinds))], F.concat(*[f"w{i}" for i in range(len(kinds))])
     exploded = hashed.select("k1", "k2", *counts, F.posexplode(every).alias("place", "h"))
