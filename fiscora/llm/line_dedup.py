@@ -1,10 +1,11 @@
 """Line deduplication over suffixes of line-ID sequences.
 
-A text is the sequence of its lines, a line's ID a hash of it. Prefix doubling names the
-runs of 1, 2, 4, ... lines that begin at a line: the name of a run of 2^(k+1) is made of the
-names of its halves, and only runs that occur more than once go on. Places that share a
-name are an interval of the suffix array with at least that longest common prefix; a run of
-any length is named by the two overlapping runs of a power of two that cover it.
+A text is the sequence of its lines, a line's ID 128 bits of it. Prefix doubling ranks the
+runs of 1, 2, 4, ... lines that begin at a line: a range sort over the pairs of ranks of the
+halves gives the ranks of the runs twice as long, and only runs that occur more than once go
+on. Places of one rank are an interval of the suffix array with at least that longest common
+prefix; a run of any length is told by the ranks of the two overlapping runs of a power of
+two that cover it, so nothing but a line's ID is a hash.
 
 A run counts as soon as it has ``min_words`` words. The shortest such runs that begin, and
 that end, at each line cover every maximal repeated run exactly, so it is enough to name
@@ -26,6 +27,7 @@ from fiscora.llm.packing import WORD
 MIN_WORDS = 1
 
 DOC = ("k1", "k2")  # hashes of id and text
+RUN = ("front", "back", "n")  # ranks of the runs at both ends, and the lines
 
 
 def shortest_runs(lines: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
@@ -57,12 +59,13 @@ def _rows(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), text_key("text", 1).alias("k2"))
 
 
-def _repeated(level: DataFrame, work: Workspace, name: str) -> DataFrame:
-    """The places whose name occurs more than once."""
-    often = level.groupBy("name").agg(F.count("*").alias("seen")).filter("seen > 1").select("name")
-    # written first: a join of two plain shuffles can be split where one name holds very many places
-    often = work.put(often, f"{name}-names")
-    return work.put(level.join(often, "name"), name)
+def _repeated(level: DataFrame, key: list[str], work: Workspace, name: str) -> DataFrame:
+    """The places whose ``key`` occurs more than once, with its rank as ``name``."""
+    often = level.groupBy(*key).agg(F.count("*").alias("seen")).filter("seen > 1").select(*key)
+    # Numbers given after a sort grow with the keys. The keys are distinct, so a task that runs again gives the same.
+    # Written first: a join of two plain shuffles can be split where one key holds very many places.
+    ranked = work.put(often.orderBy(*key).select(*key, F.monotonically_increasing_id().alias("rank")), f"{name}-ranks")
+    return work.put(level.join(ranked, key).drop(*key).withColumnRenamed("rank", "name"), name)
 
 
 def later_copies(documents: DataFrame, min_words: int, work: Workspace) -> DataFrame:
@@ -71,10 +74,12 @@ def later_copies(documents: DataFrame, min_words: int, work: Workspace) -> DataF
     lines = (
         _rows(documents)
         .select("doc_id", *DOC, F.posexplode(F.split("text", "\n")).alias("line", "text"))
-        .select("doc_id", *DOC, "line", F.xxhash64("text").alias("name"), F.regexp_count("text", F.lit(WORD)).alias("words"))
+        .select(
+            "doc_id", *DOC, "line", text_key("text", 2).alias("id1"), text_key("text", 3).alias("id2"), F.regexp_count("text", F.lit(WORD)).alias("words")
+        )
         .dropDuplicates([*DOC, "line"])  # rows equal in id and text: see deduplicate
     )
-    level = _repeated(work.put(lines, "lines"), work, "level0")
+    level = _repeated(work.put(lines, "lines"), ["id1", "id2"], work, "level0")
     work.drop("lines")
     gathered = level.groupBy(*DOC).agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("line", "words"))).alias("rows"))
     runs = gathered.select("doc_id", *DOC, F.explode(_runs_of(min_words)("rows")).alias("r")).select(
@@ -91,19 +96,19 @@ def later_copies(documents: DataFrame, min_words: int, work: Workspace) -> DataF
         pairs = level.select(
             *DOC, "line", "name", F.lead("name", step).over(order).alias("next"), F.lead("line", step).over(order).alias("next_line")
         ).filter(F.col("next_line") == F.col("line") + step)
-        pairs = work.put(pairs.select(*DOC, "line", F.xxhash64("name", "next").alias("name")), f"pairs{k}")
-        level = _repeated(pairs, work, f"level{k}")
+        pairs = work.put(pairs.drop("next_line"), f"pairs{k}")
+        level = _repeated(pairs, ["name", "next"], work, f"level{k}")
         names = names.unionByName(level.select(*DOC, "line", F.lit(k).alias("k"), "name"))
 
     half = F.expr("a + n - shiftleft(1, k)")
     front = names.select(*DOC, F.col("line").alias("a"), "k", F.col("name").alias("front"))
     back = names.select(*DOC, F.col("line").alias("b"), "k", F.col("name").alias("back"))
     named = runs.join(front, [*DOC, "a", "k"]).withColumn("b", half).join(back, [*DOC, "b", "k"])
-    named = work.put(named.select("doc_id", *DOC, "a", "n", F.xxhash64("front", "back", "n").alias("run")), "named")
+    named = work.put(named.select("doc_id", *DOC, "a", *RUN), "named")
     place = F.struct(position.alias("d"), "a")
-    first = named.groupBy("run").agg(F.min(place).alias("first"), F.count("*").alias("seen")).filter("seen > 1").select("run", "first")
+    first = named.groupBy(*RUN).agg(F.min(place).alias("first"), F.count("*").alias("seen")).filter("seen > 1").select(*RUN, "first")
     first = work.put(first, "first")
-    copies = named.join(first, "run").filter(place > F.col("first"))
+    copies = named.join(first, list(RUN)).filter(place > F.col("first"))
     removed = (
         copies.select(*DOC, F.explode(F.expr("sequence(a, a + n - 1)")).alias("line"))
         .groupBy(*DOC)
@@ -140,7 +145,7 @@ def deduplicate(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     equal ids in the order of a hash), then by line. Returns for every row ``doc_id``,
     ``n_lines``, ``n_removed``, ``n_runs`` (stretches of removed lines) and ``kept`` (what is left).
 
-    Lines are separated by line feeds and compared byte for byte. Texts below ``min_words``
+    Lines are separated by line feeds and compared by 128 bits of their bytes. Texts below ``min_words``
     and lines repeated alone with fewer words stay; at 1, only blank runs do. A NULL text has no lines and stays NULL. Of
     rows equal in id and text, all but one are later copies as a whole. An empty table gives
     no rows. Other columns are ignored.
