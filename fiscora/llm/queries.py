@@ -58,7 +58,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.deduplicate(table(spark, sf_dir, "documents"), min_words=10)
+    found = line_dedup.deduplicate(table(spark, sf_dir, "documents"), min_words=1)
     return found.withColumn("kept_sha256", F.sha2(F.coalesce("kept", F.lit("")), 256)).drop("kept")
 
 
@@ -168,7 +168,7 @@ WITH l AS (
   SELECT *, i - row_number() OVER (PARTITION BY doc_id, other, diagonal ORDER BY i) AS run FROM pairs
 ), gone AS (
   SELECT DISTINCT doc_id, i FROM (
-    SELECT doc_id, i, sum(words) OVER (PARTITION BY doc_id, other, diagonal, run) AS total FROM runs) WHERE total >= 10
+    SELECT doc_id, i, sum(words) OVER (PARTITION BY doc_id, other, diagonal, run) AS total FROM runs) WHERE total >= 1
 ), marked AS (
   SELECT l.doc_id, l.i, l.line, g.i IS NOT NULL AS gone,
     g.i IS NOT NULL AND coalesce(lag(g.i) OVER (PARTITION BY l.doc_id ORDER BY l.i), -5) <> l.i - 1 AS begins
