@@ -18,7 +18,7 @@ PIECE_MODEL = "piece_bpe_32k.model"
 
 NOISE = 199  # one run of letters in so many loses a character
 
-SHARD_BYTES = 64 * 1024 * 1024
+SHARD_BYTES = 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,15 +116,15 @@ QUERIES: dict[str, Query] = {
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
-  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND q.vec_id % 50 = 0
+  SELECT q.row AS query, q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.row <> v.row AND q.vec_id % 50 = 0
 ), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s
+  SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s
 )
 SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 5
 """
@@ -183,4 +183,24 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents AS d LEFT JOIN kept USING (doc_id)
 """
 
-EXPECTED: dict[str, str] = {"op8_line_dedup": LINES_SQL, "op2_near_dedup": NEAR_SQL, "op3_topk": TOPK_SQL}
+# Every prefix of every hash with its bytes; a bucket fits, or holds one hash only, and its parent does not.
+SHARDS_SQL = f"""
+WITH h AS (
+  SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS n_bytes,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(text, '')) AS digest
+  FROM documents
+), b AS (
+  SELECT doc_id, n_bytes, lpad(bin(CAST('0x' || substr(digest, 1, 15) AS BIGINT)), 60, '0') AS bits FROM h
+), cells AS (
+  SELECT depth, substr(bits, 1, depth) AS shard, sum(n_bytes) AS size, count(*) AS n,
+    sum(n_bytes) <= {SHARD_BYTES} OR min(bits) = max(bits) AS final
+  FROM b, (SELECT CAST(unnest(range(61)) AS INTEGER) AS depth) GROUP BY ALL
+), buckets AS (
+  SELECT c.* FROM cells AS c LEFT JOIN cells AS p ON p.depth = c.depth - 1 AND p.shard = substr(c.shard, 1, c.depth - 1)
+  WHERE c.final AND NOT coalesce(p.final, false)
+)
+SELECT doc_id, n_bytes, shard, depth, CAST(size AS BIGINT) AS shard_bytes, CAST(n AS BIGINT) AS shard_rows, size > {SHARD_BYTES} AS oversize
+FROM b JOIN buckets ON substr(bits, 1, depth) = shard
+"""
+
+EXPECTED: dict[str, str] = {"op8_line_dedup": LINES_SQL, "op6_sharding": SHARDS_SQL, "op2_near_dedup": NEAR_SQL, "op3_topk": TOPK_SQL}

@@ -1,6 +1,6 @@
 """Sharding by extendible hashing.
 
-Every row has a 64-bit hash. A directory is indexed by the leading bits of that
+Every row has a hash of 60 bits. A directory is indexed by the leading bits of that
 hash; a bucket whose rows exceed the byte limit is split on one more bit, all others
 stay as they are. Buckets are therefore prefixes of different length ("local depth"),
 no prefix of another, and together they cover every hash.
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from fiscora.llm.common import Workspace, by_place, narrow
 
-HASH_BITS = 64
+HASH_BITS = 64  # of which the last four are 0
+DIGITS = 15  # hexadecimal digits of the digest that make the hash
 STEP_BITS = 12  # bits by which one round refines
 
 BUCKET = ("depth", "prefix", "shard_bytes", "shard_rows")
@@ -76,11 +77,17 @@ def place(sized: DataFrame, limit: int, work: Workspace) -> DataFrame:
         start = fine
 
 
+def row_hash(doc_id: Column, text: Column) -> Column:
+    """The first bits of an MD5 of id and text, leading ones first."""
+    row = F.concat(F.coalesce(doc_id.cast("string"), F.lit("-")), F.lit(":"), F.coalesce(text, F.lit("")))
+    return F.shiftleft(F.conv(F.left(F.md5(row), F.lit(DIGITS)), 16, 10).cast("long"), HASH_BITS - 4 * DIGITS)
+
+
 def sized_rows(documents: DataFrame) -> DataFrame:
     """``doc_id``, the hash of id and text (so neither a hot id nor copies of a text pile up), UTF-8 length."""
     return narrow(documents, "doc_id", "text").select(
         "doc_id",
-        F.xxhash64("doc_id", "text").alias("h"),
+        row_hash(F.col("doc_id"), F.col("text")).alias("h"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
     )
 
@@ -121,7 +128,7 @@ def write_shards(documents: DataFrame, path: str, limit: int) -> None:
     folder = "shard"
     while folder in {n.lower() for n in names}:
         folder += "_"
-    keyed = plain.withColumn("h", F.xxhash64(at["doc_id"], at["text"]))
+    keyed = plain.withColumn("h", row_hash(at["doc_id"], at["text"]))
     # a shard is bounded by the limit, so one task can write it
     rows = keyed.join(shards, "h").drop("h").repartition("folder").toDF(*names, folder)
     rows.write.mode("overwrite").partitionBy(folder).parquet(path)

@@ -42,7 +42,7 @@ def whole_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     rows = narrow(vectors, "vec_id", "embedding").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     finite = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & finite)
-    return rows.select("vec_id", F.transform("x", lambda x: F.floor(x * scale)).alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select("vec_id", F.transform("x", lambda x: F.floor(x * scale)).alias("v"))
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
@@ -70,18 +70,18 @@ def _first_phase(k: int, segments: int):
     def lists(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
         if len(vectors) and len(queries):
-            ids, q_ids = vectors["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-            depth = min(k + 1, len(ids))  # one more, since the query itself may head a list
+            rows_, q_rows = vectors["row"].to_numpy(), queries["row"].to_numpy()
+            depth = min(k + 1, len(rows_))  # one more, since the query itself may head a list
             for rows, local in _segments(_matrix(queries["v"]), _matrix(vectors["v"]), segments):
                 total = local.sum(axis=0)
                 best_first = np.argsort(-local, axis=2) if local.dtype == object else np.argpartition(-local, depth - 1, axis=2)
                 heads = best_first[:, :, :depth]
-                for i, query in enumerate(q_ids[rows]):
+                for i, query in enumerate(q_rows[rows]):
                     seen = np.unique(heads[:, i, :])
-                    seen = seen[ids[seen] != query]
+                    seen = seen[rows_[seen] != query]
                     scores = sorted(total[i, seen], reverse=True)[:k]
                     out.extend((query, s) for s in _as_long(np.array(scores, dtype=object)))
-        return pd.DataFrame(out, columns=["query_id", "score"]).astype("int64")
+        return pd.DataFrame(out, columns=["query", "score"]).astype("int64")
 
     return lists
 
@@ -90,7 +90,7 @@ def _last_phases(k: int, segments: int):
     def resolve(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         parts: list[pd.DataFrame] = []
         if len(vectors) and len(queries):
-            ids, q_ids = vectors["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
+            ids, rows_, q_rows = vectors["vec_id"].to_numpy(), vectors["row"].to_numpy(), queries["row"].to_numpy()
             cutoffs = queries["cutoff"].to_numpy()
             for rows, local in _segments(_matrix(queries["v"]), _matrix(vectors["v"]), segments):
                 cutoff = cutoffs[rows].astype(local.dtype)[:, None]
@@ -100,7 +100,7 @@ def _last_phases(k: int, segments: int):
                 uniform = cutoff / len(local) - 1 if local.dtype != object else cutoff // len(local) - 1
                 bound = np.maximum(local, uniform[None]).sum(axis=0)
                 collected = (local >= uniform[None]).any(axis=0) & (bound >= cutoff)
-                i, j = np.nonzero(collected & (ids[None, :] != q_ids[rows][:, None]))
+                i, j = np.nonzero(collected & (rows_[None, :] != q_rows[rows][:, None]))
                 score = local[:, i, j].sum(axis=0)
                 keep = score >= cutoff[i, 0]
                 i, j, score = i[keep], j[keep], score[keep]
@@ -109,8 +109,8 @@ def _last_phases(k: int, segments: int):
                 i, j, score = i[order], j[order], score[order]
                 best = np.arange(len(i)) - np.searchsorted(i, i) < k
                 i, j, score = i[best], j[best], score[best]
-                parts.append(pd.DataFrame({"query_id": q_ids[rows][i], "vec_id": ids[j], "score": _as_long(score)}))
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                parts.append(pd.DataFrame({"query": q_rows[rows][i], "query_id": queries["vec_id"].to_numpy()[rows][i], "vec_id": ids[j], "score": _as_long(score)}))
+        empty = pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []})
         return (pd.concat(parts) if parts else empty).astype("int64")
 
     return resolve
@@ -123,43 +123,45 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE,
     Returns ``query_id``, ``rank`` from 1, ``vec_id``, ``score``; ties go to the smaller id.
 
     Vectors that are NULL or hold a NULL or non-finite component, and rows without an id,
-    take no part. Several rows of one id count as one vector, the least of them. Only vectors
+    take no part. A row is every other row's candidate, also of its own id; rows of one id are told
+    apart by number, and each that is a query has its own ranks. Only vectors
     of equal length are compared; empty vectors score 0. Scores beyond 64 bits are held at
     the limit. A query with fewer than ``k`` others gets them all. Other columns are ignored.
     """
     if k < 1:
         raise ValueError("k must be positive")
     work = Workspace(vectors.sparkSession, "topk")
-    rows = work.put(whole_vectors(vectors, scale).withColumn("dim", F.size("v")), "vectors")
+    # numbered as they are written, so that a row keeps its number
+    rows = work.put(whole_vectors(vectors, scale).withColumn("dim", F.size("v")).withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = rows.filter(is_query)
     counts = rows.agg(F.count("*"), F.count_if(is_query)).first()
     v_blocks, q_blocks = partitions(counts[0], VECTOR_BLOCK), partitions(counts[1], QUERY_BLOCK)
 
     def dealt(frame: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
         # both sides need the same key types to meet
-        return frame.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(own_blocks)).cast("int")).withColumn(
+        return frame.withColumn(own, F.pmod(F.xxhash64("row"), F.lit(own_blocks)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)))
         )
 
     by = ["dim", "v_block", "q_block"]
     blocks = dealt(rows, "v_block", v_blocks, "q_block", q_blocks).groupBy(*by)
     lists = blocks.cogroup(dealt(queries, "q_block", q_blocks, "v_block", v_blocks).groupBy(*by)).applyInPandas(
-        _first_phase(k, segments), "query_id long, score long"
+        _first_phase(k, segments), "query long, score long"
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"))
     cutoffs = (
         lists.withColumn("place", F.row_number().over(best))
         .filter(F.col("place") <= k)
-        .groupBy(F.col("query_id").alias("vec_id"))
+        .groupBy(F.col("query").alias("row"))
         .agg(F.min("score").alias("cutoff"), F.count("*").alias("n"))
         # fewer than k known scores: anything may belong to the result
-        .select("vec_id", F.when(F.col("n") >= k, F.col("cutoff")).otherwise(F.lit(-LONG - 1)).alias("cutoff"))
+        .select("row", F.when(F.col("n") >= k, F.col("cutoff")).otherwise(F.lit(-LONG - 1)).alias("cutoff"))
     )
-    with_cutoff = work.put(queries.join(cutoffs, "vec_id"), "cutoffs")
+    with_cutoff = work.put(queries.join(cutoffs, "row"), "cutoffs")
     found = blocks.cogroup(dealt(with_cutoff, "q_block", q_blocks, "v_block", v_blocks).groupBy(*by)).applyInPandas(
-        _last_phases(k, segments), "query_id long, vec_id long, score long"
+        _last_phases(k, segments), "query long, query_id long, vec_id long, score long"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

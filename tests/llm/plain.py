@@ -133,12 +133,12 @@ def unigram_rows(rows, learn):
 
 
 def top_rows(vectors, every, k, scale=256):
-    """(query, rank, id, score) rows of whole vectors {id: list}."""
+    """(query, rank, id, score) rows of whole vectors, {id: list} or pairs whose ids may repeat."""
     out = []
-    whole = {i: [math.floor(scale * x) for x in v] for i, v in vectors.items()}
-    for q in whole:
+    whole = [(i, [math.floor(scale * x) for x in v]) for i, v in (vectors.items() if isinstance(vectors, dict) else vectors)]
+    for own, (q, w) in enumerate(whole):
         if q % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
+            scores = sorted((-sum(a * b for a, b in zip(w, v, strict=True)), i) for n, (i, v) in enumerate(whole) if n != own and len(v) == len(w))
             out.extend((q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1))
     return out
 

@@ -187,7 +187,7 @@ def test_op3_odd_vectors(spark):
     bad = [(5, None), (6, [None, 1.0, 1.0]), (7, [nan, 1.0, 1.0]), (8, [inf, 1.0, 1.0]), (None, [1.0, 1.0, 1.0])]
     rows = [(i, v, 1, 2.0) for i, v in [*good.items(), *bad, (0, good[0])]]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, score double")
-    same(tuples(topk.top_k(frame, F.col("vec_id") % 50 == 0, 3), *TOP), plain.top_rows(good, 50, 3))
+    same(tuples(topk.top_k(frame, F.col("vec_id") % 50 == 0, 3), *TOP), plain.top_rows([*good.items(), (0, good[0])], 50, 3))
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     empty_vectors = spark.createDataFrame([(0, []), (1, []), (2, [])], "vec_id long, embedding array<float>")
     same(tuples(topk.top_k(empty_vectors, F.col("vec_id") == 0, 5), *TOP), [(0, 1, 1, 0), (0, 2, 2, 0)])
@@ -593,6 +593,24 @@ def test_op3_equal_vectors_emit_no_more_than_k_a_block(spark, monkeypatch):
         assert r["vec_id"] == expected
     import pandas as pd
 
-    vectors = pd.DataFrame({"vec_id": range(400), "v": [[1, 2]] * 400})
-    queries_ = pd.DataFrame({"query_id": range(0, 400, 50), "vec_id": range(0, 400, 50), "v": [[1, 2]] * 8, "cutoff": [5] * 8})
+    vectors = pd.DataFrame({"row": range(400), "vec_id": range(400), "v": [[1, 2]] * 400})
+    queries_ = pd.DataFrame({"row": range(0, 400, 50), "vec_id": range(0, 400, 50), "v": [[1, 2]] * 8, "cutoff": [5] * 8})
     assert len(topk._last_phases(5, 8)(vectors, queries_)) == 8 * 5
+
+
+def test_op3_rows_of_one_id_are_rows(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 1.0]), (7, [1.0, 0.0]), (7, [0.5, 0.0]), (7, [0.5, 0.0]), (9, [0.0, 1.0])]
+    expected = []
+    for a, (query, q) in enumerate(rows):
+        if query == 0:
+            scores = sorted((-sum(int(256 * x) * int(256 * y) for x, y in zip(q, v, strict=True)), i) for b, (i, v) in enumerate(rows) if b != a)
+            expected += [(query, rank, i, -s) for rank, (s, i) in enumerate(scores[:4], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    same(tuples(topk.top_k(frame, F.col("vec_id") == 0, 4), "query_id", "rank", "vec_id", "score"), expected)
+
+
+def test_op6_one_hash_is_never_split_and_ids_count(spark):
+    rows = [(1, "x" * 50)] * 3 + [(2, "x" * 50), (None, "x" * 50), (None, None), (3, "")]
+    found = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 60).collect()
+    leaf_check(found, 60)
+    same([(r["doc_id"], r["shard_rows"]) for r in found if r["oversize"]], [(1, 3)] * 3)
