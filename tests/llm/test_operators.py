@@ -1,6 +1,7 @@
 """Every corpus operator against a plain version: on the smallest tables, and on odd rows."""
 
 import hashlib
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -614,3 +615,44 @@ def test_op6_one_hash_is_never_split_and_ids_count(spark):
     found = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 60).collect()
     leaf_check(found, 60)
     same([(r["doc_id"], r["shard_rows"]) for r in found if r["oversize"]], [(1, 3)] * 3)
+
+
+@needs_tables
+@pytest.mark.parametrize("limit", [queries.SHARD_BYTES, 16 * 1024])
+def test_op6_matches_sql(spark, monkeypatch, limit):
+    sql = queries.EXPECTED["op6_sharding"].replace(str(queries.SHARD_BYTES), str(limit))
+    monkeypatch.setattr(queries, "SHARD_BYTES", limit)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    columns = ("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows", "oversize")
+    rows = tuples(queries.op6_sharding(spark, DATA), *columns)
+    same(rows, connection.execute(sql).fetchall())
+    assert len({r[2] for r in rows}) > 1 or sum(r[1] for r in rows) <= limit
+
+
+NAMES = "Otto Berta Carl Dora Emil Frieda Gustav Hanna Ida Jonas Karla Ludwig Mina Norbert Olga Paula".split()
+
+
+def reworded(text, random):
+    """The text with other numbers, and with other names, each for the same name throughout."""
+    text = re.sub(r"\d+", lambda m: str(random.integers(2, 9000)), text)
+    chosen = iter(random.permutation(NAMES).tolist())
+    stand_in = {}
+    return re.sub(r"\b[A-Z][a-z]+\b", lambda m: stand_in.setdefault(m[0], next(chosen, m[0])), text)
+
+
+@needs_tables
+def test_op4_recall_of_reworded_items(spark):
+    random = np.random.default_rng(5)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    made = [
+        (1000 + i, f"{a} had {n} boxes of {what} on the shelf and gave {m} of them to {b} before the market closed at {n + m} in the evening")
+        for i, (a, b, n, m, what) in enumerate(
+            (*random.choice(NAMES, size=2, replace=False), int(random.integers(2, 90)), int(random.integers(2, 90)), w) for w in "pears nails books stamps tea wool".split()
+        )
+    ]
+    texts = [(i, f"as was said before: {reworded(t, random)} and so on") for i, t in items + made]
+    docs, bench = leaks(spark, texts, items + made)
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    recall = sum((i, i) in found for i, _ in texts) / len(texts)
+    assert recall >= 0.9, recall
