@@ -12,6 +12,8 @@ a restatement (``b``) on the second ingestion day, and companions with gaps.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,36 +206,50 @@ def _symbol() -> Column:
     return F.concat(F.lit("SUP"), F.col("k").cast("string"))
 
 
+def _of_report(sql: str) -> str:
+    """An expression over the columns of a period, for the period ``p`` of a gathered document."""
+    return re.sub(rf"\b({'|'.join(('report_type', 'period_end', *MONEY_SUMS))})\b", r"p.\1", sql)
+
+
+def _reports(endpoint: Endpoint, periods_column: str, clean: bool) -> Column:
+    """Gathered periods as reports, the newest first."""
+    fields = {"fiscalDateEnding": "date_format(period_end, 'yyyy-MM-dd')"}
+    if endpoint.currency_required:
+        fields["reportedCurrency"] = "'USD'"
+    else:
+        fields["reportedDate"] = "date_format(date_add(period_end, 30), 'yyyy-MM-dd')"
+        fields["reportTime"] = "'post-market'"
+    values = field_values(endpoint, clean)
+    fields |= {f.source: values[f.source][0] for f in endpoint.fields}
+    members = ", ".join(f"'{name}', {_of_report(sql)}" for name, sql in fields.items())
+    return F.expr(f"sort_array(transform({periods_column}, p -> named_struct({members})), false)")
+
+
 def statement_payloads(rows: DataFrame, endpoint: Endpoint, clean: bool = False) -> DataFrame:
     """``k, ingest_date, raw_data``: one document per supplier and day.
 
     ``rows`` are periods. A document gathers the periods of one supplier, a number
-    bounded by the calendar. Keys divisible by four send no quarterly reports on
-    the second day. ``clean`` leaves out what the contract would reject.
+    bounded by the calendar. Only the narrow periods are shuffled, once for all days; the
+    reports with their many texts are written where they end up. Keys divisible by four send no
+    quarterly reports on the second day. ``clean`` leaves out what the contract would reject.
     """
-    values = field_values(endpoint, clean)
-    kept = with_days(rows)
     if endpoint.name in MISSING_PERIOD:
-        kept = kept.where(f"NOT ({MISSING_PERIOD[endpoint.name]})")
+        rows = rows.where(f"NOT ({MISSING_PERIOD[endpoint.name]})")
+    period = F.struct("report_type", "period_end", *MONEY_SUMS)
+    gathered = with_days(rows.groupBy("k").agg(F.collect_list(period).alias("periods")))
     annual_only = (F.col("ingest_date") == F.lit(DAYS[1]).cast("date")) & (F.col("k") % 4 == 0)
-    kept = kept.where(~(annual_only & (F.col("report_type") == QUARTERLY)))
 
-    fields = [F.date_format("period_end", "yyyy-MM-dd").alias("fiscalDateEnding")]
-    if endpoint.currency_required:
-        fields.append(F.lit("USD").alias("reportedCurrency"))
-    else:
-        announced = F.date_format(F.date_add("period_end", 30), "yyyy-MM-dd")
-        fields += [announced.alias("reportedDate"), F.lit("post-market").alias("reportTime")]
-    fields += [F.expr(values[f.source][0]).alias(f.source) for f in endpoint.fields]
-    reports = kept.select("k", "ingest_date", "report_type", F.struct(*fields).alias("report"))
+    def of_kind(kind: str) -> Column:
+        return F.expr(f"filter(periods, p -> p.report_type = '{kind}')")
 
-    def newest_first(kind: str) -> Column:
-        mine = F.collect_list(F.when(F.col("report_type") == kind, F.col("report")))
-        return F.sort_array(mine, asc=False)
-
-    documents = reports.groupBy("k", "ingest_date").agg(
-        newest_first(ANNUAL).alias("annual"), newest_first(QUARTERLY).alias("quarterly")
-    )
+    sent = gathered.select(
+        "k",
+        "ingest_date",
+        "b",
+        of_kind(ANNUAL).alias("annual"),
+        F.when(annual_only, F.slice("periods", 1, 0)).otherwise(of_kind(QUARTERLY)).alias("quarterly"),
+    ).where((F.size("annual") > 0) | (F.size("quarterly") > 0))
+    documents = sent.withColumns({kind: _reports(endpoint, kind, clean) for kind in ("annual", "quarterly")})
     if endpoint is INCOME and not clean:
         null_report = [F.lit("broken-date").alias("fiscalDateEnding")]
         for f in documents.schema["quarterly"].dataType.elementType.fields[1:]:
@@ -241,8 +257,9 @@ def statement_payloads(rows: DataFrame, endpoint: Endpoint, clean: bool = False)
             null_report.append(value.cast(f.dataType).alias(f.name))
         broken = F.array(F.struct(*null_report))
         has_one = F.expr(BROKEN_DATE) & (F.size("quarterly") > 0)
+        # none or one report at the end: the reports before it are written once
         documents = documents.withColumn(
-            "quarterly", F.when(has_one, F.concat("quarterly", broken)).otherwise(F.col("quarterly"))
+            "quarterly", F.concat("quarterly", F.when(has_one, broken).otherwise(F.slice(broken, 1, 0)))
         )
     body = F.struct(
         _symbol().alias("symbol"),

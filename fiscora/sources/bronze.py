@@ -1,7 +1,8 @@
 """Bronze: one JSON document per text line under ``year=/month=/day=``.
 
 A partition holds many documents per file, so the number of files follows the
-number of write tasks and not the number of companies.
+number of write tasks and not the number of companies. Files are compressed with gzip, which shrinks
+these repetitive texts about tenfold and cannot be split, so a file ends after ``DOCUMENTS_PER_FILE``.
 
 Numbered batches lie in folders above the dates. The folder ``_finished`` lists those that are wholly
 written; readers skip all others, so nobody sees half a batch, or two halves while one is replaced.
@@ -22,6 +23,7 @@ PARTITIONS = ("year", "month", "day")
 BATCH = "batch"
 BATCH_FOLDER = re.compile(rf"{BATCH}=(\d+)")
 FINISHED = "_finished"
+DOCUMENTS_PER_FILE = 10_000  # one read task each
 STAGING_SCHEMA = T.StructType(
     [
         T.StructField("raw_data", T.StringType()),
@@ -157,6 +159,7 @@ def write_bronze(
         *(c.alias(n) for n, c in partition_columns(F.col("ingest_date")).items()),
     )
     writer = rows.write.partitionBy(*PARTITIONS).option("partitionOverwriteMode", "static")
+    writer = writer.option("compression", "gzip").option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
     if batch is None:
         writer.mode(mode).text(path)
     else:

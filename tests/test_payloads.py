@@ -1,0 +1,60 @@
+"""Derived payloads: what is shuffled for them and how they are stored."""
+
+import datetime
+import json
+
+import pytest
+from helpers import payloads as documents_of
+from helpers import rows
+
+from fiscora.catalog import EARNINGS, INCOME
+from fiscora.queries import payloads
+from fiscora.sources import bronze
+
+PERIODS = "k long, report_type string, period_end date, n long, qty long, cents long, revenue long, tax long"
+
+
+def periods(spark):
+    def day(month):
+        return datetime.date(2024, month, 30)
+
+    return spark.createDataFrame(
+        [
+            (4, "quarterly", day(6), 1, 2, 3, 4, 5),
+            (4, "quarterly", day(9), 2, 2, 3, 7, 5),
+            (4, "annual", day(12), 3, 4, 6, 11, 10),
+            (6, "quarterly", day(9), 1, 2, 3, 4, 5),
+            (8, "quarterly", None, 1, 2, 3, 4, 5),
+            (None, "annual", day(12), 1, 2, 3, 4, 5),
+        ],
+        PERIODS,
+    )
+
+
+@pytest.mark.parametrize("endpoint", [INCOME, EARNINGS], ids=lambda e: e.name)
+def test_periods_are_shuffled_without_the_texts_of_reports(spark, endpoint):
+    plan = payloads.statement_payloads(periods(spark), endpoint)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "fiscalDateEnding" not in plan[plan.index("Exchange") :]
+
+
+def test_documents_of_odd_periods(spark):
+    found = payloads.statement_payloads(periods(spark), INCOME, clean=True).collect()
+    read = {(r["k"], r["ingest_date"].day): json.loads(r["raw_data"]) for r in found}
+    # eight has no year to send on the second day, and a company without a key no second day
+    assert sorted(read, key=str) == [(4, 7), (4, 8), (6, 7), (6, 8), (8, 7), (None, 7)]
+    assert [r["totalRevenue"] for r in read[4, 7]["quarterlyReports"]] == ["8", "5"]
+    assert read[4, 8]["quarterlyReports"] == []
+    assert [r["totalRevenue"] for r in read[4, 8]["annualReports"]] == ["11"]
+    assert "fiscalDateEnding" not in read[8, 7]["quarterlyReports"][0]
+    assert "symbol" not in read[None, 7]
+
+
+def test_bronze_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "DOCUMENTS_PER_FILE", 2)
+    documents = documents_of(spark, *((7, {"symbol": s}) for s in "ABCDE")).coalesce(1)
+    bronze.write_bronze(documents, str(tmp_path))
+    assert len(list(tmp_path.rglob("*.txt.gz"))) == 3
+    assert not list(tmp_path.rglob("*.txt"))
+    stored = rows(bronze.read_bronze(spark, str(tmp_path)), "raw_data", "day")
+    assert stored == [(json.dumps({"symbol": s}), 7) for s in "ABCDE"]
