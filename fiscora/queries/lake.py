@@ -1,6 +1,7 @@
 """The derived lake: Bronze text of all five endpoints, written once per application.
 
-Queries over Silver and Gold read this Bronze, as a consumer of the lake would.
+Queries over Silver and Gold read this Bronze, as a consumer of the lake would. Landing documents come from
+the same stored periods, without it.
 """
 
 from __future__ import annotations
@@ -8,6 +9,7 @@ from __future__ import annotations
 import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +21,13 @@ from fiscora.plans.ingest import stage
 from fiscora.queries import payloads
 from fiscora.session import shared_dir
 from fiscora.sources import latest_rows
-from fiscora.sources.bronze import endpoint_path, read_bronze, write_bronze
+from fiscora.sources.bronze import endpoint_path, read_bronze, write_bronze, write_texts
 from fiscora.sources.gold_table import write_gold
 
-STORED_BUCKETS = 8  # the derived lake is small
+PERIODS_PER_BUCKET = 250_000  # what one task sorts and joins
+LEAST_BUCKETS = 8
 
+_periods: dict[tuple[str, str], str] = {}
 _built: dict[tuple[str, str], str] = {}
 _gold: dict[tuple[str, str], str] = {}
 _latest: dict[tuple[str, str], str] = {}
@@ -42,13 +46,14 @@ def scratch(spark: SparkSession, sf_dir: str, *parts: str) -> str:
 class Lake:
     spark: SparkSession
     root: str
+    periods_path: str
 
     @property
     def bronze_root(self) -> str:
         return f"{self.root}/bronze"
 
     def periods(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/periods")
+        return self.spark.read.parquet(self.periods_path)
 
     def staging(self, endpoint: Endpoint | str) -> DataFrame:
         name = endpoint if isinstance(endpoint, str) else endpoint.name
@@ -64,12 +69,22 @@ def derive_payloads(spark: SparkSession, sf_dir: str, periods: DataFrame, endpoi
     return payloads.statement_payloads(periods, endpoint)
 
 
+def stored_periods(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the periods that all documents are made of, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _periods:
+        path = scratch(spark, sf_dir, "periods")
+        payloads.periods(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _periods[key] = path
+    return _periods[key]
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    found = stored_periods(spark, sf_dir)
     if key not in _built:
         root = scratch(spark, sf_dir, "lake")
-        payloads.periods(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/periods")
-        built = Lake(spark, root)
+        built = Lake(spark, root, found)
         periods = built.periods()
 
         def fill(endpoint: Endpoint) -> None:
@@ -80,7 +95,7 @@ def lake(spark: SparkSession, sf_dir: str) -> Lake:
         with ThreadPoolExecutor(len(ENDPOINTS)) as pool:
             list(pool.map(fill, ENDPOINTS.values()))
         _built[key] = root
-    return Lake(spark, _built[key])
+    return Lake(spark, _built[key], found)
 
 
 def stored_gold(spark: SparkSession, sf_dir: str) -> str:
@@ -93,18 +108,24 @@ def stored_gold(spark: SparkSession, sf_dir: str) -> str:
     return _gold[key]
 
 
+def stored_buckets(n_periods: int) -> int:
+    """Buckets of the stored rows: their number grows with the rows, so that what a task sorts does not."""
+    return max(LEAST_BUCKETS, ceil(n_periods / PERIODS_PER_BUCKET))
+
+
 def stored_latest(spark: SparkSession, sf_dir: str) -> SilverFrames:
     """The mart's rows as a lake stores them: the second day's documents merged into the first day's. Once per application."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     root = scratch(spark, sf_dir, "latest")
     if key not in _latest:
         store = lake(spark, sf_dir)
+        buckets = stored_buckets(store.periods().count())
 
         def fill(name: str) -> None:
             endpoint = ENDPOINTS[name]
             for batch, day in enumerate(payloads.DAYS):
                 rows = store.staging(name).where(F.col("day") == int(day[-2:]))
-                latest_rows.merge(silver.deliveries(rows, endpoint, MART_COLUMNS[name]), root, endpoint, {batch}, STORED_BUCKETS)
+                latest_rows.merge(silver.deliveries(rows, endpoint, MART_COLUMNS[name]), root, endpoint, {batch}, buckets)
 
         with ThreadPoolExecutor(len(ENDPOINTS)) as pool:
             list(pool.map(fill, ENDPOINTS))
@@ -121,12 +142,12 @@ def landing(spark: SparkSession, sf_dir: str, endpoint: Endpoint, *, faults: boo
         if endpoint is OVERVIEW:
             rows = payloads.overview_payloads(payloads.companies(spark, sf_dir))
         else:
-            periods = lake(spark, sf_dir).periods()
+            periods = spark.read.parquet(stored_periods(spark, sf_dir))
             rows = payloads.statement_payloads(periods, endpoint, clean=True)
         if faults:
             rows = payloads.plant_contract_faults(rows, endpoint)
         path = scratch(spark, sf_dir, "landing", endpoint.name, "faulty" if faults else "clean")
-        rows.write.mode("overwrite").parquet(path)
+        write_texts(rows, path)
         _landing[key] = path
     return spark.read.parquet(_landing[key])
 

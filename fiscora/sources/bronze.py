@@ -166,6 +166,12 @@ def write_bronze(
         writer.mode("overwrite").text(f"{path.rstrip('/')}/{BATCH}={batch}")
 
 
+def write_texts(rows: DataFrame, path: str) -> None:
+    """Store documents with other columns of theirs as Parquet, for a later step to read: as small as Bronze, in files as bounded."""
+    writer = rows.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
+    writer.parquet(path)
+
+
 def write_quarantine(payloads: DataFrame, root: str, endpoint: str, **options) -> None:
     """Original documents with unknown fields, in the same layout under their own prefix.
     Options are those of ``write_bronze``."""
