@@ -20,10 +20,14 @@ from fiscora.sources.bronze import (
     quarantine_path,
     write_bronze,
     write_quarantine,
+    write_texts,
 )
 from fiscora.sources.paths import delete
 from fiscora.sources.state import next_number, read_state, write_increment
 
+# Numbers of accepted documents that are broadcast: some 40 MB at most.
+BROADCAST_NUMBERS = 1_000_000
+
 _AUDIT_STATUS = {ACCEPTED: "SUCCESS", QUARANTINE: "QUARANTINE"}
 
 
@@ -70,7 +74,7 @@ def stage(payloads: DataFrame, endpoint: Endpoint, path: str, probe_rule: str =
     The one parse of a batch: whatever follows reads columns of the stored rows.
     """
     routed = contract.route(payloads, endpoint, probe_rule)
-    watermark.with_document_id(routed).write.mode("overwrite").parquet(path)
+    write_texts(watermark.with_document_id(routed), path)
     return payloads.sparkSession.read.parquet(path)
 
 
@@ -79,13 +83,22 @@ def decide(staged: DataFrame, state: DataFrame) -> DataFrame:
     return settle(staged.drop("raw_data"), state)
 
 
+def _is_broadcast(numbers: DataFrame) -> bool:
+    """Are there few enough numbers, in a session that broadcasts at all? Counts stored rows."""
+    if numbers.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return False
+    return numbers.limit(BROADCAST_NUMBERS + 1).count() <= BROADCAST_NUMBERS
+
+
 def accepted_documents(staged: DataFrame, decisions: DataFrame, endpoint: Endpoint) -> DataFrame:
     """Documents as Bronze stores them: whole amounts plain, extraction date added.
 
-    Texts meet the stored decisions by document number. Few decisions are broadcast and no text
-    moves; with many, Spark's runtime filter on the numbers keeps skipped texts out of the shuffle.
+    Texts meet the stored decisions by document number. Up to a million numbers are broadcast and no text
+    moves. With more, or where the session broadcasts nothing, Spark's runtime filter on the numbers keeps
+    skipped texts out of the shuffle, and those that move are matched in a hash table of the numbers, not sorted.
     """
     new = decisions.where(F.col("route") == ACCEPTED).select(watermark.DOCUMENT)
+    new = new.hint("broadcast" if _is_broadcast(new) else "shuffle_hash")
     plain = contract.plain_integers(F.col("raw_data"), endpoint)
     stamped = contract.stamp_extraction_date(plain, F.col("ingest_date"))
     passed = staged.where(F.col("route") == ACCEPTED)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fiscora.catalog import GOLD_SCHEMA, INCOME, OVERVIEW
 from fiscora.operators import quality, watermark
 from fiscora.plans import silver
+from fiscora.plans import ingest as ingest_plan
 from fiscora.plans.ingest import LakePaths, accepted_documents, decide, ingest, processed_keys, stage
 from fiscora.sources import audit_log, bronze, state, versions
 from fiscora.sources.gold_table import write_gold
@@ -251,6 +252,23 @@ def test_texts_stay_out_of_the_watermark_shuffle(spark, tmp_path):
             spark.conf.unset(key)
 
 
+@pytest.mark.parametrize(("limit", "join"), [(3, "BroadcastHashJoin"), (2, "ShuffledHashJoin")])
+def test_texts_are_not_sorted_to_meet_their_decisions(spark, tmp_path, monkeypatch, limit, join):
+    """Whatever Spark takes for small: few numbers are broadcast, with many the texts meet a hash table."""
+    monkeypatch.setattr(ingest_plan, "BROADCAST_NUMBERS", limit)
+    staged = stage(payloads(spark, *((7, statement(s, [report("2024-12-31")])) for s in "ABC")), INCOME, str(tmp_path / "staged"))
+    decide(staged, state.empty_state(spark)).write.parquet(str(tmp_path / "decisions"))
+    decisions = spark.read.parquet(str(tmp_path / "decisions"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        stored = accepted_documents(staged, decisions, INCOME)
+        plan = stored._jdf.queryExecution().executedPlan().toString()
+        assert join in plan and "SortMergeJoin" not in plan
+        assert stored.count() == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_replayed_batch_number_changes_nothing(spark, tmp_path):
     paths = LakePaths.under(str(tmp_path))
     documents = payloads(spark, (7, statement("A", [report("2025-12-31", totalRevenue="1")])))
