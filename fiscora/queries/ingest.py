@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import TypeVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscora.catalog import ENDPOINTS, GRAIN, INCOME
+from fiscora.catalog import ENDPOINTS, GRAIN, INCOME, Endpoint
 from fiscora.operators import contract, quality, watermark
 from fiscora.operators.flatten import flatten_reports
 from fiscora.plans import silver
 from fiscora.plans.gold import gold_from_bronze
 from fiscora.plans.ingest import LakePaths, decide, ingest, stage
 from fiscora.queries.expected import DOCUMENTS, PAYLOAD_CLASS, SYMBOL, query, reason_of, route_of
-from fiscora.queries.lake import day_only, landing, scratch, staged, stored_gold
+from fiscora.queries.lake import day_only, landing, scratch, staged, stored_gold, stored_periods
 from fiscora.queries.payloads import DAYS, MISSING_PERIOD
 from fiscora.queries.registry import registered
 from fiscora.sources.audit_log import read_ticker_events
@@ -24,6 +27,8 @@ from fiscora.sources.gold_table import read_gold
 from fiscora.sources.state import empty_state, read_state, write_increment
 from fiscora.streaming.ingest import start_ingest
 
+T = TypeVar("T")
+
 
 def _routed(spark, sf_dir) -> DataFrame:
     """Faulty documents of all endpoints with their routes."""
@@ -85,7 +90,8 @@ _DECIDED = """decided AS (
 
 def _clean(spark, sf_dir) -> DataFrame:
     """Checked documents of all endpoints, without their text."""
-    return reduce(DataFrame.unionByName, [_numbered(staged(spark, sf_dir, e), i) for i, e in enumerate(ENDPOINTS.values())])
+    checked = _side_by_side(spark, sf_dir, lambda e: staged(spark, sf_dir, e))
+    return reduce(DataFrame.unionByName, [_numbered(documents, i) for i, documents in enumerate(checked)])
 
 
 def _numbered(documents: DataFrame, place: int) -> DataFrame:
@@ -156,13 +162,24 @@ def _clean_paths(spark, sf_dir, *name) -> LakePaths:
     return LakePaths.under(scratch(spark, sf_dir, *name, uuid4().hex))
 
 
+def _side_by_side(spark, sf_dir, work: Callable[[Endpoint], T]) -> list[T]:
+    """One call per endpoint, in the order of the endpoints. These share no folder of a lake but its root: run side by
+    side they keep the executors busy, and the batches of one still follow each other."""
+    stored_periods(spark, sf_dir)  # before the calls, which would each write it
+    with ThreadPoolExecutor(len(ENDPOINTS)) as pool:
+        return list(pool.map(work, ENDPOINTS.values()))
+
+
 def _ingest_days(spark, sf_dir, paths: LakePaths) -> None:
     """Both days of all endpoints, faults included, one batch a day."""
-    for endpoint in ENDPOINTS.values():
+
+    def both(endpoint: Endpoint) -> None:
         documents = landing(spark, sf_dir, endpoint, faults=True)
         for number in range(len(DAYS)):
             ingest(spark, day_only(documents, number), endpoint, paths, f"run-{number}", batch=number)
 
+    _side_by_side(spark, sf_dir, both)
+
 
 def _stored_documents(spark, paths, endpoint) -> DataFrame:
     stores = {
@@ -206,9 +223,12 @@ def ingest_stores(spark, sf_dir):
 def replaced_batch(spark, sf_dir):
     """A batch that had other days before it died leaves nothing: its number is replaced whole."""
     paths = _clean_paths(spark, sf_dir, "replaced")
-    for endpoint in ENDPOINTS.values():
+
+    def die(endpoint: Endpoint) -> None:
         later = day_only(landing(spark, sf_dir, endpoint, faults=True), 1)
         ingest(spark, later, endpoint, paths, "died", batch=0)
+
+    _side_by_side(spark, sf_dir, die)
     _ingest_days(spark, sf_dir, paths)
     return _store_counts(_all_stored(spark, paths))
 
@@ -280,8 +300,11 @@ def _replay(spark, sf_dir, name: str):
     paths = _clean_paths(spark, sf_dir, name)
     grain, counts = [], []
     for batch in range(2):
-        for endpoint in ENDPOINTS.values():
-            ingest(spark, landing(spark, sf_dir, endpoint), endpoint, paths, f"run-{batch}", batch=batch)
+        _side_by_side(
+            spark,
+            sf_dir,
+            lambda endpoint, batch=batch: ingest(spark, landing(spark, sf_dir, endpoint), endpoint, paths, f"run-{batch}", batch=batch),
+        )
         # the files of this state are listed before the next batch runs
         stores = _bronze(spark, paths)
         grain.append(gold_from_bronze(stores).select(*GRAIN))
@@ -337,7 +360,7 @@ def replay_differences(spark, sf_dir):
     ),
 )
 def decided_routes(spark, sf_dir):
-    frames = [decide(staged(spark, sf_dir, e, faults=True), empty_state(spark)) for e in ENDPOINTS.values()]
+    frames = _side_by_side(spark, sf_dir, lambda e: decide(staged(spark, sf_dir, e, faults=True), empty_state(spark)))
     return (
         reduce(DataFrame.unionByName, frames)
         .groupBy("endpoint", "ingest_date", "route")
@@ -362,15 +385,17 @@ def stream_ingest(spark, sf_dir):
     # a stream remembers its files: every call starts streams of its own
     root = scratch(spark, sf_dir, "stream", uuid4().hex)
     paths = LakePaths.under(f"{root}/lake")
-    found = []
-    for name, endpoint in ENDPOINTS.items():
+
+    def fed(endpoint: Endpoint) -> DataFrame:
+        name = endpoint.name
         write_bronze(landing(spark, sf_dir, endpoint, faults=True), f"{root}/landing/{name}", mode="overwrite")
         for _ in range(2):
             start_ingest(spark, f"{root}/landing/{name}", endpoint, paths, f"{root}/checkpoint/{name}").awaitTermination()
         marks = read_state(spark, paths.state_of(endpoint)).agg(F.count(F.lit(1))).scalar()
         stored = read_bronze(spark, endpoint_path(paths.bronze, name)).groupBy("day").agg(F.count(F.lit(1)).alias("n_documents"))
-        found.append(stored.select(F.lit(name).alias("endpoint"), "day", "n_documents", marks.alias("n_marks")))
-    return reduce(DataFrame.unionByName, found)
+        return stored.select(F.lit(name).alias("endpoint"), "day", "n_documents", marks.alias("n_marks"))
+
+    return reduce(DataFrame.unionByName, _side_by_side(spark, sf_dir, fed))
 
 
 def _planted(spark, sf_dir, pattern: str, replacement: str, remainder: int) -> DataFrame:

@@ -2,13 +2,15 @@
 
 import datetime
 import json
+import threading
 
 import pytest
 from helpers import payloads as documents_of
 from helpers import rows
 
-from fiscora.catalog import EARNINGS, INCOME
-from fiscora.queries import payloads
+from fiscora.catalog import EARNINGS, ENDPOINTS, INCOME
+from fiscora.queries import ingest as ingest_queries
+from fiscora.queries import lake, payloads
 from fiscora.sources import bronze
 
 PERIODS = "k long, report_type string, period_end date, n long, qty long, cents long, revenue long, tax long"
@@ -58,3 +60,28 @@ def test_bronze_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     assert not list(tmp_path.rglob("*.txt"))
     stored = rows(bronze.read_bronze(spark, str(tmp_path)), "raw_data", "day")
     assert stored == [(json.dumps({"symbol": s}), 7) for s in "ABCDE"]
+
+
+def test_landing_needs_the_periods_alone_and_is_stored_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(payloads, "periods", lambda spark, sf_dir: periods(spark))
+    monkeypatch.setattr(lake, "lake", lambda spark, sf_dir: pytest.fail("the lake is not read"))
+    monkeypatch.setattr(lake, "scratch", lambda spark, sf_dir, *parts: "/".join([str(tmp_path), *parts]))
+    found = lake.landing(spark, str(tmp_path), INCOME)
+    assert rows(found, "k") == sorted([(4,), (4,), (6,), (6,), (8,), (None,)], key=repr)
+    assert list((tmp_path / "landing").rglob("*.zstd.parquet"))
+
+
+@pytest.mark.parametrize(("n_periods", "expected"), [(0, 8), (2_000_000, 8), (2_000_001, 9), (12_600_000, 51)])
+def test_buckets_grow_with_the_rows(n_periods, expected):
+    assert lake.stored_buckets(n_periods) == expected
+
+
+def test_endpoints_are_ingested_side_by_side(spark, monkeypatch):
+    monkeypatch.setattr(ingest_queries, "stored_periods", lambda spark, sf_dir: "")
+    all_here = threading.Barrier(len(ENDPOINTS))
+
+    def meet(endpoint):
+        all_here.wait(20)  # one after the other, nobody gets past it
+        return endpoint.name
+
+    assert ingest_queries._side_by_side(spark, "", meet) == list(ENDPOINTS)
