@@ -11,6 +11,10 @@ written; readers skip all others, so nobody sees half a batch, or two halves whi
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +28,8 @@ BATCH = "batch"
 BATCH_FOLDER = re.compile(rf"{BATCH}=(\d+)")
 FINISHED = "_finished"
 DOCUMENTS_PER_FILE = 10_000  # one read task each
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+DATES_AT_ONCE = 16  # files a task keeps open; with more dates, it sorts the rest of its texts by date
 STAGING_SCHEMA = T.StructType(
     [
         T.StructField("raw_data", T.StringType()),
@@ -141,6 +147,32 @@ def one_line(raw: Column) -> Column:
     return F.translate(raw, "\r\n", "  ")
 
 
+_writing: Counter[int] = Counter()  # by session
+_writing_lock = Lock()
+
+
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Let tasks keep a file open per date, instead of sorting whole texts by date (and spilling them) before
+    the first is written. Writes of a session may overlap: the last one puts its setting back. A number of the session's own stays.
+    """
+    session = spark._jsparkSession.hashCode()
+    with _writing_lock:
+        ours = _writing[session] > 0 or spark.conf.get(OPEN_FILES) == "0"
+        if ours:
+            spark.conf.set(OPEN_FILES, str(DATES_AT_ONCE))
+            _writing[session] += 1
+    try:
+        yield
+    finally:
+        with _writing_lock:
+            if ours:
+                _writing[session] -= 1
+                if _writing[session] == 0:
+                    spark.conf.unset(OPEN_FILES)
+                    del _writing[session]
+
+
 def write_bronze(
     payloads: DataFrame,
     path: str,
@@ -152,7 +184,8 @@ def write_bronze(
 
     Appending the same documents again is harmless: Silver keeps one row per
     period. A numbered batch has a folder of its own above the dates and replaces
-    all that this number held before, whatever days that were.
+    all that this number held before, whatever days that were. Texts go to the files of their
+    dates as they come, so a task needs no room for them.
     """
     rows = payloads.select(
         one_line(F.col("raw_data")).alias("value"),
@@ -160,10 +193,11 @@ def write_bronze(
     )
     writer = rows.write.partitionBy(*PARTITIONS).option("partitionOverwriteMode", "static")
     writer = writer.option("compression", "gzip").option("maxRecordsPerFile", DOCUMENTS_PER_FILE)
-    if batch is None:
-        writer.mode(mode).text(path)
-    else:
-        writer.mode("overwrite").text(f"{path.rstrip('/')}/{BATCH}={batch}")
+    with _unsorted(payloads.sparkSession):
+        if batch is None:
+            writer.mode(mode).text(path)
+        else:
+            writer.mode("overwrite").text(f"{path.rstrip('/')}/{BATCH}={batch}")
 
 
 def write_texts(rows: DataFrame, path: str) -> None:

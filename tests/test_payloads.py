@@ -3,10 +3,13 @@
 import datetime
 import json
 import threading
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from helpers import payloads as documents_of
 from helpers import rows
+from pyspark.sql import functions as F
 
 from fiscora.catalog import EARNINGS, ENDPOINTS, INCOME
 from fiscora.queries import ingest as ingest_queries
@@ -62,6 +65,52 @@ def test_bronze_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     assert stored == [(json.dumps({"symbol": s}), 7) for s in "ABCDE"]
 
 
+def test_documents_are_written_as_they_come_and_not_sorted_by_date_before(spark, tmp_path):
+    def produced(batches):
+        for batch in batches:
+            for i in batch["id"]:
+                begun = any(Path(tmp_path).rglob("*.txt.gz"))
+                date = datetime.date(2026, 9, 7 + i % 2)
+                yield pd.DataFrame({"raw_data": [f"{begun} {i} " + "x" * 1_000_000], "ingest_date": [date]})
+
+    before = spark.conf.get(bronze.OPEN_FILES)
+    documents = spark.range(40, numPartitions=1).mapInPandas(produced, "raw_data string, ingest_date date")
+    bronze.write_bronze(documents, str(tmp_path))
+    stored = bronze.read_bronze(spark, str(tmp_path)).select(F.substring_index("raw_data", " ", 2).alias("head"), "day")
+    seen = {int(r["head"].split()[1]): (r["head"].split()[0], r["day"]) for r in stored.collect()}
+    assert [seen[i][1] for i in range(40)] == [7 + i % 2 for i in range(40)]
+    assert seen[39][0] == "True"  # sorted first, the last document is made before any file is begun
+    assert spark.conf.get(bronze.OPEN_FILES) == before
+
+
+def test_more_dates_than_files_kept_open(spark, tmp_path):
+    dates = F.date_add(F.lit("2026-08-01").cast("date"), (F.col("id") % 50).cast("int"))
+    none = F.when(F.col("id") % 50 != 7, dates)
+    documents = spark.range(500, numPartitions=1).select(F.col("id").cast("string").alias("raw_data"), none.alias("ingest_date"))
+    bronze.write_bronze(documents, str(tmp_path))
+    stored = bronze.read_bronze(spark, str(tmp_path))
+    expected = documents.select("raw_data", F.month("ingest_date"), F.dayofmonth("ingest_date"))
+    assert rows(stored, "raw_data", "month", "day") == rows(expected, *expected.columns)
+
+
+def test_overlapping_writes_put_the_setting_back_and_keep_one_of_the_session(spark):
+    before = spark.conf.get(bronze.OPEN_FILES)
+    first, second = bronze._unsorted(spark), bronze._unsorted(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(bronze.OPEN_FILES) == str(bronze.DATES_AT_ONCE)
+    second.__exit__(None, None, None)
+    assert spark.conf.get(bronze.OPEN_FILES) == before
+    spark.conf.set(bronze.OPEN_FILES, "3")
+    try:
+        with bronze._unsorted(spark):
+            assert spark.conf.get(bronze.OPEN_FILES) == "3"
+        assert spark.conf.get(bronze.OPEN_FILES) == "3"
+    finally:
+        spark.conf.unset(bronze.OPEN_FILES)
+
+
 def test_landing_needs_the_periods_alone_and_is_stored_small(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(payloads, "periods", lambda spark, sf_dir: periods(spark))
     monkeypatch.setattr(lake, "lake", lambda spark, sf_dir: pytest.fail("the lake is not read"))
